@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, sharding, url_filter
+from . import exact_dedup, language_id, media_jpeg, mixing, ngram_join, sharding, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(_table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = _fold("doc_id", 4) == 2
@@ -40,6 +44,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"), repetition=1.25, seed=7)
 
 
+def op9_media_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = media_jpeg.write_media(_table(spark, sf_dir, "documents"), keep=[F.col("doc_id")])
+    found = media_jpeg.read_media(stored)
+    feature = F.concat_ws(":", F.concat_ws("x", "width", "height"), "thumbnail_hash")
+    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"), "width", "height", "thumbnail_hash")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents")).drop("keep_rows")
 
@@ -51,7 +62,7 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PART
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_sharding, op3_url_filters, op7_language_id, op8_mixing, op10_exact_dedup)}
+    return {f.__name__: f for f in (op2_sharding, op3_url_filters, op4_ngram_jaccard, op7_language_id, op8_mixing, op9_media_jpeg, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict:
