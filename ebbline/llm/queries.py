@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, media_jpeg, mixing, ngram_join, sharding, url_filter
+from . import exact_dedup, language_id, media_jpeg, mixing, ngram_join, sentencepiece_dropout, sharding, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,14 @@ def _fold(column: str, folds: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = _fold("doc_id", 3) == 1
+    model = toxicity.train(docs, labels.where(~held_out).select("doc_id", "toxic"))
+    found = toxicity.score_texts(docs, model, keep=[F.col("doc_id")])
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted", "hits")
+
+
 SHARDS = [f"shard-{k:03d}" for k in range(100)]
 
 
@@ -32,6 +40,14 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(_table(spark, sf_dir, "documents"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    tokens = sentencepiece_dropout.encode_column(docs, keep=[F.col("doc_id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")], dropout=0.1, seed=7)
+    ids = F.sha2(F.array_join(F.col("tokens").cast("array<string>"), " "), 256)
+    back = sentencepiece_dropout.decode_column(tokens.withColumn("tokens_sha256", ids))
+    return back.select("doc_id", "n_tokens", "tokens_sha256", F.sha2("text", 256).alias("decoded_sha256"), (F.sha2("text", 256) == F.col("text_sha256")).alias("lossless"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = _fold("doc_id", 4) == 2
@@ -62,7 +78,7 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PART
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_sharding, op3_url_filters, op4_ngram_jaccard, op7_language_id, op8_mixing, op9_media_jpeg, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_sharding, op3_url_filters, op4_ngram_jaccard, op5_sentencepiece, op7_language_id, op8_mixing, op9_media_jpeg, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict:
