@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, media_jpeg, mixing, ngram_join, sentencepiece_dropout, sharding, toxicity, url_filter
+from . import exact_dedup, language_id, media_jpeg, mixing, ngram_join, sentencepiece_dropout, sharding, toxicity, url_filter, warc_audit
+from .storage import cut
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +49,20 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", "tokens_sha256", F.sha2("text", 256).alias("decoded_sha256"), (F.sha2("text", 256) == F.col("text_sha256")).alias("lossless"))
 
 
+def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_audit.to_records(_table(spark, sf_dir, "pages"))
+    manifest = cut(warc_audit.manifest_of(records), "manifest")
+    place = manifest.select("record_id", "file", "seq", "digest")
+
+    def replica(rows):  # contents at the manifest's ranges
+        original = rows.withColumn("digest", F.sha2("record", 256)).dropDuplicates(["record_id", "file", "digest"])
+        same = F.col("r.record_id").eqNullSafe(F.col("p.record_id")) & (F.col("r.file") == F.col("p.file")) & (F.col("r.digest") == F.col("p.digest"))
+        return original.alias("r").join(place.alias("p"), same).select("p.file", "p.seq", "r.record_id", "r.record")
+
+    one = replica(records)
+    return warc_audit.audit(manifest, one, warc_audit.damaged(one))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = _fold("doc_id", 4) == 2
@@ -78,8 +93,8 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PART
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_sharding, op3_url_filters, op4_ngram_jaccard, op5_sentencepiece, op7_language_id, op8_mixing, op9_media_jpeg, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_sharding, op3_url_filters, op4_ngram_jaccard, op5_sentencepiece, op6_warc_fixity, op7_language_id, op8_mixing, op9_media_jpeg, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict:
-    return {"op3_url_filters": url_filter.oracle(), "op8_mixing": mixing.oracle(repetition=1.25, seed=7), "op10_exact_dedup": OP10_SQL}
+    return {"op6_warc_fixity": warc_audit.oracle(), "op3_url_filters": url_filter.oracle(), "op8_mixing": mixing.oracle(repetition=1.25, seed=7), "op10_exact_dedup": OP10_SQL}

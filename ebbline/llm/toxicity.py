@@ -459,21 +459,29 @@ def train(docs: DataFrame, labels: DataFrame, *, text_col: str = "text") -> Mode
     return model
 
 
-def score_texts(docs: DataFrame, model: Model, *, keep: list[Column], text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """``keep`` columns, score, predicted, hits for every row of ``docs``; whole texts.
+def score_texts(docs: DataFrame, model: Model, *, keep: list[Column] | None = None, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """``keep`` columns (None: all), score, predicted, hits for every row of ``docs``; whole texts.
+
+    Columns of ``docs`` that bear these names are replaced.
 
     Null and empty texts, and texts without a hit, have the score of no
     evidence.  Repeated rows score alike; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MOST_TERMS terms and their automaton
-    narrow = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    kind = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in narrow.schema.fields[:-1])
+    if keep is None:
+        keep = [F.col(c) for c in docs.columns if c not in ("score", "predicted", "hits", text_col)]
+        narrow, drop = docs.select(*keep, text_col), 0
+    else:
+        narrow, drop = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text")), 1
+    text_name = narrow.columns[-1]
+    kind = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in narrow.schema.fields[: len(narrow.columns) - drop])
 
     def run(batches):
         matcher = Matcher(shared.value)
-        for part, texts in _pieces(batches, "_text"):
+        for part, texts in _pieces(batches, text_name):
             x, hits = matcher.features(Tokens(texts))
             score = shared.value.score(x)
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(hits.astype(np.int32))], names=[*part.schema.names[:-1], "score", "predicted", "hits"])
+            part = part.select(part.schema.names[: part.num_columns - drop])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(hits.astype(np.int32))], names=[*part.schema.names, "score", "predicted", "hits"])
 
     return narrow.mapInArrow(run, f"{kind}score double, predicted int, hits int")
