@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("ingest",)
+FAMILIES = ("ingest", "marts", "network")
 
 
 def queries() -> dict:

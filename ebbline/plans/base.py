@@ -21,17 +21,17 @@ _SPARK = {
         CASE WHEN o_orderkey % 11 = 0 THEN ' ' ELSE o_orderpriority END AS specialty, o_orderstatus AS status,
         CASE WHEN o_orderkey % 17 = 0 THEN 'X' ELSE ' ' END AS cancelled, CASE WHEN o_orderkey % 23 = 0 THEN 'X' ELSE '' END AS locked, o_totalprice AS amount"""),
     "movements": ("lineitem", """
-        l_orderkey AS case_id, l_linenumber AS number, CASE l_linenumber WHEN 1 THEN '1' WHEN 2 THEN '3' WHEN 3 THEN '6' WHEN 4 THEN '7' WHEN 5 THEN '3' WHEN 6 THEN '2' ELSE '4' END AS kind,
+        l_orderkey AS case_id, CAST(l_linenumber * 10000000 + l_partkey AS BIGINT) AS number, CASE l_linenumber WHEN 1 THEN '1' WHEN 2 THEN '3' WHEN 3 THEN '6' WHEN 4 THEN '7' WHEN 5 THEN '3' WHEN 6 THEN '2' ELSE '4' END AS kind,
         l_shipdate AS begin_ts, CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE timestampadd(HOUR, CAST(l_quantity AS INT) * 5, l_shipdate) END AS end_ts,
         l_suppkey AS ward, l_suppkey % 10 AS dept, CASE WHEN l_partkey % 3 = 0 THEN 'VB' WHEN l_partkey % 3 = 1 THEN 'AO' ELSE 'NO' END AS art,
         lpad(CAST(l_partkey % 9 AS STRING), 2, '0') AS reason, CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled"""),
     "diagnoses": ("lineitem", """
-        l_orderkey AS case_id, l_linenumber AS number, concat(chr(65 + CAST(l_partkey % 26 AS INT)), lpad(CAST(l_partkey % 100 AS STRING), 2, '0'), '.', CAST(l_partkey % 10 AS STRING)) AS code,
+        l_orderkey AS case_id, CAST(l_linenumber * 10000000 + l_partkey AS BIGINT) AS number, concat(chr(65 + CAST(l_partkey % 26 AS INT)), lpad(CAST(l_partkey % 100 AS STRING), 2, '0'), '.', CAST(l_partkey % 10 AS STRING)) AS code,
         CAST(l_shipdate AS DATE) AS day, CASE WHEN l_linenumber = 1 THEN 'X' ELSE '' END AS principal, CASE WHEN l_suppkey % 2 = 0 THEN 'X' ELSE '' END AS admission,
         CASE WHEN l_suppkey % 3 = 0 THEN 'X' ELSE '' END AS discharge, CASE WHEN l_suppkey % 5 = 0 THEN 'X' ELSE '' END AS treatment, CASE WHEN l_suppkey % 7 = 0 THEN 'X' ELSE '' END AS surgery,
         CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled"""),
     "procedures": ("lineitem", """
-        l_orderkey AS case_id, l_orderkey * 10 + l_linenumber AS procedure_id, concat('5-', lpad(CAST(l_partkey % 1000 AS STRING), 3, '0')) AS code, CAST(l_shipdate AS DATE) AS day, l_suppkey AS unit,
+        l_orderkey AS case_id, (l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey AS procedure_id, concat('5-', lpad(CAST(l_partkey % 1000 AS STRING), 3, '0')) AS code, CAST(l_shipdate AS DATE) AS day, l_suppkey AS unit,
         CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled"""),
     "patients": ("customer", """
         c_custkey AS patient_id, CASE c_custkey % 4 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 2 THEN '3' ELSE ' ' END AS sex, CAST(date_add(DATE'1925-01-01', CAST(c_custkey * 37 % 33000 AS INT)) AS STRING) AS birth, c_name AS name,
@@ -42,7 +42,7 @@ _SPARK = {
         user_id AS key, lpad(CAST(event_id AS STRING), 12, '0') AS _seq, CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS _op, event_type AS state, value, CAST(ts AS TIMESTAMP) AS ts,
         date_format(ts, 'yyyy') AS jahr"""),
     "charges": ("lineitem", """
-        l_orderkey AS case_id, l_orderkey * 10 + l_linenumber AS charge_id, l_partkey AS code_id, l_quantity AS quantity, l_extendedprice AS price, l_discount AS discount, l_tax AS tax, l_returnflag AS flag,
+        l_orderkey AS case_id, (l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey AS charge_id, l_partkey AS code_id, l_quantity AS quantity, l_extendedprice AS price, l_discount AS discount, l_tax AS tax, l_returnflag AS flag,
         CAST(l_shipdate AS DATE) AS day, CASE l_linenumber WHEN 1 THEN 'E1' WHEN 2 THEN 'E2' WHEN 3 THEN 'E31' WHEN 4 THEN 'E32' WHEN 5 THEN 'E33' WHEN 6 THEN 'E11' ELSE 'NUB' END AS class"""),
     "labs": ("events", """
         event_id AS lab_id, user_id AS patient_id, event_type AS code, ts, value AS number,
@@ -57,20 +57,20 @@ _DUCK = {
     "cases": """SELECT o_orderkey AS case_id, o_custkey AS patient_id, CAST(o_orderkey % 3 + 1 AS VARCHAR) AS case_type, CAST(o_orderdate AS DATE) AS begin_date,
   CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 20 AS INTEGER) END AS end_date, CASE WHEN o_orderkey % 11 = 0 THEN ' ' ELSE o_orderpriority END AS specialty, o_orderstatus AS status,
   CASE WHEN o_orderkey % 17 = 0 THEN 'X' ELSE ' ' END AS cancelled, CASE WHEN o_orderkey % 23 = 0 THEN 'X' ELSE '' END AS locked, o_totalprice AS amount FROM orders""",
-    "movements": """SELECT l_orderkey AS case_id, l_linenumber AS number, CASE l_linenumber WHEN 1 THEN '1' WHEN 2 THEN '3' WHEN 3 THEN '6' WHEN 4 THEN '7' WHEN 5 THEN '3' WHEN 6 THEN '2' ELSE '4' END AS kind,
+    "movements": """SELECT l_orderkey AS case_id, CAST(l_linenumber * 10000000 + l_partkey AS BIGINT) AS number, CASE l_linenumber WHEN 1 THEN '1' WHEN 2 THEN '3' WHEN 3 THEN '6' WHEN 4 THEN '7' WHEN 5 THEN '3' WHEN 6 THEN '2' ELSE '4' END AS kind,
   CAST(l_shipdate AS TIMESTAMP) AS begin_ts, CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE CAST(l_shipdate AS TIMESTAMP) + to_hours(CAST(l_quantity AS INTEGER) * 5) END AS end_ts, l_suppkey AS ward, l_suppkey % 10 AS dept,
   CASE WHEN l_partkey % 3 = 0 THEN 'VB' WHEN l_partkey % 3 = 1 THEN 'AO' ELSE 'NO' END AS art, lpad(CAST(l_partkey % 9 AS VARCHAR), 2, '0') AS reason, CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled FROM lineitem""",
-    "diagnoses": """SELECT l_orderkey AS case_id, l_linenumber AS number, chr(65 + CAST(l_partkey % 26 AS INTEGER)) || lpad(CAST(l_partkey % 100 AS VARCHAR), 2, '0') || '.' || CAST(l_partkey % 10 AS VARCHAR) AS code, CAST(l_shipdate AS DATE) AS day,
+    "diagnoses": """SELECT l_orderkey AS case_id, CAST(l_linenumber * 10000000 + l_partkey AS BIGINT) AS number, chr(65 + CAST(l_partkey % 26 AS INTEGER)) || lpad(CAST(l_partkey % 100 AS VARCHAR), 2, '0') || '.' || CAST(l_partkey % 10 AS VARCHAR) AS code, CAST(l_shipdate AS DATE) AS day,
   CASE WHEN l_linenumber = 1 THEN 'X' ELSE '' END AS principal, CASE WHEN l_suppkey % 2 = 0 THEN 'X' ELSE '' END AS admission, CASE WHEN l_suppkey % 3 = 0 THEN 'X' ELSE '' END AS discharge, CASE WHEN l_suppkey % 5 = 0 THEN 'X' ELSE '' END AS treatment,
   CASE WHEN l_suppkey % 7 = 0 THEN 'X' ELSE '' END AS surgery, CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled FROM lineitem""",
-    "procedures": """SELECT l_orderkey AS case_id, l_orderkey * 10 + l_linenumber AS procedure_id, '5-' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') AS code, CAST(l_shipdate AS DATE) AS day, l_suppkey AS unit,
+    "procedures": """SELECT l_orderkey AS case_id, (l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey AS procedure_id, '5-' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') AS code, CAST(l_shipdate AS DATE) AS day, l_suppkey AS unit,
   CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled FROM lineitem""",
     "patients": """SELECT c_custkey AS patient_id, CASE c_custkey % 4 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 2 THEN '3' ELSE ' ' END AS sex, CAST(DATE '1925-01-01' + CAST(c_custkey * 37 % 33000 AS INTEGER) AS VARCHAR) AS birth, c_name AS name,
   c_nationkey AS region, c_mktsegment AS segment, CASE WHEN c_custkey % 19 = 0 THEN 'X' ELSE '' END AS dead, CASE WHEN c_custkey % 29 = 0 AND c_custkey > 29 THEN c_custkey - 29 ELSE NULL END AS merged_into, c_acctbal AS balance FROM customer""",
     "units": "SELECT s_suppkey AS unit_id, s_name AS unit_name, s_nationkey AS house FROM supplier",
     "codes": "SELECT p_partkey AS code_id, p_name AS text, p_brand AS brand, p_type AS kind, p_size AS size, p_retailprice AS price FROM part",
     "changes": """SELECT user_id AS key, lpad(CAST(event_id AS VARCHAR), 12, '0') AS _seq, CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS _op, event_type AS state, value, CAST(ts AS TIMESTAMP) AS ts, strftime(ts, '%Y') AS jahr FROM events""",
-    "charges": """SELECT l_orderkey AS case_id, l_orderkey * 10 + l_linenumber AS charge_id, l_partkey AS code_id, l_quantity AS quantity, l_extendedprice AS price, l_discount AS discount, l_tax AS tax, l_returnflag AS flag, CAST(l_shipdate AS DATE) AS day,
+    "charges": """SELECT l_orderkey AS case_id, (l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey AS charge_id, l_partkey AS code_id, l_quantity AS quantity, l_extendedprice AS price, l_discount AS discount, l_tax AS tax, l_returnflag AS flag, CAST(l_shipdate AS DATE) AS day,
   CASE l_linenumber WHEN 1 THEN 'E1' WHEN 2 THEN 'E2' WHEN 3 THEN 'E31' WHEN 4 THEN 'E32' WHEN 5 THEN 'E33' WHEN 6 THEN 'E11' ELSE 'NUB' END AS class FROM lineitem""",
     "labs": """SELECT event_id AS lab_id, user_id AS patient_id, event_type AS code, CAST(ts AS TIMESTAMP) AS ts, value AS number,
   CASE event_id % 6 WHEN 0 THEN '<' || replace(CAST(CAST(value AS DECIMAL(12, 2)) AS VARCHAR), '.', ',') WHEN 1 THEN CAST(CAST(value AS DECIMAL(12, 2)) AS VARCHAR) WHEN 2 THEN '1.' || lpad(CAST(event_id % 1000 AS VARCHAR), 3, '0') || ',5'
