@@ -23,7 +23,7 @@ _SPARK = {
     "movements": ("lineitem", """
         l_orderkey AS case_id, CAST(l_linenumber * 10000000 + l_partkey AS BIGINT) AS number, CASE l_linenumber WHEN 1 THEN '1' WHEN 2 THEN '3' WHEN 3 THEN '6' WHEN 4 THEN '7' WHEN 5 THEN '3' WHEN 6 THEN '2' ELSE '4' END AS kind,
         l_shipdate AS begin_ts, CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE timestampadd(HOUR, CAST(l_quantity AS INT) * 5, l_shipdate) END AS end_ts,
-        l_suppkey AS ward, l_suppkey % 10 AS dept, CASE WHEN l_partkey % 3 = 0 THEN 'VB' WHEN l_partkey % 3 = 1 THEN 'AO' ELSE 'NO' END AS art,
+        l_suppkey AS ward, l_suppkey % 10 AS dept, CASE WHEN l_partkey % 3 = 0 THEN 'VB' WHEN l_partkey % 3 = 1 THEN 'AO' ELSE 'EN' END AS art,
         lpad(CAST(l_partkey % 9 AS STRING), 2, '0') AS reason, CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled"""),
     "diagnoses": ("lineitem", """
         l_orderkey AS case_id, CAST(l_linenumber * 10000000 + l_partkey AS BIGINT) AS number, concat(chr(65 + CAST(l_partkey % 26 AS INT)), lpad(CAST(l_partkey % 100 AS STRING), 2, '0'), '.', CAST(l_partkey % 10 AS STRING)) AS code,
@@ -59,7 +59,7 @@ _DUCK = {
   CASE WHEN o_orderkey % 17 = 0 THEN 'X' ELSE ' ' END AS cancelled, CASE WHEN o_orderkey % 23 = 0 THEN 'X' ELSE '' END AS locked, o_totalprice AS amount FROM orders""",
     "movements": """SELECT l_orderkey AS case_id, CAST(l_linenumber * 10000000 + l_partkey AS BIGINT) AS number, CASE l_linenumber WHEN 1 THEN '1' WHEN 2 THEN '3' WHEN 3 THEN '6' WHEN 4 THEN '7' WHEN 5 THEN '3' WHEN 6 THEN '2' ELSE '4' END AS kind,
   CAST(l_shipdate AS TIMESTAMP) AS begin_ts, CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE CAST(l_shipdate AS TIMESTAMP) + to_hours(CAST(l_quantity AS INTEGER) * 5) END AS end_ts, l_suppkey AS ward, l_suppkey % 10 AS dept,
-  CASE WHEN l_partkey % 3 = 0 THEN 'VB' WHEN l_partkey % 3 = 1 THEN 'AO' ELSE 'NO' END AS art, lpad(CAST(l_partkey % 9 AS VARCHAR), 2, '0') AS reason, CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled FROM lineitem""",
+  CASE WHEN l_partkey % 3 = 0 THEN 'VB' WHEN l_partkey % 3 = 1 THEN 'AO' ELSE 'EN' END AS art, lpad(CAST(l_partkey % 9 AS VARCHAR), 2, '0') AS reason, CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled FROM lineitem""",
     "diagnoses": """SELECT l_orderkey AS case_id, CAST(l_linenumber * 10000000 + l_partkey AS BIGINT) AS number, chr(65 + CAST(l_partkey % 26 AS INTEGER)) || lpad(CAST(l_partkey % 100 AS VARCHAR), 2, '0') || '.' || CAST(l_partkey % 10 AS VARCHAR) AS code, CAST(l_shipdate AS DATE) AS day,
   CASE WHEN l_linenumber = 1 THEN 'X' ELSE '' END AS principal, CASE WHEN l_suppkey % 2 = 0 THEN 'X' ELSE '' END AS admission, CASE WHEN l_suppkey % 3 = 0 THEN 'X' ELSE '' END AS discharge, CASE WHEN l_suppkey % 5 = 0 THEN 'X' ELSE '' END AS treatment,
   CASE WHEN l_suppkey % 7 = 0 THEN 'X' ELSE '' END AS surgery, CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled FROM lineitem""",
