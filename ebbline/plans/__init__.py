@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("ingest", "marts", "network", "timelines", "care", "billing")
+FAMILIES = ("ingest", "marts", "network", "timelines", "care", "billing", "nested")
 
 
 def queries() -> dict:

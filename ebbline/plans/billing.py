@@ -107,9 +107,9 @@ def drg_amount(spark, d):
     return rv.case_amount(pre_cube(spark, d)).select("charge_id", F.round("amount", 2).alias("amount"))
 
 
-@query(_AM + " SELECT charge_id, round(a / base, 4) AS effective_weight FROM am", *_T)
+@query(_AM + " SELECT charge_id, round(a / base, 6) AS effective_weight FROM am", *_T)
 def drg_effective_weight(spark, d):
-    return rv.case_amount(pre_cube(spark, d)).select("charge_id", F.round("effective_weight", 4).alias("effective_weight"))
+    return rv.case_amount(pre_cube(spark, d)).select("charge_id", "effective_weight")
 
 
 @query(_PRE + " SELECT charge_id, CASE WHEN care_weight > 0 THEN round((los + nb_audit - nb_care) * CAST(care_weight AS DOUBLE), 4) END AS care_weight_sum, CASE WHEN care_weight > 0 THEN round((los + nb_audit - nb_care) * CAST(care_weight AS DOUBLE) * 140.5, 3) END AS care_amount FROM pc", *_T)
