@@ -73,7 +73,7 @@ def period(start: Column, end: Column) -> Column:
     return F.when(start.isNotNull() | end.isNotNull(), F.struct(start.alias("start"), end.alias("end")))
 
 
-def emit(df: DataFrame, kind: Column | str, id_: Column, patient: Column, **body: Column) -> DataFrame:
+def emit(df: DataFrame, kind: Column | str, id_: Column, patient: Column, /, **body: Column) -> DataFrame:
     name = F.lit(kind) if isinstance(kind, str) else kind
     fields = F.struct(name.alias("resourceType"), id_.alias("id"), *[v.alias(k) for k, v in body.items()])
     return df.select(name.alias("resource_type"), id_.alias("id"), patient.cast("string").alias("patient"), F.to_json(fields).alias("body"))
@@ -161,9 +161,10 @@ def lab_reports(heads: DataFrame, values: DataFrame, privacy: Privacy = CLEAR) -
 
 def lab_values(v: DataFrame, loinc: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     """Values with local code (and LOINC where mapped), parsed quantity or text, range and interpretation."""
-    df, pid = v.join(loinc, "code", "left"), F.col("patient_id")
     low, high, text = c.lab_range(F.col("normal"))
-    q = c.lab_quantity(F.col("raw"))
+    # parsed once, as columns: inlined, the expressions would outgrow a generated method
+    df = v.join(loinc, "code", "left").withColumns({"_low": low, "_high": high, "_text": text, "_q": c.lab_quantity(F.col("raw"))})
+    pid, low, high, text, q = (F.col(k) for k in ("patient_id", "_low", "_high", "_text", "_q"))
     code = some(F.when(F.col("loinc").isNotNull(), F.struct(F.lit(LOINC).alias("system"), F.col("loinc").alias("code"))), F.struct(F.lit(ISH + "leistid").alias("system"), F.col("code").alias("code")))
     value = lambda x: F.when(x.isNotNull(), F.struct(x.alias("value")))
     bounds = F.when(low.isNotNull() | high.isNotNull() | text.isNotNull(), F.array(F.struct(value(low).alias("low"), value(high).alias("high"), text.alias("text"))))

@@ -82,7 +82,8 @@ def lab_range_parse(spark, d):
 @query(_LAB + " SELECT lab_id, CASE WHEN flag = '+' THEN 'H' WHEN flag <> '' THEN flag WHEN q > hi THEN 'H' WHEN q < lo THEN 'L' WHEN q IS NOT NULL AND (lo IS NOT NULL OR hi IS NOT NULL) THEN 'N' END AS interpretation FROM lq", "labs")
 def lab_interpret(spark, d):
     low, high, _ = c.lab_range(F.col("normal"))
-    return view(spark, d, "labs").select("lab_id", c.lab_interpret(F.col("flag"), c.lab_quantity(F.col("raw")), low, high).alias("interpretation"))
+    parsed = view(spark, d, "labs").withColumns({"low": low, "high": high, "q": c.lab_quantity(F.col("raw"))})
+    return parsed.select("lab_id", c.lab_interpret(F.col("flag"), F.col("q"), F.col("low"), F.col("high")).alias("interpretation"))
 
 
 @query("SELECT lab_id, CASE status WHEN 'F' THEN 'final' WHEN 'P' THEN 'preliminary' WHEN 'C' THEN 'corrected' ELSE 'final' END AS state, CASE unit WHEN 'mg/dl' THEN 'mg/dL' WHEN 'Tsd/ul' THEN '10*3/uL' WHEN '%' THEN '%' END AS ucum FROM labs", "labs")
