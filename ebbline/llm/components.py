@@ -1,8 +1,10 @@
 """Connected components by alternating large-star and small-star steps.
 
-Every step is an aggregation with map-side combine and an equi-join, so a hub
-with very many neighbours is spread by the combine and by AQE's skew join.
-The number of rounds grows with the logarithm of the graph's size.
+Every step is an aggregation with map-side combine and an equi-join.  The
+aggregate is written as a table before the join: both sides then come in by
+shuffles of the join's own, which AQE splits where a hub has very many edges
+(an aggregate's partitions it must leave as they are).  The number of rounds
+grows with the logarithm of the graph's size.
 """
 
 from __future__ import annotations
@@ -15,13 +17,13 @@ from .storage import cut, drop
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    least = both.groupBy("src").agg(F.min("dst").alias("m")).select("src", F.least("src", "m").alias("m"))
+    least = cut(both.groupBy("src").agg(F.min("dst").alias("m")).select("src", F.least("src", "m").alias("m")), "least")
     return both.join(least, "src").where(F.col("dst") > F.col("src")).select(F.col("dst").alias("src"), F.col("m").alias("dst"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).where("src <> dst")
-    least = down.groupBy("src").agg(F.min("dst").alias("m"))
+    least = cut(down.groupBy("src").agg(F.min("dst").alias("m")), "least")
     linked = down.join(least, "src").where(F.col("dst") != F.col("m")).select(F.col("dst").alias("src"), F.col("m").alias("dst"))
     return linked.unionByName(least.select("src", F.col("m").alias("dst")))
 
@@ -41,7 +43,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         if state[0] == 0:
             break
-        after = cut(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        large = cut(_large_star(now).distinct(), "edges")
+        after = cut(_small_star(large).distinct(), "edges")
+        drop(large)
         found = _state(after)
         drop(now)
         now = after
