@@ -170,12 +170,11 @@ def identify(docs: DataFrame, profiles: Profiles, *, text_col: str = "text", kee
     every text if nothing was learned.  Ties go to the first language by name.
     Repeated rows give equal results; an empty table gives none.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(profiles)  # at most LANGUAGE_RANKS entries a language
+    model = profiles  # shipped by value with the function: at most LANGUAGE_RANKS entries a language
     narrow = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
 
     def run(batches):
-        model = shared.value
         alphabet = _alphabet(model.letters)
         for batch in batches:
             for a, b, texts in _pieces(batch, "_text"):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import mix64, text_chunks, utf8
+from .arrays import mix64, span_hashes, text_chunks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -275,7 +275,7 @@ class Encoder:
         size = ends - starts
         symbols = self._symbols(points)
         owner = np.searchsorted(first, starts, "right") - 1
-        word = _word_hash(points, starts, ends)
+        word = span_hashes(points, starts, ends)
         if self.dropout > 0:
             inner = np.arange(len(starts)) - np.searchsorted(owner, owner)
             variant = mix64(keys[owner].astype(np.uint64) ^ (inner.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))) % np.uint64(self.variants)
@@ -305,12 +305,6 @@ class Encoder:
         return out.astype(np.int32), np.concatenate([[0], np.cumsum(per_text)])
 
 
-def _word_hash(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    from .arrays import span_hashes
-
-    return span_hashes(points, starts, ends)
-
-
 def decode(vocabulary: Vocabulary, ids: np.ndarray, borders: np.ndarray) -> list[bytes]:
     """UTF-8 bytes of each text: the pieces' bytes without the dummy prefix."""
     ids = ids.astype(np.int64)

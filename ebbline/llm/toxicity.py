@@ -415,10 +415,9 @@ def train(docs: DataFrame, labels: DataFrame, *, text_col: str = "text") -> Mode
     model = Model(terms, build(terms))
     if not counts.get(1) or not counts.get(0):
         return model
-    shared = sample.sparkSession.sparkContext.broadcast(model)
 
     def spelled(batches):
-        matcher = Matcher(shared.value)
+        matcher = Matcher(model)
         for part, texts in _pieces(batches, "text"):
             tokens = Tokens(texts)
             at, result = matcher.hits(tokens)
@@ -445,10 +444,9 @@ def train(docs: DataFrame, labels: DataFrame, *, text_col: str = "text") -> Mode
             term.weight = odds(*by_term[k])
     model.fuzzy = float(np.clip(fuzzy[0] / fuzzy.sum(), 0.05, 0.8))
     model.variants = {r["word"] & 0xFFFFFFFFFFFFFFFF: odds(r["t"], r["c"]) for r in seen if r["result"] & 3}
-    ready = sample.sparkSession.sparkContext.broadcast(model)
 
     def measured(batches):
-        matcher = Matcher(ready.value)
+        matcher = Matcher(model)
         for part, texts in _pieces(batches, "text"):
             x, _ = matcher.features(Tokens(texts))
             yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("toxic")).cast(pa.int32()), *(pa.array(x[:, k]) for k in range(FEATURES))], names=["toxic", *(f"x{k}" for k in range(FEATURES))])
@@ -467,7 +465,7 @@ def score_texts(docs: DataFrame, model: Model, *, keep: list[Column] | None = No
     Null and empty texts, and texts without a hit, have the score of no
     evidence.  Repeated rows score alike; an empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MOST_TERMS terms and their automaton
+    # the model is shipped by value with the function: at most MOST_TERMS terms and their automaton
     if keep is None:
         keep = [F.col(c) for c in docs.columns if c not in ("score", "predicted", "hits", text_col)]
         narrow, drop = docs.select(*keep, text_col), 0
@@ -477,10 +475,10 @@ def score_texts(docs: DataFrame, model: Model, *, keep: list[Column] | None = No
     kind = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in narrow.schema.fields[: len(narrow.columns) - drop])
 
     def run(batches):
-        matcher = Matcher(shared.value)
+        matcher = Matcher(model)
         for part, texts in _pieces(batches, text_name):
             x, hits = matcher.features(Tokens(texts))
-            score = shared.value.score(x)
+            score = model.score(x)
             part = part.select(part.schema.names[: part.num_columns - drop])
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(hits.astype(np.int32))], names=[*part.schema.names, "score", "predicted", "hits"])
 
