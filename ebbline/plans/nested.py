@@ -96,6 +96,26 @@ def code_maps(spark, d):
     return view(spark, d, "cases").groupBy(c.lookup(F.col("case_type"), c.CASE_TYPES).alias("class")).agg(F.count("*").alias("n"))
 
 
+@query("SELECT lab_id, CASE status WHEN 'P' THEN 'preliminary' WHEN 'C' THEN 'corrected' ELSE 'final' END AS state FROM labs", "labs")
+def lab_status(spark, d):
+    return view(spark, d, "labs").select("lab_id", c.lookup(F.upper("status"), c.LAB_STATES, "final").alias("state"))
+
+
+@query("SELECT patient_id, CASE sex WHEN '1' THEN 'male' WHEN '2' THEN 'female' WHEN '3' THEN 'other' ELSE 'unknown' END AS gender FROM patients", "patients")
+def sex(spark, d):
+    return view(spark, d, "patients").select("patient_id", c.lookup(F.col("sex"), c.SEXES, "unknown").alias("gender"))
+
+
+@query("SELECT case_id, CASE case_type WHEN '1' THEN 'IMP' WHEN '2' THEN 'AMB' WHEN '3' THEN 'SS' END AS class FROM cases", "cases")
+def case_type(spark, d):
+    return view(spark, d, "cases").select("case_id", c.lookup(F.col("case_type"), c.CASE_TYPES, "IMP").alias("class"))
+
+
+@query("SELECT case_id, number, CASE kind WHEN '1' THEN 'Aufnahme' WHEN '2' THEN 'Entlassung' WHEN '3' THEN 'Verlegung' WHEN '4' THEN 'ambulanter Besuch' WHEN '6' THEN 'Abwesenheit Beginn' WHEN '7' THEN 'Abwesenheit Ende' ELSE 'Bewegung' END AS text FROM movements", "movements")
+def movement_type(spark, d):
+    return view(spark, d, "movements").select("case_id", "number", c.lookup(F.col("kind"), c.MOVEMENT_TYPES, "Bewegung").alias("text"))
+
+
 @query("SELECT code_id, CASE WHEN code_id % 60 BETWEEN 1 AND 16 OR code_id % 60 IN (22, 23) THEN 'allergy' WHEN code_id % 60 IN (0, 17, 19, 20, 21, 24, 25, 26, 29, 30, 31, 34, 35, 36, 39, 41, 43, 45, 53) THEN 'infection' ELSE 'admin' END AS class FROM codes", "codes")
 def risk_class(spark, d):
     return view(spark, d, "codes").select("code_id", c.risk_class(F.lpad((F.col("code_id") % 60).cast("string"), 6, "0"), F.col("text")).alias("class"))
