@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import is_cancelled
 
-#: Key sets up to this many rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
 
 
 def current_inpatients(movements: DataFrame, cases: DataFrame, *, case: str, patient: str, kind: str, end: str, cancelled: str, most: int | None = None) -> DataFrame:
