@@ -10,7 +10,6 @@ doubles the filter and refills it from the stored keys.
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
