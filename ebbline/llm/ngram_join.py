@@ -7,13 +7,16 @@ target recall at the threshold; the full n-gram sets decide.
 2. Band hashes are shuffled; a band shared by two or more classes links each of
    them to the least one, a star, so a bucket of n sends n rows, not n * n pairs.
 3. The stars' connected components are the candidate groups.
-4. Each group is cut into blocks of bounded size; a task gets two blocks with
-   their n-gram sets and compares all their pairs inside numpy.  Out come one
-   row per text and block pair: its number of links and its local root.
+4. A group beyond one block is cut by the sizes of its n-gram sets (classes of
+   ratio 1 / threshold) and each class into blocks of bounded size; a task gets
+   two blocks of one class or of neighbouring classes with their n-gram sets and
+   compares all their pairs inside numpy.  Out come one row per text and block
+   pair: its number of links and its local root.
 5. The local roots are joined up to the final classes.
 
-Every pair within a candidate group is compared, so the banding decides only
-which groups exist, and no cap limits partners or candidates.
+Sets whose sizes differ by more than the threshold's ratio cannot be linked, so
+every possible link within a candidate group is looked at: the banding decides
+only which groups exist, and no cap limits partners or candidates.
 """
 
 from __future__ import annotations
@@ -188,6 +191,26 @@ def _compare(threshold: float):
     return run
 
 
+def _place(members: DataFrame, threshold: float) -> DataFrame:
+    """members (doc_id, root, size, n) with ``block``, the text's own, and ``others``, the blocks it meets (its own too).
+
+    A group of one block stays whole.  Otherwise a block is a size class (the
+    upper 32 bits) and a part of it; classes are wider than 1 / threshold by a
+    hair, so that rounding never puts linkable sizes two classes apart.
+    """
+    width = math.log(1 / threshold) + 1e-6
+    members = members.withColumn("_kind", F.floor(F.log("n") / width).cast("long"))
+    texts, grams = F.lit(float(BLOCK_TEXTS)), F.lit(float(BLOCK_GRAMS))
+    kinds = members.groupBy("root", "_kind").agg(F.count("*").alias("_texts"), F.sum("n").alias("_grams"))
+    parts = F.greatest(F.ceil(F.col("_texts") / texts), F.ceil(F.col("_grams") / grams)).cast("long")
+    cuts = kinds.groupBy("root").agg(F.map_from_entries(F.collect_list(F.struct("_kind", parts))).alias("_parts"), ((F.sum("_texts") <= texts) & (F.sum("_grams") <= grams)).alias("_one"))
+    cuts = cuts.withColumn("_parts", F.when(F.col("_one"), F.create_map(F.lit(0).cast("long"), F.lit(1).cast("long"))).otherwise(F.col("_parts")))
+    placed = members.join(cuts, "root").withColumn("_kind", F.when(F.col("_one"), F.lit(0).cast("long")).otherwise(F.col("_kind")))
+    own = F.shiftleft("_kind", 32) + F.pmod(F.xxhash64("doc_id"), F.col("_parts")[F.col("_kind")])
+    near = "flatten(transform(filter(sequence(_kind - 1, _kind + 1), k -> map_contains_key(_parts, k)), k -> transform(sequence(0L, _parts[k] - 1), b -> shiftleft(k, 32) + b)))"
+    return placed.select("doc_id", "root", "size", "n", own.alias("block"), F.expr(near).alias("others"))
+
+
 def ngram_join(docs: DataFrame, *, words: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, text_id, class_id, n_links, n_text_links.
 
@@ -218,12 +241,11 @@ def ngram_join(docs: DataFrame, *, words: int = WORDS, threshold: float = THRESH
     groups = components(edges)
 
     members = cut(groups.withColumnRenamed("node", "doc_id").join(heads, "doc_id").select("doc_id", "root", "size", "n"), "members")
-    cuts = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
-    placed = members.join(cuts, "root").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    placed = _place(members, threshold)
     sets = gram_sets(texts.join(members.select("doc_id"), "doc_id", "left_semi"), words=words)
     # repeated ids with different texts: the set that the class was made of is the one compared
     sets = sets.join(placed, "doc_id").where(F.length("grams") == F.col("n") * 8).dropDuplicates(["doc_id"])
-    spread = sets.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_with"))
+    spread = sets.select("*", F.explode("others").alias("_with"))
     pairs = spread.select("root", F.least("block", "_with").alias("low"), F.greatest("block", "_with").alias("high"), "doc_id", "size", "block", "grams")
     pairs = pairs.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
     found = cut(pairs.mapInArrow(_compare(threshold), "doc_id long, root long, links long, text_links long"), "links")

@@ -116,6 +116,21 @@ def test_ngram_join_on_a_family_beyond_one_block(spark, monkeypatch):
     assert got == sorted(brute_join(rows))
 
 
+def test_ngram_join_cuts_large_groups_by_size(spark, monkeypatch):
+    """Growing texts, each linked with the nearest sizes only; 4 of 5 n-grams (exactly 0.8) link still."""
+    monkeypatch.setattr(ngram_join, "BLOCK_TEXTS", 3)
+    monkeypatch.setattr(ngram_join, "choose_bands", lambda *_: (200, 1))
+    word = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(word[: 8 + 2 * i])) for i in range(48)] + [(100 + i, " ".join(word[: 4 + n])) for i, n in enumerate((4, 5, 20, 25, 64, 80, 100))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in ngram_join.ngram_join(df).collect())
+    assert got == sorted(brute_join(rows))
+    members = spark.createDataFrame([(i, 0, 1, n) for i, n in enumerate([10, 10, 10, 12, 12, 100, 120, 5000])], "doc_id long, root long, size long, n long")
+    placed = {r.doc_id: r for r in ngram_join._place(members, 0.8).collect()}
+    assert placed[7].others == [placed[7].block] and not set(placed[0].others) & set(placed[5].others)
+    assert placed[6].block in placed[5].others and all(r.block in r.others for r in placed.values())
+
+
 def test_bands_reach_the_recall():
     for t, recall in ((0.8, 0.9999), (0.5, 0.99), (0.9, 0.999)):
         b, r = ngram_join.choose_bands(t, recall)
