@@ -25,6 +25,20 @@ def query(sql: str | None = None, *names: str):
     return put
 
 
+def _hmac(message: str) -> str:
+    """HMAC-SHA256 under SECRET, as hex, in DuckDB's SQL."""
+    inner, outer = (bytes(b ^ x for b in SECRET.ljust(64, b"\0")).hex() for x in (0x36, 0x5C))
+    return f"sha256(from_hex('{outer}') || from_hex(sha256(from_hex('{inner}') || encode({message}))))"
+
+
+def _base32(h: str, letters: int) -> str:
+    """The first letters of the base32 of the hex text ``h``."""
+    return " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr({h}, {k // 4 * 5 + 1}, 5) AS BIGINT) // {32 ** (3 - k % 4)}) % 32 + 1 AS BIGINT), 1)" for k in range(letters))
+
+
+_STABLE = f""", u AS (SELECT case_id, sha1(from_hex('{r.NAMESPACE.replace("-", "")}') || encode(concat_ws('|', 'Encounter', CAST(case_id AS VARCHAR), CASE WHEN case_id % 3 = 0 THEN CAST(patient_id AS VARCHAR) END))) AS h FROM cases)
+SELECT case_id, concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), '5' || substr(h, 14, 3), substr('89ab', CAST('0x' || substr(h, 17, 1) AS BIGINT) % 4 + 1, 1) || substr(h, 18, 3), substr(h, 21, 12)) AS id FROM u"""
+_SHIFT = ", s AS (SELECT *, CAST(CAST('0x' || substr(" + _hmac("'shift:' || CAST(patient_id AS VARCHAR)") + ", 1, 8) AS BIGINT) % 731 - 365 AS INTEGER) AS days FROM cases) SELECT case_id, patient_id, CAST(begin_date + days AS VARCHAR) AS begin, CAST(end_date + days AS VARCHAR) AS \"end\" FROM s"
 NUM = "CASE WHEN regexp_full_match({t}, '[+-]?\\d*\\.?\\d+') THEN CAST({t} AS DOUBLE) END"
 
 
@@ -36,7 +50,7 @@ def _num(x: str) -> str:
 _LAB = ", lb AS (SELECT lab_id, raw, normal, flag, unit, status, trim(regexp_replace(raw, '^(<=|>=|<|>)\\s*', '')) AS body, regexp_extract(raw, '^(<=|>=|<|>)', 1) AS comp FROM labs), lq AS (SELECT *, " + _num("body") + " AS q, CASE WHEN normal = '10 - 150' THEN 10.0 WHEN normal = '> 20' THEN 20.0 END AS lo, CASE WHEN normal = '10 - 150' THEN 150.0 WHEN normal = 'bis 50,5' THEN 50.5 END AS hi FROM lb)"
 
 
-@query()
+@query(_STABLE, "cases")
 def stable_id(spark, d):
     return view(spark, d, "cases").select("case_id", c.stable_id(r.NAMESPACE, "Encounter", F.col("case_id"), F.when(F.col("case_id") % 3 == 0, F.col("patient_id"))).alias("id"))
 
@@ -148,17 +162,17 @@ def _loinc(spark, d):
     return view(spark, d, "labs").select("code").distinct().where("code in ('view', 'purchase')").select("code", F.when(F.col("code") == "view", "1-1").otherwise("2-2").alias("loinc"))
 
 
-@query()
+@query(", h AS (SELECT patient_id, " + _hmac("CAST(patient_id AS VARCHAR)") + " AS h FROM patients) SELECT patient_id, 'P' || " + _base32("h", 16) + " AS pseudonym FROM h", "patients")
 def pseudonym(spark, d):
     return view(spark, d, "patients").select("patient_id", c.pseudonym(SECRET, F.col("patient_id")).alias("pseudonym"))
 
 
-@query()
+@query(", h AS (SELECT patient_id, name, " + _hmac("'kvnr:' || name") + " AS h FROM patients) SELECT patient_id, CASE WHEN name <> '' THEN 'KVN' || " + _base32("h", 14) + " END AS hash FROM h", "patients")
 def hash_id(spark, d):
     return view(spark, d, "patients").select("patient_id", c.hash_id(SECRET, F.col("name"), "kvnr").alias("hash"))
 
 
-@query()
+@query(_SHIFT, "cases")
 def date_shift(spark, d):
     return view(spark, d, "cases").select("case_id", "patient_id", c.date_shift(SECRET, F.col("patient_id"), F.col("begin_date").cast("string")).alias("begin"), c.date_shift(SECRET, F.col("patient_id"), F.col("end_date").cast("string")).alias("end"))
 
