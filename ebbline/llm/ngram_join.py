@@ -3,7 +3,8 @@
 MinHash banding finds the candidates, with band and row counts chosen for a
 target recall at the threshold; the full n-gram sets decide.
 
-1. Texts with the same n-gram set form one class; only its least id goes on.
+1. Texts with the same n-gram set form one class; it goes on as a node, the hash
+   of its set, so that rows of null or repeated ids are told apart by their texts.
 2. Band hashes are shuffled; a band shared by two or more classes links each of
    them to the least one, a star, so a bucket of n sends n rows, not n * n pairs.
 3. The stars' connected components are the candidate groups.
@@ -36,6 +37,7 @@ WORDS, THRESHOLD, RECALL, MOST_HASHES = 5, 0.8, 0.9999, 256
 #: Texts and n-grams of one block; a task holds two blocks.
 BLOCK_TEXTS, BLOCK_GRAMS = 100, 200_000
 _COLUMNS = 4096
+_KEY = ["set_a", "set_b", "n"]
 
 
 def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int = MOST_HASHES) -> tuple[int, int]:
@@ -78,8 +80,8 @@ def signatures(docs: DataFrame, *, words: int = WORDS, bands: int, rows: int) ->
             n, a, b, sig = [], [], [], []
             for grams in _gram_sets(data, offsets, words):
                 n.append(len(grams))
-                a.append(mix64(grams ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64))
-                b.append(mix64(grams + np.uint64(0x5BD1E995)).sum(dtype=np.uint64))
+                for half, h in zip((a, b), _set_hash(grams)):
+                    half.append(h)
                 if not len(grams):
                     sig.append(np.zeros(0, np.int64))
                     continue
@@ -97,14 +99,23 @@ def signatures(docs: DataFrame, *, words: int = WORDS, bands: int, rows: int) ->
     return docs.mapInArrow(run, "doc_id long, n long, set_a long, set_b long, bands array<long>")
 
 
-def gram_sets(docs: DataFrame, *, words: int = WORDS) -> DataFrame:
-    """(doc_id, grams): the sorted distinct 64-bit n-gram hashes, as bytes."""
+def _set_hash(grams: np.ndarray) -> tuple:
+    """The two halves of the 128-bit hash of an n-gram set."""
+    return mix64(grams ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64), mix64(grams + np.uint64(0x5BD1E995)).sum(dtype=np.uint64)
+
+
+def gram_sets(docs: DataFrame, *, words: int = WORDS, grams: bool = True) -> DataFrame:
+    """The first column of ``docs`` (its last is the text), set_a, set_b, n and grams: the sorted distinct 64-bit n-gram hashes, as bytes."""
+    first = docs.schema.fields[0]
 
     def run(batches):
         for part, data, offsets in text_chunks(batches):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([g.tobytes() for g in _gram_sets(data, offsets, words)], pa.binary())], names=["doc_id", "grams"])
+            sets = list(_gram_sets(data, offsets, words))
+            a, b = (pa.array(np.array(h, np.uint64).view(np.int64)) for h in zip(*map(_set_hash, sets)))
+            held = [pa.array([g.tobytes() for g in sets], pa.binary())] if grams else []
+            yield pa.RecordBatch.from_arrays([part.column(0), a, b, pa.array([len(g) for g in sets], pa.int64()), *held], names=[first.name, "set_a", "set_b", "n", "grams"][: 4 + grams])
 
-    return docs.mapInArrow(run, "doc_id long, grams binary")
+    return docs.mapInArrow(run, f"`{first.name}` {first.dataType.simpleString()}, set_a long, set_b long, n long" + ", grams binary" * grams)
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -154,10 +165,10 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _compare(threshold: float):
-    kind = pa.schema([("doc_id", pa.int64()), ("root", pa.int64()), ("links", pa.int64()), ("text_links", pa.int64())])
+    kind = pa.schema([("node", pa.int64()), ("root", pa.int64()), ("links", pa.int64()), ("text_links", pa.int64())])
 
     def result(rows: list) -> pa.RecordBatch:
-        rows.sort(key=lambda r: r[0])  # by id, so that the least index is the least id
+        rows.sort(key=lambda r: r[0])  # by node, so that the least index is the least node
         ids, sizes, blocks = (np.array([r[k] for r in rows], dtype=np.int64) for k in (0, 1, 2))
         sets = [np.frombuffer(r[3], dtype=np.uint64) for r in rows]
         if rows[0][4] == rows[0][5]:
@@ -211,6 +222,40 @@ def _place(members: DataFrame, threshold: float) -> DataFrame:
     return placed.select("doc_id", "root", "size", "n", own.alias("block"), F.expr(near).alias("others"))
 
 
+def _classes(docs: DataFrame, *, words: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The rows' signatures, and one row per n-gram set: its key, node, text_id, top (least node of its class), class_id, n_links, n_text_links."""
+    bands, rows = choose_bands(threshold, recall)
+    texts = _normal(docs, id_col, text_col)
+    sigs = cut(signatures(texts, words=words, bands=bands, rows=rows), "signatures")
+    classes = sigs.groupBy(*_KEY).agg(F.min("doc_id").alias("text_id"), F.count("*").alias("size"))
+    classes = cut(classes.withColumn("node", F.xxhash64(*_KEY)), "classes")
+    # equal sets have equal bands, so any of a class's rows can speak for it
+    same = [F.col(f"s.{k}") == F.col(f"c.{k}") for k in _KEY]
+    speak = sigs.where("n > 0").alias("s").join(classes.alias("c"), [*same, F.col("s.doc_id").eqNullSafe(F.col("c.text_id"))], "left_semi")
+    hashed = speak.select(F.xxhash64(*_KEY).alias("node"), F.explode("bands").alias("band")).distinct()
+    stars = hashed.groupBy("band").agg(F.min("node").alias("root"), F.max("node").alias("other")).where("root <> other").select("band", "root")
+    edges = hashed.join(stars, "band").where("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst"))
+    groups = components(edges)
+
+    members = cut(groups.join(classes, "node").select("node", "root", "text_id", "size", "n"), "members")
+    placed = _place(members.select(F.col("node").alias("doc_id"), "root", "size", "n"), threshold).withColumnRenamed("doc_id", "node")
+    wanted = texts.join(members.where("text_id is not null").select(F.col("text_id").alias("doc_id")).distinct(), "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))
+    # any row of a set can bring it, whatever its id
+    sets = gram_sets(wanted.select("doc_id", "text"), words=words).select(F.xxhash64(*_KEY).alias("node"), "grams").dropDuplicates(["node"]).join(placed, "node")
+    spread = sets.select("*", F.explode("others").alias("_with"))
+    pairs = spread.select("root", F.least("block", "_with").alias("low"), F.greatest("block", "_with").alias("high"), "node", "size", "block", "grams")
+    pairs = pairs.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
+    found = cut(pairs.mapInArrow(_compare(threshold), "node long, root long, links long, text_links long"), "links")
+    final = components(found.where("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst"))).withColumnRenamed("root", "top")
+    least = cut(final.join(members.select("node", "text_id"), "node").groupBy("top").agg(F.min("text_id").alias("class_id")), "least")
+    counts = found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
+    ends = counts.join(final.join(least, "top"), "node", "left")
+    named = classes.join(ends, "node", "left").select(
+        *_KEY, "node", "text_id", F.coalesce("top", "node").alias("top"), F.coalesce("class_id", "text_id").alias("class_id"), (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("text_links", F.lit(0)).cast("long").alias("n_text_links")
+    )
+    return sigs, named
+
+
 def ngram_join(docs: DataFrame, *, words: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, text_id, class_id, n_links, n_text_links.
 
@@ -225,48 +270,32 @@ def ngram_join(docs: DataFrame, *, words: int = WORDS, threshold: float = THRESH
     are null.  Repeated rows count as rows.  Extra columns are not looked at; an
     empty table gives no rows.
     """
-    bands, rows = choose_bands(threshold, recall)
-    texts = _normal(docs, id_col, text_col)
-    sigs = cut(signatures(texts, words=words, bands=bands, rows=rows), "signatures")
-    key = ["set_a", "set_b", "n"]
-    classes = sigs.groupBy(*key).agg(F.min("doc_id").alias("text_id"), F.count("*").alias("size"))
-    # equal sets have equal bands, so any of a class's rows can speak for it
-    first = sigs.where("n > 0 and doc_id is not null").select("doc_id", *key, "bands")
-    classes = cut(classes, "classes")
-    heads = classes.select(F.col("text_id").alias("doc_id"), "size", *key)
-    speak = first.join(heads.select("doc_id", *key), ["doc_id", *key], "left_semi")
-    hashed = speak.select("doc_id", F.explode("bands").alias("band")).distinct()
-    stars = hashed.groupBy("band").agg(F.min("doc_id").alias("root"), F.max("doc_id").alias("other")).where("root <> other").select("band", "root")
-    edges = hashed.join(stars, "band").where("doc_id <> root").select(F.col("doc_id").alias("src"), F.col("root").alias("dst"))
-    groups = components(edges)
-
-    members = cut(groups.withColumnRenamed("node", "doc_id").join(heads, "doc_id").select("doc_id", "root", "size", "n"), "members")
-    placed = _place(members, threshold)
-    sets = gram_sets(texts.join(members.select("doc_id"), "doc_id", "left_semi"), words=words)
-    # repeated ids with different texts: the set that the class was made of is the one compared
-    sets = sets.join(placed, "doc_id").where(F.length("grams") == F.col("n") * 8).dropDuplicates(["doc_id"])
-    spread = sets.select("*", F.explode("others").alias("_with"))
-    pairs = spread.select("root", F.least("block", "_with").alias("low"), F.greatest("block", "_with").alias("high"), "doc_id", "size", "block", "grams")
-    pairs = pairs.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
-    found = cut(pairs.mapInArrow(_compare(threshold), "doc_id long, root long, links long, text_links long"), "links")
-    final = components(found.where("doc_id <> root").select(F.col("doc_id").alias("src"), F.col("root").alias("dst")))
-    counts = found.groupBy("doc_id").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
-    ends = counts.join(final.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumnRenamed("doc_id", "text_id")
-    named = classes.join(ends, "text_id", "left").select(
-        *key, "text_id", F.coalesce("root", "text_id").alias("class_id"), (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("text_links", F.lit(0)).cast("long").alias("n_text_links")
-    )
-    return sigs.select("doc_id", *key).join(named, key).select("doc_id", "text_id", "class_id", "n_links", "n_text_links")
+    sigs, named = _classes(docs, words=words, threshold=threshold, recall=recall, id_col=id_col, text_col=text_col)
+    return sigs.select("doc_id", *_KEY).join(named, _KEY).select("doc_id", "text_id", "class_id", "n_links", "n_text_links")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` with one document of each class, the one of least id, with all columns.
 
-    Rows that repeat a kept id are thinned to one; rows of null ids stay only
-    in classes that have no other id.
+    Each class keeps one row.  A row of null id stays only in classes that have
+    no other id; where the least id stands on several texts of a class, one of
+    them stays.  Kept ids that are null or stand on several rows are told apart
+    by their texts.
     """
-    found = ngram_join(docs, **options)
-    kept = cut(found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    out = docs.join(kept.select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    if kept.where("rows > 1").limit(1).count():
-        out = out.dropDuplicates(["doc_id"])
+    own, words = F.col(options.get("id_col", "doc_id")), options.get("words", WORDS)
+    sigs, named = _classes(docs, **options)
+    heads = named.where(F.col("text_id").eqNullSafe(F.col("class_id"))).groupBy("top").agg(F.min("node").alias("node"), F.min("text_id").alias("_kept"))
+    times = sigs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    kept = cut(heads.join(times, F.col("_kept") == F.col("doc_id"), "left").select("node", "_kept", F.coalesce("rows", F.lit(0)).alias("rows")), "kept")
+    out = docs.join(kept.where("rows = 1").select("_kept"), own.cast("long") == F.col("_kept"), "left_semi")
+    many = kept.where("rows <> 1")
+    if many.limit(1).count():
+        text = F.lower(F.coalesce(F.col(options.get("text_col", "text")), F.lit("")))
+        doubtful = docs.join(many.where("_kept is not null").select("_kept").distinct(), own.cast("long") == F.col("_kept"), "left_semi").unionByName(docs.where(own.isNull()))
+        keys = gram_sets(doubtful.select(F.struct(own.cast("long").alias("id"), F.sha2(text, 256).alias("sha")).alias("at"), text.alias("text")).dropDuplicates(["at"]), words=words, grams=False)
+        keys = keys.select("at.*", F.xxhash64(*_KEY).alias("node"))
+        chosen = keys.alias("k").join(many.alias("m"), (F.col("k.node") == F.col("m.node")) & F.col("k.id").eqNullSafe(F.col("m._kept"))).groupBy("m.node", "k.id").agg(F.min("k.sha").alias("_sha"))
+        chosen = cut(chosen.select(F.col("id").alias("_id"), "_sha"), "chosen")
+        again = docs.withColumn("_text", F.sha2(text, 256)).join(chosen, own.cast("long").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_sha")), "left_semi")
+        out = out.unionByName(again.dropDuplicates([options.get("id_col", "doc_id"), "_text"]).drop("_text"))
     return out

@@ -131,6 +131,17 @@ def test_ngram_join_cuts_large_groups_by_size(spark, monkeypatch):
     assert placed[6].block in placed[5].others and all(r.block in r.others for r in placed.values())
 
 
+def test_null_and_repeated_ids_name_texts_of_their_own(spark):
+    """Unlike texts of null ids, and of one id, are classes of their own; near copies are found whatever their ids."""
+    word = lambda k, n=40: " ".join(f"{k}{i}" for i in range(n))
+    rows = [(None, word("a")), (None, word("b")), (None, word("b") + " end"), (None, word("c") + " end"), (3, word("c")), (5, word("d")), (5, word("e")), (5, word("e")), (6, word("d") + " end"), (7, word("e") + " end"), (None, ""), (8, word("f")), (8, word("f") + " end")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, node string")
+    got = sorted([(r.doc_id, r.class_id, r.n_links) for r in ngram_join.ngram_join(df).collect()], key=repr)
+    assert got == sorted(brute_join(rows), key=repr)
+    kept = sorted([(r.doc_id, r.text.removesuffix(" end")) for r in ngram_join.keep_one(df).collect()], key=repr)
+    assert kept == sorted([(None, word("a")), (None, word("b")), (None, ""), (3, word("c")), (5, word("d")), (5, word("e")), (8, word("f"))], key=repr)
+
+
 def test_bands_reach_the_recall():
     for t, recall in ((0.8, 0.9999), (0.5, 0.99), (0.9, 0.999)):
         b, r = ngram_join.choose_bands(t, recall)
