@@ -3,9 +3,11 @@
 The vocabulary comes from a public SentencePiece BPE model; merging is done
 here.  Each word starts as single characters; the agenda holds its adjacent
 pairs that form a piece, and the best-scored pair is merged first.  With
-dropout, a keyed hash of (seed, word, variant, span) decides for each candidate
-once whether it is skipped.  All words of a chunk advance in step: one merge
-per word and turn, in numpy.
+dropout, a keyed hash of (seed, row id, place of the word, span) decides for each
+candidate once whether it is skipped, so every occurrence draws for itself.
+A word's merging without dropout is remembered, with its candidates; occurrences
+that skip none of these share it, all others are merged one by one.  All words
+of a chunk advance in step: one merge per word and turn, in numpy.
 
 Pieces of this kind of model hold the space mark at their start only, so words
 (with the space marks before them) merge independently of each other.
@@ -105,18 +107,30 @@ def keyed(seed: int) -> np.uint64:
     return np.uint64(int.from_bytes(hashlib.blake2b(str(seed).encode(), digest_size=8).digest(), "big"))
 
 
+def _span_hash(start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return mix64(((start.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)) + np.uint64(1))
+
+
+def _skips(key: np.ndarray, span: np.ndarray, dropout: float) -> np.ndarray:
+    return (mix64(span ^ key) >> np.uint64(11)).astype(np.float64) < dropout * 2.0**53
+
+
 def dropped(key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray, dropout: float) -> np.ndarray:
     """Whether the candidate that joins [start, middle) and [middle, end) of the word of this key is skipped."""
-    span = (start.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)
-    return (mix64(mix64(span + np.uint64(1)) ^ key) >> np.uint64(11)).astype(np.float64) < dropout * 2.0**53
+    return _skips(key, _span_hash(start, middle, end), dropout)
+
 
+def _code(row, start, middle, end):
+    return (((row << 6 | start) << 6) | middle) << 6 | end
 
-def merge_words(vocabulary: Vocabulary, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+
+def merge_words(vocabulary: Vocabulary, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray, dropout: float, offered: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Merged symbols of all words, in rows with -1 in between, and their numbers.
 
     ``symbols`` has a row per word, padded with -1; ``keys`` a hash per word.
     Candidates are looked up once, when a merge makes them; a turn takes the
-    best of each word, the leftmost among equals.
+    best of each word, the leftmost among equals.  ``offered`` collects the codes
+    of all candidates looked up without dropout.
     """
     n, width = symbols.shape
     none = 1 << 30
@@ -140,6 +154,9 @@ def merge_words(vocabulary: Vocabulary, symbols: np.ndarray, lengths: np.ndarray
         else:
             rank[at] = np.where(ok, vocabulary.rank[made], none)
             product[at] = made
+            if offered is not None:
+                at, nxt, row = at[ok], nxt[ok], row[ok]
+                offered.append(_code(row // width, at - row, nxt - row, after[nxt]))
 
     if width > 1:
         offer(np.flatnonzero(here + 1 < size))
@@ -202,9 +219,9 @@ def merge_long(vocabulary: Vocabulary, symbols: np.ndarray, key: np.uint64, drop
 class Encoder:
     """Encodes chunks of texts; ids are those of the model, losslessly decodable."""
 
-    def __init__(self, path: str = MODEL, *, dropout: float = 0.0, seed: int = 0, variants: int = 4):
+    def __init__(self, path: str = MODEL, *, dropout: float = 0.0, seed: int = 0):
         self.vocabulary = Vocabulary(path)
-        self.dropout, self.key, self.variants = dropout, keyed(seed), max(1, variants)
+        self.dropout, self.key = dropout, keyed(seed)
         self.table = None
         self._forget()
 
@@ -222,9 +239,45 @@ class Encoder:
     def _forget(self) -> None:
         self.known, self.at, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
+        self.span, self.span_at, self.spans = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    @staticmethod
+    def _matrix(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
+        """The words' symbols in rows, padded with -1."""
+        at = starts[:, None] + np.arange(width)[None, :]
+        return np.where(np.arange(width)[None, :] < sizes[:, None], symbols[np.minimum(at, len(symbols) - 1)], -1)
+
+    def _each(self, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, keys: np.ndarray, dropout: float, chosen: np.ndarray, offered: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Merged symbols of the chosen words, where among them each word's lie (0 for the other words), and how many.
 
-    def _merged(self, words: np.ndarray, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where in ``ids`` each of the distinct words' merged symbols lie, and how many; words seen before are not merged again."""
+        ``offered`` collects (words, number of their candidates, span hashes) of words that are not long.
+        """
+        number, at, flat, total = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64), [np.zeros(0, np.int32)], 0
+        for low, high in ((0, 4), (4, 8), (8, 12), (12, 16), (16, 24), (24, LONG_WORD)):
+            band = chosen[(sizes[chosen] > low) & (sizes[chosen] <= high)]
+            for a in range(0, len(band), 4096):
+                part = band[a : a + 4096]
+                codes: list | None = None if offered is None else [np.zeros(0, np.int64)]
+                done, count = merge_words(self.vocabulary, self._matrix(symbols, starts[part], sizes[part], high), sizes[part], keys[part], dropout, codes)
+                flat.append(done[done >= 0].astype(np.int32))
+                number[part], at[part] = count, total + np.cumsum(count) - count
+                total += int(count.sum())
+                if offered is not None:
+                    every = np.sort(np.concatenate(codes))
+                    offered.append((part, np.bincount(every >> 18, minlength=len(part)), _span_hash((every >> 12) & 63, (every >> 6) & 63, every & 63)))
+        for i in chosen[sizes[chosen] > LONG_WORD]:
+            done = merge_long(self.vocabulary, symbols[starts[i] : starts[i] + sizes[i]], keys[i], dropout)
+            flat.append(done.astype(np.int32))
+            number[i], at[i] = len(done), total
+            total += len(done)
+        return np.concatenate(flat), at, number
+
+    def _merged(self, words: np.ndarray, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Seats of the distinct words, merged without dropout; words seen before are not merged again.
+
+        ``at`` and ``number`` say where in ``ids`` a seat's symbols lie, ``span_at`` and ``spans`` where in
+        ``span`` its candidates do.
+        """
         if len(self.known) > MOST_WORDS:
             self._forget()
         seat = np.searchsorted(self.known, words)
@@ -232,35 +285,37 @@ class Encoder:
         inside = seat < len(self.known)
         new[inside] = self.known[seat[inside]] != words[inside]
         fresh = np.flatnonzero(new)
-        keys = mix64(words ^ self.key)
-        number, at_new = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        flat, at = [self.ids], len(self.ids)
-        for low, high in ((0, 4), (4, 8), (8, 12), (12, 16), (16, 24), (24, LONG_WORD)):
-            chosen = fresh[(sizes[fresh] > low) & (sizes[fresh] <= high)]
-            for a in range(0, len(chosen), 4096):
-                part = chosen[a : a + 4096]
-                at_points = starts[part][:, None] + np.arange(high)[None, :]
-                inside = np.arange(high)[None, :] < sizes[part][:, None]
-                matrix = np.where(inside, symbols[np.minimum(at_points, len(symbols) - 1)], -1)
-                done, count = merge_words(self.vocabulary, matrix, sizes[part], keys[part], self.dropout)
-                flat.append(done[done >= 0].astype(np.int32))
-                number[part] = count
-                at_new[part] = at + np.cumsum(count) - count
-                at += int(count.sum())
-        for i in fresh[sizes[fresh] > LONG_WORD]:
-            done = merge_long(self.vocabulary, symbols[starts[i] : starts[i] + sizes[i]], keys[i], self.dropout)
-            flat.append(done.astype(np.int32))
-            number[i], at_new[i] = len(done), at
-            at += len(done)
         if len(fresh):
-            self.ids = np.concatenate(flat)
-            self.known = np.insert(self.known, seat[fresh], words[fresh])
-            self.at, self.number = np.insert(self.at, seat[fresh], at_new[fresh]), np.insert(self.number, seat[fresh], number[fresh])
+            offered: list | None = [] if self.dropout > 0 else None
+            # under dropout, occurrences of long words are merged one by one
+            flat, at, number = self._each(symbols, starts, sizes, np.zeros(len(words), np.uint64), 0.0, fresh if offered is None else fresh[sizes[fresh] <= LONG_WORD], offered)
+            spans, span_at, held, total = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [self.span], len(self.span)
+            for part, count, span in offered or ():
+                spans[part], span_at[part] = count, total + np.cumsum(count) - count
+                total += len(span)
+                held.append(span)
+            at += len(self.ids)
+            self.ids, self.span = np.concatenate([self.ids, flat]), np.concatenate(held)
+            where = seat[fresh]
+            self.known = np.insert(self.known, where, words[fresh])
+            self.at, self.number = np.insert(self.at, where, at[fresh]), np.insert(self.number, where, number[fresh])
+            self.span_at, self.spans = np.insert(self.span_at, where, span_at[fresh]), np.insert(self.spans, where, spans[fresh])
             seat = np.searchsorted(self.known, words)
-        return self.at[seat], self.number[seat]
+        return seat
+
+    def _skipping(self, seat: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Whether each occurrence skips a candidate of its word's merging without dropout."""
+        out = np.zeros(len(seat), bool)
+        for a in range(0, len(seat), 16_384):
+            part, key = seat[a : a + 16_384], keys[a : a + 16_384]
+            count = self.spans[part]
+            owner = np.repeat(np.arange(len(part)), count)
+            take = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count - self.span_at[part], count)
+            out[a + owner[_skips(key[owner], self.span[take], self.dropout)]] = True
+        return out
 
     def encode(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts and their borders.  ``keys`` (a hash per text) picks each word's variant under dropout."""
+        """Ids of all texts and their borders.  ``keys`` (a hash per text) and a word's place key its dropout."""
         v = self.vocabulary
         joined = "".join(" " + t for t in texts)  # the model's dummy prefix
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -276,16 +331,18 @@ class Encoder:
         symbols = self._symbols(points)
         owner = np.searchsorted(first, starts, "right") - 1
         word = span_hashes(points, starts, ends)
+        distinct, example, where = np.unique(word, return_index=True, return_inverse=True)
+        seat = self._merged(distinct, symbols, starts[example], size[example])[where]
+        at, counts, merged = self.at[seat], self.number[seat], self.ids
         if self.dropout > 0:
             inner = np.arange(len(starts)) - np.searchsorted(owner, owner)
-            variant = mix64(keys[owner].astype(np.uint64) ^ (inner.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))) % np.uint64(self.variants)
-            word = mix64(word ^ (variant + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-        distinct, example, where = np.unique(word, return_index=True, return_inverse=True)
-        at, number = self._merged(distinct, symbols, starts[example], size[example])
-        merged = self.ids
-        counts = number[where]
+            own = mix64(mix64(keys[owner].astype(np.uint64) ^ self.key) + inner.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            alone = self._skipping(seat, own) | (size > LONG_WORD)
+            flat, at_own, number = self._each(symbols, starts, size, own, self.dropout, np.flatnonzero(alone))
+            at, counts = np.where(alone, at_own + len(merged), at), np.where(alone, number, counts)
+            merged = np.concatenate([merged, flat])
         total = np.cumsum(counts)
-        take = np.arange(int(total[-1]) if len(total) else 0) - np.repeat(total - counts, counts) + np.repeat(at[where], counts)
+        take = np.arange(int(total[-1]) if len(total) else 0) - np.repeat(total - counts, counts) + np.repeat(at, counts)
         out = merged[take].astype(np.int64)
         per_text = np.bincount(owner, weights=counts, minlength=len(texts)).astype(np.int64)
         odd = np.flatnonzero(out >= v.n)
@@ -319,12 +376,11 @@ def decode(vocabulary: Vocabulary, ids: np.ndarray, borders: np.ndarray) -> list
     return out
 
 
-def encode_column(docs: DataFrame, *, keep: list, path: str = MODEL, dropout: float = 0.1, seed: int = 0, variants: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_column(docs: DataFrame, *, keep: list, path: str = MODEL, dropout: float = 0.1, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``keep`` columns and tokens (array of ids) of every whole text.
 
-    A word's segmentation depends on the seed, the word and one of ``variants``
-    variants, picked by a hash of the row's id and the word's place, so runs are
-    repeatable and a word is cut in several ways.  With dropout 0 the ids are the
+    A word's segmentation depends on the seed, the row's id, the word's place and
+    the word, so runs are repeatable and every occurrence draws for itself.  With dropout 0 the ids are the
     model's own.  A null text counts as empty; an empty text has the ids of the
     dummy prefix; characters outside the vocabulary, control-token strings and
     the space mark itself are spelled so that decoding gives them back.  Null ids
@@ -334,7 +390,7 @@ def encode_column(docs: DataFrame, *, keep: list, path: str = MODEL, dropout: fl
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-2])
 
     def run(batches):
-        encoder = Encoder(path, dropout=dropout, seed=seed, variants=variants)
+        encoder = Encoder(path, dropout=dropout, seed=seed)
         for part, _, _ in text_chunks(batches):
             keys = part.column(part.num_columns - 2).to_numpy(zero_copy_only=False).view(np.uint64)
             ids, borders = encoder.encode(part.column(part.num_columns - 1).to_pylist(), keys)

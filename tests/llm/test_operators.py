@@ -181,6 +181,25 @@ def test_dropout_varies_by_seed_and_not_by_run():
     assert run(1) == run(1) and run(1) != run(2)
 
 
+def test_every_occurrence_draws_for_itself():
+    """The occurrences' segmentations are those of single merges under their own keys, and there are many."""
+    encoder = sentencepiece_dropout.Encoder(dropout=0.1, seed=3)
+    words = ["understanding", "of", "straightforwardness", "Zürich", "understanding"]
+    keys = np.arange(2000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    ids, borders = encoder.encode([" ".join(words)] * 2000, keys)
+    v, want = encoder.vocabulary, []
+    for key in keys[:300]:
+        for place, word in enumerate(words):
+            own = arrays.mix64(arrays.mix64(np.array([key]) ^ encoder.key) + np.uint64(place) * np.uint64(0xD6E8FEB86659FD93))[0]
+            symbols = encoder._symbols(np.array([ord(c) for c in " " + word]))
+            want.extend(sentencepiece_dropout.merge_long(v, symbols, own, 0.1).tolist())
+    assert ids[: borders[300]].tolist() == want
+    one, b = encoder.encode(["of"] * 20_000, np.arange(20_000, dtype=np.uint64))
+    whole = (np.diff(b) == 1).mean()
+    ways = {tuple(ids[x:y].tolist()) for x, y in zip(borders, borders[1:])}
+    assert 0.7 < whole < 0.95 and len(ways) > 500
+
+
 def test_long_words_merge_as_short_ones():
     enc = sentencepiece_dropout.Encoder(dropout=0.2, seed=3)
     word = "abcabcabdthe" * 3
