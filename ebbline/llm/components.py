@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import cut, drop
+from .storage import cut, scratch
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,20 +38,20 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Nodes without an edge to another node do not appear.
     """
-    now = cut(edges.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct(), "edges")
-    state = _state(now)
-    for _ in range(most_rounds):
-        if state[0] == 0:
-            break
-        large = cut(_large_star(now).distinct(), "edges")
-        after = cut(_small_star(large).distinct(), "edges")
-        drop(large)
-        found = _state(after)
-        drop(now)
-        now = after
-        if found == state:
-            break
-        state = found
-    else:
-        raise RuntimeError(f"components not reached in {most_rounds} rounds")
+    spark = edges.sparkSession
+    with scratch(spark) as keep_last:
+        now = cut(edges.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct(), "edges")
+        state = _state(now)
+        for _ in range(most_rounds):
+            if state[0] == 0:
+                break
+            with scratch(spark) as keep:
+                now = keep(cut(_small_star(cut(_large_star(now).distinct(), "edges")).distinct(), "edges"))
+            found = _state(now)
+            if found == state:
+                break
+            state = found
+        else:
+            raise RuntimeError(f"components not reached in {most_rounds} rounds")
+        keep_last(now)
     return now.select(F.col("src").alias("node"), F.col("dst").alias("root")).unionByName(now.select(F.col("dst").alias("node"), F.col("dst").alias("root")).distinct())

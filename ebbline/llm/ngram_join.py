@@ -7,9 +7,11 @@ target recall at the threshold; the full n-gram sets decide.
    of its set, so that rows of null or repeated ids are told apart by their texts.
 2. Band hashes are shuffled; a band shared by two or more classes links each of
    them to the least one, a star, so a bucket of n sends n rows, not n * n pairs.
-3. The stars' connected components are the candidate groups.
-4. A group beyond one block is cut by the sizes of its n-gram sets (classes of
-   ratio 1 / threshold) and each class into blocks of bounded size; a task gets
+3. The stars' connected components are the candidate groups.  A group beyond one
+   block is banded again, by more hashes and rows a band at the same recall, so
+   that texts chained by common passages only fall apart before any comparison.
+4. A group still beyond one block is cut by the sizes of its n-gram sets (classes
+   of ratio 1 / threshold) and each class into blocks of bounded size; a task gets
    two blocks of one class or of neighbouring classes with their n-gram sets and
    compares all their pairs inside numpy.  Out come one row per text and block
    pair: its number of links and its local root.
@@ -31,11 +33,13 @@ from pyspark.sql import functions as F
 
 from .arrays import mix64, shingle_hashes, span_hashes, text_chunks, word_spans
 from .components import components
-from .storage import cut
+from .storage import cut, scratch
 
 WORDS, THRESHOLD, RECALL, MOST_HASHES = 5, 0.8, 0.9999, 256
+#: Hashes of a text in a group beyond one block, when it is banded again.
+MORE_HASHES = 1600
 #: Texts and n-grams of one block; a task holds two blocks.
-BLOCK_TEXTS, BLOCK_GRAMS = 100, 200_000
+BLOCK_TEXTS, BLOCK_GRAMS = 1000, 200_000
 _COLUMNS = 4096
 _KEY = ["set_a", "set_b", "n"]
 
@@ -66,39 +70,59 @@ def _gram_sets(data, offsets, size):
         yield np.unique(grams[borders[i] : borders[i + 1]])
 
 
+class Bands:
+    """Band hashes of n-gram sets, by a family of hash functions that follows from the seed."""
+
+    def __init__(self, bands: int, rows: int, seed: int):
+        rng = np.random.default_rng(seed)
+        k = bands * rows
+        self.shape = (bands, rows)
+        self.turn = rng.integers(1 << 32, size=(k, 1), dtype=np.uint32)
+        self.times = rng.integers(1 << 31, size=(k, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.weight = mix64(np.arange(1, rows + 1, dtype=np.uint64))
+        self.salt = mix64(np.arange(1000, 1000 + bands, dtype=np.uint64))
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        """One hash a band; none for the empty set."""
+        if not len(grams):
+            return np.zeros(0, np.int64)
+        low = (grams >> np.uint64(32)).astype(np.uint32)[None, :]
+        least = np.full((len(self.turn), 1), 0xFFFFFFFF, dtype=np.uint32)
+        for at in range(0, low.shape[1], 512):  # keeps the product in the processor's cache
+            np.minimum(least, ((low[:, at : at + 512] ^ self.turn) * self.times).min(axis=1, keepdims=True), out=least)
+        return mix64((least.reshape(self.shape).astype(np.uint64) * self.weight).sum(axis=1, dtype=np.uint64) + self.salt).view(np.int64)
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32), np.concatenate(rows))
+
+
 def signatures(docs: DataFrame, *, words: int = WORDS, bands: int, rows: int) -> DataFrame:
     """(doc_id, n, set_a, set_b, bands): size and 128-bit hash of the n-gram set, and its band hashes."""
 
     def run(batches):
-        rng = np.random.default_rng(20_240_501)
-        k = bands * rows
-        turn = rng.integers(1 << 32, size=(k, 1), dtype=np.uint32)
-        times = rng.integers(1 << 31, size=(k, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-        weight = mix64(np.arange(1, rows + 1, dtype=np.uint64))
-        salt = mix64(np.arange(1000, 1000 + bands, dtype=np.uint64))
+        family = Bands(bands, rows, 20_240_501)
         for part, data, offsets in text_chunks(batches):
-            n, a, b, sig = [], [], [], []
-            for grams in _gram_sets(data, offsets, words):
-                n.append(len(grams))
-                for half, h in zip((a, b), _set_hash(grams)):
-                    half.append(h)
-                if not len(grams):
-                    sig.append(np.zeros(0, np.int64))
-                    continue
-                low = (grams >> np.uint64(32)).astype(np.uint32)[None, :]
-                least = np.full((k, 1), 0xFFFFFFFF, dtype=np.uint32)
-                for at in range(0, low.shape[1], 512):  # keeps the product in the processor's cache
-                    np.minimum(least, ((low[:, at : at + 512] ^ turn) * times).min(axis=1, keepdims=True), out=least)
-                h = mix64((least.reshape(bands, rows).astype(np.uint64) * weight).sum(axis=1, dtype=np.uint64) + salt)
-                sig.append(h.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n, pa.int64()), pa.array(np.array(a, np.uint64).view(np.int64)), pa.array(np.array(b, np.uint64).view(np.int64)), pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(s) for s in sig])]).astype(np.int32), np.concatenate(sig))],
-                names=["doc_id", "n", "set_a", "set_b", "bands"],
-            )
+            sets = list(_gram_sets(data, offsets, words))
+            a, b = (pa.array(np.array(h, np.uint64).view(np.int64)) for h in zip(*map(_set_hash, sets)))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(g) for g in sets], pa.int64()), a, b, _lists([family.of(g) for g in sets])], names=["doc_id", "n", "set_a", "set_b", "bands"])
 
     return docs.mapInArrow(run, "doc_id long, n long, set_a long, set_b long, bands array<long>")
 
 
+def banded_again(sets: DataFrame, *, bands: int, rows: int) -> DataFrame:
+    """(node, band) for every band hash of the n-gram sets (node, grams), by other hash functions than ``signatures``."""
+
+    def run(batches):
+        family = Bands(bands, rows, 20_240_502)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists([family.of(np.frombuffer(g, np.uint64)) for g in part.column(1).to_pylist()])], names=["node", "bands"])
+
+    return sets.select("node", "grams").mapInArrow(run, "node long, bands array<long>").select("node", F.explode("bands").alias("band"))
+
+
 def _set_hash(grams: np.ndarray) -> tuple:
     """The two halves of the 128-bit hash of an n-gram set."""
     return mix64(grams ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64), mix64(grams + np.uint64(0x5BD1E995)).sum(dtype=np.uint64)
@@ -147,43 +171,40 @@ def links_of(left: list[np.ndarray], right: list[np.ndarray], threshold: float)
     return both >= threshold * union - 1e-9
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least member of the component of each of n members under the links (a, b)."""
-    root = np.arange(n)
-    while len(a):
-        low = np.minimum(root[a], root[b])
-        after = root.copy()
-        np.minimum.at(after, a, low)
-        np.minimum.at(after, b, low)
-        np.minimum.at(after, root[a], low)
-        np.minimum.at(after, root[b], low)
+def _roots(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least member reached by the rows and by the columns of ``near``, as positions: rows first, then columns."""
+    rows, columns = near.shape
+    root = np.arange(rows + columns)
+    while True:
+        across = np.where(near, root[None, rows:], rows + columns).min(axis=1, initial=rows + columns)
+        down = np.where(near, root[:rows, None], rows + columns).min(axis=0, initial=rows + columns)
+        after = np.minimum(root, np.concatenate([across, down]))
         after = after[after]
         if (after == root).all():
-            break
+            return root[:rows], root[rows:]
         root = after
-    return root
 
 
 def _compare(threshold: float):
     kind = pa.schema([("node", pa.int64()), ("root", pa.int64()), ("links", pa.int64()), ("text_links", pa.int64())])
 
     def result(rows: list) -> pa.RecordBatch:
-        rows.sort(key=lambda r: r[0])  # by node, so that the least index is the least node
+        rows.sort(key=lambda r: r[0])  # by node, so that the least position is the least node
         ids, sizes, blocks = (np.array([r[k] for r in rows], dtype=np.int64) for k in (0, 1, 2))
         sets = [np.frombuffer(r[3], dtype=np.uint64) for r in rows]
+        root, links, others = np.arange(len(rows)), np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
         if rows[0][4] == rows[0][5]:
             near = links_of(sets, sets, threshold)
+            root, _ = _roots(near)  # with the diagonal, that makes a row and its column one
             np.fill_diagonal(near, False)
-            links, others, (a, b) = near @ sizes, near.sum(axis=1), np.nonzero(near)
+            links, others = near @ sizes, near.sum(axis=1)
         else:
             one, two = np.flatnonzero(blocks == rows[0][4]), np.flatnonzero(blocks == rows[0][5])
-            links, others, a, b = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64), one[:0], one[:0]
             if len(one) and len(two):
                 near = links_of([sets[i] for i in one], [sets[i] for i in two], threshold)
                 links[one], links[two], others[one], others[two] = near @ sizes[two], near.T @ sizes[one], near.sum(axis=1), near.sum(axis=0)
-                a, b = np.nonzero(near)
-                a, b = one[a], two[b]
-        root = _roots(len(rows), a, b)
+                place = np.concatenate([one, two])
+                root[one], root[two] = (place[r] for r in _roots(near))
         return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[root]), pa.array(links.astype(np.int64)), pa.array(others.astype(np.int64))], schema=kind)
 
     def run(batches):
@@ -203,7 +224,7 @@ def _compare(threshold: float):
 
 
 def _place(members: DataFrame, threshold: float) -> DataFrame:
-    """members (doc_id, root, size, n) with ``block``, the text's own, and ``others``, the blocks it meets (its own too).
+    """members (node, root, size, n) with ``block``, the text's own, and ``others``, the blocks it meets (its own too).
 
     A group of one block stays whole.  Otherwise a block is a size class (the
     upper 32 bits) and a part of it; classes are wider than 1 / threshold by a
@@ -215,45 +236,59 @@ def _place(members: DataFrame, threshold: float) -> DataFrame:
     kinds = members.groupBy("root", "_kind").agg(F.count("*").alias("_texts"), F.sum("n").alias("_grams"))
     parts = F.greatest(F.ceil(F.col("_texts") / texts), F.ceil(F.col("_grams") / grams)).cast("long")
     cuts = kinds.groupBy("root").agg(F.map_from_entries(F.collect_list(F.struct("_kind", parts))).alias("_parts"), ((F.sum("_texts") <= texts) & (F.sum("_grams") <= grams)).alias("_one"))
-    cuts = cuts.withColumn("_parts", F.when(F.col("_one"), F.create_map(F.lit(0).cast("long"), F.lit(1).cast("long"))).otherwise(F.col("_parts")))
+    # written first, so that AQE may split the root of a giant group in the join
+    cuts = cut(cuts, "parts").withColumn("_parts", F.when(F.col("_one"), F.create_map(F.lit(0).cast("long"), F.lit(1).cast("long"))).otherwise(F.col("_parts")))
     placed = members.join(cuts, "root").withColumn("_kind", F.when(F.col("_one"), F.lit(0).cast("long")).otherwise(F.col("_kind")))
-    own = F.shiftleft("_kind", 32) + F.pmod(F.xxhash64("doc_id"), F.col("_parts")[F.col("_kind")])
+    own = F.shiftleft("_kind", 32) + F.pmod(F.xxhash64("node"), F.col("_parts")[F.col("_kind")])
     near = "flatten(transform(filter(sequence(_kind - 1, _kind + 1), k -> map_contains_key(_parts, k)), k -> transform(sequence(0L, _parts[k] - 1), b -> shiftleft(k, 32) + b)))"
-    return placed.select("doc_id", "root", "size", "n", own.alias("block"), F.expr(near).alias("others"))
+    return placed.select("node", "root", "size", "n", own.alias("block"), F.expr(near).alias("others"))
 
 
 def _classes(docs: DataFrame, *, words: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """The rows' signatures, and one row per n-gram set: its key, node, text_id, top (least node of its class), class_id, n_links, n_text_links."""
     bands, rows = choose_bands(threshold, recall)
     texts = _normal(docs, id_col, text_col)
-    sigs = cut(signatures(texts, words=words, bands=bands, rows=rows), "signatures")
-    classes = sigs.groupBy(*_KEY).agg(F.min("doc_id").alias("text_id"), F.count("*").alias("size"))
-    classes = cut(classes.withColumn("node", F.xxhash64(*_KEY)), "classes")
-    # equal sets have equal bands, so any of a class's rows can speak for it
-    same = [F.col(f"s.{k}") == F.col(f"c.{k}") for k in _KEY]
-    speak = sigs.where("n > 0").alias("s").join(classes.alias("c"), [*same, F.col("s.doc_id").eqNullSafe(F.col("c.text_id"))], "left_semi")
-    hashed = speak.select(F.xxhash64(*_KEY).alias("node"), F.explode("bands").alias("band")).distinct()
+    with scratch(docs.sparkSession) as keep:
+        sigs = keep(cut(signatures(texts, words=words, bands=bands, rows=rows), "signatures"))
+        classes = sigs.groupBy(*_KEY).agg(F.min("doc_id").alias("text_id"), F.count("*").alias("size"))
+        classes = cut(classes.withColumn("node", F.xxhash64(*_KEY)), "classes")
+        # equal sets have equal bands, so any of a class's rows can speak for it
+        same = [F.col(f"s.{k}") == F.col(f"c.{k}") for k in _KEY]
+        speak = sigs.where("n > 0").alias("s").join(classes.alias("c"), [*same, F.col("s.doc_id").eqNullSafe(F.col("c.text_id"))], "left_semi")
+        groups = components(_stars(speak.select(F.xxhash64(*_KEY).alias("node"), F.explode("bands").alias("band")).distinct()))
+        members = cut(groups.join(classes, "node").select("node", "root", "text_id", "size", "n"), "members")
+
+        # any row of a set can bring it, whatever its id
+        wanted = texts.join(members.where("text_id is not null").select(F.col("text_id").alias("doc_id")).distinct(), "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))
+        sets = gram_sets(wanted.select("doc_id", "text"), words=words).select(F.xxhash64(*_KEY).alias("node"), "grams").dropDuplicates(["node"])
+        sets = cut(sets.join(members.select("node"), "node", "left_semi"), "sets")
+        large = members.groupBy("root").agg(F.count("*").alias("_texts"), F.sum("n").alias("_grams")).where((F.col("_texts") > BLOCK_TEXTS) | (F.col("_grams") > BLOCK_GRAMS))
+        large = cut(large.select("root"), "large")
+        if large.limit(1).count():
+            far = cut(members.join(large, "root", "left_semi"), "far")
+            bands, rows = choose_bands(threshold, recall, MORE_HASHES)
+            groups = components(_stars(cut(banded_again(sets.join(far.select("node"), "node", "left_semi"), bands=bands, rows=rows), "bands")))
+            members = cut(members.join(large, "root", "left_anti").unionByName(far.drop("root").join(groups, "node").select(members.columns)), "members")
+
+        placed = _place(members.select("node", "root", "size", "n"), threshold)
+        spread = sets.join(placed, "node").select("*", F.explode("others").alias("_with"))
+        pairs = spread.select("root", F.least("block", "_with").alias("low"), F.greatest("block", "_with").alias("high"), "node", "size", "block", "grams")
+        pairs = pairs.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
+        found = cut(pairs.mapInArrow(_compare(threshold), "node long, root long, links long, text_links long"), "links")
+        final = components(found.where("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst"))).withColumnRenamed("root", "top")
+        least = cut(final.join(members.select("node", "text_id"), "node").groupBy("top").agg(F.min("text_id").alias("class_id")), "least")
+        counts = found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
+        ends = counts.join(final.join(least, "top"), "node", "left")
+        links, text_links = (F.coalesce(c, F.lit(0).cast("long")) for c in ("links", "text_links"))
+        named = classes.join(ends, "node", "left").select(*_KEY, "node", "text_id", F.coalesce("top", "node").alias("top"), F.coalesce("class_id", "text_id").alias("class_id"), (F.col("size") - 1 + links).alias("n_links"), text_links.alias("n_text_links"))
+        return sigs, keep(cut(named, "named"))
+
+
+def _stars(hashed: DataFrame) -> DataFrame:
+    """Edges (src, dst) from every node of a band hash (node, band) to the least one."""
     stars = hashed.groupBy("band").agg(F.min("node").alias("root"), F.max("node").alias("other")).where("root <> other").select("band", "root")
-    edges = hashed.join(stars, "band").where("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst"))
-    groups = components(edges)
-
-    members = cut(groups.join(classes, "node").select("node", "root", "text_id", "size", "n"), "members")
-    placed = _place(members.select(F.col("node").alias("doc_id"), "root", "size", "n"), threshold).withColumnRenamed("doc_id", "node")
-    wanted = texts.join(members.where("text_id is not null").select(F.col("text_id").alias("doc_id")).distinct(), "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))
-    # any row of a set can bring it, whatever its id
-    sets = gram_sets(wanted.select("doc_id", "text"), words=words).select(F.xxhash64(*_KEY).alias("node"), "grams").dropDuplicates(["node"]).join(placed, "node")
-    spread = sets.select("*", F.explode("others").alias("_with"))
-    pairs = spread.select("root", F.least("block", "_with").alias("low"), F.greatest("block", "_with").alias("high"), "node", "size", "block", "grams")
-    pairs = pairs.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
-    found = cut(pairs.mapInArrow(_compare(threshold), "node long, root long, links long, text_links long"), "links")
-    final = components(found.where("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst"))).withColumnRenamed("root", "top")
-    least = cut(final.join(members.select("node", "text_id"), "node").groupBy("top").agg(F.min("text_id").alias("class_id")), "least")
-    counts = found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
-    ends = counts.join(final.join(least, "top"), "node", "left")
-    named = classes.join(ends, "node", "left").select(
-        *_KEY, "node", "text_id", F.coalesce("top", "node").alias("top"), F.coalesce("class_id", "text_id").alias("class_id"), (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("text_links", F.lit(0)).cast("long").alias("n_text_links")
-    )
-    return sigs, named
+    # written first, so that AQE may split a band of very many nodes in the join
+    return hashed.join(cut(stars, "stars"), "band").where("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst"))
 
 
 def ngram_join(docs: DataFrame, *, words: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

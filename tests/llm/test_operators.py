@@ -125,8 +125,8 @@ def test_ngram_join_cuts_large_groups_by_size(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r.doc_id, r.class_id, r.n_links) for r in ngram_join.ngram_join(df).collect())
     assert got == sorted(brute_join(rows))
-    members = spark.createDataFrame([(i, 0, 1, n) for i, n in enumerate([10, 10, 10, 12, 12, 100, 120, 5000])], "doc_id long, root long, size long, n long")
-    placed = {r.doc_id: r for r in ngram_join._place(members, 0.8).collect()}
+    members = spark.createDataFrame([(i, 0, 1, n) for i, n in enumerate([10, 10, 10, 12, 12, 100, 120, 5000])], "node long, root long, size long, n long")
+    placed = {r.node: r for r in ngram_join._place(members, 0.8).collect()}
     assert placed[7].others == [placed[7].block] and not set(placed[0].others) & set(placed[5].others)
     assert placed[6].block in placed[5].others and all(r.block in r.others for r in placed.values())
 
