@@ -56,6 +56,14 @@ def chunk_ranges(offsets: np.ndarray, most: int = CHUNK_BYTES):
         at = to
 
 
+def free_name(name: str, taken) -> str:
+    """``name`` with underscores before it until no column of ``taken`` bears it (in any case of letters)."""
+    taken = {c.lower() for c in taken}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_chunks(batches, column: str = "text", most: int = CHUNK_BYTES):
     """(record batch slice, bytes, offsets) pieces of the batches."""
     for batch in batches:

@@ -12,10 +12,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import chunk_ranges, utf8
+from .arrays import chunk_ranges, free_name, utf8
+from .storage import cut
 
-#: Profile lengths, of a language and of a text; labelled rows that training reads at most (about).
-LANGUAGE_RANKS, TEXT_RANKS, TRAIN_ROWS = 1000, 300, 6000
+#: Profile lengths, of a language and of a text; labelled rows of each language that training reads at most (about).
+LANGUAGE_RANKS, TEXT_RANKS, TRAIN_ROWS = 1000, 300, 2000
 MAX_N, BITS = 4, 15
 #: Letters beyond the most frequent ones in training share one code.
 ALPHABET = (1 << BITS) - 3
@@ -106,7 +107,6 @@ class Profiles:
         at = np.minimum(np.searchsorted(self.keys, profile), len(self.keys) - 1)
         known = self.keys[at] == profile
         ranks = np.where(known[:, None], self.ranks[at], -1)
-        # a text's few n-grams are spread over the profile's ranks as a longer text's would be
         mine = np.arange(len(profile))[:, None]
         apart = np.where(ranks >= 0, np.minimum(np.abs(ranks - mine), LANGUAGE_RANKS), LANGUAGE_RANKS).sum(axis=0)
         order = np.argsort(apart, kind="stable")
@@ -118,17 +118,23 @@ class Profiles:
 def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", rows: int = TRAIN_ROWS, key: Column | None = None) -> Profiles:
     """Profiles of every language in ``docs``.
 
-    About ``rows`` rows are read, those with the least hash of ``key``: a
-    documented bound, not a cut of any text.  Rows with null text or language
-    are left out.  Letters and n-grams are counted in the tasks and summed by
-    Spark; the driver receives the top ranks only.
+    About ``rows`` rows of each language are read, those with the least hash of
+    ``key`` (the id's if None): a documented bound, not a cut of any text, and a
+    rare language is read whole.  Equal texts of a language count once.  Rows
+    with null text or language are left out.  Letters and n-grams are counted in
+    the tasks and summed by Spark; the driver receives a count and the top ranks
+    of each language only.
     """
     key = key if key is not None else F.col("doc_id")
     marked = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    n = marked.select(lang_col).count()
     buckets = 1 << 20
-    sample = marked.where(F.pmod(F.xxhash64(key), F.lit(buckets)) < int(buckets * min(1.0, rows / max(1, n))) + (rows >= n))
+    sizes = {r[0]: r["n"] for r in marked.groupBy(lang_col).agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return Profiles([], {})
+    share = F.create_map(*[F.lit(v) for lang, n in sorted(sizes.items()) for v in (lang, buckets if n <= rows else max(1, buckets * rows // n))])
+    sample = marked.where(F.pmod(F.xxhash64(key), F.lit(buckets)) < share[F.col(lang_col)])
     sample = sample.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    sample = cut(sample.groupBy("lang", F.xxhash64("text").alias("_same")).agg(F.min("text").alias("text")).select("text", "lang"), "language-sample")
 
     def letters(batches):
         for batch in batches:
@@ -171,13 +177,14 @@ def identify(docs: DataFrame, profiles: Profiles, *, text_col: str = "text", kee
     Repeated rows give equal results; an empty table gives none.
     """
     model = profiles  # shipped by value with the function: at most LANGUAGE_RANKS entries a language
-    narrow = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    text_name = free_name("_text", docs.select(*keep).columns)
+    narrow = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias(text_name))
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
 
     def run(batches):
         alphabet = _alphabet(model.letters)
         for batch in batches:
-            for a, b, texts in _pieces(batch, "_text"):
+            for a, b, texts in _pieces(batch, text_name):
                 points, borders = code_points(texts)
                 codes = _codes(points, alphabet)
                 every = [grams(codes, n) for n in range(1, MAX_N + 1)]

@@ -61,16 +61,19 @@ def _figures(totals: DataFrame, exponents: list[float], budget: float | None) ->
 
 
 def find_exponent(totals: DataFrame, *, budget: float | None, entropy: float | None = None, repetition: float | None = None) -> float:
-    """Exponent in [0, 1] that meets the target, by bisection with 16 probes a pass.
+    """Exponent that meets the target, by bisection with 16 probes a pass.
 
-    The entropy falls and, under a fixed budget, the largest repetition falls
-    as the exponent grows to 1.  ``entropy`` (bits): the exponent at which it is
-    reached; the nearest end if it lies outside.  ``repetition``: the least
+    The entropy falls as the exponent grows and, under a fixed budget, the largest
+    repetition falls as it grows to 1.  ``entropy`` (bits): the exponent at which
+    it is reached, above 1 (64 at most) where the sources' own shares have more; the
+    nearest end if none reaches it.  ``repetition``: the least
     exponent whose weights repeat no source more often; 1 if none does.
     """
     if (entropy is None) == (repetition is None):
         raise ValueError("give either entropy or repetition")
     lo, hi, parts = 0.0, 1.0, 16
+    while entropy is not None and hi < 64 and _figures(totals, [hi], budget)[0][0] > entropy:
+        hi *= 2
     for _ in range(math.ceil(STEPS / math.log2(parts))):
         probes = [lo + (hi - lo) * k / parts for k in range(parts + 1)]
         found = _figures(totals, probes, budget)

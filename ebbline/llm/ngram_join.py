@@ -7,15 +7,15 @@ target recall at the threshold; the full n-gram sets decide.
    of its set, so that rows of null or repeated ids are told apart by their texts.
 2. Band hashes are shuffled; a band shared by two or more classes links each of
    them to the least one, a star, so a bucket of n sends n rows, not n * n pairs.
-3. The stars' connected components are the candidate groups.  A group beyond one
-   block is banded again, by more hashes and rows a band at the same recall, so
+3. The stars' connected components are the candidate groups.  A group of many
+   blocks is banded again, by more hashes and rows a band at the same recall, so
    that texts chained by common passages only fall apart before any comparison.
-4. A group still beyond one block is cut by the sizes of its n-gram sets (classes
+4. A group beyond one block is cut by the sizes of its n-gram sets (classes
    of ratio 1 / threshold) and each class into blocks of bounded size; a task gets
    two blocks of one class or of neighbouring classes with their n-gram sets and
    compares all their pairs inside numpy.  Out come one row per text and block
    pair: its number of links and its local root.
-5. The local roots are joined up to the final classes.
+5. The local roots are joined up to the final classes where blocks met others.
 
 Sets whose sizes differ by more than the threshold's ratio cannot be linked, so
 every possible link within a candidate group is looked at: the banding decides
@@ -31,15 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import mix64, shingle_hashes, span_hashes, text_chunks, word_spans
+from .arrays import free_name, mix64, shingle_hashes, span_hashes, text_chunks, word_spans
 from .components import components
 from .storage import cut, scratch
 
 WORDS, THRESHOLD, RECALL, MOST_HASHES = 5, 0.8, 0.9999, 256
-#: Hashes of a text in a group beyond one block, when it is banded again.
-MORE_HASHES = 1600
 #: Texts and n-grams of one block; a task holds two blocks.
 BLOCK_TEXTS, BLOCK_GRAMS = 1000, 200_000
+#: Blocks of the largest group that is compared as it is, and hashes of a text when a larger one is banded again.
+GROUP_BLOCKS, MORE_HASHES = 16, 1600
 _COLUMNS = 4096
 _KEY = ["set_a", "set_b", "n"]
 
@@ -186,32 +186,33 @@ def _roots(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _compare(threshold: float):
-    kind = pa.schema([("node", pa.int64()), ("root", pa.int64()), ("links", pa.int64()), ("text_links", pa.int64())])
+    kind = pa.schema([("node", pa.int64()), ("root", pa.int64()), ("links", pa.int64()), ("text_links", pa.int64()), ("whole", pa.bool_())])
 
     def result(rows: list) -> pa.RecordBatch:
         rows.sort(key=lambda r: r[0])  # by node, so that the least position is the least node
         ids, sizes, blocks = (np.array([r[k] for r in rows], dtype=np.int64) for k in (0, 1, 2))
-        sets = [np.frombuffer(r[3], dtype=np.uint64) for r in rows]
+        sets, whole = [np.frombuffer(r[3], dtype=np.uint64) for r in rows], [r[4] for r in rows]
+        low, high = rows[0][5:]
         root, links, others = np.arange(len(rows)), np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-        if rows[0][4] == rows[0][5]:
+        if low == high:
             near = links_of(sets, sets, threshold)
             root, _ = _roots(near)  # with the diagonal, that makes a row and its column one
             np.fill_diagonal(near, False)
             links, others = near @ sizes, near.sum(axis=1)
         else:
-            one, two = np.flatnonzero(blocks == rows[0][4]), np.flatnonzero(blocks == rows[0][5])
+            one, two = np.flatnonzero(blocks == low), np.flatnonzero(blocks == high)
             if len(one) and len(two):
                 near = links_of([sets[i] for i in one], [sets[i] for i in two], threshold)
                 links[one], links[two], others[one], others[two] = near @ sizes[two], near.T @ sizes[one], near.sum(axis=1), near.sum(axis=0)
                 place = np.concatenate([one, two])
                 root[one], root[two] = (place[r] for r in _roots(near))
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[root]), pa.array(links.astype(np.int64)), pa.array(others.astype(np.int64))], schema=kind)
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[root]), pa.array(links.astype(np.int64)), pa.array(others.astype(np.int64)), pa.array(whole)], schema=kind)
 
     def run(batches):
         held, now = [], None
         for batch in batches:
-            group, low, high, ids, sizes, blocks, sets = batch.columns
-            for key, *row in zip(zip(group.to_pylist(), low.to_pylist(), high.to_pylist()), ids.to_pylist(), sizes.to_pylist(), blocks.to_pylist(), sets.to_pylist()):
+            columns = [c.to_pylist() for c in batch.columns]
+            for key, *row in zip(zip(*columns[:3]), *columns[3:]):
                 if key != now and held:
                     yield result(held)
                     held = []
@@ -250,19 +251,17 @@ def _classes(docs: DataFrame, *, words: int = WORDS, threshold: float = THRESHOL
     texts = _normal(docs, id_col, text_col)
     with scratch(docs.sparkSession) as keep:
         sigs = keep(cut(signatures(texts, words=words, bands=bands, rows=rows), "signatures"))
-        classes = sigs.groupBy(*_KEY).agg(F.min("doc_id").alias("text_id"), F.count("*").alias("size"))
-        classes = cut(classes.withColumn("node", F.xxhash64(*_KEY)), "classes")
         # equal sets have equal bands, so any of a class's rows can speak for it
-        same = [F.col(f"s.{k}") == F.col(f"c.{k}") for k in _KEY]
-        speak = sigs.where("n > 0").alias("s").join(classes.alias("c"), [*same, F.col("s.doc_id").eqNullSafe(F.col("c.text_id"))], "left_semi")
-        groups = components(_stars(speak.select(F.xxhash64(*_KEY).alias("node"), F.explode("bands").alias("band")).distinct()))
+        classes = sigs.groupBy(*_KEY).agg(F.min("doc_id").alias("text_id"), F.count("*").alias("size"), F.first("bands").alias("bands"))
+        classes = cut(classes.withColumn("node", F.xxhash64(*_KEY)), "classes")
+        groups = components(_stars(classes.select("node", F.explode("bands").alias("band"))))
         members = cut(groups.join(classes, "node").select("node", "root", "text_id", "size", "n"), "members")
 
         # any row of a set can bring it, whatever its id
         wanted = texts.join(members.where("text_id is not null").select(F.col("text_id").alias("doc_id")).distinct(), "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))
         sets = gram_sets(wanted.select("doc_id", "text"), words=words).select(F.xxhash64(*_KEY).alias("node"), "grams").dropDuplicates(["node"])
-        sets = cut(sets.join(members.select("node"), "node", "left_semi"), "sets")
-        large = members.groupBy("root").agg(F.count("*").alias("_texts"), F.sum("n").alias("_grams")).where((F.col("_texts") > BLOCK_TEXTS) | (F.col("_grams") > BLOCK_GRAMS))
+        sets = cut(sets, "sets")
+        large = members.groupBy("root").agg(F.count("*").alias("_texts"), F.sum("n").alias("_grams")).where((F.col("_texts") > GROUP_BLOCKS * BLOCK_TEXTS) | (F.col("_grams") > GROUP_BLOCKS * BLOCK_GRAMS))
         large = cut(large.select("root"), "large")
         if large.limit(1).count():
             far = cut(members.join(large, "root", "left_semi"), "far")
@@ -272,10 +271,11 @@ def _classes(docs: DataFrame, *, words: int = WORDS, threshold: float = THRESHOL
 
         placed = _place(members.select("node", "root", "size", "n"), threshold)
         spread = sets.join(placed, "node").select("*", F.explode("others").alias("_with"))
-        pairs = spread.select("root", F.least("block", "_with").alias("low"), F.greatest("block", "_with").alias("high"), "node", "size", "block", "grams")
+        pairs = spread.select("root", F.least("block", "_with").alias("low"), F.greatest("block", "_with").alias("high"), "node", "size", "block", "grams", (F.size("others") == 1).alias("whole"))
         pairs = pairs.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
-        found = cut(pairs.mapInArrow(_compare(threshold), "node long, root long, links long, text_links long"), "links")
-        final = components(found.where("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst"))).withColumnRenamed("root", "top")
+        found = cut(pairs.mapInArrow(_compare(threshold), "node long, root long, links long, text_links long, whole boolean"), "links")
+        apart = components(found.where("not whole and node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst")))
+        final = found.where("whole").select("node", F.col("root").alias("top")).unionByName(apart.withColumnRenamed("root", "top"))
         least = cut(final.join(members.select("node", "text_id"), "node").groupBy("top").agg(F.min("text_id").alias("class_id")), "least")
         counts = found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
         ends = counts.join(final.join(least, "top"), "node", "left")
@@ -322,15 +322,17 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     heads = named.where(F.col("text_id").eqNullSafe(F.col("class_id"))).groupBy("top").agg(F.min("node").alias("node"), F.min("text_id").alias("_kept"))
     times = sigs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"))
     kept = cut(heads.join(times, F.col("_kept") == F.col("doc_id"), "left").select("node", "_kept", F.coalesce("rows", F.lit(0)).alias("rows")), "kept")
-    out = docs.join(kept.where("rows = 1").select("_kept"), own.cast("long") == F.col("_kept"), "left_semi")
+    kept_id, kept_key, key = (free_name(c, docs.columns) for c in ("_kept_id", "_kept_key", "_key"))
+    out = docs.join(kept.where("rows = 1").select(F.col("_kept").alias(kept_id)), own.cast("long") == F.col(kept_id), "left_semi")
     many = kept.where("rows <> 1")
     if many.limit(1).count():
         text = F.lower(F.coalesce(F.col(options.get("text_col", "text")), F.lit("")))
-        doubtful = docs.join(many.where("_kept is not null").select("_kept").distinct(), own.cast("long") == F.col("_kept"), "left_semi").unionByName(docs.where(own.isNull()))
-        keys = gram_sets(doubtful.select(F.struct(own.cast("long").alias("id"), F.sha2(text, 256).alias("sha")).alias("at"), text.alias("text")).dropDuplicates(["at"]), words=words, grams=False)
+        doubtful = docs.select(own.cast("long").alias("id"), text.alias("text"))
+        doubtful = doubtful.join(many.where("_kept is not null").select(F.col("_kept").alias("id")).distinct(), "id", "left_semi").unionByName(doubtful.where("id is null"))
+        keys = gram_sets(doubtful.select(F.struct("id", F.sha2("text", 256).alias("sha")).alias("at"), "text").dropDuplicates(["at"]), words=words, grams=False)
         keys = keys.select("at.*", F.xxhash64(*_KEY).alias("node"))
-        chosen = keys.alias("k").join(many.alias("m"), (F.col("k.node") == F.col("m.node")) & F.col("k.id").eqNullSafe(F.col("m._kept"))).groupBy("m.node", "k.id").agg(F.min("k.sha").alias("_sha"))
-        chosen = cut(chosen.select(F.col("id").alias("_id"), "_sha"), "chosen")
-        again = docs.withColumn("_text", F.sha2(text, 256)).join(chosen, own.cast("long").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_sha")), "left_semi")
-        out = out.unionByName(again.dropDuplicates([options.get("id_col", "doc_id"), "_text"]).drop("_text"))
+        chosen = keys.alias("k").join(many.alias("m"), (F.col("k.node") == F.col("m.node")) & F.col("k.id").eqNullSafe(F.col("m._kept"))).groupBy("m.node", "k.id").agg(F.min("k.sha").alias("sha"))
+        chosen = cut(chosen.select(F.col("id").alias(kept_id), F.col("sha").alias(kept_key)), "chosen")
+        again = docs.withColumn(key, F.sha2(text, 256)).join(chosen, own.cast("long").eqNullSafe(F.col(kept_id)) & (F.col(key) == F.col(kept_key)), "left_semi")
+        out = out.unionByName(again.dropDuplicates([options.get("id_col", "doc_id"), key]).drop(key))
     return out

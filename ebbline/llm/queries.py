@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup, language_id, media_jpeg, mixing, ngram_join, sentencepiece_dropout, sharding, toxicity, url_filter, warc_audit
-from .storage import cut
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,17 +49,9 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = warc_audit.to_records(_table(spark, sf_dir, "pages"))
-    manifest = cut(warc_audit.manifest_of(records), "manifest")
-    place = manifest.select("record_id", "file", "seq", "digest")
-
-    def replica(rows):  # contents at the manifest's ranges
-        original = rows.withColumn("digest", F.sha2("record", 256)).dropDuplicates(["record_id", "file", "digest"])
-        same = F.col("r.record_id").eqNullSafe(F.col("p.record_id")) & (F.col("r.file") == F.col("p.file")) & (F.col("r.digest") == F.col("p.digest"))
-        return original.alias("r").join(place.alias("p"), same).select("p.file", "p.seq", "r.record_id", "r.record")
-
-    one = replica(records)
-    return warc_audit.audit(manifest, one, warc_audit.damaged(one))
+    pages = _table(spark, sf_dir, "pages")
+    records = warc_audit.to_records(pages).withColumn("copy", warc_audit.damaged("record_id", "record"))
+    return warc_audit.audit(warc_audit.manifest_of(records, replicas={"one": "record", "two": "copy"}, count=pages.count()))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import mix64, span_hashes, text_chunks
+from .arrays import free_name, mix64, span_hashes, text_chunks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -386,12 +386,14 @@ def encode_column(docs: DataFrame, *, keep: list, path: str = MODEL, dropout: fl
     the space mark itself are spelled so that decoding gives them back.  Null ids
     count as one id.  Repeated rows are encoded alike; no rows give no rows.
     """
-    narrow = docs.select(*keep, F.xxhash64(F.lit(seed), F.col(id_col)).alias("_key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    kept = docs.select(*keep).columns
+    key_name, text_name = free_name("_key", kept), free_name("_text", kept)
+    narrow = docs.select(*keep, F.xxhash64(F.lit(seed), F.col(id_col)).alias(key_name), F.coalesce(F.col(text_col), F.lit("")).alias(text_name))
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-2])
 
     def run(batches):
         encoder = Encoder(path, dropout=dropout, seed=seed)
-        for part, _, _ in text_chunks(batches):
+        for part, _, _ in text_chunks(batches, text_name):
             keys = part.column(part.num_columns - 2).to_numpy(zero_copy_only=False).view(np.uint64)
             ids, borders = encoder.encode(part.column(part.num_columns - 1).to_pylist(), keys)
             yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.ListArray.from_arrays(borders.astype(np.int32), pa.array(ids))], names=[*part.schema.names[:-2], "tokens"])

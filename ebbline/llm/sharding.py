@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +64,6 @@ def shard_rows(df: DataFrame, key: str, shards: list[str], *, slots: int = SLOTS
     """
     spark: SparkSession = df.sparkSession
     owners = lookup_table(shards, slots)
-    table = spark.createDataFrame([(int(i), shards[k]) for i, k in enumerate(owners)], "slot int, shard string")
+    table = spark.createDataFrame(pa.table({"slot": pa.array(np.arange(slots, dtype=np.int32)), "shard": pa.array(np.array(shards, dtype=object)[owners], pa.string())}))
     rest = [F.col(c) for c in df.columns if c not in ("slot", "shard")]
     return df.select(*rest, slot_of(F.col(key), slots).alias("slot")).join(F.broadcast(table), "slot").select(*rest, "slot", "shard")

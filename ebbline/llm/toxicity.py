@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import chunk_ranges, span_hashes, utf8
+from .arrays import chunk_ranges, free_name, span_hashes, utf8
 from .storage import cut
 
 # Seed lexicon, reporting words and words that address a person.
@@ -28,8 +28,10 @@ SEED = ("clown", "disgusting", "idiot", "imbecile", "loser", "moron", "pathetic"
 REPORTING = ("called", "quote", "quoted", "quoting", "said", "says", "wrote", "writes", "sagte", "schrieb", "disait", "dijo")
 ADDRESS = ("you", "your", "yours", "u", "ur", "dich", "dein", "toi", "ton", "tu", "usted", "vous")
 
-#: Labelled rows that training reads at most (about), of either class, and lexicon entries at most.
-TOXIC_ROWS, CLEAN_ROWS, MOST_TERMS = 4000, 8000, 120
+#: Labelled rows that training reads at most (about), of either class.
+TOXIC_ROWS, CLEAN_ROWS = 4000, 8000
+#: Share of the sample's toxic texts that a lexicon entry must be found in, and how many entries may explain a text.
+LEAST_SHARE, ENOUGH = 0.004, 4
 STEM_LETTERS = (4, 8)
 WINDOW, NEAR = 30, 6
 FEATURES = 4
@@ -74,7 +76,7 @@ class Automaton:
 def build(terms: list[Term]) -> Automaton:
     """Intersect the terms' trie with Levenshtein automata, by subset construction.
 
-    A state is a set of (node, errors), of which the dominated are dropped; a
+    A state is a set of (node, errors), with the least errors of each node; a
     stem's end is kept as a node of its own that stays whatever follows.
     """
     children: list[dict[str, int]] = [{}]
@@ -308,12 +310,17 @@ def _sample(docs: DataFrame, labels: DataFrame, text_col: str) -> tuple[DataFram
 
 
 def learn_terms(sample: DataFrame, counts: dict) -> list[Term]:
-    """Seed terms, and words and stems that stand out in the toxic texts of the sample."""
+    """Seed terms, and words and stems that stand out in the toxic texts of the sample.
+
+    An entry must help at least LEAST_SHARE of the toxic texts (three at least),
+    of those that fewer than ENOUGH entries explain, so there are ENOUGH / LEAST_SHARE
+    learned entries at most.  Counts are of the bounded sample, all of its forms.
+    """
     n_toxic, n_clean = counts.get(1, 0), counts.get(0, 0)
     terms = {t: Term(t) for t in SEED}
     if not n_toxic or not n_clean:
         return list(terms.values())
-    least = max(3, int(0.004 * n_toxic))
+    least = max(3, int(LEAST_SHARE * n_toxic))
 
     def forms(batches):
         for _, texts in _pieces(batches, "text"):
@@ -324,7 +331,7 @@ def learn_terms(sample: DataFrame, counts: dict) -> list[Term]:
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["form", "n"])
 
     toxic = sample.where("toxic = 1").mapInArrow(forms, "form string, n long").groupBy("form").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    often = {r["form"]: r["n"] for r in toxic.orderBy(F.desc("n"), "form").limit(50_000).collect()}
+    often = {r["form"]: r["n"] for r in toxic.collect()}
     wanted = sample.sparkSession.sparkContext.broadcast(set(often))
 
     def clean_forms(batches):
@@ -361,9 +368,9 @@ def learn_terms(sample: DataFrame, counts: dict) -> list[Term]:
     chosen: list[str] = []
     for f in order:
         bare = f.rstrip("$")
-        if len(chosen) >= MOST_TERMS or any(bare.startswith(c) or (not f.endswith("$") and c.startswith(bare)) for c in (x.rstrip("$") for x in chosen)):
+        if any(bare.startswith(c) or (not f.endswith("$") and c.startswith(bare)) for c in (x.rstrip("$") for x in chosen)):
             continue
-        fresh = [i for i in holders[f] if covered[i] < 4]
+        fresh = [i for i in holders[f] if covered[i] < ENOUGH]
         if len(fresh) < least:
             continue
         for i in holders[f]:
@@ -404,7 +411,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int =
 
 
 def train(docs: DataFrame, labels: DataFrame, *, text_col: str = "text") -> Model:
-    """Lexicon, weights and regression from a bounded sample of labelled rows.
+    """Lexicon, weights and regression from a sample of labelled rows, about TOXIC_ROWS and CLEAN_ROWS at most.
 
     Rows without a label or text are left out, equal texts count once.  Without
     both classes, the seed lexicon and the default coefficients stand.
@@ -457,29 +464,32 @@ def train(docs: DataFrame, labels: DataFrame, *, text_col: str = "text") -> Mode
     return model
 
 
-def score_texts(docs: DataFrame, model: Model, *, keep: list[Column] | None = None, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """``keep`` columns (None: all), score, predicted, hits for every row of ``docs``; whole texts.
+OUTPUT = ("score", "predicted", "hits")
+
 
-    Columns of ``docs`` that bear these names are replaced.
+def score_texts(docs: DataFrame, model: Model, *, keep: list[Column] | None = None, text_col: str = "text", threshold: float = 0.7, names: tuple[str, str, str] = OUTPUT) -> DataFrame:
+    """``keep`` columns (None: all), then score, predicted, hits (or ``names``) for every row of ``docs``; whole texts.
 
-    Null and empty texts, and texts without a hit, have the score of no
-    evidence.  Repeated rows score alike; an empty table gives no rows.
+    Kept columns are never replaced: where one bears such a name already, the
+    output has underscores before its own.  Null and empty texts, and texts
+    without a hit, have the score of no evidence.  Repeated rows score alike, and
+    equal scores are equal whatever the order; an empty table gives no rows.
     """
-    # the model is shipped by value with the function: at most MOST_TERMS terms and their automaton
-    if keep is None:
-        keep = [F.col(c) for c in docs.columns if c not in ("score", "predicted", "hits", text_col)]
-        narrow, drop = docs.select(*keep, text_col), 0
-    else:
-        narrow, drop = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text")), 1
-    text_name = narrow.columns[-1]
-    kind = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in narrow.schema.fields[: len(narrow.columns) - drop])
+    # the model is shipped by value with the function: its terms (bounded by learn_terms) and their automaton
+    kept = docs.select(*([F.col(f"`{c}`") for c in docs.columns] if keep is None else keep))
+    text_name = free_name("_text", kept.columns)
+    text = F.coalesce(F.col(text_col), F.lit("")).alias(text_name)
+    narrow = docs.select("*", text) if keep is None else docs.select(*keep, text)
+    named: list[str] = []
+    for name in names:
+        named.append(free_name(name, [*kept.columns, *named]))
+    kind = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema.fields)
 
     def run(batches):
         matcher = Matcher(model)
         for part, texts in _pieces(batches, text_name):
             x, hits = matcher.features(Tokens(texts))
             score = model.score(x)
-            part = part.select(part.schema.names[: part.num_columns - drop])
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(hits.astype(np.int32))], names=[*part.schema.names, "score", "predicted", "hits"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(hits.astype(np.int32))], names=[*part.schema.names[:-1], *named])
 
-    return narrow.mapInArrow(run, f"{kind}score double, predicted int, hits int")
+    return narrow.mapInArrow(run, f"{kind}`{named[0]}` double, `{named[1]}` int, `{named[2]}` int")

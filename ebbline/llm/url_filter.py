@@ -2,16 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Vocabulary of unwanted URLs.  One strict term rejects; soft terms add up.
-STRICT_TERMS = ("casino", "porn", "spam", "viagra", "xxx", "adult-x", "pills")
-SOFT_TERMS = ("ads", "adult", "bet", "bets", "cheap", "farm", "free", "gambling", "loan", "lottery", "promo", "track", "win")
+
+@dataclass(frozen=True)
+class Term:
+    """A term of unwanted URLs: a strict one rejects alone, soft ones by the sum of their weights."""
+
+    text: str
+    strict: bool = False
+    weight: float = 1.0
+
+
+# The default vocabulary; a caller may give another table of (term, strict, weight).
+STRICT_TERMS = (
+    "adult-x blackjack camgirl camgirls camsex casino casinos cialis clickbait cracked-apps escort escorts fakeid fake-id freeporn hentai hookup hookups keygen keygens levitra malware milf nudes onlinecasino "
+    "payday-loan payday-loans phish phishing pills porn porno porntube pornhub replica-watches roulette serialz sex-cam sexcam sexchat slots-online spam spamfarm sportsbook stresser tramadol viagra warez webcamsex xanax xxx xxxvideo"
+).split()
+HEAVY_TERMS = "adult bet bets betting bingo crack dating earn-money erotic forex gambling get-rich jackpot loan loans lottery lotto nude poker serial sexy slots torrent torrents".split()
+LIGHT_TERMS = (
+    "ad ads affiliate bargain bonus bulk buy-now cheap click clicks coupon coupons crypto deal deals diet discount doubleclick download-now farm free giveaway hot instant limited-offer miracle offer offers popup prize prizes promo promotion "
+    "redirect refid referral replica reward rewards sale seo sponsored subscribe-now track tracker tracking traffic unsubscribe weight-loss win winner"
+).split()
+TERMS = tuple([Term(t, True) for t in STRICT_TERMS] + [Term(t, False, 1.5) for t in HEAVY_TERMS] + [Term(t) for t in LIGHT_TERMS])
+#: Soft terms reject at this sum of weights and at least two of them.
+SOFT_WEIGHT = 2.0
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 @dataclass(frozen=True)
@@ -29,25 +50,27 @@ class Rule:
 RULES = (Rule("net", "/", "block"), Rule("example.net", "/en/", "allow"), Rule("example.com", "/de/", "block"), Rule("org", "/fr/", "allow"))
 
 
-def vocabulary(strict=STRICT_TERMS, soft=SOFT_TERMS) -> ahocorasick.Automaton:
-    """One automaton over both kinds of terms; a term in both is strict."""
+def vocabulary(terms=TERMS):
+    """One automaton over all terms; a text listed twice is strict if any of its entries is, else has the larger weight."""
+    import ahocorasick
+
     out = ahocorasick.Automaton()
-    for term in soft:
-        out.add_word(term, (term, False))
-    for term in strict:
-        out.add_word(term, (term, True))
+    for term in sorted(terms, key=lambda t: (t.strict, t.weight)):
+        out.add_word(term.text, term)
     out.make_automaton()
     return out
 
 
-def count_terms(url: str, automaton) -> tuple[int, int]:
-    """Distinct strict and distinct soft terms that stand in ``url`` (lower case) between characters that are not letters or digits."""
-    strict, soft = set(), set()
-    for end, (term, hard) in automaton.iter(url):
-        start = end - len(term) + 1
-        if (start == 0 or not _word(url[start - 1])) and (end + 1 == len(url) or not _word(url[end + 1])):
-            (strict if hard else soft).add(term)
-    return len(strict), len(soft)
+def count_terms(url: str, automaton) -> tuple[int, int, float]:
+    """Distinct strict terms, distinct soft terms and the soft ones' weight, of those that stand in ``url`` between characters that are not letters or digits."""
+    found = set()
+    if len(automaton):
+        for end, term in automaton.iter(url):
+            start = end - len(term.text) + 1
+            if (start == 0 or not _word(url[start - 1])) and (end + 1 == len(url) or not _word(url[end + 1])):
+                found.add(term)
+    soft = [t.weight for t in found if not t.strict]
+    return len(found) - len(soft), len(soft), float(sum(soft))
 
 
 def _word(c: str) -> bool:
@@ -58,26 +81,28 @@ def split_url(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path; both empty without ``://`` or for null."""
     at = F.instr(url, "://")
     rest = F.when(at > 0, F.expr("substring(_url, instr(_url, '://') + 3)")).otherwise(F.lit(""))
-    host = F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    host = F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), UPPER, LOWER)
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def filter_urls(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", rules=RULES, strict=STRICT_TERMS, soft=SOFT_TERMS, soft_limit: int = 2) -> DataFrame:
-    """One row per page: page_id, host, path, rule, verdict, strict_hits, soft_hits.
+def filter_urls(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", rules=RULES, terms=TERMS, soft_weight: float = SOFT_WEIGHT) -> DataFrame:
+    """One row per page: page_id, host, path, rule, verdict, strict_hits, soft_hits, soft_weight.
 
     The longest fitting rule (host plus path; the first listed among equals)
-    gives the verdict; without one, a URL is blocked on one strict term or on
-    ``soft_limit`` distinct soft terms, else allowed.  Terms are counted in the
-    whole URL.  A null URL has empty host and path, no hits and is allowed;
-    repeated rows give repeated results; an empty table gives none.
+    gives the verdict; without one, a URL is blocked on one strict term, or on
+    two or more distinct soft terms whose weights sum to ``soft_weight``, else
+    allowed.  Terms are lower case and counted once each, in the whole URL with
+    A-Z lower-cased.  A null URL, or an empty one, has empty host and path, no
+    hits and is allowed; null ids stay null; repeated rows give repeated
+    results; an empty table gives none; further columns are not looked at.
     """
-    strict, soft = tuple(strict), tuple(soft)
+    terms = tuple(terms)
 
-    @F.pandas_udf("strict int, soft int")
-    def hits(urls: pd.Series) -> pd.DataFrame:
-        automaton = vocabulary(strict, soft)
-        low = urls.fillna("").str.lower()
-        return pd.DataFrame([count_terms(u, automaton) for u in low], columns=["strict", "soft"]).astype("int32")
+    @F.pandas_udf("strict int, soft int, weight double")
+    def hits(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        automaton, low = vocabulary(terms), str.maketrans(UPPER, LOWER)
+        for urls in batches:
+            yield pd.DataFrame([count_terms(u.translate(low), automaton) for u in urls], columns=["strict", "soft", "weight"]).astype({"strict": "int32", "soft": "int32", "weight": "float64"})
 
     host, path = split_url(F.col("_url"))
     out = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("_url"))
@@ -86,25 +111,27 @@ def filter_urls(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "ur
     for r in sorted(rules, key=lambda r: len(r.name), reverse=True)[::-1]:
         fits = ((F.col("host") == r.host) | F.col("host").endswith("." + r.host)) & F.col("path").startswith(r.path)
         rule, verdict = F.when(fits, F.lit(r.name)).otherwise(rule), F.when(fits, F.lit(r.verdict)).otherwise(verdict)
-    method = F.when((F.col("_hits.strict") >= 1) | (F.col("_hits.soft") >= soft_limit), "block").otherwise("allow")
-    return out.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), F.col("_hits.strict").alias("strict_hits"), F.col("_hits.soft").alias("soft_hits"))
+    method = F.when((F.col("_hits.strict") >= 1) | ((F.col("_hits.soft") >= 2) & (F.col("_hits.weight") >= soft_weight)), "block").otherwise("allow")
+    return out.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), F.col("_hits.strict").alias("strict_hits"), F.col("_hits.soft").alias("soft_hits"), F.col("_hits.weight").alias("soft_weight"))
 
 
-def oracle(strict=STRICT_TERMS, soft=SOFT_TERMS, rules=RULES, soft_limit: int = 2) -> str:
+def oracle(terms=TERMS, rules=RULES, soft_weight: float = SOFT_WEIGHT) -> str:
     """The same in DuckDB's SQL, with regular expressions for the counting."""
 
-    def count(terms):
-        return " + ".join(f"(CASE WHEN regexp_matches(u, '(^|[^a-z0-9]){t}([^a-z0-9]|$)') THEN 1 ELSE 0 END)" for t in terms)
+    def total(chosen):
+        return " + ".join(f"(CASE WHEN strpos(u, '{t.text}') > 0 AND regexp_matches(u, '(^|[^a-z0-9]){t.text}([^a-z0-9]|$)') THEN {w} ELSE 0 END)" for t, w in chosen) or "0"
 
+    low = f"translate({{}}, '{UPPER}', '{LOWER}')"
     cases = sorted(rules, key=lambda r: len(r.name), reverse=True)
     fits = [f"((host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}'))" for r in cases]
     rule = " ".join(f"WHEN {f} THEN '{r.name}'" for f, r in zip(fits, cases))
     verdict = " ".join(f"WHEN {f} THEN '{r.verdict}'" for f, r in zip(fits, cases))
     return f"""
-WITH a AS (SELECT page_id, coalesce(url, '') AS u0, lower(coalesce(url, '')) AS u FROM pages),
+WITH a AS (SELECT page_id, coalesce(url, '') AS u0, {low.format("coalesce(url, '')")} AS u FROM pages),
 b AS (SELECT page_id, u, CASE WHEN strpos(u0, '://') > 0 THEN substr(u0, strpos(u0, '://') + 3) ELSE '' END AS rest FROM a),
-c AS (SELECT page_id, u, lower(regexp_extract(rest, '^([^/?#]*)', 1)) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM b),
-d AS (SELECT page_id, host, path, CAST({count(strict)} AS INTEGER) AS strict_hits, CAST({count(soft)} AS INTEGER) AS soft_hits FROM c)
+c AS (SELECT page_id, u, {low.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM b),
+d AS (SELECT page_id, host, path, CAST({total([(t, 1) for t in terms if t.strict])} AS INTEGER) AS strict_hits, CAST({total([(t, 1) for t in terms if not t.strict])} AS INTEGER) AS soft_hits,
+  CAST({total([(t, t.weight) for t in terms if not t.strict])} AS DOUBLE) AS soft_weight FROM c)
 SELECT page_id, host, path, CASE {rule} END AS rule,
-  CASE {verdict} WHEN strict_hits >= 1 OR soft_hits >= {soft_limit} THEN 'block' ELSE 'allow' END AS verdict, strict_hits, soft_hits
+  CASE {verdict} WHEN strict_hits >= 1 OR (soft_hits >= 2 AND soft_weight >= {soft_weight}) THEN 'block' ELSE 'allow' END AS verdict, strict_hits, soft_hits, soft_weight
 FROM d"""

@@ -60,13 +60,21 @@ def test_exact_dedup(docs, none):
 
 def test_cuckoo_index_grows_and_deletes():
     index = exact_dedup.CuckooIndex(buckets=2)
-    keys = [hashlib.sha256(str(i).encode()).digest() for i in range(3000)]
-    for i, k in enumerate(keys):
-        assert index.get(k) is None
-        index.insert(k, [i])
-    assert index.resizes > 3 and all(index.get(k) == [i] for i, k in enumerate(keys))
-    assert all(index.delete(k) for k in keys[::2]) and not index.delete(keys[0])
-    assert all(index.get(k) is None for k in keys[::2]) and all(index.get(k) for k in keys[1::2])
+    keys = np.frombuffer(b"".join(hashlib.sha256(str(i).encode()).digest() for i in range(30_000)), np.uint64).reshape(-1, 4)
+    values = np.stack([np.arange(30_000), *np.ones((3, 30_000), np.int64)], axis=1)
+    for a in range(0, 30_000, 700):
+        assert (index.find(keys[a : a + 700]) < 0).all()
+        index.add(keys[a : a + 700], values[a : a + 700])
+    value_of = lambda k: index.values[index.rows.reshape(-1)[index.find(k)], 0]
+    assert index.resizes > 3 and (value_of(keys) == values[:, 0]).all() and index.false_hits < 300
+    assert index.delete(keys[::2]).all() and not index.delete(keys[:1]).any()
+    assert (index.find(keys[::2]) < 0).all() and (value_of(keys[1::2]) == values[1::2, 0]).all()
+    index.add(keys[:10], values[:10] * [5, 1, 1, 1])
+    assert value_of(keys[:10]).tolist() == [5 * i for i in range(10)]
+    assert index.values[index.rows.reshape(-1)[index.find(keys[:10])], 2].tolist() == [1, 2] * 5  # the deleted ones begin anew
+    alike = keys[:50].copy()
+    alike[:, 0] += np.uint64(1)  # the same fingerprints and buckets, other texts
+    assert (index.find(alike) < 0).all()
 
 
 # n-gram join ------------------------------------------------------------------------------------------
@@ -313,7 +321,8 @@ def test_toxicity_held_out(spark, docs, none):
     model = toxicity.train(docs, labels.limit(0))
     assert toxicity.score_texts(docs, model, keep=[F.col("doc_id")]).where("score between 0 and 1").count() == len(ROWS)
     assert toxicity.score_texts(none, model).count() == 0
-    assert set(toxicity.score_texts(docs, model).columns) == {*docs.columns, "predicted", "hits"}
+    scored = toxicity.score_texts(docs, model)
+    assert scored.columns == [*docs.columns, "_score", "predicted", "hits"] and scored.where("score = 0.5 and _score < 0.5").count() == len(ROWS)
 
 
 # sharding, URLs, mixing, WARC -------------------------------------------------------------------------
@@ -380,21 +389,39 @@ def test_mixing_budget_and_repetition(spark, none, docs):
 
 
 def test_warc_audit_finds_exactly_the_damage(spark):
-    pages = spark.createDataFrame([(i, f"http://x/{i}" if i % 5 else None, "ü" * (i % 90) if i % 7 else None) for i in range(3000)] + [(None, None, None)], "page_id long, url string, html string")
-    rec = warc_audit.to_records(pages)
-    m = warc_audit.manifest_of(rec)
-    one = rec.join(m.select("record_id", "file", "seq"), ["record_id", "file"]).unionByName(rec.where("record_id is null").join(m.where("record_id is null").select("file", "seq"), "file")).select("file", "seq", "record_id", "record")
-    bad = warc_audit.damaged(one)
-    want = {(r.file, r.seq) for r in one.join(bad.withColumnRenamed("record", "other"), ["file", "seq"]).where("not (record <=> other)").collect()}
-    got = warc_audit.audit(m, one, bad)
-    assert {(r.file, r.seq) for r in got.where("status <> 'ok'").collect()} == want and len(want) > 20
-    assert {r.status for r in got.select("status").distinct().collect()} == {"ok", "changed", "short", "missing"}
-    assert warc_audit.audit(m, one, one).where("status <> 'ok'").count() == 0
-    assert warc_audit.audit(m.limit(0), one.limit(0), one.limit(0)).count() == 0
+    pages = spark.createDataFrame([(i, f"http://x/{i}" if i % 5 else None, "ü" * (i % 90) if i % 7 else None, 1) for i in range(3000)] + [(None, None, None, 2)] * 2 + [(None, "http://y", "z", 1), (7, "u", "other", 1), (7, "u", "more", 1)], "page_id long, url string, html string, file int")
+    records = warc_audit.to_records(pages)
+    assert records.count() == 3005
+    both = records.withColumn("copy", warc_audit.damaged("record_id", "record"))
+    m = warc_audit.manifest_of(both, replicas={"one": "record", "two": "copy"})
+    rows = {(r.file, r.seq): r for r in m.collect()}
+    assert len(rows) == 3004  # the repeated row is one record, other contents of one id are records of their own
+    want = {k for k, r in rows.items() if r.one_hash != r.two_hash}
+    got = {(r.file, r.seq): r.status for r in warc_audit.audit(m).collect()}
+    assert {k for k, s in got.items() if s != "ok"} == want and len(want) > 20 and set(got) == set(rows)
+    assert set(got.values()) == {"ok", "changed", "short", "missing"}
+    for k, r in rows.items():
+        assert got[k] == ("ok" if r.one_hash == r.two_hash else "missing" if r.two_hash is None else "short" if r.two_held < r.one_held else "changed")
+    assert warc_audit.audit(m.withColumns({"two_hash": F.col("one_hash"), "two_held": F.col("one_held")})).where("status <> 'ok'").count() == 0
+    assert warc_audit.audit(m.limit(0)).count() == 0
     spans = m.selectExpr("file", "offset", "offset + length as stop").orderBy("file", "offset").collect()
     assert all(b.offset == (a.stop if a.file == b.file else 0) for a, b in zip(spans, spans[1:]))
 
 
+def test_warc_audit_of_replicas_kept_apart(spark, monkeypatch):
+    """A replica with a longer and an extra record; many files, so that the join alone picks the nodes."""
+    monkeypatch.setattr(warc_audit, "FILE_RECORDS", 20)
+    monkeypatch.setattr(warc_audit, "PUSHED_FILES", 2)
+    records = spark.range(400).selectExpr("id as record_id", "encode(concat('body ', id), 'UTF-8') as record")
+    m = warc_audit.manifest_of(records)
+    place = m.select("record_id", "file", "seq").join(records, "record_id")
+    one = place.where("record_id <> 3").select("file", "seq", "record")
+    two = place.select("file", "seq", F.when(F.col("record_id") % 50 == 1, F.concat("record", F.lit(b"!"))).otherwise(F.col("record")).alias("record"))
+    held = m.join(warc_audit.holdings(one, "one"), ["file", "seq"], "left").join(warc_audit.holdings(two, "two"), ["file", "seq"], "left")
+    got = {r.record_id: r.status for r in warc_audit.audit(held).collect()}
+    assert got == {i: "extra" if i == 3 else "long" if i % 50 == 1 else "ok" for i in range(400)}
+
+
 # arrays, pipeline -------------------------------------------------------------------------------------
 
 
