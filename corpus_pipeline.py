@@ -20,7 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator does not reject; it learns from the labelled ones among them."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     scored = toxicity.score_texts(docs, toxicity.train(docs, labels))
-    return scored.where("predicted = 0").select(*docs.columns)
+    predicted = scored.columns[-2]  # the operator's own, whatever columns the documents have
+    return scored.where(F.col(f"`{predicted}`") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
