@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import SEXES, is_cancelled, is_set, lookup
+from ..functions.columns import MARITAL, SEXES, is_cancelled, is_set, lookup
 from .graph import reason_text
 
 
@@ -33,10 +33,14 @@ def merge_details(mapping: DataFrame, details: DataFrame, *, values: list[str])
 
 
 def case_derive(cases: DataFrame) -> DataFrame:
-    """Days not billable in two ways, state text, lock mark, open mark."""
+    """Days not billable in two ways, state text, lock mark, open mark.
+
+    From ``days_off`` and ``days_off_audit`` (null without an audit): care counts
+    the first only after an audit, the audit's way counts its own, else the first.
+    """
     state = F.when(F.col("status") == "F", "billed").when(F.col("status") == "O", "open").otherwise("partly billed")
-    whole = F.datediff("end_date", "begin_date")
-    return cases.select("*", F.when(F.col("case_type") == "1", F.coalesce(whole, F.lit(0)) % 3).otherwise(0).alias("nb_audit"), F.when(F.col("case_type") != "2", F.coalesce(whole, F.lit(0)) % 2).otherwise(0).alias("nb_care"), state.alias("state_text"), is_set(F.col("locked")).cast("int").alias("is_locked"), F.col("end_date").isNull().cast("int").alias("is_open"))
+    care = F.when(F.col("days_off_audit").isNull(), 0).otherwise(F.col("days_off"))
+    return cases.select("*", F.coalesce("days_off_audit", "days_off").alias("nb_audit"), care.alias("nb_care"), state.alias("state_text"), is_set(F.col("locked")).cast("int").alias("is_locked"), F.col("end_date").isNull().cast("int").alias("is_open"))
 
 
 def case_cube(cases: DataFrame, merged: DataFrame, patients: DataFrame) -> DataFrame:
@@ -60,9 +64,10 @@ def diagnosis_cube(d: DataFrame, merged: DataFrame, units: DataFrame, texts: Dat
 
 
 def patient_derive(p: DataFrame) -> DataFrame:
-    """Salutation, sex, death mark."""
+    """Salutation, sex, marital status, death mark and time of death."""
     sex = lookup(F.col("sex"), SEXES, "unknown")
-    return p.select("*", sex.alias("sex_text"), F.when(sex == "male", "Herr").when(sex == "female", "Frau").otherwise("").alias("salutation"), is_set(F.col("dead")).cast("int").alias("is_dead"))
+    title = F.when(sex == "male", "Herr").when(sex == "female", "Frau").otherwise("")
+    return p.select("*", sex.alias("sex_text"), title.alias("salutation"), lookup(F.col("marital"), MARITAL, "unbekannt").alias("marital_text"), is_set(F.col("dead")).cast("int").alias("is_dead"), F.try_to_timestamp("dead_on").alias("dead_at"))
 
 
 def patient_cube(cases: DataFrame, versions: DataFrame) -> DataFrame:

@@ -7,13 +7,18 @@ null and so absent from the JSON.  Column names are those of the views in
 
 from __future__ import annotations
 
+import hashlib
+import hmac
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
 
+#: Namespace of ids in clear; otherwise the secret makes another, so that ids cannot be tried out from numbers.
 NAMESPACE = "8a3d5c0e-52b7-5d4f-9c11-7d2f0b6a4e90"
 HL7, ISH = "http://terminology.hl7.org/CodeSystem/", "urn:ish:"
 ICD, OPS, LOINC = "http://fhir.de/CodeSystem/bfarm/icd-10-gm", "http://fhir.de/CodeSystem/bfarm/ops", "http://loinc.org"
@@ -21,35 +26,43 @@ ICD, OPS, LOINC = "http://fhir.de/CodeSystem/bfarm/icd-10-gm", "http://fhir.de/C
 
 @dataclass(frozen=True)
 class Privacy:
-    """off: clear data; pseudonymize: stable pseudonyms and shifted dates; anonymize: birth as decade besides."""
+    """off: clear data; pseudonymize: stable pseudonyms, salted ids and shifted dates; anonymize: birth as decade besides."""
 
     mode: str = "off"
     secret: bytes = b""
 
+    @property
+    def clear(self) -> bool:
+        return self.mode == "off"
+
+    @property
+    def namespace(self) -> str:
+        return NAMESPACE if self.clear else str(uuid.UUID(bytes=hmac.new(self.secret, b"namespace", hashlib.sha256).digest()[:16]))
+
     def date(self, patient: Column, iso: Column) -> Column:
-        return iso if self.mode == "off" else c.date_shift(self.secret, patient, iso)
+        return iso if self.clear else c.date_shift(self.secret, patient, iso)
 
     def patient(self, patient: Column) -> Column:
-        return patient.cast("string") if self.mode == "off" else c.pseudonym(self.secret, patient)
+        return patient.cast("string") if self.clear else c.pseudonym(self.secret, patient)
 
     def text(self, t: Column) -> Column:
-        return t if self.mode == "off" else c.deid_text(t)
+        return t if self.clear else c.deid_text(t)
 
+    def birth(self, iso: Column) -> Column:
+        """The date of birth as it may be told: whole, its year, or its decade."""
+        return iso if self.clear else F.concat(F.substring(iso, 1, 3), F.lit("0s")) if self.mode == "anonymize" else F.substring(iso, 1, 4)
 
-CLEAR = Privacy()
-
+    def rid(self, kind: str, *parts) -> Column:
+        return c.stable_id(self.namespace, kind, *[F.col(p) if isinstance(p, str) else p for p in parts])
 
-def rid(kind: str, *parts) -> Column:
-    return c.stable_id(NAMESPACE, kind, *[F.col(p) if isinstance(p, str) else p for p in parts])
+    def ref(self, target: str, kind: str, *parts) -> Column:
+        """A reference, null where a part is null."""
+        cols = [F.col(p) if isinstance(p, str) else p for p in parts]
+        known = reduce(lambda a, b: a & b, [p.isNotNull() for p in cols])
+        return F.when(known, F.struct(F.concat(F.lit(target + "/"), self.rid(kind, *cols)).alias("reference")))
 
 
-def ref(target: str, kind: str, *parts) -> Column:
-    """A reference, null where a part is null."""
-    cols = [F.col(p) if isinstance(p, str) else p for p in parts]
-    known = F.lit(True)
-    for p in cols:
-        known = known & p.isNotNull()
-    return F.when(known, F.struct(F.concat(F.lit(target + "/"), rid(kind, *cols)).alias("reference")))
+CLEAR = Privacy()
 
 
 def concept(system: str, code: Column, text: Column | None = None) -> Column:
@@ -87,76 +100,101 @@ def text_date(col: Column) -> Column:
     return c.real_date(col.cast("string"))
 
 
+def redacted(p: DataFrame, privacy: Privacy) -> DataFrame:
+    """Patients without name, address and doctor: their own columns but these, the pseudonym for the number, birth as it may be told."""
+    gone = ("name", "street", "city", "postcode", "country", "doctor", "merged_into")
+    if privacy.clear:
+        return p
+    return p.select(privacy.patient(F.col("patient_id")).alias("patient_id"), *[privacy.birth(F.col(k)).alias(k) if k == "birth" else privacy.date(F.col("patient_id"), F.col(k)).alias(k) if k == "dead_on" else F.col(k) for k in p.columns if k not in (*gone, "patient_id")])
+
+
 def patients(p: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
-    """Sex, birth, death, merge link; name only in clear; otherwise pseudonym and birth year (decade if anonymous)."""
+    """Sex, birth, death and its time, merge link, family doctor; name and address only in clear, else pseudonym and birth year (decade if anonymous)."""
     pid = F.col("patient_id")
-    clear = privacy.mode == "off"
-    birth = F.col("birth") if clear else F.concat(F.substring("birth", 1, 3), F.lit("0s")) if privacy.mode == "anonymize" else F.substring("birth", 1, 4)
-    link = F.when(F.col("merged_into").isNotNull(), F.array(F.struct(ref("Patient", "Patient", "merged_into").alias("other"), F.lit("replaces").alias("type"))))
-    return emit(p, "Patient", rid("Patient", "patient_id"), privacy.patient(pid),
-        identifier=F.array(F.struct(F.lit(ISH + "patnr" if clear else "urn:pseudonym").alias("system"), privacy.patient(pid).alias("value"))), gender=c.lookup(F.col("sex"), c.SEXES, "unknown"), birthDate=birth,
-        deceasedBoolean=F.when(c.is_set(F.col("dead")), True), link=link, name=F.array(F.struct(F.col("name").alias("family"))) if clear else F.lit(None).cast("string"))
+    link = F.when(F.col("merged_into").isNotNull(), F.array(F.struct(privacy.ref("Patient", "Patient", "merged_into").alias("other"), F.lit("replaces").alias("type"))))
+    address = F.when(F.coalesce("street", "city").isNotNull(), F.array(F.struct(some(F.col("street")).alias("line"), F.col("city"), F.col("postcode").alias("postalCode"), F.col("country"))))
+    name = F.when(F.col("name").isNotNull(), F.array(F.struct(F.col("name").alias("family"))))
+    dead = c.is_set(F.col("dead"))
+    return emit(p, "Patient", privacy.rid("Patient", "patient_id"), privacy.patient(pid),
+        identifier=F.array(F.struct(F.lit(ISH + "patnr" if privacy.clear else "urn:pseudonym").alias("system"), privacy.patient(pid).alias("value"))), gender=c.lookup(F.col("sex"), c.SEXES, "unknown"), birthDate=privacy.birth(F.col("birth")),
+        deceasedBoolean=F.when(dead, True), deceasedDateTime=F.when(dead, privacy.date(pid, F.col("dead_on"))), link=link, generalPractitioner=some(privacy.ref("Practitioner", "Practitioner", c.valid_ref(F.col("doctor").cast("string")))),
+        **({"name": name, "address": address} if privacy.clear else {}))
 
 
 def cases(k: DataFrame, movements: DataFrame, staff: DataFrame, links: DataFrame, accounts: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
-    """Class, state, period, staff, links to partner cases, billing group, admission source and discharge disposition."""
-    live = movements.where(~_wrong())
-    admit = live.where("kind = '1'").groupBy("case_id").agg(F.min_by("reason", F.struct("begin_ts", "number")).alias("_admit"))
-    leave = live.where("kind = '2'").groupBy("case_id").agg(F.min_by("reason", F.struct("begin_ts", "number")).alias("_leave"))
-    people = staff.where(~_wrong()).groupBy("case_id").agg(F.array_sort(F.collect_set(F.struct(ref("Practitioner", "Practitioner", "person").alias("individual"), concept(ISH + "farzt", F.col("role")).alias("type")))).alias("_staff"))
-    partner = links.where(~_wrong()).groupBy("case_id").agg(F.array_sort(F.collect_set(F.struct(F.lit(ISH + "fallbezug").alias("url"), ref("Encounter", "Encounter", "partner").alias("valueReference"), F.col("role").alias("valueCode")))).alias("_links"))
+    """Class, state, period, staff, links to partner cases, billing group, admission source and discharge disposition.
+
+    Movements are read once, and the id of a person is made once, not in every row.
+    """
+    first = lambda kind: F.min_by(F.when(F.col("kind") == kind, F.col("reason")), F.when(F.col("kind") == kind, F.struct("begin_ts", "number")))
+    moves = movements.where(~_wrong() & F.col("kind").isin("1", "2")).groupBy("case_id").agg(first("1").alias("_admit"), first("2").alias("_leave"))
+    who = staff.where(~_wrong()).select("case_id", "person", "role").distinct()
+    ids = who.select("person").distinct().select("person", privacy.ref("Practitioner", "Practitioner", "person").alias("_ref"))
+    people = who.join(ids, "person", "left").groupBy("case_id").agg(F.array_sort(F.collect_set(F.struct(F.col("_ref").alias("individual"), concept(ISH + "farzt", F.col("role")).alias("type")))).alias("_staff"))
+    partner = links.where(~_wrong()).groupBy("case_id").agg(F.array_sort(F.collect_set(F.struct(F.lit(ISH + "fallbezug").alias("url"), privacy.ref("Encounter", "Encounter", "partner").alias("valueReference"), F.col("role").alias("valueCode")))).alias("_links"))
     group = accounts.groupBy("case_id").agg(F.max("grp").alias("_grp"))
     df = k
-    for part in (admit, leave, people, partner, group):
+    for part in (moves, people, partner, group):
         df = df.join(part, "case_id", "left")
     pid, end = F.col("patient_id"), text_date(F.col("end_date"))
     state = F.when(_wrong(), "entered-in-error").when(end.isNotNull(), "finished").otherwise("in-progress")
     source, gone = concept(ISH + "tn14g", F.col("_admit")), concept(ISH + "tn14g", F.col("_leave"))
-    return emit(df, "Encounter", rid("Encounter", "case_id"), privacy.patient(pid),
-        status=state, **{"class": F.struct(c.lookup(F.col("case_type"), c.CASE_TYPES, "IMP").alias("code"))}, subject=ref("Patient", "Patient", "patient_id"), period=period(privacy.date(pid, text_date(F.col("begin_date"))), privacy.date(pid, end)),
-        participant=F.col("_staff"), extension=F.col("_links"), account=F.when(F.col("_grp").isNotNull(), F.array(ref("Account", "Account", "_grp"))), hospitalization=F.when(source.isNotNull() | gone.isNotNull(), F.struct(source.alias("admitSource"), gone.alias("dischargeDisposition"))))
+    return emit(df, "Encounter", privacy.rid("Encounter", "case_id"), privacy.patient(pid),
+        status=state, **{"class": F.struct(c.lookup(F.col("case_type"), c.CASE_TYPES, "IMP").alias("code"))}, subject=privacy.ref("Patient", "Patient", "patient_id"), period=period(privacy.date(pid, text_date(F.col("begin_date"))), privacy.date(pid, end)),
+        participant=F.col("_staff"), extension=F.col("_links"), account=F.when(F.col("_grp").isNotNull(), F.array(privacy.ref("Account", "Account", "_grp"))), hospitalization=F.when(source.isNotNull() | gone.isNotNull(), F.struct(source.alias("admitSource"), gone.alias("dischargeDisposition"))))
 
 
 def movements(m: DataFrame, owner: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
-    """Sub-encounters: type, part of the case, period, department, ward, reason; leave and error states."""
+    """Sub-encounters: type, part of the case, period, department, ward, room and bed, reason; leave and error states."""
     df = m.join(owner.select("case_id", "patient_id"), "case_id")
     pid = F.col("patient_id")
     stamp = lambda x: privacy.date(pid, F.date_format(x, "yyyy-MM-dd'T'HH:mm:ss"))
     state = F.when(_wrong(), "entered-in-error").when(F.col("kind") == "6", "onleave").otherwise("finished")
-    nursing = F.when(F.col("ward") != F.col("dept"), F.array(F.struct(F.lit(ISH + "nursing-org").alias("url"), ref("Organization", "OrgUnit", "ward").alias("valueReference"))))
-    return emit(df, "Encounter", rid("EncounterMovement", "case_id", "number"), privacy.patient(pid),
-        status=state, type=F.array(F.struct(c.lookup(F.col("kind"), c.MOVEMENT_TYPES, "Bewegung").alias("text"))), partOf=ref("Encounter", "Encounter", "case_id"), period=period(stamp("begin_ts"), stamp("end_ts")), serviceProvider=ref("Organization", "OrgUnit", "dept"), extension=nursing, reasonCode=some(concept(ISH + "tn14g", F.col("reason"))))
+    nursing = F.when(F.col("ward") != F.col("dept"), F.array(F.struct(F.lit(ISH + "nursing-org").alias("url"), privacy.ref("Organization", "OrgUnit", "ward").alias("valueReference"))))
+    place = lambda k, kind: F.when(c.valid_ref(F.col(k).cast("string")).isNotNull(), F.struct(privacy.ref("Location", "Location", c.valid_ref(F.col(k).cast("string"))).alias("location"), fixed(HL7 + "location-physical-type", F.lit(kind)).alias("physicalType")))
+    return emit(df, "Encounter", privacy.rid("EncounterMovement", "case_id", "number"), privacy.patient(pid),
+        status=state, type=F.array(F.struct(c.lookup(F.col("kind"), c.MOVEMENT_TYPES, "Bewegung").alias("text"))), partOf=privacy.ref("Encounter", "Encounter", "case_id"), period=period(stamp("begin_ts"), stamp("end_ts")), serviceProvider=privacy.ref("Organization", "OrgUnit", "dept"), extension=nursing, location=some(place("room", "ro"), place("bed", "bd")), reasonCode=some(concept(ISH + "tn14g", F.col("reason"))))
 
 
-ROLES = {"principal": "Krankenhaushauptdiagnose", "admission": "Aufnahmediagnose", "discharge": "Entlassdiagnose", "treatment": "Behandlungsdiagnose", "surgery": "OP-Diagnose"}
+#: What a diagnosis may be used as (not exclusive), and the states that its certainty stands for.
+ROLES = {
+    "principal": "Krankenhaushauptdiagnose", "department": "Fachabteilungshauptdiagnose", "admission": "Aufnahmediagnose", "discharge": "Entlassdiagnose", "referral": "Einweisungsdiagnose", "treatment": "Behandlungsdiagnose",
+    "surgery": "OP-Diagnose", "preoperative": "praeoperative Diagnose", "death": "Todesursachen-Diagnose", "working": "Arbeitsdiagnose",
+}
+CERTAINTY = {"G": "confirmed", "V": "provisional", "A": "refuted"}
 
 
 def conditions(d: DataFrame, owner: DataFrame, texts: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
-    """Code with its catalog text, roles (not exclusive), verification state."""
-    df = d.join(owner.select("case_id", "patient_id"), "case_id").join(texts, "code", "left")
+    """Codes with their catalog texts (a second one only if it differs), ten roles (not exclusive), certainty and what it says of the state."""
+    second = texts.select(F.col("code").alias("code2"), F.col("text").alias("text2"))
+    df = d.join(owner.select("case_id", "patient_id"), "case_id").join(texts, "code", "left").join(second, "code2", "left")
     roles = some(*[F.when(c.is_set(F.col(k)), F.struct(F.lit(v).alias("text"))) for k, v in ROLES.items()])
-    coding = F.array(F.struct(F.lit(ICD).alias("system"), F.col("code"), F.col("text").alias("display")))
-    return emit(df, "Condition", rid("Condition", "case_id", "number"), privacy.patient(F.col("patient_id")),
-        code=F.struct(coding.alias("coding"), privacy.text(F.col("text")).alias("text")), subject=ref("Patient", "Patient", "patient_id"), encounter=ref("Encounter", "Encounter", "case_id"), recordedDate=privacy.date(F.col("patient_id"), F.col("day").cast("string")), category=roles,
-        verificationStatus=fixed(HL7 + "condition-ver-status", F.when(_wrong(), "entered-in-error")))
+    code, code2, sure = (F.nullif(F.trim(k), F.lit("")) for k in ("code", "code2", "certainty"))
+    one = lambda k, text: F.struct(F.lit(ICD).alias("system"), k.alias("code"), F.col(text).alias("display"))
+    coding = F.array_compact(F.array(F.when(code.isNotNull(), one(code, "text")), F.when(code2.isNotNull() & ~code2.eqNullSafe(code), one(code2, "text2"))))
+    state = F.when(_wrong(), "entered-in-error").otherwise(c.lookup(sure, CERTAINTY))
+    told = F.when(sure.isNotNull(), F.array(F.struct(F.lit("https://fhir.de/StructureDefinition/icd-10-gm-diagnosesicherheit").alias("url"), sure.alias("valueCode"))))
+    return emit(df, "Condition", privacy.rid("Condition", "case_id", "number"), privacy.patient(F.col("patient_id")),
+        code=F.struct(coding.alias("coding"), privacy.text(F.col("text")).alias("text")), subject=privacy.ref("Patient", "Patient", "patient_id"), encounter=privacy.ref("Encounter", "Encounter", "case_id"), recordedDate=privacy.date(F.col("patient_id"), F.col("day").cast("string")), category=roles,
+        extension=told, verificationStatus=fixed(HL7 + "condition-ver-status", state), clinicalStatus=fixed(HL7 + "condition-clinical", F.when(sure == "Z", "resolved")))
 
 
 def procedures(p: DataFrame, owner: DataFrame, team: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
-    """Code, day, performing unit and team; the subject comes from the case."""
-    crew = team.groupBy("procedure_id").agg(F.array_sort(F.collect_set(F.struct(ref("Practitioner", "Practitioner", "person").alias("actor"), concept(ISH + "op-vorgang", F.col("task")).alias("function")))).alias("_crew"))
+    """Code, day, body site, performing unit and team; the subject comes from the case."""
+    crew = team.groupBy("procedure_id").agg(F.array_sort(F.collect_set(F.struct(privacy.ref("Practitioner", "Practitioner", "person").alias("actor"), concept(ISH + "op-vorgang", F.col("task")).alias("function")))).alias("_crew"))
     df = p.join(owner.select("case_id", "patient_id"), "case_id", "left").join(crew, "procedure_id", "left")
-    unit = F.array(F.struct(ref("Organization", "OrgUnit", "unit").alias("actor"), F.lit(None).cast("struct<coding:array<struct<system:string,code:string>>>").alias("function")))
-    subject = F.coalesce(ref("Patient", "Patient", "patient_id"), ref("Encounter", "Encounter", "case_id"))
-    return emit(df, "Procedure", rid("Procedure", "procedure_id"), privacy.patient(F.col("patient_id")),
-        status=F.when(_wrong(), "entered-in-error").otherwise("completed"), code=concept(OPS, F.col("code")), subject=subject, encounter=ref("Encounter", "Encounter", "case_id"), performedDateTime=privacy.date(F.col("patient_id"), F.col("day").cast("string")), performer=F.concat(unit, F.coalesce("_crew", F.array().cast("array<struct<actor:struct<reference:string>,function:struct<coding:array<struct<system:string,code:string>>>>>"))))
+    unit = F.array(F.struct(privacy.ref("Organization", "OrgUnit", "unit").alias("actor"), F.lit(None).cast("struct<coding:array<struct<system:string,code:string>>>").alias("function")))
+    subject = F.coalesce(privacy.ref("Patient", "Patient", "patient_id"), privacy.ref("Encounter", "Encounter", "case_id"))
+    return emit(df, "Procedure", privacy.rid("Procedure", "procedure_id"), privacy.patient(F.col("patient_id")),
+        status=F.when(_wrong(), "entered-in-error").otherwise("completed"), code=concept(OPS, F.col("code")), bodySite=some(concept(ISH + "tn26e", F.col("site"))), subject=subject, encounter=privacy.ref("Encounter", "Encounter", "case_id"), performedDateTime=privacy.date(F.col("patient_id"), F.col("day").cast("string")), performer=F.concat(unit, F.coalesce("_crew", F.array().cast("array<struct<actor:struct<reference:string>,function:struct<coding:array<struct<system:string,code:string>>>>>"))))
 
 
 def lab_reports(heads: DataFrame, values: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     """Lab headers with references to their values."""
-    result = values.groupBy("report_id").agg(F.array_sort(F.collect_set(ref("Observation", "ObsLab", "lab_id"))).alias("_result"))
+    result = values.groupBy("report_id").agg(F.array_sort(F.collect_set(privacy.ref("Observation", "ObsLab", "lab_id"))).alias("_result"))
     df, pid = heads.join(result, "report_id", "left"), F.col("patient_id")
     when = privacy.date(pid, F.col("day").cast("string"))
-    return emit(df, "DiagnosticReport", rid("LabReport", "report_id"), privacy.patient(pid), status=c.lookup(F.upper("status"), c.LAB_STATES, "final"), category=F.array(fixed(HL7 + "v2-0074", F.lit("LAB"))), code=F.struct(F.lit("Laborbefund").alias("text")), subject=ref("Patient", "Patient", "patient_id"), effectiveDateTime=when, issued=when, result=F.col("_result"))
+    return emit(df, "DiagnosticReport", privacy.rid("LabReport", "report_id"), privacy.patient(pid), status=c.lookup(F.upper("status"), c.LAB_STATES, "final"), category=F.array(fixed(HL7 + "v2-0074", F.lit("LAB"))), code=F.struct(F.lit("Laborbefund").alias("text")), subject=privacy.ref("Patient", "Patient", "patient_id"), effectiveDateTime=when, issued=when, result=F.col("_result"))
 
 
 def lab_values(v: DataFrame, loinc: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
@@ -168,22 +206,22 @@ def lab_values(v: DataFrame, loinc: DataFrame, privacy: Privacy = CLEAR) -> Data
     code = some(F.when(F.col("loinc").isNotNull(), F.struct(F.lit(LOINC).alias("system"), F.col("loinc").alias("code"))), F.struct(F.lit(ISH + "leistid").alias("system"), F.col("code").alias("code")))
     value = lambda x: F.when(x.isNotNull(), F.struct(x.alias("value")))
     bounds = F.when(low.isNotNull() | high.isNotNull() | text.isNotNull(), F.array(F.struct(value(low).alias("low"), value(high).alias("high"), text.alias("text"))))
-    return emit(df, "Observation", rid("ObsLab", "lab_id"), privacy.patient(pid),
-        status=c.lookup(F.upper("status"), c.LAB_STATES, "final"), category=F.array(fixed(HL7 + "observation-category", F.lit("laboratory"))), code=F.struct(code.alias("coding"), F.col("code").alias("text")), subject=ref("Patient", "Patient", "patient_id"), effectiveDateTime=privacy.date(pid, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")),
+    return emit(df, "Observation", privacy.rid("ObsLab", "lab_id"), privacy.patient(pid),
+        status=c.lookup(F.upper("status"), c.LAB_STATES, "final"), category=F.array(fixed(HL7 + "observation-category", F.lit("laboratory"))), code=F.struct(code.alias("coding"), F.col("code").alias("text")), subject=privacy.ref("Patient", "Patient", "patient_id"), effectiveDateTime=privacy.date(pid, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")),
         valueQuantity=F.when(q.isNotNull(), F.struct(q.alias("value"), F.col("unit").alias("unit"), c.lab_comparator(F.col("raw")).alias("comparator"))), valueString=c.lab_text(F.col("raw")), referenceRange=bounds, interpretation=some(fixed(HL7 + "v3-ObservationInterpretation", c.lab_interpret(F.col("flag"), q, low, high))))
 
 
 def documents(x: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     """Document links: master id, type, author, date, error state."""
     pid = F.col("patient_id")
-    return emit(x, "DocumentReference", rid("DocRef", "doc_id"), privacy.patient(pid), status=F.when(_wrong(), "entered-in-error").otherwise("current"), masterIdentifier=F.struct(F.lit(ISH + "dms-dokid").alias("system"), F.col("doc_id").cast("string").alias("value")), type=concept(ISH + "n2dt", F.col("doc_type")), subject=ref("Patient", "Patient", "patient_id"), date=privacy.date(pid, c.combine_datetime(F.col("day"), F.col("time"))), author=some(ref("Practitioner", "Practitioner", "author"), ref("Organization", "OrgUnit", "unit")))
+    return emit(x, "DocumentReference", privacy.rid("DocRef", "doc_id"), privacy.patient(pid), status=F.when(_wrong(), "entered-in-error").otherwise("current"), masterIdentifier=F.struct(F.lit(ISH + "dms-dokid").alias("system"), F.col("doc_id").cast("string").alias("value")), type=concept(ISH + "n2dt", F.col("doc_type")), subject=privacy.ref("Patient", "Patient", "patient_id"), date=privacy.date(pid, c.combine_datetime(F.col("day"), F.col("time"))), author=some(privacy.ref("Practitioner", "Practitioner", "author"), privacy.ref("Organization", "OrgUnit", "unit")))
 
 
 def coverages(x: DataFrame, insurance: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     """Payer of a case, self-payers marked, member number of the patient's insurance with the same payer (hashed unless clear)."""
     df = x.join(insurance, ["patient_id", "payer"], "left")
     member = F.col("member") if privacy.mode == "off" else c.hash_id(privacy.secret, F.col("member"), "kvnr")
-    return emit(df, "Coverage", rid("Coverage", "coverage_id"), privacy.patient(F.col("patient_id")), status=F.when(_wrong(), "cancelled").otherwise("active"), beneficiary=ref("Encounter", "Encounter", "case_id"), payor=F.array(ref("Organization", "OrgPayer", "payer")), period=period(privacy.date(F.col("patient_id"), text_date(F.col("begin_date"))), privacy.date(F.col("patient_id"), text_date(F.col("end_date")))), type=F.struct(F.when(F.col("payer") == 0, "Selbstzahler").otherwise(F.col("kind")).alias("text")), subscriberId=member)
+    return emit(df, "Coverage", privacy.rid("Coverage", "coverage_id"), privacy.patient(F.col("patient_id")), status=F.when(_wrong(), "cancelled").otherwise("active"), beneficiary=privacy.ref("Encounter", "Encounter", "case_id"), payor=F.array(privacy.ref("Organization", "OrgPayer", "payer")), period=period(privacy.date(F.col("patient_id"), text_date(F.col("begin_date"))), privacy.date(F.col("patient_id"), text_date(F.col("end_date")))), type=F.struct(F.when(F.col("payer") == 0, "Selbstzahler").otherwise(F.col("kind")).alias("text")), subscriberId=member)
 
 
 #: Birth measurements, LOINC codes and units.
@@ -195,36 +233,41 @@ def births(b: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     items = F.array(*[F.struct(F.lit(t).alias("text"), F.lit(code).alias("loinc"), F.col(k).cast("double").alias("value"), F.lit(u).alias("unit")) for k, t, code, u in BIRTH])
     df = b.select("*", F.explode(items).alias("m")).where("m.value is not null and m.value <> 0")
     pid = F.col("patient_id")
-    return emit(df, "Observation", rid("ObsBirth", "case_id", F.col("m.text")), privacy.patient(pid), status=F.lit("final"), code=F.struct(F.array(F.struct(F.lit(LOINC).alias("system"), F.col("m.loinc").alias("code"))).alias("coding"), F.col("m.text").alias("text")), encounter=ref("Encounter", "Encounter", "case_id"), effectiveDateTime=privacy.date(pid, F.col("day").cast("string")), valueQuantity=F.struct("m.value", "m.unit"))
+    return emit(df, "Observation", privacy.rid("ObsBirth", "case_id", F.col("m.text")), privacy.patient(pid), status=F.lit("final"), code=F.struct(F.array(F.struct(F.lit(LOINC).alias("system"), F.col("m.loinc").alias("code"))).alias("coding"), F.col("m.text").alias("text")), encounter=privacy.ref("Encounter", "Encounter", "case_id"), effectiveDateTime=privacy.date(pid, F.col("day").cast("string")), valueQuantity=F.struct("m.value", "m.unit"))
 
 
-def locations(x: DataFrame) -> DataFrame:
+def locations(x: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     """Building elements with their parent and managing unit."""
-    return emit(x, "Location", rid("Location", "location_id"), F.lit(None), status=F.lit("active"), name=F.col("name"), physicalType=F.coalesce(concept(ISH + "tn11b", F.col("kind")), F.lit(None)), partOf=ref("Location", "Location", "parent"), managingOrganization=ref("Organization", "OrgUnit", "unit"))
+    return emit(x, "Location", privacy.rid("Location", "location_id"), F.lit(None), status=F.lit("active"), name=F.col("name"), physicalType=F.coalesce(concept(ISH + "tn11b", F.col("kind")), F.lit(None)), partOf=privacy.ref("Location", "Location", "parent"), managingOrganization=privacy.ref("Organization", "OrgUnit", "unit"))
 
 
 def medications(x: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     """Orders: code system by whether the code is all digits, dose, quantity, substitution."""
     pid, drug = F.col("patient_id"), F.col("drug").cast("string")
     system = F.when(drug.rlike("^[0-9]+$"), "http://fhir.de/CodeSystem/ifa/pzn").otherwise(ISH + "drugid")
-    return emit(x, "MedicationRequest", rid("MedReq", "order_id"), privacy.patient(pid), status=F.when(_wrong(), "entered-in-error").otherwise("active"), intent=F.lit("order"), medicationCodeableConcept=F.struct(F.array(F.struct(system.alias("system"), drug.alias("code"))).alias("coding"), F.col("text").alias("text")), subject=ref("Patient", "Patient", "patient_id"), encounter=ref("Encounter", "Encounter", "case_id"), authoredOn=privacy.date(pid, F.col("day").cast("string")), dosageInstruction=F.array(F.struct(F.col("dose").alias("text"))), dispenseRequest=F.struct(F.struct(F.col("quantity").alias("value")).alias("quantity")), substitution=F.struct((F.col("aut_idem") != "X").alias("allowedBoolean")))
+    return emit(x, "MedicationRequest", privacy.rid("MedReq", "order_id"), privacy.patient(pid), status=F.when(_wrong(), "entered-in-error").otherwise("active"), intent=F.lit("order"), medicationCodeableConcept=F.struct(F.array(F.struct(system.alias("system"), drug.alias("code"))).alias("coding"), F.col("text").alias("text")), subject=privacy.ref("Patient", "Patient", "patient_id"), encounter=privacy.ref("Encounter", "Encounter", "case_id"), authoredOn=privacy.date(pid, F.col("day").cast("string")), dosageInstruction=F.array(F.struct(F.col("dose").alias("text"))), dispenseRequest=F.struct(F.struct(F.col("quantity").alias("value")).alias("quantity")), substitution=F.struct((F.col("aut_idem") != "X").alias("allowedBoolean")))
 
 
 def risks(x: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
-    """Allergies as AllergyIntolerance; infections and notices as Flag."""
+    """Allergies as AllergyIntolerance with their category; infections and notices as Flag."""
     kind, pid = c.risk_class(F.col("code"), F.col("text")), F.col("patient_id")
     allergy = kind == "allergy"
     state = F.when(c.is_set(F.col("deleted")), "inactive").otherwise("active")
     when = privacy.date(pid, F.col("day").cast("string"))
-    return emit(x, F.when(allergy, "AllergyIntolerance").otherwise("Flag"), F.when(allergy, rid("Allergy", "risk_id")).otherwise(rid("Flag", "risk_id")), privacy.patient(pid),
-        clinicalStatus=fixed(HL7 + "allergyintolerance-clinical", F.when(allergy, state)), status=F.when(~allergy, state), category=F.when(~allergy, F.when(kind == "infection", "safety").otherwise("admin")), code=F.struct(F.array(F.struct(F.lit(ISH + "rsfnr").alias("system"), F.col("code"))).alias("coding"), F.col("text")), patient=F.when(allergy, ref("Patient", "Patient", "patient_id")), subject=F.when(~allergy, ref("Patient", "Patient", "patient_id")), recordedDate=F.when(allergy, when))
+    who = privacy.ref("Patient", "Patient", "patient_id")
+    code = F.struct(F.array(F.struct(F.lit(ISH + "rsfnr").alias("system"), F.col("code"))).alias("coding"), privacy.text(F.col("text")).alias("text"))
+    name, id_ = F.when(allergy, "AllergyIntolerance").otherwise("Flag"), F.when(allergy, privacy.rid("Allergy", "risk_id")).otherwise(privacy.rid("Flag", "risk_id"))
+    one = F.to_json(F.struct(name.alias("resourceType"), id_.alias("id"), fixed(HL7 + "allergyintolerance-clinical", state).alias("clinicalStatus"), some(c.allergy_category(F.col("code"))).alias("category"), code.alias("code"), who.alias("patient"), when.alias("recordedDate")))
+    safety = F.array(fixed(HL7 + "flag-category", F.when(kind == "infection", "safety").otherwise("admin")))
+    other = F.to_json(F.struct(name.alias("resourceType"), id_.alias("id"), state.alias("status"), safety.alias("category"), code.alias("code"), who.alias("subject"), period(when, F.lit(None).cast("string")).alias("period")))
+    return x.select(name.alias("resource_type"), id_.alias("id"), privacy.patient(pid).alias("patient"), F.when(allergy, one).otherwise(other).alias("body"))
 
 
-def organizations(x: DataFrame, kind: str, type_code: str | None, system: str, *, parent: Column | None = None) -> DataFrame:
+def organizations(x: DataFrame, kind: str, type_code: str | None, system: str, privacy: Privacy = CLEAR, *, parent: Column | None = None) -> DataFrame:
     """Payers, units, facilities and clearing houses: id, name, identifiers, parent."""
     ik = F.when(c.code_concept(F.col("ik").cast("string")).isNotNull(), F.struct(F.lit("http://fhir.de/sid/arge-ik/iknr").alias("system"), F.col("ik").cast("string").alias("value")))
     own = F.struct(F.lit(system).alias("system"), F.col("org_id").cast("string").alias("value"))
-    return emit(x, "Organization", rid(kind, "org_id"), F.lit(None), active=~c.is_set(F.col("deleted")), type=F.array(fixed(HL7 + "organization-type", F.lit(type_code))) if type_code else F.lit(None).cast("string"), name=F.nullif(F.trim("name"), F.lit("")), identifier=some(ik, own), partOf=parent if parent is not None else F.lit(None).cast("string"))
+    return emit(x, "Organization", privacy.rid(kind, "org_id"), F.lit(None), active=~c.is_set(F.col("deleted")), type=F.array(fixed(HL7 + "organization-type", F.lit(type_code))) if type_code else F.lit(None).cast("string"), name=F.nullif(F.trim("name"), F.lit("")), identifier=some(ik, own), partOf=parent if parent is not None else F.lit(None).cast("string"))
 
 
 def practitioners(names: DataFrame, roles: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
@@ -232,18 +275,18 @@ def practitioners(names: DataFrame, roles: DataFrame, privacy: Privacy = CLEAR)
     df = names.withColumn("_n", F.lit(1)).join(roles.withColumn("_r", F.lit(1)), "person", "full")
     ids = some(F.when(F.col("_n") == 1, F.struct(F.lit(ISH + "gpart").alias("system"), F.col("person").cast("string").alias("value"))), F.when(F.col("_r") == 1, F.struct(F.lit(ISH + "pernr").alias("system"), F.col("person").cast("string").alias("value"))), F.when(c.code_concept(F.col("lanr")).isNotNull(), F.struct(F.lit("http://fhir.de/sid/kbv/lanr").alias("system"), F.col("lanr").alias("value"))))
     active = ~c.is_set(F.col("name_deleted")) & ~c.is_set(F.col("role_deleted"))
-    return emit(df, "Practitioner", rid("Practitioner", "person"), F.lit(None), active=active, identifier=F.array_distinct(ids), name=F.when(F.col("name").isNotNull(), F.array(F.struct(F.col("name").alias("family")))) if privacy.mode == "off" else F.lit(None).cast("string"), qualification=some(concept(ISH + "tnkfa", F.col("specialty"))))
+    return emit(df, "Practitioner", privacy.rid("Practitioner", "person"), F.lit(None), active=active, identifier=F.array_distinct(ids), name=F.when(F.col("name").isNotNull(), F.array(F.struct(F.col("name").alias("family")))) if privacy.mode == "off" else F.lit(None).cast("string"), qualification=some(concept(ISH + "tnkfa", F.col("specialty"))))
 
 
 def accounts(groups: DataFrame, members: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     """Billing groups with their leading case and reasons."""
-    ext = members.groupBy("grp").agg(F.array_sort(F.collect_set(F.struct(F.when(c.is_set(F.col("lead")), ISH + "apx-lead-encounter").otherwise(ISH + "apx-reason").alias("url"), F.when(c.is_set(F.col("lead")), ref("Encounter", "Encounter", "case_id")).alias("valueReference"), F.when(~c.is_set(F.col("lead")), F.col("reason")).alias("valueString")))).alias("_ext"))
+    ext = members.groupBy("grp").agg(F.array_sort(F.collect_set(F.struct(F.when(c.is_set(F.col("lead")), ISH + "apx-lead-encounter").otherwise(ISH + "apx-reason").alias("url"), F.when(c.is_set(F.col("lead")), privacy.ref("Encounter", "Encounter", "case_id")).alias("valueReference"), F.when(~c.is_set(F.col("lead")), F.col("reason")).alias("valueString")))).alias("_ext"))
     df = groups.join(ext, "grp", "left")
-    return emit(df, "Account", rid("Account", "grp"), privacy.patient(F.col("patient_id")), status=F.when(c.is_cancelled(F.col("group_cancelled")), "entered-in-error").otherwise("active"), type=fixed(HL7 + "v3-ActCode", F.lit("PBILLACCT")), identifier=F.array(F.struct(F.lit(ISH + "apxnr").alias("system"), F.col("grp").cast("string").alias("value"))), subject=F.array(ref("Patient", "Patient", "patient_id")), extension=F.col("_ext"))
+    return emit(df, "Account", privacy.rid("Account", "grp"), privacy.patient(F.col("patient_id")), status=F.when(c.is_cancelled(F.col("group_cancelled")), "entered-in-error").otherwise("active"), type=fixed(HL7 + "v3-ActCode", F.lit("PBILLACCT")), identifier=F.array(F.struct(F.lit(ISH + "apxnr").alias("system"), F.col("grp").cast("string").alias("value"))), subject=F.array(privacy.ref("Patient", "Patient", "patient_id")), extension=F.col("_ext"))
 
 
 def orders(x: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     """Clinical orders; requested by a person, else by a unit; notes de-identified."""
     pid = F.col("patient_id")
     note = privacy.text(F.nullif(F.trim("note"), F.lit("")))
-    return emit(x, "ServiceRequest", rid("ServiceRequest", "order_id"), privacy.patient(pid), status=F.when(_wrong(), "revoked").otherwise("active"), intent=F.lit("order"), code=F.struct(F.col("title").alias("text")), subject=ref("Patient", "Patient", "patient_id"), requester=F.coalesce(ref("Practitioner", "Practitioner", "person"), ref("Organization", "OrgUnit", "unit")), authoredOn=privacy.date(pid, F.col("day").cast("string")), note=F.when(note.isNotNull(), F.array(F.struct(note.alias("text")))))
+    return emit(x, "ServiceRequest", privacy.rid("ServiceRequest", "order_id"), privacy.patient(pid), status=F.when(_wrong(), "revoked").otherwise("active"), intent=F.lit("order"), code=F.struct(F.col("title").alias("text")), subject=privacy.ref("Patient", "Patient", "patient_id"), requester=F.coalesce(privacy.ref("Practitioner", "Practitioner", "person"), privacy.ref("Organization", "OrgUnit", "unit")), authoredOn=privacy.date(pid, F.col("day").cast("string")), note=F.when(note.isNotNull(), F.array(F.struct(note.alias("text")))))

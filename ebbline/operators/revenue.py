@@ -10,13 +10,25 @@ DAY_CLASSES, QUANTITY_CLASSES = ("E11", "E12"), ("E2", "E32", "NUB")
 
 
 def classify(charges: DataFrame, rules: DataFrame) -> DataFrame:
-    """Charges with billing system, care type and billable mark of their class, from a rule table (class, system, care, billable)."""
-    return charges.join(rules, "class", "left").withColumn("billable", F.coalesce("billable", F.lit(0)))
+    """Charges with billing system, care type, statistic class and billable mark from a rule table (class, flag, system, care, statistic, billable).
+
+    The rule of the charge's class and flag decides, else the one of its class
+    with flag *; without a rule the charge is not billable and the rest null.
+    """
+    found = ("system", "care", "statistic", "billable")
+    exact = rules.where("flag <> '*'").select("class", "flag", *[F.col(c).alias(f"_e_{c}") for c in found], F.lit(True).alias("_hit"))
+    wild = rules.where("flag = '*'").select("class", *[F.col(c).alias(f"_w_{c}") for c in found])
+    rows = charges.join(exact, ["class", "flag"], "left").join(wild, "class", "left")
+    own = [F.when(F.col("_hit"), F.col(f"_e_{c}")).otherwise(F.col(f"_w_{c}")).alias(c) for c in found[:3]]
+    billable = F.coalesce(F.when(F.col("_hit"), F.col("_e_billable")).otherwise(F.col("_w_billable")), F.lit(0)).alias("billable")
+    return rows.select(*charges.columns, *own, billable)
 
 
 def derive(charges: DataFrame) -> DataFrame:
-    """Amount, planned mark, cost centre digits and a flag text."""
-    return charges.select("*", F.round(F.col("price") * (1 - F.col("discount")), 4).alias("net"), (F.col("discount") > 0).cast("int").alias("is_discounted"), F.concat_ws("-", "class", "flag").alias("flag_text"), F.date_add("day", F.col("quantity").cast("int")).alias("end_day"))
+    """Amount, discount mark, planned mark, cost centre (the first run of four or more digits of the note), flag text and the day it ends."""
+    centre = F.nullif(F.regexp_extract(F.coalesce("note", F.lit("")), "([0-9]{4,})", 1), F.lit(""))
+    net = F.round(F.col("price") * (1 - F.col("discount")), 4)
+    return charges.select("*", net.alias("net"), (F.col("discount") > 0).cast("int").alias("is_discounted"), F.coalesce(F.col("planned") == "P", F.lit(False)).cast("int").alias("is_planned"), centre.alias("centre"), F.concat_ws("-", "class", "flag").alias("flag_text"), F.date_add("day", F.col("quantity").cast("int")).alias("end_day"))
 
 
 def catalog_value(c: Column, scale: int) -> Column:

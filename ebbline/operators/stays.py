@@ -11,17 +11,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_cancelled
+from .history import islands
 
 
 def derive(m: DataFrame) -> DataFrame:
-    """Real end, unknown-end mark, duration in hours and days, and the category marks, named after what they test."""
+    """Real end, unknown-end mark, duration in hours and days, planned mark and time, and the category marks, named after what they test."""
     k, end, off = F.col("kind"), F.when(F.year("end_ts") != 9999, F.col("end_ts")), is_cancelled(F.col("cancelled"))
     hours = ((F.unix_timestamp(end) - F.unix_timestamp("begin_ts")) / 3600).cast("long")
     mark = lambda c: F.coalesce(c, F.lit(False)).cast("int")
     return m.select(
         "*", end.alias("real_end"), mark(F.col("end_ts").isNull() | (F.year("end_ts") == 9999)).alias("end_unknown"), hours.alias("hours"), F.datediff(end, "begin_ts").alias("days"), mark(k == "1").alias("is_admission"), mark(k == "2").alias("is_discharge"),
         mark((k == "1") & off).alias("is_cancelled_admission"), mark((k == "2") & off).alias("is_cancelled_discharge"), mark((k == "4") & ~F.col("art").isin("VB", "AO") & off).alias("is_cancelled_ambulatory"),
-        mark((F.col("art") == "VB") & off).alias("is_cancelled_prestationary"), mark((F.col("art") == "AO") & off).alias("is_cancelled_day_surgery"), mark((k == "1") & F.col("reason").isin("01", "02", "08")).alias("is_audit_relevant"),
+        mark((F.col("art") == "VB") & off).alias("is_cancelled_prestationary"), mark((F.col("art") == "AO") & off).alias("is_cancelled_day_surgery"), mark((k == "1") & (F.col("day_patient") == 1) & off).alias("is_cancelled_day_patient"),
+        mark((k == "1") & F.col("reason").isin("01", "02", "08")).alias("is_audit_relevant"), mark(F.col("planned") == "P").alias("is_planned"), F.when(F.col("planned") == "P", F.col("planned_ts")).alias("planned_at"),
     )
 
 
@@ -44,7 +46,7 @@ def with_case(m: DataFrame, cases: DataFrame, merged: DataFrame) -> DataFrame:
 def movements_of_stays(m: DataFrame) -> DataFrame:
     """Live movements of in-patient kinds, one row per number and kind with the latest begin and end (the begin where none)."""
     live = m.where(~is_cancelled(F.col("cancelled")) & F.col("kind").isin("1", "2", "3", "6", "7"))
-    return live.groupBy("case_id", "number", "kind").agg(F.max("begin_ts").alias("begin_ts"), F.max(F.coalesce("end_ts", "begin_ts")).alias("end_ts"), F.max("art").alias("art"), F.max("reason").alias("reason"), F.max("dept").alias("dept"))
+    return live.groupBy("case_id", "number", "kind").agg(F.max("begin_ts").alias("begin_ts"), F.max(F.coalesce("end_ts", "begin_ts")).alias("end_ts"), F.max("art").alias("art"), F.max("reason").alias("reason"), F.max("to_hospital").alias("external"))
 
 
 def pairs(s: DataFrame, *, now) -> DataFrame:
@@ -77,20 +79,24 @@ def prev_next(s: DataFrame) -> DataFrame:
     )
 
 
-def case_flags(m: DataFrame) -> DataFrame:
-    """Per case whether it is paid by DRG or by day (PEPP), and other marks of its movements."""
-    pepp = F.col("case_id") % 3 == 0
-    return m.groupBy("case_id").agg(F.max(pepp.cast("int")).alias("pepp"), F.max((~pepp).cast("int")).alias("drg"), F.max((F.col("dept") == 3).cast("int")).alias("from_hospital"), F.max((F.col("dept") == 7).cast("int")).alias("to_hospital"), F.max((F.col("art") == "VB").cast("int")).alias("prestationary"), F.max(F.col("reason")).alias("label"))
+#: Marks of movements that a case carries if any of its movements does.
+FLAGS = ("died", "newborn", "delivery", "companion", "companion_medical", "from_hospital", "to_hospital", "prestationary", "poststationary", "day_patient", "ambulatory_surgery", "surgery", "emergency")
+
+
+def case_flags(m: DataFrame, flags: tuple[str, ...] = FLAGS) -> DataFrame:
+    """Per case whether some movement is paid by day (PEPP) or by DRG (column ``system``), each flag (0 or 1; null as 0) and the largest label."""
+    paid = lambda name: F.max(F.coalesce(F.col("system") == name, F.lit(False)).cast("int"))
+    return m.groupBy("case_id").agg(paid("PEPP").alias("pepp"), paid("DRG").alias("drg"), *[F.max(F.coalesce(f, F.lit(0))).alias(f) for f in flags], F.max("label").alias("label"))
 
 
 def blocks(p: DataFrame) -> DataFrame:
-    """Gap-free blocks of a case: a new one at a day gap or at leave; with first and last movement and what follows."""
+    """Gap-free blocks of a case: a new one at a day gap or at leave; with first and last movement and what follows (``external``: whether that leaves the house)."""
     w = Window.partitionBy("case_id").orderBy("begin_ts", "kind", "number").rowsBetween(Window.unboundedPreceding, 0)
     z = p.where("gap >= 0").withColumn("block", (F.sum(((F.col("gap") != 0) | F.col("kind").isin("6", "7")).cast("int")).over(w) + 1).cast("long"))
-    nxt = z.select("case_id", F.col("number").alias("next_number"), F.when(F.col("kind").isin("2", "6"), F.col("art")).alias("next_art"), ((F.col("kind") == "6") & (F.datediff("end_ts", "begin_ts") == 0)).cast("int").alias("next_day0"), (F.col("dept") == 7).cast("int").alias("next_external"))
+    nxt = z.select("case_id", F.col("number").alias("next_number"), F.when(F.col("kind").isin("2", "6"), F.col("art")).alias("next_art"), ((F.col("kind") == "6") & (F.datediff("end_ts", "begin_ts") == 0)).cast("int").alias("next_day0"), F.col("external").alias("next_external"))
     z = z.join(nxt, ["case_id", "next_number"], "left")
     first = F.struct("pos", "number", "kind", "begin_ts", "gap", "prev_end", "reason")
-    last = F.struct(F.col("pos"), F.col("number"), F.col("kind"), F.col("end_ts"), F.col("art"), F.col("next_art"), F.col("next_day0"), F.coalesce("next_external", (F.col("dept") == 7).cast("int")).alias("external"), F.col("next_begin"))
+    last = F.struct(F.col("pos"), F.col("number"), F.col("kind"), F.col("end_ts"), F.col("art"), F.col("next_art"), F.col("next_day0"), F.coalesce("next_external", "external").alias("external"), F.col("next_begin"))
     g = z.where("kind <> '6'").groupBy("case_id", "block").agg(F.max_by(first, "pos").alias("a"), F.min_by(last, "pos").alias("z"))
     whole = z.groupBy("case_id").agg(F.min("begin_ts").alias("admitted"), F.max("end_ts").alias("discharged"), F.min_by("reason", F.struct("begin_ts", "number")).alias("admission_reason"), F.max("reason").alias("discharge_reason"))
     return g.join(whole, "case_id").select(
@@ -140,3 +146,17 @@ def month_rates(months: DataFrame, rates: DataFrame) -> DataFrame:
     """Months with the base rate valid on their first day: an equi-join by year, then the range."""
     r = rates.select(F.explode(F.sequence(F.year("valid_from"), F.year("valid_to"))).alias("_y"), "valid_from", "valid_to", "rate")
     return months.withColumn("_y", F.year("month")).join(r, "_y", "left").where(F.col("rate").isNull() | F.col("month").between(F.col("valid_from"), F.col("valid_to"))).drop("_y", "valid_from", "valid_to")
+
+
+def month_versions(versions: DataFrame, rates: DataFrame, *, values: list[str]) -> DataFrame:
+    """Versions (case_id, month, valid_from, valid_to, admitted, values) with adjacent ones of equal values as one, ranked newest first, and the base rate valid on the day of admission.
+
+    Values are compared by their hash; a null is a value of its own.
+    """
+    hashed = versions.withColumn("hash_id", F.sha1(F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(v).cast("string")), F.lit("~")) for v in (*values, "admitted")])))
+    whole = islands(hashed, ["case_id", "month"], value="hash_id", unit="DAY").drop("n")
+    figures = hashed.groupBy("case_id", "month", "hash_id").agg(*[F.max(v).alias(v) for v in (*values, "admitted")])
+    out = whole.join(figures, ["case_id", "month", "hash_id"]).withColumn("version", F.dense_rank().over(Window.partitionBy("case_id", "month").orderBy(F.desc("valid_from"))))
+    r = rates.select(F.explode(F.sequence(F.year("valid_from"), F.year("valid_to"))).alias("_y"), F.col("valid_from").alias("_a"), F.col("valid_to").alias("_z"), "rate")
+    day = F.to_date("admitted")
+    return out.withColumn("_y", F.year(day)).join(r, "_y", "left").where(F.col("rate").isNull() | day.between(F.col("_a"), F.col("_z"))).drop("_y", "_a", "_z")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import revenue as rv
+from ..operators.merging import case_derive
+from ..operators.stays import case_flags
 from .base import duck, view
-from .care import _LOS, _MS, _RATE, los, months
+from .care import _LOS, _MS, _OFF_DAYS, _RATE, los, months
 
 QUERIES, SQL = {}, {}
 
@@ -21,16 +23,20 @@ def query(sql: str | None = None, *names: str):
     return put
 
 
-@query(", r AS (SELECT DISTINCT class, CASE WHEN class IN ('E11', 'E12') THEN 'PEPP' ELSE 'DRG' END AS system, CASE WHEN class = 'E1' THEN 'main' ELSE 'other' END AS care, CASE WHEN class = 'NUB' THEN NULL ELSE 1 END AS bi FROM charges) SELECT charge_id, c.class, system, care, coalesce(bi, 0) AS billable FROM charges c LEFT JOIN r USING (class)", "charges")
+@query("""SELECT charge_id, class, flag, CASE WHEN class IN ('E11', 'E12') THEN 'PEPP' ELSE 'DRG' END AS system, CASE WHEN class = 'E1' AND flag = 'A' THEN 'attending' WHEN class = 'E1' THEN 'main' ELSE 'other' END AS care,
+CASE WHEN class = 'E1' AND flag = 'A' THEN 'E1B' ELSE class END AS statistic, CASE WHEN class = 'NUB' OR (class = 'E33' AND flag = 'R') THEN 0 ELSE 1 END AS billable FROM charges""", "charges")
 def charge_classify(spark, d):
     c = view(spark, d, "charges")
-    rules = c.select("class").distinct().select("class", F.when(F.col("class").isin("E11", "E12"), "PEPP").otherwise("DRG").alias("system"), F.when(F.col("class") == "E1", "main").otherwise("other").alias("care"), F.when(F.col("class") != "NUB", 1).alias("billable"))
-    return rv.classify(c, rules).select("charge_id", "class", "system", "care", "billable")
+    k = F.col("class")
+    whole = c.select("class").distinct().select("class", F.lit("*").alias("flag"), F.when(k.isin("E11", "E12"), "PEPP").otherwise("DRG").alias("system"), F.when(k == "E1", "main").otherwise("other").alias("care"), k.alias("statistic"), F.when(k != "NUB", 1).alias("billable"))
+    special = c.where("(class = 'E1' and flag = 'A') or (class = 'E33' and flag = 'R')").select("class", "flag").distinct()
+    special = special.select("class", "flag", F.lit("DRG").alias("system"), F.when(k == "E1", "attending").otherwise("other").alias("care"), F.when(k == "E1", "E1B").otherwise(k).alias("statistic"), F.when(k == "E1", 1).alias("billable"))
+    return rv.classify(c, whole.unionByName(special)).select("charge_id", "class", "flag", "system", "care", "statistic", "billable")
 
 
-@query("SELECT charge_id, round(price * (1 - discount), 4) AS net, CASE WHEN discount > 0 THEN 1 ELSE 0 END AS is_discounted, class || '-' || flag AS flag_text, day + CAST(quantity AS INTEGER) AS end_day FROM charges", "charges")
+@query("SELECT charge_id, round(price * (1 - discount), 4) AS net, CASE WHEN discount > 0 THEN 1 ELSE 0 END AS is_discounted, CASE WHEN planned = 'P' THEN 1 ELSE 0 END AS is_planned, substr(note, 5, length(note) - 6) AS centre, class || '-' || flag AS flag_text, day + CAST(quantity AS INTEGER) AS end_day FROM charges", "charges")
 def charge_derive(spark, d):
-    return rv.derive(view(spark, d, "charges")).select("charge_id", "net", "is_discounted", "flag_text", "end_day")
+    return rv.derive(view(spark, d, "charges")).select("charge_id", "net", "is_discounted", "is_planned", "centre", "flag_text", "end_day")
 
 
 _RAW = "CASE WHEN code_id % 4 = 0 THEN 'none' WHEN code_id % 3 = 0 THEN CAST(size * 1000 + code_id % 1000 AS {0}) || '-' ELSE ' ' || CAST(size AS {0}) || ',' || CAST(code_id % 10 AS {0}) END"
@@ -42,7 +48,7 @@ def catalog_value_clean(spark, d):
 
 
 _W = ", wt AS (SELECT code_id, low, low + 29 AS high, round(0.5 + size * 0.01 + low * 0.001, 4) AS weight FROM codes, (SELECT unnest([0, 30, 60, 90]) AS low))"
-_PM = _MS + _RATE + ", lo AS (SELECT case_id, CAST(sum(block_days + last_day) - max(case_id % 3) AS BIGINT) AS los FROM ld GROUP BY case_id)" + _W + """, mv AS (SELECT c.case_id, charge_id, c.code_id, class, ms.month, weight, round(weight * CASE WHEN class = 'E11' THEN CAST(ms.occupancy_days AS DOUBLE) ELSE quantity END, 4) AS month_weight, round(weight * CASE WHEN class = 'E11' THEN CAST(ms.occupancy_days AS DOUBLE) ELSE quantity END * rate, 4) AS month_amount
+_PM = _MS + _RATE + _OFF_DAYS + ", lo AS (SELECT case_id, CAST(sum(block_days + last_day) - max(nb_audit) AS BIGINT) AS los FROM ld LEFT JOIN nb USING (case_id) GROUP BY case_id)" + _W + """, mv AS (SELECT c.case_id, charge_id, c.code_id, class, ms.month, weight, round(weight * CASE WHEN class = 'E11' THEN CAST(ms.occupancy_days AS DOUBLE) ELSE quantity END, 4) AS month_weight, round(weight * CASE WHEN class = 'E11' THEN CAST(ms.occupancy_days AS DOUBLE) ELSE quantity END * rate, 4) AS month_amount
 FROM charges c JOIN lo USING (case_id) LEFT JOIN wt ON wt.code_id = c.code_id AND los BETWEEN low AND high JOIN ms USING (case_id) LEFT JOIN ra ON year(ms.month) = y WHERE class IN ('E11', 'E12'))"""
 
 
@@ -63,14 +69,12 @@ def pepp_rollup(spark, d):
 
 
 # One row per charge with the case's figures and the catalog chosen by day: admission charges (class E1) by the admission's day, others by the discharge's.
-_PRE = _LOS + """, rate AS (SELECT year(begin_date) AS y, CAST(count(*) % 97 + 2900 AS DOUBLE) AS base FROM cases GROUP BY 1), pre AS (SELECT c.case_id, c.charge_id, c.class, c.quantity, c.price AS unit_value, lo.los, lo.treatment_days, case_id % 3 AS nb_audit, case_id % 2 AS nb_care, CASE WHEN class = 'E1' THEN year(lo.admitted) ELSE year(lo.discharged) END AS y,
+_PRE = _LOS + """, rate AS (SELECT year(begin_date) AS y, CAST(count(*) % 97 + 2900 AS DOUBLE) AS base FROM cases GROUP BY 1), pre AS (SELECT c.case_id, c.charge_id, c.class, c.quantity, c.price AS unit_value, lo.los, lo.treatment_days, nb_audit, nb_care, CASE WHEN class = 'E1' THEN year(lo.admitted) ELSE year(lo.discharged) END AS y,
  k.size * 0.05 + 0.2 AS weight, k.size % 5 + 1 AS low, k.size % 5 + 4.4 AS mean, k.size % 5 + 12 AS high, 0.11 AS low_rate, 0.07 AS high_rate, 0.09 AS transfer_rate, k.code_id % 2 AS flat, CASE WHEN fl.from_hospital = 1 THEN 1 ELSE 0 END AS admit_ext, CASE WHEN fl.to_hospital = 1 THEN 1 ELSE 0 END AS disch_ext, k.code_id % 9 AS formula, CASE WHEN k.code_id % 4 = 0 THEN 0 ELSE k.size * 0.01 END AS care_weight, 140.5 AS care_rate
- FROM charges c JOIN lo USING (case_id) JOIN fl USING (case_id) JOIN codes k USING (code_id)), pc AS (SELECT pre.*, base FROM pre LEFT JOIN rate USING (y))"""
+ FROM charges c JOIN lo USING (case_id) JOIN fl USING (case_id) LEFT JOIN nb USING (case_id) JOIN codes k USING (code_id)), pc AS (SELECT pre.*, base FROM pre LEFT JOIN rate USING (y))"""
 
 
 def pre_cube(spark, d):
-    from ..operators.stays import case_flags
-
     c = view(spark, d, "charges").select("case_id", "charge_id", "code_id", "class", "quantity", F.col("price").alias("unit_value"))
     stay = los(spark, d).select("case_id", "los", "treatment_days", "admitted", "discharged")
     flags = case_flags(view(spark, d, "movements")).select("case_id", F.col("from_hospital").alias("admit_ext"), F.col("to_hospital").alias("disch_ext"))
@@ -78,7 +82,8 @@ def pre_cube(spark, d):
     cat = k.select("code_id", (F.col("size") * 0.05 + 0.2).alias("weight"), (F.col("size") % 5 + 1).alias("low"), (F.col("size") % 5 + 4.4).alias("mean"), (F.col("size") % 5 + 12).alias("high"), F.lit(0.11).alias("low_rate"), F.lit(0.07).alias("high_rate"), F.lit(0.09).alias("transfer_rate"), (F.col("code_id") % 2).alias("flat"), (F.col("code_id") % 9).alias("formula"), F.when(F.col("code_id") % 4 == 0, 0.0).otherwise(F.col("size") * 0.01).alias("care_weight"), F.lit(140.5).alias("care_rate"))
     rates = view(spark, d, "cases").groupBy(F.year("begin_date").alias("y")).agg((F.count("*") % 97 + 2900).cast("double").alias("base"))
     out = c.join(stay, "case_id").join(flags, "case_id").join(cat, "code_id").withColumn("y", F.when(F.col("class") == "E1", F.year("admitted")).otherwise(F.year("discharged")))
-    return out.withColumns({"nb_audit": F.col("case_id") % 3, "nb_care": F.col("case_id") % 2}).join(rates, "y", "left")
+    off = case_derive(view(spark, d, "cases")).select("case_id", "nb_audit", "nb_care")
+    return out.join(off, "case_id", "left").join(rates, "y", "left")
 
 
 _T = ("movements", "cases", "charges", "codes")

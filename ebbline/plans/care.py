@@ -28,19 +28,22 @@ def query(sql: str | None = None, *names: str):
 
 @query(f"""SELECT case_id, number, end_ts AS real_end, CASE WHEN end_ts IS NULL THEN 1 ELSE 0 END AS end_unknown, CAST(floor((epoch(end_ts) - epoch(begin_ts)) / 3600) AS BIGINT) AS hours, CAST(CAST(end_ts AS DATE) - CAST(begin_ts AS DATE) AS INTEGER) AS days, CASE WHEN kind = '1' THEN 1 ELSE 0 END AS is_admission, CASE WHEN kind = '2' THEN 1 ELSE 0 END AS is_discharge,
 CASE WHEN kind = '1' AND {OFF} THEN 1 ELSE 0 END AS is_cancelled_admission, CASE WHEN kind = '2' AND {OFF} THEN 1 ELSE 0 END AS is_cancelled_discharge, CASE WHEN kind = '4' AND art NOT IN ('VB', 'AO') AND {OFF} THEN 1 ELSE 0 END AS is_cancelled_ambulatory, CASE WHEN art = 'VB' AND {OFF} THEN 1 ELSE 0 END AS is_cancelled_prestationary,
-CASE WHEN art = 'AO' AND {OFF} THEN 1 ELSE 0 END AS is_cancelled_day_surgery, CASE WHEN kind = '1' AND reason IN ('01', '02', '08') THEN 1 ELSE 0 END AS is_audit_relevant FROM movements""", "movements")
+CASE WHEN art = 'AO' AND {OFF} THEN 1 ELSE 0 END AS is_cancelled_day_surgery, CASE WHEN kind = '1' AND day_patient = 1 AND {OFF} THEN 1 ELSE 0 END AS is_cancelled_day_patient,
+CASE WHEN kind = '1' AND reason IN ('01', '02', '08') THEN 1 ELSE 0 END AS is_audit_relevant, CASE WHEN planned = 'P' THEN 1 ELSE 0 END AS is_planned, planned_ts AS planned_at FROM movements""", "movements")
 def mov_derive(spark, d):
-    return st.derive(view(spark, d, "movements")).drop("kind", "begin_ts", "end_ts", "ward", "dept", "art", "reason", "cancelled")
+    m = view(spark, d, "movements")
+    return st.derive(m).drop(*[c for c in m.columns if c not in ("case_id", "number")])
 
 
 def _centres(spark, d):
-    u = view(spark, d, "units")
-    exact = u.where("unit_id % 3 = 0").select((F.col("unit_id") % 10).alias("dept"), F.col("unit_id").cast("string").alias("ward_key"), F.concat(F.lit("W"), "unit_id").alias("centre"))
-    return exact.unionByName(u.where("unit_id between 1 and 9").select((F.col("unit_id") % 10).alias("dept"), F.lit("*").alias("ward_key"), F.concat(F.lit("D"), "unit_id").alias("centre")))
+    """Wards of houses below 12 have a cost centre of their own; each department has one of the other houses'."""
+    u = view(spark, d, "units").withColumn("dept", F.col("unit_id") % 10)
+    exact = u.where("house < 12").select("dept", F.col("unit_id").cast("string").alias("ward_key"), F.concat(F.lit("W"), "unit_id").alias("centre"))
+    return exact.unionByName(u.where("house >= 12").groupBy("dept").agg(F.concat(F.lit("D"), F.min("unit_id")).alias("centre")).select("dept", F.lit("*").alias("ward_key"), "centre"))
 
 
-@query(f""", real AS (SELECT DISTINCT case_id FROM movements WHERE kind = '1' AND NOT {OFF}), o AS (SELECT case_id, max(CASE WHEN kind = '2' THEN 1 ELSE 0 END) AS discharged FROM movements WHERE NOT {OFF} GROUP BY 1)
-SELECT m.case_id, m.number, discharged, c.patient_id, u.unit_name, CASE WHEN ward % 3 = 0 AND u.unit_id IS NOT NULL AND ward % 10 = dept THEN 'W' || ward WHEN dept BETWEEN 1 AND 9 AND dept IN (SELECT unit_id FROM units) THEN 'D' || dept END AS centre FROM movements m JOIN real USING (case_id) LEFT JOIN o USING (case_id) LEFT JOIN cases c USING (case_id) LEFT JOIN units u ON m.ward = u.unit_id""", "movements", "cases", "units")
+@query(f""", real AS (SELECT DISTINCT case_id FROM movements WHERE kind = '1' AND NOT {OFF}), o AS (SELECT case_id, max(CASE WHEN kind = '2' THEN 1 ELSE 0 END) AS discharged FROM movements WHERE NOT {OFF} GROUP BY 1), w AS (SELECT unit_id % 10 AS dept, 'D' || min(unit_id) AS centre FROM units WHERE house >= 12 GROUP BY 1)
+SELECT m.case_id, m.number, discharged, c.patient_id, u.unit_name, CASE WHEN u.house < 12 AND ward % 10 = m.dept THEN 'W' || ward ELSE w.centre END AS centre FROM movements m JOIN real USING (case_id) LEFT JOIN o USING (case_id) LEFT JOIN cases c USING (case_id) LEFT JOIN units u ON m.ward = u.unit_id LEFT JOIN w ON w.dept = m.dept""", "movements", "cases", "units")
 def mov_cube(spark, d):
     return st.cube(view(spark, d, "movements"), view(spark, d, "cases"), view(spark, d, "units"), _centres(spark, d)).select("case_id", "number", "discharged", "patient_id", "unit_name", "centre")
 
@@ -50,7 +53,7 @@ def mov_with_case(spark, d):
     return st.with_case(view(spark, d, "movements").select("case_id", "number"), view(spark, d, "cases"), members(spark, d))
 
 
-_S = f""", s AS (SELECT case_id, number, kind, max(begin_ts) AS b, max(coalesce(end_ts, begin_ts)) AS e, max(art) AS art, max(reason) AS reason, max(dept) AS dept FROM movements WHERE NOT {OFF} AND kind IN ('1', '2', '3', '6', '7') GROUP BY 1, 2, 3)"""
+_S = f""", s AS (SELECT case_id, number, kind, max(begin_ts) AS b, max(coalesce(end_ts, begin_ts)) AS e, max(art) AS art, max(reason) AS reason, max(to_hospital) AS ext FROM movements WHERE NOT {OFF} AND kind IN ('1', '2', '3', '6', '7') GROUP BY 1, 2, 3)"""
 
 
 def _s(spark, d):
@@ -78,7 +81,8 @@ def stay_prev_next(spark, d):
     return st.prev_next(_s(spark, d)).select("case_id", "number", "next_number", "gap", "prev_end", "next_begin", "pos")
 
 
-_FLAGS = ", fl AS (SELECT case_id, max(CASE WHEN case_id % 3 = 0 THEN 1 ELSE 0 END) AS pepp, max(CASE WHEN case_id % 3 <> 0 THEN 1 ELSE 0 END) AS drg, max(CASE WHEN dept = 3 THEN 1 ELSE 0 END) AS from_hospital, max(CASE WHEN dept = 7 THEN 1 ELSE 0 END) AS to_hospital, max(CASE WHEN art = 'VB' THEN 1 ELSE 0 END) AS prestationary, max(reason) AS label FROM movements GROUP BY 1)"
+_FLAGS = ", fl AS (SELECT case_id, max(CASE WHEN system = 'PEPP' THEN 1 ELSE 0 END) AS pepp, max(CASE WHEN system = 'DRG' THEN 1 ELSE 0 END) AS drg, " + ", ".join(f"max({f}) AS {f}" for f in st.FLAGS) + ", max(label) AS label FROM movements GROUP BY 1)"
+_OFF_DAYS = ", nb AS (SELECT case_id, coalesce(days_off_audit, days_off) AS nb_audit, CASE WHEN days_off_audit IS NULL THEN 0 ELSE days_off END AS nb_care FROM cases)"
 
 
 @query(_FLAGS + " SELECT * FROM fl", "movements")
@@ -87,9 +91,9 @@ def stay_case_flags(spark, d):
 
 
 _B = _P + """, z0 AS (SELECT *, CAST(sum(CASE WHEN gap <> 0 OR kind IN ('6', '7') THEN 1 ELSE 0 END) OVER (PARTITION BY case_id ORDER BY b, kind, number ROWS UNBOUNDED PRECEDING) + 1 AS BIGINT) AS block FROM p WHERE gap >= 0),
-z AS (SELECT z0.*, CASE WHEN n.kind IN ('2', '6') THEN n.art END AS next_art, CASE WHEN n.number IS NULL THEN NULL WHEN n.kind = '6' AND CAST(n.e AS DATE) = CAST(n.b AS DATE) THEN 1 ELSE 0 END AS next_day0, CASE WHEN n.number IS NULL THEN NULL WHEN n.dept = 7 THEN 1 ELSE 0 END AS next_ext FROM z0 LEFT JOIN z0 n ON z0.case_id = n.case_id AND z0.nn = n.number),
+z AS (SELECT z0.*, CASE WHEN n.kind IN ('2', '6') THEN n.art END AS next_art, CASE WHEN n.number IS NULL THEN NULL WHEN n.kind = '6' AND CAST(n.e AS DATE) = CAST(n.b AS DATE) THEN 1 ELSE 0 END AS next_day0, n.ext AS next_ext FROM z0 LEFT JOIN z0 n ON z0.case_id = n.case_id AND z0.nn = n.number),
 g AS (SELECT case_id, block, max(pos) AS mx, min(pos) AS mn FROM z WHERE kind <> '6' GROUP BY 1, 2), w AS (SELECT case_id, min(b) AS admitted, max(e) AS discharged, min_by(reason, (b, number)) AS admission_reason, max(reason) AS discharge_reason FROM z GROUP BY 1),
-bl AS (SELECT g.case_id, g.block, a.number AS start_number, a.kind AS start_kind, a.b AS start_ts, a.gap AS start_gap, a.pe AS prev_end, y.number AS end_number, y.e AS end_ts, y.art AS end_art, y.next_art, y.next_day0, coalesce(y.next_ext, CASE WHEN y.dept = 7 THEN 1 ELSE 0 END) AS external, CASE WHEN y.kind = '2' THEN 1 ELSE 0 END AS is_last,
+bl AS (SELECT g.case_id, g.block, a.number AS start_number, a.kind AS start_kind, a.b AS start_ts, a.gap AS start_gap, a.pe AS prev_end, y.number AS end_number, y.e AS end_ts, y.art AS end_art, y.next_art, y.next_day0, coalesce(y.next_ext, y.ext) AS external, CASE WHEN y.kind = '2' THEN 1 ELSE 0 END AS is_last,
   CAST(CAST(y.e AS DATE) - CAST(a.b AS DATE) AS INTEGER) AS block_days, admitted, discharged, admission_reason, discharge_reason FROM g JOIN z a ON a.case_id = g.case_id AND a.pos = g.mx JOIN z y ON y.case_id = g.case_id AND y.pos = g.mn JOIN w ON w.case_id = g.case_id)"""
 
 
@@ -119,14 +123,15 @@ def stay_last_day_rules(spark, d):
     return _ld(spark, d).select("case_id", "block", *[f"rule{i}" for i in range(1, 8)], "last_day")
 
 
-_LOS = _L + ", lo AS (SELECT case_id, CAST(sum(block_days) AS BIGINT) AS treatment_days, CAST(sum(block_days + last_day) AS BIGINT) AS occupancy_days, max(case_id % 3) AS not_billable, min(admitted) AS admitted, max(discharged) AS discharged, CAST(sum(block_days + last_day) - max(case_id % 3) AS BIGINT) AS los FROM ld GROUP BY case_id)"
+_LOS = _L + _OFF_DAYS + ", lo AS (SELECT case_id, CAST(sum(block_days) AS BIGINT) AS treatment_days, CAST(sum(block_days + last_day) AS BIGINT) AS occupancy_days, max(nb_audit) AS not_billable, min(admitted) AS admitted, max(discharged) AS discharged, CAST(sum(block_days + last_day) - max(nb_audit) AS BIGINT) AS los FROM ld LEFT JOIN nb USING (case_id) GROUP BY case_id)"
 
 
 def los(spark, d):
-    return st.length_of_stay(_ld(spark, d), not_billable=F.col("case_id") % 3)
+    off = mg.case_derive(view(spark, d, "cases")).select("case_id", "nb_audit")
+    return st.length_of_stay(_ld(spark, d).join(off, "case_id", "left"), not_billable=F.col("nb_audit"))
 
 
-@query(_LOS + " SELECT * FROM lo", "movements")
+@query(_LOS + " SELECT * FROM lo", "movements", "cases")
 def stay_los(spark, d):
     return los(spark, d)
 
@@ -152,15 +157,29 @@ def los_month_split(spark, d):
 _RATE = ", ra AS (SELECT year(begin_date) AS y, CAST(count(*) % 97 + 200 AS DOUBLE) AS rate FROM cases GROUP BY 1)"
 
 
-def months(spark, d):
+def _rates(spark, d):
     rates = view(spark, d, "cases").groupBy(F.year("begin_date").alias("y")).agg((F.count("*") % 97 + 200).cast("double").alias("rate"))
-    rates = rates.select(F.make_date("y", F.lit(1), F.lit(1)).alias("valid_from"), F.make_date("y", F.lit(12), F.lit(31)).alias("valid_to"), "rate")
-    return st.month_rates(st.month_split(_ld(spark, d)), rates)
+    return rates.select(F.make_date("y", F.lit(1), F.lit(1)).alias("valid_from"), F.make_date("y", F.lit(12), F.lit(31)).alias("valid_to"), "rate")
+
+
+def months(spark, d):
+    return st.month_rates(st.month_split(_ld(spark, d)), _rates(spark, d))
+
+
+_VERS = """, ad AS (SELECT case_id, min(admitted) AS admitted FROM ld GROUP BY 1), ve AS (SELECT ms.case_id, month, admitted, treatment_days, CAST(0 AS BIGINT) AS last_days, treatment_days AS occupancy_days, 1 AS step FROM ms JOIN ad USING (case_id) UNION ALL SELECT ms.case_id, month, admitted, treatment_days, last_days, occupancy_days, 2 FROM ms JOIN ad USING (case_id)),
+vj AS (SELECT case_id, month, admitted, treatment_days, last_days, occupancy_days, min(CASE step WHEN 1 THEN DATE '2000-01-01' ELSE DATE '2010-01-01' END) AS valid_from, max(CASE step WHEN 1 THEN DATE '2009-12-31' ELSE DATE '2099-12-31' END) AS valid_to FROM ve GROUP BY 1, 2, 3, 4, 5, 6)
+SELECT vj.*, sha1('=' || treatment_days || '|=' || last_days || '|=' || occupancy_days || '|=' || strftime(admitted, '%Y-%m-%d %H:%M:%S')) AS hash_id, CAST(dense_rank() OVER (PARTITION BY case_id, month ORDER BY valid_from DESC) AS INTEGER) AS version, rate FROM vj LEFT JOIN ra ON year(admitted) = y"""
 
 
-@query(_MS + _RATE + " SELECT ms.*, rate FROM ms LEFT JOIN ra ON year(month) = y", "movements", "cases")
+@query(_MS + _RATE + _VERS, "movements", "cases")
 def los_month_versions(spark, d):
-    return months(spark, d)
+    """Months before and after the last-day rules were known, as two daily versions."""
+    values = ["treatment_days", "last_days", "occupancy_days"]
+    ld = _ld(spark, d)
+    now = st.month_split(ld).join(ld.groupBy("case_id").agg(F.min("admitted").alias("admitted")), "case_id")
+    day = lambda a, z: {"valid_from": F.lit(a).cast("date"), "valid_to": F.lit(z).cast("date")}
+    first = now.withColumns({"last_days": F.lit(0).cast("long"), "occupancy_days": F.col("treatment_days"), **day("2000-01-01", "2009-12-31")})
+    return st.month_versions(first.unionByName(now.withColumns(day("2010-01-01", "2099-12-31"))), _rates(spark, d), values=values)
 
 
 # merging -----------------------------------------------------------------------------------------------
@@ -192,11 +211,11 @@ def merge_movements(spark, d):
 
 
 def _detail_sql(src: str) -> str:
-    return _MAP + f", de AS (SELECT case_id * 10 + {'number' if src == 'diagnoses' else 'procedure_id'} % 9 AS id, max(code) AS code, max(day) AS day FROM {src} WHERE case_id % 2 = 0 GROUP BY 1) SELECT old_id, new_id, coalesce(n.code, o.code) AS code, coalesce(n.day, o.day) AS day FROM mp LEFT JOIN de n ON n.id = new_id LEFT JOIN de o ON o.id = old_id"
+    return _MAP + f", de AS (SELECT case_id * 10 + {'number' if src == 'diagnoses' else 'procedure_id'} % 9 AS id, max(code) AS code, max(day) AS day FROM {src} GROUP BY 1) SELECT old_id, new_id, coalesce(n.code, o.code) AS code, coalesce(n.day, o.day) AS day FROM mp LEFT JOIN de n ON n.id = new_id LEFT JOIN de o ON o.id = old_id"
 
 
 def _detail(spark, d, src, num):
-    df = view(spark, d, src).where("case_id % 2 = 0").groupBy((F.col("case_id") * 10 + F.col(num) % 9).alias("id")).agg(F.max("code").alias("code"), F.max("day").alias("day"))
+    df = view(spark, d, src).groupBy((F.col("case_id") * 10 + F.col(num) % 9).alias("id")).agg(F.max("code").alias("code"), F.max("day").alias("day"))
     return mg.merge_details(_mapping(spark, d), df, values=["code", "day"])
 
 
@@ -210,7 +229,7 @@ def merge_procedures(spark, d):
     return _detail(spark, d, "procedures", "procedure_id")
 
 
-_CD = ", cd AS (SELECT *, CASE WHEN case_type = '1' THEN coalesce(CAST(end_date - begin_date AS INTEGER), 0) % 3 ELSE 0 END AS nb_audit, CASE WHEN case_type <> '2' THEN coalesce(CAST(end_date - begin_date AS INTEGER), 0) % 2 ELSE 0 END AS nb_care, CASE status WHEN 'F' THEN 'billed' WHEN 'O' THEN 'open' ELSE 'partly billed' END AS state_text, CASE WHEN trim(locked) = 'X' THEN 1 ELSE 0 END AS is_locked, CASE WHEN end_date IS NULL THEN 1 ELSE 0 END AS is_open FROM cases)"
+_CD = ", cd AS (SELECT *, coalesce(days_off_audit, days_off) AS nb_audit, CASE WHEN days_off_audit IS NULL THEN 0 ELSE days_off END AS nb_care, CASE status WHEN 'F' THEN 'billed' WHEN 'O' THEN 'open' ELSE 'partly billed' END AS state_text, CASE WHEN trim(locked) = 'X' THEN 1 ELSE 0 END AS is_locked, CASE WHEN end_date IS NULL THEN 1 ELSE 0 END AS is_open FROM cases)"
 
 
 @query(_CD + " SELECT case_id, nb_audit, nb_care, state_text, is_locked, is_open FROM cd", "cases")
@@ -236,9 +255,9 @@ def diagnosis_cube(spark, d):
     return mg.diagnosis_cube(view(spark, d, "diagnoses"), _merged(spark, d), view(spark, d, "units"), _texts(spark, d), view(spark, d, "movements")).select("case_id", "number", "code", "unit_name", "text", "billing_case")
 
 
-@query("SELECT patient_id, CASE sex WHEN '1' THEN 'male' WHEN '2' THEN 'female' WHEN '3' THEN 'other' ELSE 'unknown' END AS sex_text, CASE sex WHEN '1' THEN 'Herr' WHEN '2' THEN 'Frau' ELSE '' END AS salutation, CASE WHEN dead = 'X' THEN 1 ELSE 0 END AS is_dead FROM patients", "patients")
+@query("SELECT patient_id, CASE sex WHEN '1' THEN 'male' WHEN '2' THEN 'female' WHEN '3' THEN 'other' ELSE 'unknown' END AS sex_text, CASE sex WHEN '1' THEN 'Herr' WHEN '2' THEN 'Frau' ELSE '' END AS salutation, CASE marital WHEN '0' THEN 'ledig' WHEN '1' THEN 'verheiratet' WHEN '2' THEN 'verwitwet' WHEN '3' THEN 'geschieden' WHEN '5' THEN 'getrennt' ELSE 'unbekannt' END AS marital_text, CASE WHEN dead = 'X' THEN 1 ELSE 0 END AS is_dead, CAST(dead_on AS TIMESTAMP) AS dead_at FROM patients", "patients")
 def patient_derive(spark, d):
-    return mg.patient_derive(view(spark, d, "patients")).select("patient_id", "sex_text", "salutation", "is_dead")
+    return mg.patient_derive(view(spark, d, "patients")).select("patient_id", "sex_text", "salutation", "marital_text", "is_dead", "dead_at")
 
 
 @query(_V.replace("WITH ", ", ", 1) + " SELECT c.case_id, c.patient_id, f.status AS version_status FROM cases c JOIN f ON f.key = c.patient_id AND c.begin_date BETWEEN f.valid_from AND f.valid_to", "cases")
