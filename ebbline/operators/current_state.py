@@ -14,8 +14,8 @@ def current_state(base: DataFrame, delta: DataFrame | None, *, key: list[str], s
     """Newest version of each key from base (sequence '') and delta; deleted keys and the meta columns go.
 
     Key columns that neither side has are left out of the key; without any the
-    result is None.  Among equal sequences deletes win, then the larger row by
-    its columns in order, so the result does not depend on the files' order.
+    result is None.  Among equal sequences deletes win, then the row of
+    the larger hash, so the result does not depend on the files' order.
     One aggregation with map-side combine; no sort and no window.
     """
     marked = base.withColumns({seq: F.lit(""), op: F.lit(None).cast("string")})

@@ -129,10 +129,9 @@ def valid_intervals(df: DataFrame, key: list[str], *, to_storno: bool = True) ->
 
 
 def surrogate_keys(df: DataFrame, key: list[str]) -> DataFrame:
-    """Key id (from the key itself, so it needs no global order), created and updated per business key."""
+    """Key id (128 bits of the key's hash as text, so it needs no global order), created and updated per business key."""
     name = F.concat_ws("|", *[F.col(k).cast("string") for k in key])
-    sid = F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("long")
-    return df.groupBy(*key).agg(F.min("valid_from").alias("created_at"), F.max("valid_from").alias("updated_at")).withColumn("key_id", sid)
+    return df.groupBy(*key).agg(F.min("valid_from").alias("created_at"), F.max("valid_from").alias("updated_at")).withColumn("key_id", F.md5(name))
 
 
 def final_versions(df: DataFrame, key: list[str], *, grain: str = "second") -> DataFrame:

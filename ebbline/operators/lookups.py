@@ -20,9 +20,13 @@ def resolve_code(catalogs: DataFrame, name: str, code: str, version: str = "56")
     return one.where((F.col("code") == code) & (F.col("version") == version)).select("catalog", "version", "code", "text")
 
 
-def code_text(rows: DataFrame, texts: DataFrame, on: Column | list[str]) -> DataFrame:
-    """Rows with the text of their code; small catalogs are broadcast by AQE."""
-    return rows.join(texts, on, "left")
+def code_text(rows: DataFrame, texts: DataFrame, on: list[str], *, language: str = "language", wanted: str = "D") -> DataFrame:
+    """Rows with the text of their code, of the wanted language where the catalog has a language column; of several the least text.
+
+    Small catalogs are broadcast by AQE.
+    """
+    own = texts.where(F.trim(language) == wanted) if language in texts.columns else texts
+    return rows.join(own.groupBy(*on).agg(F.min("text").alias("text")), on, "left")
 
 
 def billing_group(cases: DataFrame, groups: DataFrame, *, case: str, group: str) -> DataFrame:

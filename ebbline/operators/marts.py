@@ -92,6 +92,39 @@ def masked(df: DataFrame, columns: list[str], *, year: tuple[str, ...] = (), hid
     return df.select(*pick)
 
 
+#: What the serving tables show of the views of these names; ~ hides a column (dates of birth become their year), ! holds the rows' lock.
+SERVING = {
+    "patients": "patient_id sex ~birth ~name dead".split(),
+    "cases": "case_id patient_id case_type begin_date end_date specialty status cancelled !locked".split(),
+    "movements": "case_id number kind art reason begin_ts end_ts dept ward cancelled".split(),
+    "diagnoses": "case_id number code code2 certainty day principal department admission discharge treatment surgery cancelled".split(),
+    "procedures": "case_id procedure_id code day unit cancelled".split(),
+    "documents": "doc_id patient_id case_id doc_type day cancelled".split(),
+    "drg": "case_id sequence code weight cancelled created".split(),
+    "drg_catalog": "code text weight valid_from valid_to".split(),
+}
+
+
+def serving(name: str, df: DataFrame, *, clear: bool = False) -> DataFrame:
+    """The serving table of this name from ``df``: the columns of SERVING that it has, masked unless ``clear``; locked rows go in any case."""
+    spec = SERVING[name]
+    names = [c.lstrip("~") for c in spec if not c.startswith("!")]
+    secret = [] if clear else [c[1:] for c in spec if c.startswith("~")]
+    return masked(df, names, year=tuple(c for c in secret if c == "birth"), hidden=tuple(c for c in secret if c != "birth"), locked=next((c[1:] for c in spec if c.startswith("!")), None))
+
+
+def newest_resources(resources: DataFrame, *, resource_type: str | None = None, id: str | None = None, patient: str | None = None, most: int | None = None) -> DataFrame:
+    """(resource_type, id, patient, run_id, body) of the newest run of every resource, of one type, id or patient if given; by type and id, ``most`` at most.
+
+    Among equal runs the larger body stands.
+    """
+    for column, value in (("resource_type", resource_type), ("id", id), ("patient", patient)):
+        if value is not None:
+            resources = resources.where(F.col(column) == value)
+    out = latest_by(resources, ["resource_type", "id"], ["patient", "run_id", "body"], ["run_id", "body"])
+    return out.orderBy("resource_type", "id").limit(most) if most is not None else out
+
+
 def masked_lab(values: DataFrame, heads: DataFrame, *, key: list[str], value_day: str, head_day: str, columns: list[str]) -> DataFrame:
     """Values with their head; the value's day, else the head's."""
     return values.join(heads, key, "left").select(*columns, F.coalesce(value_day, head_day).alias("day"))

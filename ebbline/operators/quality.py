@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import cut
+
 
 def pk_uniqueness(df: DataFrame, key: list[str]) -> DataFrame:
     """Rows, distinct keys and whether they agree, in two aggregations with map-side combine."""
@@ -70,13 +72,14 @@ def log_latest(log: DataFrame, *, run: str, order: list[Column], value: str) ->
     return log.groupBy(run).agg(F.max_by(value, F.struct(*order)).alias(value))
 
 
-def lineage_impact(edges: DataFrame, changed: DataFrame, *, child: str, parent: str, most_depth: int = 20) -> DataFrame:
-    """Everything that depends on the changed nodes, with its least distance; cycles end by the seen set."""
+def lineage_impact(edges: DataFrame, changed: DataFrame, *, child: str, parent: str) -> DataFrame:
+    """Everything that depends on the changed nodes, with its least distance; it ends when nothing new is reached, on cycles too."""
     seen = changed.select(F.col(changed.columns[0]).alias("node"), F.lit(0).alias("depth")).distinct()
-    front = seen
-    for depth in range(1, most_depth + 1):
+    front, depth = seen, 0
+    while True:
+        depth += 1
         nxt = front.join(edges, F.col("node") == F.col(child)).select(F.col(parent).alias("node")).distinct().join(seen, "node", "left_anti").withColumn("depth", F.lit(depth))
-        nxt = nxt.checkpoint() if nxt.sparkSession.sparkContext.getCheckpointDir() else nxt.persist()
+        nxt = cut(nxt, "impact")
         if not nxt.take(1):
             break
         seen, front = seen.unionByName(nxt), nxt

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import cut
+
 K1, B = 1.2, 0.75
 
 
@@ -25,32 +27,29 @@ def index(docs: DataFrame, *, id: str, text: str) -> DataFrame:
     return t.select(id, "length", F.explode("_t").alias("term")).groupBy("term", id, "length").agg(F.count("*").alias("tf"))
 
 
-def document_frequency(idx: DataFrame) -> DataFrame:
-    return idx.groupBy("term").agg(F.count("*").alias("df"))
-
-
 def bm25(docs: DataFrame, query: str, *, id: str, text: str, k: int = 10, where=None, snippet: int = 500) -> DataFrame:
     """The best ``k`` documents: id, score, snippet.
 
-    Only the query's terms are counted, so no document is exploded; one pass
-    gives each document's frequencies and length, a second one the corpus
-    figures.  Ties go by id.
+    Texts are cut into words once: each document's length and its counts of the
+    query's terms are written as a narrow table, from which the corpus figures and
+    the ranking come; only the best ids read their texts again.  Ties go by id;
+    null texts count as empty; a query without words finds nothing.
     """
-    wanted = sorted(set(x for x in "".join(c.lower() if c.isalnum() else " " for c in query).split()))
+    wanted = sorted(set("".join(c.lower() if c.isalnum() else " " for c in query).split()))
     rows = docs.where(where) if where is not None else docs
-    t = rows.select(F.col(id), F.col(text).alias("_text"), terms(F.col(text)).alias("_t"))
+    t = rows.select(id, terms(F.col(text)).alias("_t"))
 
     def count(word: str):
         return F.size(F.filter("_t", lambda x: x == F.lit(word)))
 
-    counts = [count(w).alias(f"_tf{i}") for i, w in enumerate(wanted)]
-    t = t.select(id, "_text", F.size("_t").alias("_len"), *counts)
+    t = cut(t.select(id, F.size("_t").alias("_len"), *[count(w).alias(f"_tf{i}") for i, w in enumerate(wanted)]), "counts")
     whole = t.agg(F.count("*").alias("_n"), F.avg("_len").alias("_avg"), *[F.count(F.when(F.col(f"_tf{i}") > 0, 1)).alias(f"_df{i}") for i in range(len(wanted))])
     score = F.lit(0.0)
     for i in range(len(wanted)):
         idf = F.ln((F.col("_n") - F.col(f"_df{i}") + 0.5) / (F.col(f"_df{i}") + 0.5) + 1)
         tf = F.col(f"_tf{i}")
         score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("_len") / F.col("_avg")))
-    hit = " OR ".join(f"_tf{i} > 0" for i in range(len(wanted)))
-    ranked = t.where(hit).crossJoin(F.broadcast(whole)).select(id, F.round(score, 6).alias("score"), F.substring("_text", 1, snippet).alias("snippet"))
-    return ranked.orderBy(F.desc("score"), id).limit(k)
+    hit = " OR ".join(["false", *(f"_tf{i} > 0" for i in range(len(wanted)))])
+    best = t.where(hit).crossJoin(F.broadcast(whole)).select(id, F.round(score, 6).alias("score")).orderBy(F.desc("score"), id).limit(k)
+    shown = rows.select(id, F.substring(text, 1, snippet).alias("snippet"))
+    return shown.join(F.broadcast(best), id).select(id, "score", "snippet").orderBy(F.desc("score"), id)  # k rows

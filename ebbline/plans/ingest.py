@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 
 from pyspark.sql import functions as F
 
@@ -11,6 +10,7 @@ from ..operators import quality as q
 from ..sources import changes as ch
 from ..sources import cohort as co
 from ..sources import registry as rg
+from ..sources.shared import new_path
 from .base import duck, table, view
 
 QUERIES, SQL = {}, {}
@@ -53,24 +53,20 @@ def year_partition_key(spark, d):
 
 @query("SELECT year(o_orderdate)::VARCHAR AS jahr, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM orders GROUP BY 1")
 def backfill_partitioned(spark, d):
-    path = _scratch(spark, "backfill")
+    path = new_path(spark, "backfill")
     df = rg.scan(spark, d, ORDERS)
     rg.backfill(df.where(F.col("o_orderkey") <= 1000), path, ORDERS)
     rg.backfill(df, path, ORDERS, cursor=[1000])  # resumed behind the cursor
     return spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").parquet(path).groupBy(F.col("jahr").cast("string").alias("jahr")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
 
 
-def _scratch(spark, name: str) -> str:
-    """A new folder under the shared one, or a temporary one where none is set."""
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp()
-    return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
 @query("SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
 def backfill_reference(spark, d):
-    return table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    """Two reference tables copied whole; the copies, joined."""
+    n, r = (new_path(spark, name) for name in ("nation", "region"))
+    rg.copy_whole(table(spark, d, "nation"), n)
+    rg.copy_whole(table(spark, d, "region"), r)
+    return spark.read.parquet(n).join(spark.read.parquet(r), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
 
 
 @query("SELECT key, _seq, _op, state FROM changes WHERE _seq > '000000000500'", "changes")
@@ -140,9 +136,9 @@ def fill_audit(spark, d):
     return q.fill_audit(view(spark, d, "cases"), ["specialty", "end_date", "locked"])
 
 
-@query("SELECT count(DISTINCT c.patient_id) AS n_keys, count(DISTINCT p.patient_id) AS n_matched FROM cases c LEFT JOIN (SELECT patient_id FROM patients WHERE patient_id % 7 <> 0) p USING (patient_id)", "cases", "patients")
+@query("SELECT count(DISTINCT c.patient_id) AS n_keys, count(DISTINCT p.patient_id) AS n_matched FROM cases c LEFT JOIN (SELECT patient_id FROM patients WHERE segment <> 'BUILDING') p USING (patient_id)", "cases", "patients")
 def join_coverage(spark, d):
-    return q.join_coverage(view(spark, d, "cases"), view(spark, d, "patients").where("patient_id % 7 <> 0"), "patient_id", "patient_id")
+    return q.join_coverage(view(spark, d, "cases"), view(spark, d, "patients").where("segment <> 'BUILDING'"), "patient_id", "patient_id")
 
 
 @query("SELECT kind AS a, cancelled AS b, count(*) AS n FROM movements GROUP BY 1, 2", "movements")
@@ -173,16 +169,18 @@ def current_state_partial_pk(spark, d):
 
 
 def _years(spark, d):
-    c = view(spark, d, "cases").where("case_id % 4 <> 3").select("case_id", "patient_id", F.col("end_date").cast("string").alias("end_date"))
-    base = c.where("case_id % 2 = 0 and end_date is not null").withColumn("jahr", rg.year_partition(F.col("end_date")))
-    delta = c.where("case_id % 4 = 0 and end_date >= '1996'").withColumns({"patient_id": F.col("patient_id") + 1, "_op": F.when(F.col("case_id") % 8 == 0, "D").otherwise("U"), "_seq": F.lpad(F.col("case_id").cast("string"), 12, "0")})
+    """All cases: base copies of those that have ended; changes of those billed or open partly, of which locked ones are deletes and running ones inserts."""
+    c = view(spark, d, "cases").select("case_id", "patient_id", F.coalesce("end_date", "begin_date").cast("string").alias("end_date"), "status", "locked")
+    op = F.when(F.col("locked") == "X", "D").when(F.col("status") == "P", "I").otherwise("U")
+    base = c.where("status <> 'P'").drop("status", "locked").withColumn("jahr", rg.year_partition(F.col("end_date")))
+    delta = c.where("status <> 'F'").select("case_id", (F.col("patient_id") + 1).alias("patient_id"), "end_date", op.alias("_op"), F.lpad(F.col("case_id").cast("string"), 12, "0").alias("_seq"))
     return base, delta
 
 
-_Y = ", c AS (SELECT case_id, patient_id, CAST(end_date AS VARCHAR) AS end_date FROM cases WHERE case_id % 4 <> 3), base AS (SELECT *, substr(end_date, 1, 4) AS jahr FROM c WHERE case_id % 2 = 0 AND end_date IS NOT NULL), delta AS (SELECT * FROM c WHERE case_id % 4 = 0 AND end_date >= '1996')"
+_Y = ", c AS (SELECT case_id, patient_id, CAST(coalesce(end_date, begin_date) AS VARCHAR) AS end_date, status, locked FROM cases), delta AS (SELECT * FROM c WHERE status <> 'F')"
 
 
-@query(_Y + " SELECT b.case_id, CASE WHEN d.case_id IS NULL THEN b.patient_id ELSE b.patient_id + 1 END AS patient_id, b.end_date, b.jahr FROM base b LEFT JOIN delta d USING (case_id) WHERE b.jahr IN (SELECT substr(end_date, 1, 4) FROM delta) AND NOT (d.case_id IS NOT NULL AND b.case_id % 8 = 0)", "cases")
+@query(_Y + " SELECT case_id, CASE WHEN status = 'F' THEN patient_id ELSE patient_id + 1 END AS patient_id, end_date, substr(end_date, 1, 4) AS jahr FROM c WHERE substr(end_date, 1, 4) IN (SELECT substr(end_date, 1, 4) FROM delta) AND NOT (status <> 'F' AND locked = 'X')", "cases")
 def compact_deltas(spark, d):
     base, delta = _years(spark, d)
     return cs.compacted(base, delta, key=["case_id"], date="end_date")
@@ -214,19 +212,19 @@ def delta_max_seq(spark, d):
 def cdc_stream_upsert(spark, d):
     from ..streaming.upsert import run_once
 
-    return run_once(spark, view(spark, d, "changes").select("key", "_seq", "_op", "state", "value"), _scratch(spark, "stream"), key=["key"])
+    return run_once(spark, view(spark, d, "changes").select("key", "_seq", "_op", "state", "value"), new_path(spark, "stream"), key=["key"])
 
 
 # quality -----------------------------------------------------------------------------------------------
 
 
-@query(""", l AS (SELECT 'k' || CAST(o_custkey % 50 AS VARCHAR) AS table_name, count(*) AS local_rows FROM orders WHERE o_orderkey % 200 <> 1 GROUP BY 1), s AS (SELECT 'k' || CAST(o_custkey % 50 AS VARCHAR) AS table_name, count(*) AS source_rows FROM orders WHERE o_custkey % 50 <> 7 GROUP BY 1)
-SELECT table_name, local_rows, source_rows, round(abs(source_rows - local_rows) / greatest(source_rows, 1), 6) AS deviation, CASE WHEN source_rows IS NULL THEN 'UNKNOWN' WHEN table_name = 'k3' THEN 'COHORT' WHEN abs(source_rows - local_rows) / greatest(source_rows, 1) <= 0.001 THEN 'OK' ELSE 'ALARM' END AS status FROM l LEFT JOIN s USING (table_name)""".replace(", l AS", "WITH l AS", 1))
+@query(""", o AS (SELECT o_orderstatus || '-' || substr(o_orderpriority, 1, 1) AS table_name, o_totalprice FROM orders), l AS (SELECT table_name, count(*) AS local_rows FROM o WHERE NOT (table_name IN ('F-2', 'P-4') AND o_totalprice < 5000) GROUP BY 1), s AS (SELECT table_name, count(*) AS source_rows FROM o WHERE table_name <> 'P-5' GROUP BY 1)
+SELECT table_name, local_rows, source_rows, round(abs(source_rows - local_rows) / greatest(source_rows, 1), 6) AS deviation, CASE WHEN source_rows IS NULL THEN 'UNKNOWN' WHEN table_name = 'O-3' THEN 'COHORT' WHEN abs(source_rows - local_rows) / greatest(source_rows, 1) <= 0.001 THEN 'OK' ELSE 'ALARM' END AS status FROM l LEFT JOIN s USING (table_name)""".replace(", o AS", "WITH o AS", 1))
 def reconcile_counts(spark, d):
-    o = table(spark, d, "orders").withColumn("table_name", F.concat(F.lit("k"), (F.col("o_custkey") % 50).cast("string")))
-    local = o.where("o_orderkey % 200 <> 1").groupBy("table_name").agg(F.count("*").alias("local_rows"))
-    source = o.where("o_custkey % 50 <> 7").groupBy("table_name").agg(F.count("*").alias("source_rows"))
-    return q.reconcile(local, source, cohort=F.col("table_name") == "k3")
+    o = table(spark, d, "orders").withColumn("table_name", F.concat_ws("-", "o_orderstatus", F.substring("o_orderpriority", 1, 1)))
+    local = o.where("not (table_name in ('F-2', 'P-4') and o_totalprice < 5000)").groupBy("table_name").agg(F.count("*").alias("local_rows"))
+    source = o.where("table_name <> 'P-5'").groupBy("table_name").agg(F.count("*").alias("source_rows"))
+    return q.reconcile(local, source, cohort=F.col("table_name") == "O-3")
 
 
 def _profile_sql(cols):
@@ -241,9 +239,9 @@ def field_profile(spark, d):
     return q.field_profile(view(spark, d, "cases"), ["case_type", "end_date", "specialty", "status", "cancelled"])
 
 
-@query("SELECT DISTINCT l_suppkey AS unit_id FROM lineitem WHERE l_suppkey NOT IN (SELECT unit_id FROM (SELECT s_suppkey AS unit_id FROM supplier WHERE s_suppkey % 5 <> 0))")
+@query("SELECT DISTINCT l_suppkey AS unit_id FROM lineitem WHERE l_suppkey NOT IN (SELECT unit_id FROM (SELECT s_suppkey AS unit_id FROM supplier WHERE s_nationkey <> 7))")
 def coverage_diff(spark, d):
-    return q.coverage_diff(view(spark, d, "movements").select(F.col("ward").alias("unit_id")), view(spark, d, "units").where("unit_id % 5 <> 0"), "unit_id")
+    return q.coverage_diff(view(spark, d, "movements").select(F.col("ward").alias("unit_id")), view(spark, d, "units").where("house <> 7"), "unit_id")
 
 
 @query(""", m AS (SELECT kind, avg(CAST(epoch(end_ts) - epoch(begin_ts) AS DOUBLE)) AS avg_s, count(*) AS n_runs FROM movements WHERE end_ts IS NOT NULL GROUP BY kind) SELECT kind, n_runs, round(avg_s, 4) AS avg_s, round(avg_s / (SELECT sum(avg_s) FROM m), 4) AS ratio FROM m""", "movements")

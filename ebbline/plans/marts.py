@@ -95,18 +95,48 @@ def specialties_top(spark, d):
 
 @query("SELECT patient_id, sex, substr(birth, 1, 4) AS birth, '***' AS name, dead FROM patients", "patients")
 def masked_tables(spark, d):
-    return m.masked(view(spark, d, "patients"), ["patient_id", "sex", "birth", "name", "dead", "absent"], year=("birth",), hidden=("name",), locked="locked")
+    return m.serving("patients", view(spark, d, "patients"))
 
 
-@query("SELECT case_id, patient_id, case_type, begin_date, end_date, specialty FROM cases WHERE coalesce(locked, '') <> 'X'", "cases")
+@query("SELECT case_id, patient_id, case_type, begin_date, end_date, specialty, status, cancelled FROM cases WHERE coalesce(locked, '') <> 'X'", "cases")
 def masked_cases(spark, d):
-    return m.masked(view(spark, d, "cases"), ["case_id", "patient_id", "case_type", "begin_date", "end_date", "specialty"], locked="locked")
+    return m.serving("cases", view(spark, d, "cases"))
 
 
-@query(", h AS (SELECT lab_id, patient_id, CAST(ts AS DATE) AS head_day FROM labs WHERE lab_id % 5 <> 0), v AS (SELECT lab_id, code, raw, unit, CASE WHEN lab_id % 3 = 0 THEN NULL ELSE CAST(ts AS DATE) + 1 END AS value_day FROM labs) SELECT patient_id, code, raw, unit, coalesce(value_day, head_day) AS day FROM v LEFT JOIN h USING (lab_id)", "labs")
+@query("SELECT case_id, number, kind, art, reason, begin_ts, end_ts, dept, ward, cancelled FROM movements", "movements")
+def masked_movements(spark, d):
+    return m.serving("movements", view(spark, d, "movements"))
+
+
+@query("SELECT case_id, number, code, code2, certainty, day, principal, department, admission, discharge, treatment, surgery, cancelled FROM diagnoses", "diagnoses")
+def masked_diagnoses(spark, d):
+    return m.serving("diagnoses", view(spark, d, "diagnoses"))
+
+
+@query("SELECT case_id, procedure_id, code, day, unit, cancelled FROM procedures", "procedures")
+def masked_procedures(spark, d):
+    return m.serving("procedures", view(spark, d, "procedures"))
+
+
+@query("SELECT doc_id, lang AS doc_type, DATE '2024-03-05' AS day FROM documents")
+def masked_documents(spark, d):
+    return m.serving("documents", table(spark, d, "documents").withColumns({"doc_type": F.col("lang"), "day": F.lit("2024-03-05").cast("date")}))
+
+
+@query("SELECT case_id, charge_id AS sequence, class AS code, discount AS weight, day AS created FROM charges", "charges")
+def masked_drg(spark, d):
+    return m.serving("drg", view(spark, d, "charges").select("case_id", F.col("charge_id").alias("sequence"), F.col("class").alias("code"), F.col("discount").alias("weight"), F.col("day").alias("created"), "note"))
+
+
+@query("SELECT brand AS code, text, size AS weight FROM codes", "codes")
+def masked_drg_catalog(spark, d):
+    return m.serving("drg_catalog", view(spark, d, "codes").select(F.col("brand").alias("code"), "text", F.col("size").alias("weight"), "price"))
+
+
+@query(", h AS (SELECT lab_id, patient_id, CAST(ts AS DATE) AS head_day FROM labs WHERE code <> 'click'), v AS (SELECT lab_id, code, raw, unit, CASE WHEN lab_id % 3 = 0 THEN NULL ELSE CAST(ts AS DATE) + 1 END AS value_day FROM labs) SELECT patient_id, code, raw, unit, coalesce(value_day, head_day) AS day FROM v LEFT JOIN h USING (lab_id)", "labs")
 def masked_lab(spark, d):
     labs = view(spark, d, "labs")
-    heads = labs.where("lab_id % 5 <> 0").select("lab_id", "patient_id", F.to_date("ts").alias("head_day"))
+    heads = labs.where("code <> 'click'").select("lab_id", "patient_id", F.to_date("ts").alias("head_day"))
     values = labs.select("lab_id", "code", "raw", "unit", F.when(F.col("lab_id") % 3 != 0, F.date_add(F.to_date("ts"), 1)).alias("value_day"))
     return m.masked_lab(values, heads, key=["lab_id"], value_day="value_day", head_day="head_day", columns=["patient_id", "code", "raw", "unit"])
 
@@ -206,18 +236,6 @@ def lab_series(spark, d):
     return view(spark, d, "labs").where("patient_id = 7").orderBy("code", "ts", "lab_id").limit(500).select("patient_id", "code", "ts", "raw", "unit")
 
 
-@query("SELECT state AS resource_type, key AS id, max_by(value, _seq) AS body, max(_seq) AS run_id FROM changes WHERE state = 'purchase' AND key = 3 GROUP BY 1, 2", "changes")
-def resource_get(spark, d):
-    c = view(spark, d, "changes").where("state = 'purchase' and key = 3").select(F.col("state").alias("resource_type"), F.col("key").alias("id"), F.col("value").alias("body"), F.col("_seq").alias("run_id"))
-    return m.latest_by(c, ["resource_type", "id"], ["body", "run_id"], ["run_id"])
-
-
-@query("SELECT state AS resource_type, key AS id, max_by(value, _seq) AS body, max(_seq) AS run_id FROM changes GROUP BY 1, 2", "changes")
-def resource_search(spark, d):
-    c = view(spark, d, "changes").select(F.col("state").alias("resource_type"), F.col("key").alias("id"), F.col("value").alias("body"), F.col("_seq").alias("run_id"))
-    return m.latest_by(c, ["resource_type", "id"], ["body", "run_id"], ["run_id"])
-
-
 @query("SELECT case_type, count(*) AS n, count(DISTINCT patient_id) AS patients FROM cases WHERE locked <> 'X' GROUP BY 1 ORDER BY 1 LIMIT 100", "cases")
 def cohort_sql(spark, d):
     m.masked(view(spark, d, "cases"), ["case_id", "patient_id", "case_type"], locked="locked").createOrReplaceTempView("masked_case")
@@ -249,7 +267,10 @@ def resolve_code(spark, d):
 
 @query(_TEXTS + " SELECT case_id, number, d.code, text FROM diagnoses d LEFT JOIN texts t ON d.code = t.code", "diagnoses", "codes")
 def lookup_code_text(spark, d):
-    return lk.code_text(view(spark, d, "diagnoses").select("case_id", "number", "code"), _texts(spark, d), ["code"])
+    """German texts of a catalog that has English ones too."""
+    t = _texts(spark, d).select("code", "text")
+    both = t.withColumn("language", F.lit("D ")).unionByName(t.select("code", F.upper("text").alias("text"), F.lit("E").alias("language")))
+    return lk.code_text(view(spark, d, "diagnoses").select("case_id", "number", "code"), both, ["code"])
 
 
 @query(", g AS (SELECT case_id, max(ward) AS ward FROM movements WHERE LIVE(cancelled)LIVE GROUP BY 1) SELECT case_id, patient_id, ward FROM cases LEFT JOIN g USING (case_id)", "cases", "movements")
@@ -257,9 +278,9 @@ def lookup_billing_group(spark, d):
     return lk.billing_group(view(spark, d, "cases").select("case_id", "patient_id"), m.live(view(spark, d, "movements")), case="case_id", group="ward")
 
 
-@query("SELECT case_id, number, patient_id FROM movements LEFT JOIN (SELECT DISTINCT case_id, patient_id FROM cases WHERE case_id % 5 <> 0) USING (case_id)", "movements", "cases")
+@query("SELECT case_id, number, patient_id FROM movements LEFT JOIN (SELECT DISTINCT case_id, patient_id FROM cases WHERE status <> 'P') USING (case_id)", "movements", "cases")
 def case_to_patient(spark, d):
-    return lk.case_to_patient(view(spark, d, "movements").select("case_id", "number"), view(spark, d, "cases").where("case_id % 5 <> 0"))
+    return lk.case_to_patient(view(spark, d, "movements").select("case_id", "number"), view(spark, d, "cases").where("status <> 'P'"))
 
 
 @query(", k AS (SELECT case_id, string_agg(number || ':' || kind, ',' ORDER BY number) AS chain, count(*) AS n FROM movements WHERE LIVE(cancelled)LIVE GROUP BY 1) SELECT case_id, n, chain FROM cases LEFT JOIN k USING (case_id)", "cases", "movements")
@@ -276,13 +297,13 @@ def best_insurance_match(spark, d):
     return lk.best_match(rows, own, ["patient_id", "payer"], ["member"], ["member"]).withColumn("payer", F.col("payer").cast("long"))
 
 
-@query(", k AS (SELECT DISTINCT case_id FROM cases WHERE case_id % 6 <> 0) SELECT 'movements' AS table_name, count(*) AS n_orphans FROM movements WHERE case_id NOT IN (SELECT case_id FROM k) UNION ALL SELECT 'procedures', count(*) FROM procedures WHERE case_id NOT IN (SELECT case_id FROM k)", "cases", "movements", "procedures")
+@query(", k AS (SELECT DISTINCT case_id FROM cases WHERE trim(specialty) <> '') SELECT 'movements' AS table_name, count(*) AS n_orphans FROM movements WHERE case_id NOT IN (SELECT case_id FROM k) UNION ALL SELECT 'procedures', count(*) FROM procedures WHERE case_id NOT IN (SELECT case_id FROM k)", "cases", "movements", "procedures")
 def orphan_rows(spark, d):
-    return lk.orphans({n: view(spark, d, n) for n in ("movements", "procedures")}, view(spark, d, "cases").where("case_id % 6 <> 0"))
+    return lk.orphans({n: view(spark, d, n) for n in ("movements", "procedures")}, view(spark, d, "cases").where("trim(specialty) <> ''"))
 
 
-@query("SELECT coalesce(a.s_nationkey, b.n_nationkey) AS nationkey, s_name, n_name FROM (SELECT * FROM supplier WHERE s_suppkey % 3 <> 0) a FULL JOIN (SELECT * FROM nation WHERE n_nationkey % 4 <> 1) b ON s_nationkey = n_nationkey")
+@query("SELECT coalesce(a.s_nationkey, b.n_nationkey) AS nationkey, s_name, n_name FROM (SELECT * FROM supplier WHERE s_acctbal >= 0) a FULL JOIN (SELECT * FROM nation WHERE n_regionkey <> 1) b ON s_nationkey = n_nationkey")
 def full_outer_merge(spark, d):
-    a = table(spark, d, "supplier").where("s_suppkey % 3 <> 0").select(F.col("s_nationkey").alias("nationkey"), "s_name")
-    b = table(spark, d, "nation").where("n_nationkey % 4 <> 1").select(F.col("n_nationkey").alias("nationkey"), "n_name")
+    a = table(spark, d, "supplier").where("s_acctbal >= 0").select(F.col("s_nationkey").alias("nationkey"), "s_name")
+    b = table(spark, d, "nation").where("n_regionkey <> 1").select(F.col("n_nationkey").alias("nationkey"), "n_name")
     return lk.full_outer(a, b, "nationkey")

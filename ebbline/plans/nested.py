@@ -5,40 +5,31 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
+from ..operators import marts as m
 from ..operators import resources as r
+from ..sources.shared import new_path
+from ..sources.sinks import resource_index as index
+from ..sources.sinks import write_ndjson
+from . import resource_sql as sql
 from .base import duck, table, view
-from .marts import _texts
-from .network import members
+from .marts import _TEXTS, _texts
+from .network import _MEMBERS, members
+from .resource_sql import PRIV, SECRET
 
 QUERIES, SQL = {}, {}
-SECRET = b"demo secret of the test data"
-PRIV = r.Privacy("pseudonymize", SECRET)
-
-
-def query(sql: str | None = None, *names: str):
+def query(body: str | None = None, *names: str):
     def put(f):
         QUERIES[f.__name__] = f
-        if sql is not None:
-            SQL[f.__name__] = duck(sql, *names)
+        if body is not None:
+            SQL[f.__name__] = duck(body, *names)
         return f
 
     return put
 
 
-def _hmac(message: str) -> str:
-    """HMAC-SHA256 under SECRET, as hex, in DuckDB's SQL."""
-    inner, outer = (bytes(b ^ x for b in SECRET.ljust(64, b"\0")).hex() for x in (0x36, 0x5C))
-    return f"sha256(from_hex('{outer}') || from_hex(sha256(from_hex('{inner}') || encode({message}))))"
-
-
-def _base32(h: str, letters: int) -> str:
-    """The first letters of the base32 of the hex text ``h``."""
-    return " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr({h}, {k // 4 * 5 + 1}, 5) AS BIGINT) // {32 ** (3 - k % 4)}) % 32 + 1 AS BIGINT), 1)" for k in range(letters))
-
-
 _STABLE = f""", u AS (SELECT case_id, sha1(from_hex('{r.NAMESPACE.replace("-", "")}') || encode(concat_ws('|', 'Encounter', CAST(case_id AS VARCHAR), CASE WHEN case_id % 3 = 0 THEN CAST(patient_id AS VARCHAR) END))) AS h FROM cases)
 SELECT case_id, concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), '5' || substr(h, 14, 3), substr('89ab', CAST('0x' || substr(h, 17, 1) AS BIGINT) % 4 + 1, 1) || substr(h, 18, 3), substr(h, 21, 12)) AS id FROM u"""
-_SHIFT = ", s AS (SELECT *, CAST(CAST('0x' || substr(" + _hmac("'shift:' || CAST(patient_id AS VARCHAR)") + ", 1, 8) AS BIGINT) % 731 - 365 AS INTEGER) AS days FROM cases) SELECT case_id, patient_id, CAST(begin_date + days AS VARCHAR) AS begin, CAST(end_date + days AS VARCHAR) AS \"end\" FROM s"
+_SHIFT = ", s AS (SELECT *, CAST(CAST('0x' || substr(" + sql.hmac_sql("'shift:' || CAST(patient_id AS VARCHAR)") + ", 1, 8) AS BIGINT) % 731 - 365 AS INTEGER) AS days FROM cases) SELECT case_id, patient_id, CAST(begin_date + days AS VARCHAR) AS begin, CAST(end_date + days AS VARCHAR) AS \"end\" FROM s"
 NUM = "CASE WHEN regexp_full_match({t}, '[+-]?\\d*\\.?\\d+') THEN CAST({t} AS DOUBLE) END"
 
 
@@ -100,7 +91,7 @@ def lab_interpret(spark, d):
     return parsed.select("lab_id", c.lab_interpret(F.col("flag"), F.col("q"), F.col("low"), F.col("high")).alias("interpretation"))
 
 
-@query("SELECT lab_id, CASE status WHEN 'F' THEN 'final' WHEN 'P' THEN 'preliminary' WHEN 'C' THEN 'corrected' ELSE 'final' END AS state, CASE unit WHEN 'mg/dl' THEN 'mg/dL' WHEN 'Tsd/ul' THEN '10*3/uL' WHEN '%' THEN '%' END AS ucum FROM labs", "labs")
+@query("SELECT lab_id, CASE status WHEN 'F' THEN 'final' WHEN 'P' THEN 'preliminary' WHEN 'C' THEN 'corrected' ELSE 'final' END AS state, CASE unit WHEN 'mg/dl' THEN 'mg/dL' WHEN 'Tsd/ul' THEN '10*3/uL' WHEN '%' THEN '%' WHEN 'umol/l' THEN 'umol/L' WHEN 'IU/l' THEN '[IU]/L' WHEN 'mmHg' THEN 'mm[Hg]' WHEN '/nl' THEN '/nL' WHEN 'g/mol' THEN 'g/mol' WHEN 'pg/ml' THEN 'pg/mL' WHEN 'mval/l' THEN 'meq/L' WHEN 'min' THEN 'min' END AS ucum FROM labs", "labs")
 def unit_ucum(spark, d):
     return view(spark, d, "labs").select("lab_id", c.lookup(F.upper("status"), c.LAB_STATES, "final").alias("state"), c.lookup(F.lower("unit"), c.UNITS).alias("ucum"))
 
@@ -162,12 +153,12 @@ def _loinc(spark, d):
     return view(spark, d, "labs").select("code").distinct().where("code in ('view', 'purchase')").select("code", F.when(F.col("code") == "view", "1-1").otherwise("2-2").alias("loinc"))
 
 
-@query(", h AS (SELECT patient_id, " + _hmac("CAST(patient_id AS VARCHAR)") + " AS h FROM patients) SELECT patient_id, 'P' || " + _base32("h", 16) + " AS pseudonym FROM h", "patients")
+@query(", h AS (SELECT patient_id, " + sql.hmac_sql("CAST(patient_id AS VARCHAR)") + " AS h FROM patients) SELECT patient_id, 'P' || " + sql.base32_sql("h", 16) + " AS pseudonym FROM h", "patients")
 def pseudonym(spark, d):
     return view(spark, d, "patients").select("patient_id", c.pseudonym(SECRET, F.col("patient_id")).alias("pseudonym"))
 
 
-@query(", h AS (SELECT patient_id, name, " + _hmac("'kvnr:' || name") + " AS h FROM patients) SELECT patient_id, CASE WHEN name <> '' THEN 'KVN' || " + _base32("h", 14) + " END AS hash FROM h", "patients")
+@query(", h AS (SELECT patient_id, name, " + sql.hmac_sql("'kvnr:' || name") + " AS h FROM patients) SELECT patient_id, CASE WHEN name <> '' THEN 'KVN' || " + sql.base32_sql("h", 14) + " END AS hash FROM h", "patients")
 def hash_id(spark, d):
     return view(spark, d, "patients").select("patient_id", c.hash_id(SECRET, F.col("name"), "kvnr").alias("hash"))
 
@@ -177,12 +168,12 @@ def date_shift(spark, d):
     return view(spark, d, "cases").select("case_id", "patient_id", c.date_shift(SECRET, F.col("patient_id"), F.col("begin_date").cast("string")).alias("begin"), c.date_shift(SECRET, F.col("patient_id"), F.col("end_date").cast("string")).alias("end"))
 
 
-@query("SELECT patient_id, substr(birth, 1, 4) AS birth_year, sex FROM patients", "patients")
+@query(sql.persons("patients") + " SELECT pseudo AS patient_id, substr(birth, 1, 4) AS birth, sex, marital, dead, CAST(CAST(substr(dead_on, 1, 10) AS DATE) + days AS VARCHAR) || substr(dead_on, 11) AS dead_on FROM patients JOIN pt ON pid = patient_id", "patients")
 def redact_patient(spark, d):
-    return view(spark, d, "patients").select("patient_id", F.substring("birth", 1, 4).alias("birth_year"), "sex")
+    return r.redacted(view(spark, d, "patients").select("patient_id", "name", "street", "city", "postcode", "country", "birth", "sex", "marital", "dead", "dead_on"), PRIV)
 
 
-@query("SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\\b\\d{1,2}\\.\\d{1,2}\\.\\d{2,4}\\b', '[DATUM]', 'g'), '\\b[\\w.+-]+@[\\w-]+\\.[\\w.-]+\\b', '[EMAIL]', 'g'), '\\b((?i:herr|frau|dr\\.?|prof\\.?))\\s+[A-ZÄÖÜ][a-zäöüß]+', '\\1 [NAME]', 'g'), '\\b[A-Z]{1,3}\\d{6,}\\b', '[ID]', 'g') AS text FROM documents")
+@query("SELECT doc_id, " + sql.DEID.format("text") + " AS text FROM documents")
 def deid_text(spark, d):
     return table(spark, d, "documents").select("doc_id", c.deid_text(F.col("text")).alias("text"))
 
@@ -203,29 +194,29 @@ def _staff(spark, d):
     return view(spark, d, "procedures").select("case_id", F.col("unit").alias("person"), F.lit("1").alias("role"), "cancelled")
 
 
-@query()
+@query(sql.persons("patients") + sql.patient(), "patients")
 def res_patient(spark, d):
     return r.patients(view(spark, d, "patients"), PRIV)
 
 
-@query()
+@query(sql.case(_MEMBERS), "cases", "movements", "procedures")
 def res_case(spark, d):
     m = members(spark, d)
     links = m.where("lead = 'X'").select("case_id", (F.col("case_id") + 1).alias("partner"), F.lit("M").alias("role"), "cancelled")
     return r.cases(view(spark, d, "cases"), view(spark, d, "movements"), _staff(spark, d), links, m.select("case_id", "grp"), PRIV)
 
 
-@query()
+@query(sql.movement(), "cases", "movements")
 def res_movement(spark, d):
     return r.movements(view(spark, d, "movements"), _owner(spark, d), PRIV)
 
 
-@query()
+@query(sql.condition(_TEXTS), "cases", "diagnoses", "codes")
 def res_condition(spark, d):
     return r.conditions(view(spark, d, "diagnoses"), _owner(spark, d), _texts(spark, d), PRIV)
 
 
-@query()
+@query(sql.procedure(), "cases", "procedures")
 def res_procedure(spark, d):
     p = view(spark, d, "procedures")
     return r.procedures(p, _owner(spark, d), p.select("procedure_id", F.col("unit").alias("person"), F.lit("OPT1").alias("task")), PRIV)
@@ -235,49 +226,49 @@ def _labs(spark, d):
     return view(spark, d, "labs").withColumn("report_id", F.concat_ws("-", F.col("patient_id").cast("string"), F.date_format("ts", "yyyyMMdd")))
 
 
-@query()
+@query(sql.lab_report(), "labs")
 def res_lab_report(spark, d):
     labs = _labs(spark, d)
     heads = labs.groupBy("report_id", "patient_id").agg(F.to_date(F.min("ts")).alias("day"), F.min("status").alias("status"))
     return r.lab_reports(heads, labs, PRIV)
 
 
-@query()
+@query(sql.lab_value(_LAB), "labs")
 def res_lab_value(spark, d):
     return r.lab_values(_labs(spark, d), _loinc(spark, d), PRIV)
 
 
-@query()
+@query(sql.document())
 def res_document(spark, d):
     x = table(spark, d, "documents").select("doc_id", (F.col("doc_id") % 1000 + 1).alias("patient_id"), F.col("lang").alias("doc_type"), F.lit("2024-03-05").alias("day"), F.lit("08:15:00").alias("time"), (F.col("doc_id") % 50).alias("author"), (F.col("doc_id") % 10).alias("unit"), F.when(F.col("source") == "src1", "X").otherwise("").alias("cancelled"))
     return r.documents(x, PRIV)
 
 
-@query()
+@query(sql.coverage(), "cases", "patients")
 def res_coverage(spark, d):
     x = view(spark, d, "cases").select(F.col("case_id").alias("coverage_id"), "case_id", "patient_id", (F.col("case_id") % 25).cast("int").alias("payer"), "begin_date", "end_date", F.col("specialty").alias("kind"), "cancelled")
     ins = view(spark, d, "patients").select("patient_id", F.col("region").alias("payer"), F.col("name").alias("member"))
     return r.coverages(x, ins, PRIV)
 
 
-@query()
+@query(sql.birth(), "cases")
 def res_birth(spark, d):
-    x = view(spark, d, "cases").where("case_id % 40 = 0").select("case_id", "patient_id", F.col("begin_date").alias("day"), (F.col("case_id") % 3000 + 1500).alias("weight"), (F.col("case_id") % 20 + 40).alias("length"), F.when(F.col("case_id") % 3 == 0, 34).alias("head"))
+    x = view(spark, d, "cases").select("case_id", "patient_id", F.col("begin_date").alias("day"), (F.col("case_id") % 3000 + 1500).alias("weight"), (F.col("case_id") % 20 + 40).alias("length"), F.when(F.col("case_id") % 3 == 0, 34).alias("head"))
     return r.births(x, PRIV)
 
 
-@query()
+@query(sql.location(), "units")
 def res_location(spark, d):
-    return r.locations(view(spark, d, "units").select(F.col("unit_id").alias("location_id"), F.col("unit_name").alias("name"), F.lit("ZI").alias("kind"), F.when(F.col("unit_id") > 10, F.col("unit_id") % 10).alias("parent"), F.col("unit_id").alias("unit")))
+    return r.locations(view(spark, d, "units").select(F.col("unit_id").alias("location_id"), F.col("unit_name").alias("name"), F.lit("ZI").alias("kind"), F.when(F.col("unit_id") > 10, F.col("unit_id") % 10).alias("parent"), F.col("unit_id").alias("unit")), PRIV)
 
 
-@query()
+@query(sql.medication(), "cases", "charges", "codes")
 def res_medication(spark, d):
     x = view(spark, d, "charges").join(_owner(spark, d), "case_id").join(view(spark, d, "codes").select("code_id", "text", "brand"), "code_id")
     return r.medications(x.select(F.col("charge_id").alias("order_id"), "case_id", "patient_id", F.when(F.col("code_id") % 2 == 0, F.col("code_id").cast("string")).otherwise(F.col("brand")).alias("drug"), "text", "day", F.concat(F.col("quantity").cast("int").cast("string"), F.lit("-0-0")).alias("dose"), "quantity", F.when(F.col("flag") == "A", "X").otherwise("").alias("aut_idem"), F.when(F.col("flag") == "R", "X").otherwise("").alias("cancelled")), PRIV)
 
 
-@query()
+@query(sql.risk(), "labs")
 def res_risk(spark, d):
     x = view(spark, d, "labs").select(F.col("lab_id").alias("risk_id"), "patient_id", F.lpad((F.col("lab_id") % 60).cast("string"), 6, "0").alias("code"), F.col("raw").alias("text"), F.to_date("ts").alias("day"), F.when(F.col("lab_id") % 11 == 0, "X").otherwise("").alias("deleted"))
     return r.risks(x, PRIV)
@@ -287,61 +278,83 @@ def _org(df, key, name):
     return df.select(F.col(key).alias("org_id"), F.col(name).alias("name"), (F.lit(260000000) + F.col(key)).cast("string").alias("ik"), F.lit("").alias("deleted"))
 
 
-@query()
+@query(sql.organization("nation", "n_nationkey", "n_name", "OrgPayer", "pay", r.ISH + "kostr"))
 def res_payer(spark, d):
-    return r.organizations(_org(table(spark, d, "nation"), "n_nationkey", "n_name"), "OrgPayer", "pay", r.ISH + "kostr")
+    return r.organizations(_org(table(spark, d, "nation"), "n_nationkey", "n_name"), "OrgPayer", "pay", r.ISH + "kostr", PRIV)
 
 
-@query()
+@query(sql.organization("supplier", "s_suppkey", "s_name", "OrgUnit", "dept", r.ISH + "orgid", ik=False, parent=sql.ref("Organization", "OrgFacility", "s_suppkey % 5")))
 def res_unit(spark, d):
     u = _org(table(spark, d, "supplier"), "s_suppkey", "s_name").withColumn("ik", F.lit(None).cast("string"))
-    return r.organizations(u, "OrgUnit", "dept", r.ISH + "orgid", parent=r.ref("Organization", "OrgFacility", (F.col("org_id") % 5)))
+    return r.organizations(u, "OrgUnit", "dept", r.ISH + "orgid", PRIV, parent=PRIV.ref("Organization", "OrgFacility", F.col("org_id") % 5))
 
 
-@query()
+@query(sql.organization("region", "r_regionkey", "r_name", "OrgFacility", None, r.ISH + "einri"))
 def res_facility(spark, d):
-    return r.organizations(_org(table(spark, d, "region"), "r_regionkey", "r_name"), "OrgFacility", None, r.ISH + "einri")
+    return r.organizations(_org(table(spark, d, "region"), "r_regionkey", "r_name"), "OrgFacility", None, r.ISH + "einri", PRIV)
 
 
-@query()
+@query(sql.organization("nation", "n_nationkey", "n_name", "OrgClearing", None, r.ISH + "das301"))
 def res_clearing_house(spark, d):
-    return r.organizations(_org(table(spark, d, "nation").where("n_nationkey % 5 = 0"), "n_nationkey", "n_name"), "OrgClearing", None, r.ISH + "das301")
+    return r.organizations(_org(table(spark, d, "nation"), "n_nationkey", "n_name"), "OrgClearing", None, r.ISH + "das301", PRIV)
 
 
-@query()
+@query(sql.practitioner())
 def res_practitioner(spark, d):
     u = table(spark, d, "supplier")
-    names = u.where("s_suppkey % 3 <> 0").select(F.col("s_suppkey").alias("person"), F.col("s_name").alias("name"), F.lit("").alias("name_deleted"))
-    roles = u.where("s_suppkey % 4 <> 1").select(F.col("s_suppkey").alias("person"), F.col("s_suppkey").cast("string").alias("lanr"), F.lit("0100").alias("specialty"), F.when(F.col("s_suppkey") % 10 == 0, "X").otherwise("").alias("role_deleted"))
-    return r.practitioners(names, roles)
+    names = u.where("s_acctbal >= 0").select(F.col("s_suppkey").alias("person"), F.col("s_name").alias("name"), F.lit("").alias("name_deleted"))
+    roles = u.where("s_nationkey <> 3").select(F.col("s_suppkey").alias("person"), F.col("s_suppkey").cast("string").alias("lanr"), F.lit("0100").alias("specialty"), F.when(F.col("s_suppkey") % 10 == 0, "X").otherwise("").alias("role_deleted"))
+    return r.practitioners(names, roles, PRIV)
 
 
-@query()
+@query(sql.account(_MEMBERS), "cases")
 def res_account(spark, d):
     m = members(spark, d)
     groups = m.join(_owner(spark, d), "case_id").where("lead = 'X'").select("grp", "patient_id", F.col("cancelled").alias("group_cancelled"))
     return r.accounts(groups, m, PRIV)
 
 
-@query()
+@query(sql.order())
 def res_order(spark, d):
     x = table(spark, d, "conversations").where("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("order_id"), (F.col("conv_id") % 100 + 1).alias("patient_id"), F.substring("text", 1, 30).alias("title"), F.col("text").alias("note"), F.when(F.col("conv_id") % 2 == 0, F.col("conv_id") % 20).alias("person"), (F.col("conv_id") % 10).alias("unit"), F.lit("2024-05-01").alias("day"), F.lit("").alias("cancelled"))
     return r.orders(x, PRIV)
 
 
-@query()
+_EVERY = f"{_MEMBERS}, ev AS (SELECT * FROM ({duck(sql.persons('patients') + sql.patient(), 'patients')}) UNION ALL SELECT * FROM ({duck(sql.account(_MEMBERS), 'cases')}) UNION ALL SELECT * FROM ({duck(sql.location(), 'units')}))"
+
+
+def _every(spark, d):
+    return res_patient(spark, d).unionByName(res_account(spark, d)).unionByName(res_location(spark, d)).withColumn("run_id", F.lit("run-1"))
+
+
+@query(_EVERY + " SELECT resource_type, id, patient, 'run-1' AS run_id FROM ev", "cases")
 def resource_index(spark, d):
-    from ..sources.sinks import resource_index as index
+    return index(_every(spark, d))
 
-    every = res_patient(spark, d).unionByName(res_account(spark, d)).unionByName(res_location(spark, d)).withColumn("run_id", F.lit("run-1"))
-    return index(every)
 
+_DECADE, _BUILDING = "substr(birth, 1, 3) || '0s'", "(SELECT * FROM patients WHERE segment = 'BUILDING') q"
+_AGAIN = f"{_EVERY}, ag AS (SELECT * FROM ({duck(sql.persons('patients') + sql.patient(_DECADE, _BUILDING), 'patients')})), nw AS (SELECT *, 'run-2' AS run_id FROM ag UNION ALL SELECT *, 'run-1' FROM ev WHERE id NOT IN (SELECT id FROM ag))"
 
-@query("SELECT 'Patient' AS resource_type, count(*) AS n FROM customer UNION ALL SELECT 'Location', count(*) FROM supplier")
-def sink_ndjson(spark, d):
-    from ..sources.sinks import write_ndjson
-    from .ingest import _scratch
 
-    path = _scratch(spark, "ndjson")
-    write_ndjson(res_patient(spark, d).unionByName(res_location(spark, d)).withColumn("run_id", F.lit("run-1")), path)
-    return spark.read.text(path).groupBy("resource_type").agg(F.count("*").alias("n"))
+def _runs(spark, d):
+    """A first run of patients, accounts and locations, and a second one of some patients, with births as decades."""
+    again = r.patients(view(spark, d, "patients").where("segment = 'BUILDING'"), r.Privacy("anonymize", SECRET))
+    return _every(spark, d).unionByName(again.withColumn("run_id", F.lit("run-2")))
+
+
+@query(_AGAIN + f" SELECT * FROM nw WHERE resource_type = 'Patient' AND id = {sql.uid('Patient', '3')}", "cases")
+def resource_get(spark, d):
+    one = spark.range(1).select(PRIV.rid("Patient", F.lit(3))).first()[0]
+    return m.newest_resources(_runs(spark, d), resource_type="Patient", id=one)
+
+
+@query(_AGAIN + " SELECT * FROM nw WHERE resource_type = 'Patient' ORDER BY id LIMIT 50", "cases")
+def resource_search(spark, d):
+    return m.newest_resources(_runs(spark, d), resource_type="Patient", most=50)
+
+
+@query(_EVERY + " SELECT resource_type, 'run-1' AS run_id, body AS value FROM ev", "cases")
+def sink_ndjson(spark, d):
+    path = new_path(spark, "ndjson")
+    write_ndjson(_every(spark, d), path)
+    return spark.read.text(path).select("resource_type", "run_id", "value")

@@ -68,7 +68,7 @@ def edge_readmission(spark, d):
     return g.readmissions(*_v(spark, d, "cases", "diagnoses"), days=400)
 
 
-@query(_EDGES + " SELECT a.src AS n0, a.dst AS n1, b.dst AS n2, c.dst AS n3 FROM e a JOIN e b ON a.dst = b.src AND b.kind = 'has_movement' JOIN e c ON b.dst = c.src AND c.kind = 'in_unit' WHERE a.kind = 'has_case'", "cases", "movements", "diagnoses", "procedures")
+@query(", a AS (SELECT DISTINCT patient_id, case_id FROM cases), b AS (SELECT DISTINCT case_id, number, coalesce(ward, dept) AS unit FROM movements) SELECT CAST(patient_id AS VARCHAR) AS n0, CAST(case_id AS VARCHAR) AS n1, case_id || '-' || number AS n2, CAST(unit AS VARCHAR) AS n3 FROM a JOIN b USING (case_id)", "cases", "movements")
 def graph_pattern_query(spark, d):
     return g.paths(g.edges(*_v(spark, d, "cases", "movements", "diagnoses", "procedures")), "has_case", "has_movement", "in_unit")
 
@@ -111,34 +111,40 @@ def doc_search_bm25(spark, d):
 
 
 def tree(spark, d):
-    """Region, nation, customer and supplier as one tree (parent, child)."""
+    """Region, nation, customer and supplier as one tree (parent, child, valid_from, valid_to); accounts below zero ended in 2009, nations of region 2 began in 2005."""
     n, c, u = table(spark, d, "nation"), table(spark, d, "customer"), table(spark, d, "supplier")
 
     def edge(df, a, x, b, y):
-        return df.select(F.concat(F.lit(a), F.col(x)).alias("parent"), F.concat(F.lit(b), F.col(y)).alias("child"))
+        balance = F.col(f"{b.lower()}_acctbal") if b != "N" else F.lit(0.0)
+        begin = F.when(F.col("n_regionkey") == 2, "2005-01-01").otherwise("2000-01-01") if b == "N" else F.lit("2000-01-01")
+        return df.select(F.concat(F.lit(a), F.col(x)).alias("parent"), F.concat(F.lit(b), F.col(y)).alias("child"), begin.cast("date").alias("valid_from"), F.when(balance < 0, "2004-12-31").otherwise("2099-12-31").cast("date").alias("valid_to"))
 
     return edge(n, "R", "n_regionkey", "N", "n_nationkey").unionByName(edge(u, "N", "s_nationkey", "S", "s_suppkey")).unionByName(edge(c, "N", "c_nationkey", "C", "c_custkey"))
 
 
-_TREE = "e AS (SELECT 'R' || n_regionkey AS parent, 'N' || n_nationkey AS child FROM nation UNION ALL SELECT 'N' || s_nationkey, 'S' || s_suppkey FROM supplier UNION ALL SELECT 'N' || c_nationkey, 'C' || c_custkey FROM customer)"
-_PATHS = f"WITH RECURSIVE {_TREE}, p AS (SELECT DISTINCT parent AS node, 1 AS level, parent AS path FROM e WHERE parent NOT IN (SELECT child FROM e) UNION ALL SELECT child, level + 1, path || '|' || child FROM p JOIN e ON node = parent)"
+_TREE = """e AS (SELECT 'R' || n_regionkey AS parent, 'N' || n_nationkey AS child, CASE WHEN n_regionkey = 2 THEN DATE '2005-01-01' ELSE DATE '2000-01-01' END AS lo, DATE '2099-12-31' AS hi FROM nation
+UNION ALL SELECT 'N' || s_nationkey, 'S' || s_suppkey, DATE '2000-01-01', CASE WHEN s_acctbal < 0 THEN DATE '2004-12-31' ELSE DATE '2099-12-31' END FROM supplier UNION ALL SELECT 'N' || c_nationkey, 'C' || c_custkey, DATE '2000-01-01', CASE WHEN c_acctbal < 0 THEN DATE '2004-12-31' ELSE DATE '2099-12-31' END FROM customer)"""
+_PATHS = f"WITH RECURSIVE {_TREE}, p AS (SELECT DISTINCT parent AS node, 1 AS level, parent AS path, DATE '1900-01-01' AS a, DATE '2099-12-31' AS z FROM e WHERE parent NOT IN (SELECT child FROM e) UNION ALL SELECT child, level + 1, path || '|' || child, greatest(a, lo), least(z, hi) FROM p JOIN e ON node = parent AND lo <= z AND hi >= a)"
+VALID = ("valid_from", "valid_to")
 
 
-@query(_PATHS + " SELECT node, CAST(level AS INTEGER) AS level, path FROM p")
+@query(_PATHS + " SELECT node, CAST(level AS INTEGER) AS level, path, a AS valid_from, z AS valid_to FROM p")
 def org_tree_paths(spark, d):
-    return h.tree_paths(tree(spark, d), parent="parent", child="child")
+    return h.tree_paths(tree(spark, d), parent="parent", child="child", valid=VALID)
 
 
 @query(_PATHS + " SELECT node, CAST(level AS INTEGER) AS level, string_split(path, '|')[1] AS level1, string_split(path, '|')[2] AS level2, string_split(path, '|')[3] AS level3, string_split(path, '|')[4] AS level4, string_split(path, '|')[5] AS level5, string_split(path, '|')[6] AS level6 FROM p")
 def org_levels_pivot(spark, d):
-    return h.path_levels(h.tree_paths(tree(spark, d), parent="parent", child="child"))
+    return h.path_levels(h.tree_paths(tree(spark, d), parent="parent", child="child", valid=VALID))
 
 
-@query(_PATHS + ", k AS (SELECT 'S' || s_suppkey AS node, s_name AS name, s_acctbal AS balance FROM supplier) SELECT node, name, path, CASE WHEN name LIKE '%1' THEN 'ward' WHEN balance < 0 THEN 'closed' ELSE 'department' END AS class FROM k LEFT JOIN p USING (node)")
+@query(_PATHS + ", k AS (SELECT 'S' || s_suppkey AS node, s_name AS name, CASE WHEN s_acctbal < 0 THEN 'C' ELSE 'D' END AS type FROM supplier) SELECT node, name, type, CASE type WHEN 'C' THEN 'clinic' WHEN 'D' THEN 'department' END AS type_text, path, CASE WHEN name LIKE 'Supplier#00000001%' THEN 'ward' WHEN name LIKE 'Supplier#0000000%' THEN 'head' WHEN name LIKE 'Supplier#%' THEN 'unit' ELSE 'other' END AS class FROM k LEFT JOIN p USING (node)")
 def org_cube(spark, d):
-    k = table(spark, d, "supplier").select(F.concat(F.lit("S"), "s_suppkey").alias("node"), F.col("s_name").alias("name"), "s_acctbal")
-    p = h.tree_paths(tree(spark, d), parent="parent", child="child").select("node", "path")
-    return k.join(p, "node", "left").select("node", "name", "path", F.when(F.col("name").endswith("1"), "ward").when(F.col("s_acctbal") < 0, "closed").otherwise("department").alias("class"))
+    k = table(spark, d, "supplier").select(F.concat(F.lit("S"), "s_suppkey").alias("node"), F.col("s_name").alias("name"), F.when(F.col("s_acctbal") < 0, "C").otherwise("D").alias("type"))
+    p = h.tree_paths(tree(spark, d), parent="parent", child="child", valid=VALID).select("node", "path")
+    types = k.select("type").distinct().withColumn("text", F.when(F.col("type") == "C", "clinic").otherwise("department"))
+    classes = spark.createDataFrame([("Supplier#", "unit"), ("Supplier#0000000", "head"), ("Supplier#00000001", "ward")], "prefix string, class string")
+    return h.unit_cube(k, types, p, classes).select("node", "name", "type", "type_text", "path", "class")
 
 
 @query(f"WITH RECURSIVE {_TREE}, r AS (SELECT 'R' || r_regionkey AS root FROM region WHERE r_regionkey < 3), t AS (SELECT root, root AS member FROM r UNION SELECT root, child FROM t JOIN e ON member = parent) SELECT root, member FROM t")
@@ -161,7 +167,7 @@ def _auth(spark, d):
     """Logins from customers, cost centres from suppliers, sets from nations and regions."""
     c, u, n = table(spark, d, "customer"), table(spark, d, "supplier"), table(spark, d, "nation")
     k = F.col("c_custkey")
-    logins = c.where("c_custkey % 10 = 0").select(F.concat(F.lit("L"), k).alias("login"), k.alias("person"), F.lit("2020-01-01").cast("date").alias("begin"), F.when(k % 30 == 0, "2021-01-01").otherwise("2099-12-31").cast("date").alias("end"))
+    logins = c.where("c_mktsegment = 'MACHINERY'").select(F.concat(F.lit("L"), k).alias("login"), k.alias("person"), F.lit("2020-01-01").cast("date").alias("begin"), F.when(k % 30 == 0, "2021-01-01").otherwise("2099-12-31").cast("date").alias("end"))
     n_units = u.count()
     assigned = c.select(k.alias("person"), F.concat(F.lit("K"), (k % n_units).cast("string")).alias("centre"), F.lit("2020-01-01").cast("date").alias("begin"), F.lit("2099-12-31").cast("date").alias("end"))
     leaves = u.select(F.concat(F.lit("N"), "s_nationkey").alias("set_id"), F.concat(F.lit("K"), "s_suppkey").alias("centre"))
@@ -171,7 +177,7 @@ def _auth(spark, d):
     return logins, assigned, leaves.unionByName(roots), edges, unit_map
 
 
-_AUTH = """logins AS (SELECT 'L' || c_custkey AS login, c_custkey AS person, CASE WHEN c_custkey % 30 = 0 THEN DATE '2021-01-01' ELSE DATE '2099-12-31' END AS ende FROM customer WHERE c_custkey % 10 = 0),
+_AUTH = """logins AS (SELECT 'L' || c_custkey AS login, c_custkey AS person, CASE WHEN c_custkey % 30 = 0 THEN DATE '2021-01-01' ELSE DATE '2099-12-31' END AS ende FROM customer WHERE c_mktsegment = 'MACHINERY'),
 own AS (SELECT login, 'K' || CAST(person % (SELECT count(*) FROM supplier) AS VARCHAR) AS centre FROM logins WHERE ende >= DATE '2024-06-01'),
 leaf AS (SELECT DISTINCT 'N' || s_nationkey AS set_id, 'K' || s_suppkey AS centre FROM supplier UNION SELECT 'R' || n_regionkey, 'K' || s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 sz AS (SELECT set_id, count(*) AS size FROM leaf GROUP BY 1), ed AS (SELECT 'R' || n_regionkey AS parent, 'N' || n_nationkey AS child FROM nation)"""
@@ -211,7 +217,7 @@ def case_cost_centres(spark, d):
     return h.case_centres(view(spark, d, "movements").select("case_id", "dept", F.col("ward").cast("string").alias("ward")), unit_map)
 
 
-@query("WITH " + _VIS + ", " + _CENTRES + ", roles AS (SELECT login, CASE WHEN person % 100 = 0 THEN NULL WHEN person % 70 = 0 THEN 'Admin ' ELSE 'pflege' END AS role FROM logins), pc AS (SELECT DISTINCT o_custkey AS patient_id, centre FROM cm JOIN orders ON o_orderkey = case_id) SELECT login, patient_id FROM roles, (SELECT DISTINCT o_custkey AS patient_id FROM orders) WHERE role = 'Admin ' UNION SELECT login, patient_id FROM vis JOIN roles USING (login) JOIN pc USING (centre) WHERE role = 'pflege'")
+@query("WITH " + _VIS + ", " + _CENTRES + ", roles AS (SELECT login, CASE WHEN person % 100 = 0 THEN NULL WHEN person % 70 = 0 THEN 'Admin ' ELSE 'pflege' END AS role FROM logins), pc AS (SELECT DISTINCT o_custkey AS patient_id, centre FROM cm JOIN orders ON o_orderkey = case_id) SELECT DISTINCT login, CASE WHEN role = 'Admin ' THEN 'ALL' ELSE 'NONE' END AS scope, CAST(NULL AS BIGINT) AS patient_id FROM roles WHERE role IS NULL OR role = 'Admin ' OR NOT EXISTS (SELECT 1 FROM vis JOIN pc USING (centre) WHERE vis.login = roles.login) UNION SELECT login, 'DEPT', patient_id FROM vis JOIN roles USING (login) JOIN pc USING (centre) WHERE role = 'pflege'")
 def visible_patients(spark, d):
     logins, assigned, leaves, edges, unit_map = _auth(spark, d)
     roles = logins.select("login", F.when(F.col("person") % 100 == 0, None).when(F.col("person") % 70 == 0, "Admin ").otherwise("pflege").alias("role"))

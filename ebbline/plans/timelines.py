@@ -33,14 +33,14 @@ def _changes(spark, d):
         F.date_trunc("second", "ts").cast("timestamp").alias("change_time"), F.floor(F.col("value") / 60).cast("long").alias("payload"), F.when(F.col("event_id") % 7 == 0, 1).otherwise(0).alias("storno"),
         F.when(F.col("event_id") % 7 == 0, F.date_trunc("day", "ts").cast("timestamp")).alias("storno_date"), F.lit("2024-01-01 06:00:00").cast("timestamp").alias("created"),
     )
-    c = table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("key"), (F.col("c_custkey") % 3).alias("payload"), F.lit(0).alias("storno"), F.lit(None).cast("timestamp").alias("storno_date"), F.lit("2024-01-01 06:00:00").cast("timestamp").alias("created"))
+    c = table(spark, d, "customer").where("c_acctbal >= 0").select(F.col("c_custkey").alias("key"), (F.col("c_custkey") % 3).alias("payload"), F.lit(0).alias("storno"), F.lit(None).cast("timestamp").alias("storno_date"), F.lit("2024-01-01 06:00:00").cast("timestamp").alias("created"))
     return c, e
 
 
 _C0 = f"""WITH e AS (SELECT user_id AS key, lpad(CAST(event_id AS VARCHAR), 12, '0') AS change_seq, CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' WHEN 'view' THEN 'B' ELSE 'U' END AS change_type,
   (CAST(date_trunc('second', ts) AS TIMESTAMP) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin' AS change_time, CAST(floor(value / 60) AS BIGINT) AS payload, CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS storno,
   CASE WHEN event_id % 7 = 0 THEN CAST(date_trunc('day', ts) AS TIMESTAMP) END AS storno_date, TIMESTAMP '2024-01-01 06:00:00' AS created FROM events),
-c0 AS (SELECT c_custkey AS key, '{SEQ9}' AS change_seq, 'O' AS change_type, TIMESTAMP '{AT}' AS change_time, c_custkey % 3 AS payload, 0 AS storno, CAST(NULL AS TIMESTAMP) AS storno_date, TIMESTAMP '2024-01-01 06:00:00' AS created FROM customer WHERE c_custkey % 2 = 0
+c0 AS (SELECT c_custkey AS key, '{SEQ9}' AS change_seq, 'O' AS change_type, TIMESTAMP '{AT}' AS change_time, c_custkey % 3 AS payload, 0 AS storno, CAST(NULL AS TIMESTAMP) AS storno_date, TIMESTAMP '2024-01-01 06:00:00' AS created FROM customer WHERE c_acctbal >= 0
   UNION ALL SELECT * FROM e WHERE change_time <= TIMESTAMP '{AT}')"""
 _C1 = _C0 + ", c1 AS (SELECT *, sha1(concat_ws('|', coalesce('=' || CAST(payload AS VARCHAR), '~'), coalesce('=' || CAST(storno AS VARCHAR), '~'))) AS hash_id FROM c0)"
 _C2 = _C1 + ", c2 AS (SELECT *, CAST(row_number() OVER (PARTITION BY key ORDER BY change_seq, change_type) * 2 AS BIGINT) AS seq_id FROM c1)"
@@ -156,7 +156,7 @@ def hist_valid_intervals(spark, d):
     return _h8(spark, d).select("key", "seq_id", "valid_from", "valid_to", "deleted", "deleted_at", "is_storno", "storno_at", "last_on_date")
 
 
-@query(_C8 + " SELECT key, CAST('0x' || substr(md5(CAST(key AS VARCHAR)), 1, 15) AS BIGINT) AS key_id, min(valid_from) AS created_at, max(valid_from) AS updated_at FROM c8 GROUP BY key")
+@query(_C8 + " SELECT key, md5(CAST(key AS VARCHAR)) AS key_id, min(valid_from) AS created_at, max(valid_from) AS updated_at FROM c8 GROUP BY key")
 def hist_surrogate_key(spark, d):
     return hi.surrogate_keys(_h8(spark, d), ["key"])
 
@@ -174,10 +174,10 @@ def hist_hash_islands(spark, d):
     return hi.islands(_h9(spark, d), ["key"], value="payload")
 
 
-@query(_C9 + ", n AS (SELECT key, payload + 100 AS payload, valid_from, valid_to FROM c9 WHERE key % 5 = 0 AND version = 1) SELECT key, payload, valid_from, valid_to FROM c9 WHERE key NOT IN (SELECT key FROM n) UNION ALL SELECT * FROM n")
+@query(_C9 + ", n AS (SELECT key, payload + 100 AS payload, valid_from, valid_to FROM c9 WHERE payload = 1 AND version = 1) SELECT key, payload, valid_from, valid_to FROM c9 WHERE key NOT IN (SELECT key FROM n) UNION ALL SELECT * FROM n")
 def hist_delta_merge(spark, d):
     v = _h9(spark, d).select("key", "payload", "valid_from", "valid_to", "version")
-    new = v.where("key % 5 = 0 and version = 1").withColumn("payload", F.col("payload") + 100).drop("version")
+    new = v.where("payload = 1 and version = 1").withColumn("payload", F.col("payload") + 100).drop("version")
     return hi.delta_merge(v.drop("version"), new, ["key"])
 
 

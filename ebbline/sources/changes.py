@@ -35,10 +35,6 @@ def watermark_changes(df: DataFrame, column: str, last, *, overlap_days: int = 1
     return df.withColumns({"_op": F.lit("U"), "_seq": F.coalesce(F.col(column).cast("string"), F.lit(""))})
 
 
-def next_watermark(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(F.max(column).alias("watermark"))
-
-
 def retention_gaps(changes: DataFrame, state: DataFrame, *, table: str = "table_name", seq: str = "_seq") -> DataFrame:
     """Per table its watermark, the oldest sequence still there, and whether changes between are lost."""
     oldest = changes.groupBy(table).agg(F.min(seq).alias("oldest"))
@@ -46,6 +42,6 @@ def retention_gaps(changes: DataFrame, state: DataFrame, *, table: str = "table_
 
 
 def latest_state(log: DataFrame, key: list[str], *, ts: str, values: list[str], rows: str) -> DataFrame:
-    """Last non-null value of each column by time, rows summed, time of the last run."""
-    last = [F.max_by(F.when(F.col(v).isNotNull(), F.col(v)), F.when(F.col(v).isNotNull(), F.col(ts))).alias(v) for v in values]
+    """Last non-null value of each column by time (of equal times the larger value), rows summed, time of the last run."""
+    last = [F.max_by(v, F.when(F.col(v).isNotNull(), F.struct(ts, v))).alias(v) for v in values]
     return log.groupBy(*key).agg(*last, F.sum(rows).alias("rows_total"), F.max(ts).alias("last_run"))

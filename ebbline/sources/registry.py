@@ -50,15 +50,25 @@ def year_partition(c: Column) -> Column:
     return F.when(y.rlike("^[0-9]{4}$"), y).otherwise(F.lit("unknown"))
 
 
-def after_key(df: DataFrame, key: list[str], last: list, limit: int | None = None) -> DataFrame:
-    """Rows whose key comes after ``last`` in lexicographic order, as an OR cascade that can be pushed down; in key order."""
+def _after(key, last) -> Column:
+    """Whether a key comes after ``last`` in lexicographic order, as an OR cascade that can be pushed down."""
     later = F.lit(False)
     for k in range(len(key) - 1, -1, -1):
         later = (F.col(key[k]) > F.lit(last[k])) | ((F.col(key[k]) == F.lit(last[k])) & later)
-    out = df.where(later).orderBy(*key)
+    return later
+
+
+def after_key(df: DataFrame, key: list[str], last: list, limit: int | None = None) -> DataFrame:
+    """Rows whose key comes after ``last``, in key order."""
+    out = df.where(_after(key, last)).orderBy(*key)
     return out if limit is None else out.limit(limit)
 
 
+def copy_whole(df: DataFrame, path: str) -> None:
+    """A small reference table, copied as it is: no tenant, no years, one file; an earlier copy is replaced."""
+    df.coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def backfill(df: DataFrame, path: str, spec: TableSpec, *, cursor: list | None = None) -> None:
     """Write a table by year, one file group per year; with ``cursor`` only rows after that key, appended."""
     if cursor is not None:
@@ -67,13 +77,6 @@ def backfill(df: DataFrame, path: str, spec: TableSpec, *, cursor: list | None =
     df.withColumn("jahr", year).repartition("jahr", F.pmod(F.xxhash64(*spec.pk), F.lit(8))).write.mode("append" if cursor is not None else "overwrite").partitionBy("jahr").parquet(path)
 
 
-def _after(key, last):
-    later = F.lit(False)
-    for k in range(len(key) - 1, -1, -1):
-        later = (F.col(key[k]) > F.lit(last[k])) | ((F.col(key[k]) == F.lit(last[k])) & later)
-    return later
-
-
 def read_jdbc(spark: SparkSession, url: str, spec: TableSpec, bounds: list[tuple], **options) -> DataFrame:
     """A database table, read in parallel by key ranges [(low, high), ...]; high is exclusive, None is open."""
     key = spec.pk[0]

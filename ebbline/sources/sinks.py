@@ -15,8 +15,3 @@ def write_ndjson(resources: DataFrame, path: str) -> None:
 def resource_index(resources: DataFrame) -> DataFrame:
     """(resource_type, id, patient, run_id) of every resource."""
     return resources.select("resource_type", "id", "patient", "run_id")
-
-
-def write_by_year(df: DataFrame, path: str, *, partition: str = "jahr") -> None:
-    """Replace only the year partitions that ``df`` holds."""
-    df.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)

@@ -1,4 +1,9 @@
-"""Continuous form of change feed to current state, with Structured Streaming."""
+"""Continuous form of change feed to current state, with Structured Streaming.
+
+Each micro-batch appends the newest change of each of its keys to a Parquet
+table, in a folder of its own number: a batch that runs again after a failure
+replaces its folder.  The current state is one aggregation over that table.
+"""
 
 from __future__ import annotations
 
@@ -6,51 +11,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def newest(df: DataFrame, key: list[str], seq: str = "_seq") -> DataFrame:
-    """One row per key, the one of the largest sequence."""
+def newest(df: DataFrame, key: list[str], seq: str = "_seq", op: str = "_op") -> DataFrame:
+    """One row per key, the one of the largest sequence; of equal ones a delete, then the larger hash of the row. A null sequence is the least."""
     rest = [c for c in df.columns if c not in key]
-    return df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(seq)).alias("_r")).select(*key, *[F.col(f"_r.{c}") for c in rest])
+    order = F.struct(F.coalesce(seq, F.lit("")), F.coalesce(F.col(op) == "D", F.lit(False)), F.xxhash64(*rest))
+    return df.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("_r")).select(*key, *[F.col(f"_r.{c}") for c in rest])
 
 
-def start_upsert(spark: SparkSession, feed: str, state: str, checkpoint: str, schema, *, key: list[str], buckets: int = 16, files_per_batch: int = 8):
-    """Merge a file feed of changes into a state table, batch by batch; the sequence decides, so late changes do no harm.
+def start_upsert(spark: SparkSession, feed: str, state: str, checkpoint: str, schema, *, key: list[str], files_per_batch: int = 8):
+    """Take a file feed of changes into a state table, batch by batch; the sequence decides, so late changes do no harm.
 
-    The state is kept in hash buckets.  A batch rewrites only the buckets its
-    keys fall into, in a new version folder, and the newest version of a bucket
-    counts; a batch that runs again after a failure writes the same version.
     Deleted keys stay as rows with _op D, so that an older change coming later
     does not revive them.
     """
 
-    def merge(batch: DataFrame, number: int) -> None:
-        change = newest(batch, key).withColumn("bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
-        touched = change.select("bucket").distinct()  # at most ``buckets`` rows
-        before = read_raw(spark, state, upto=number)
-        both = change if before is None else change.unionByName(before.join(F.broadcast(touched), "bucket", "left_semi"))
-        newest(both, [*key, "bucket"]).write.mode("overwrite").partitionBy("bucket").parquet(f"{state}/version={number:08d}")
+    def take(batch: DataFrame, number: int) -> None:
+        newest(batch, key).write.mode("overwrite").parquet(f"{state}/batch={number}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(feed)
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_raw(spark: SparkSession, state: str, upto: int | None = None) -> DataFrame | None:
-    """Newest version of every bucket, with deleted keys; None before the first batch."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(state)
-    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        return None
-    df = spark.read.option("basePath", state).parquet(state)
-    if upto is not None:
-        df = df.where(F.col("version") < upto)
-    last = df.groupBy("bucket").agg(F.max("version").alias("version"))
-    return df.join(F.broadcast(last), ["bucket", "version"], "left_semi").drop("version")
+def current(spark: SparkSession, state: str, *, key: list[str]) -> DataFrame:
+    """The live rows of a state table."""
+    return newest(spark.read.parquet(state).drop("batch"), key).where("_op <> 'D'").drop("_op")
 
 
-def current(spark: SparkSession, state: str) -> DataFrame:
-    return read_raw(spark, state).where("_op <> 'D'").drop("_op", "bucket")
+def fold(spark: SparkSession, state: str, to: str, *, key: list[str]) -> None:
+    """A new state table of one batch, deleted keys included, for a stream that has stopped; the old one may then go."""
+    newest(spark.read.parquet(state).drop("batch"), key).write.mode("overwrite").parquet(f"{to}/batch=-1")
 
 
 def run_once(spark: SparkSession, changes: DataFrame, folder: str, *, key: list[str]) -> DataFrame:
     """Write the changes as a feed of files, let the stream take all of it, and read the state."""
     changes.repartition(6, "_seq").write.parquet(f"{folder}/feed")
     start_upsert(spark, f"{folder}/feed", f"{folder}/state", f"{folder}/checkpoint", changes.schema, key=key, files_per_batch=3).awaitTermination()
-    return current(spark, f"{folder}/state")
+    return current(spark, f"{folder}/state", key=key)

@@ -36,7 +36,9 @@ def values(spark, make, *inputs):
             ["20240115T081500", "20240715T081500", "20240115T240000", "20240230", "2024-02-29", "18000101", "2024-01", "2024-07-01 10:30:00"],
             ["2024-01-15T08:15:00+01:00", "2024-07-15T08:15:00+02:00", "2024-01-15T23:59:59+01:00", "20240230", "2024-02-29", "18000101", "2024-01", "2024-07-01T10:30:00+02:00"],
         ),
-        (c.deid_text, ["am 3.4.2020 Frau Muster a@b.de AB1234567"], ["am [DATUM] Frau [NAME] [EMAIL] [ID]"]),
+        (c.deid_text, ["am 3.4.2020 Frau Muster a@b.de AB1234567", "Frau MÜLLER und herr müller, Dr. Meier", "PROF. ÖZ und ä3.4.2020 ü@ö.de", None], ["am [DATUM] Frau [NAME] [EMAIL] [ID]", "Frau [NAME] und herr [NAME], Dr. [NAME]", "PROF. [NAME] und ä3.4.2020 [EMAIL]", None]),
+        (lambda x: c.lookup(F.lower(x), c.UNITS), ["umol/l", "mmHg", "/nl", "pg/ml", "min", "IU/L", "foo", None], ["umol/L", "mm[Hg]", "/nL", "pg/mL", "min", "[IU]/L", None, None]),
+        (c.allergy_category, ["000001", "000007", "000015", "000016", "999999"], ["medication", "biologic", "environment", None, None]),
         (lambda x: c.risk_class(x, F.lit("MRSA")), ["000001", "000017", "999999"], ["allergy", "infection", "infection"]),
         (lambda x: c.is_cancelled(x), ["X", " ", "", "1", None, "0"], [True, False, False, True, False, False]),
         (c.code_concept, [" a ", "0", "", None], ["a", None, None, None]),
@@ -58,10 +60,11 @@ def test_ids_equal_the_standard_library(spark):
 
 def test_shift_keeps_lengths_and_sentinels(spark):
     a, b = "2026-02-02", "2026-02-09"
-    got = values(spark, lambda x: c.date_shift(SECRET, F.lit("7"), x), a, b, "0101-01-01", "2026-02-02T10:00:00", None)
+    got = values(spark, lambda x: c.date_shift(SECRET, F.lit("7"), x), a, b, "0101-01-01", "2026-02-02T10:00:00", None, "1899-06-01", "9999-12-31")
     day = datetime.date.fromisoformat
     assert day(got[1]) - day(got[0]) == datetime.timedelta(days=7) and got[0] != a
     assert got[2] == "0101-01-01" and got[3] == got[0] + "T10:00:00" and got[4] is None
+    assert got[5] != "1899-06-01" and (day(got[5]) - day("1899-06-01")) == (day(got[0]) - day(a)) and got[6] == "9999-12-31"
 
 
 def test_gap_rules(spark):

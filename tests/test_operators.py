@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbline.operators import current_state as cs
-from ebbline.operators import graph, hierarchy, history, lookups, quality, temporal
+from ebbline.operators import graph, hierarchy, history, lookups, marts, merging, quality, resources, revenue, stays, temporal
 from ebbline.sources import registry
 from ebbline.streaming import upsert
 
@@ -48,9 +48,75 @@ def test_visibility(spark):
     assert got == {"ward": {"K1"}, "head": {"KM", "K1", "K2"}, "none": {"ZZ"}}
 
 
-def test_tree_has_a_depth_cap(spark):
+def test_tree_ends_on_cycles(spark):
     e = spark.createDataFrame([("r", "a"), ("a", "b"), ("b", "a")], "p string, c string")
-    assert hierarchy.tree_paths(e, parent="p", child="c", max_depth=5).agg(F.max("level")).first()[0] == 5
+    assert sorted(r.path for r in hierarchy.tree_paths(e, parent="p", child="c").collect()) == ["r", "r|a", "r|a|b"]
+
+
+def test_tree_of_overlapping_validities_has_no_last_level(spark):
+    e = spark.createDataFrame([(f"n{i}", f"n{i + 1}", None, None) for i in range(15)] + [("n1", "x", "2020-01-01", "2020-12-31"), ("x", "y", "2021-01-01", None), ("x", "z", "2020-06-01", None), (None, "q", None, None)], "p string, c string, a string, b string")
+    got = {r.path: r for r in hierarchy.tree_paths(e, parent="p", child="c", valid=("a", "b")).collect()}
+    assert max(r.level for r in got.values()) == 16 and "n0|n1|x|y" not in got
+    assert (str(got["n0|n1|x|z"].valid_from), str(got["n0|n1|x|z"].valid_to)) == ("2020-06-01", "2020-12-31")
+    chain = spark.createDataFrame([(i, i + 1) for i in range(30)], "p int, c int")
+    assert quality.lineage_impact(chain, spark.createDataFrame([(0,)], "n int"), child="p", parent="c").agg(F.max("depth")).first()[0] == 30
+
+
+def test_visible_patients_names_a_scope(spark):
+    roles = spark.createDataFrame([("a", " IT "), ("b", "pflege"), ("c", None), ("d", "pflege"), ("e", "")], "login string, role string")
+    visible = spark.createDataFrame([("a", "K1"), ("b", "K1"), ("b", "K2"), ("d", "K9"), ("c", "K1")], "login string, centre string")
+    centres = spark.createDataFrame([(1, "K1"), (2, "K2"), (3, "K1"), (4, "K3")], "case_id long, centre string")
+    cases = spark.createDataFrame([(1, 10), (2, 10), (3, 11), (4, 12)], "case_id long, patient_id long")
+    got = sorted((tuple(r) for r in hierarchy.visible_patients(roles, visible, centres, cases).collect()), key=repr)
+    assert got == sorted([("a", "ALL", None), ("b", "DEPT", 10), ("b", "DEPT", 11), ("c", "NONE", None), ("d", "NONE", None), ("e", "NONE", None)], key=repr)
+
+
+def test_rules_of_a_charge_class_and_flag(spark):
+    rules = spark.createDataFrame([("E1", "*", "DRG", "main", "E1", 1), ("E1", "A", "DRG", "attending", "E1B", None)], "class string, flag string, system string, care string, statistic string, billable int")
+    charges = spark.createDataFrame([("E1", "A"), ("E1", "R"), ("XX", "A"), (None, None)], "class string, flag string")
+    got = sorted((tuple(r) for r in revenue.classify(charges, rules).collect()), key=repr)
+    assert got == sorted([("E1", "A", "DRG", "attending", "E1B", 0), ("E1", "R", "DRG", "main", "E1", 1), ("XX", "A", None, None, None, 0), (None, None, None, None, None, 0)], key=repr)
+
+
+def test_case_flags_and_days_not_billable(spark):
+    m = spark.createDataFrame([(1, "DRG", 1, None, "a"), (1, "PEPP", 0, 0, "b"), (2, None, None, 1, None)], "case_id int, system string, died int, surgery int, label string")
+    got = {r.case_id: tuple(r)[1:] for r in stays.case_flags(m, flags=("died", "surgery")).collect()}
+    assert got == {1: (1, 1, 1, 0, "b"), 2: (0, 0, 0, 1, None)}
+    k = spark.createDataFrame([(1, 3, None), (2, 3, 2), (3, None, None)], "case_id int, days_off int, days_off_audit int").withColumns({"status": F.lit("F"), "locked": F.lit(""), "end_date": F.lit(None).cast("date")})
+    assert {r.case_id: (r.nb_audit, r.nb_care) for r in merging.case_derive(k).collect()} == {1: (3, 0), 2: (2, 3), 3: (None, 0)}
+
+
+def test_stream_state_folds(spark, tmp_path):
+    d = f"file://{tmp_path}"
+    one = spark.createDataFrame([(1, "002", "U", "x"), (2, "001", "I", "y"), (3, "009", "D", "z"), (1, "002", "U", "x")], "key long, _seq string, _op string, state string")
+    one.write.parquet(f"{d}/a/batch=0")
+    spark.createDataFrame([(2, "003", "U", "w"), (3, "004", "I", "v")], one.schema).write.parquet(f"{d}/a/batch=1")
+    upsert.fold(spark, f"{d}/a", f"{d}/b", key=["key"])
+    for state in ("a", "b"):
+        assert sorted((r.key, r.state) for r in upsert.current(spark, f"{d}/{state}", key=["key"]).collect()) == [(1, "x"), (2, "w")]
+
+
+def test_serving_tables_mask_and_lock(spark):
+    p = spark.createDataFrame([(1, "1", "1950-02-03", "Muster", "")], "patient_id int, sex string, birth string, name string, dead string")
+    assert tuple(marts.serving("patients", p).first()) == (1, "1", "1950", "***", "") and marts.serving("patients", p, clear=True).first().name == "Muster"
+    k = spark.createDataFrame([(1, "X"), (2, ""), (3, None)], "case_id int, locked string")
+    assert sorted(r.case_id for r in marts.serving("cases", k).collect()) == [2, 3] and marts.serving("cases", k).columns == ["case_id"]
+
+
+def test_newest_resources(spark):
+    x = spark.createDataFrame([("Patient", "a", "p", "1", "old"), ("Patient", "a", "p", "2", "new"), ("Patient", "b", "q", "1", "b"), ("Account", "a", "p", "1", "c")], "resource_type string, id string, patient string, run_id string, body string")
+    got = lambda **k: [(r.resource_type, r.id, r.body) for r in marts.newest_resources(x, most=10, **k).collect()]
+    assert got() == [("Account", "a", "c"), ("Patient", "a", "new"), ("Patient", "b", "b")]
+    assert got(resource_type="Patient", patient="p") == [("Patient", "a", "new")] and got(id="zz") == []
+
+
+def test_ids_are_salted_unless_in_clear(spark):
+    p = spark.createDataFrame([(7, "1", "1950-01-01", "N", None, "X", "2001-02-03", "S", "C", "1", "D", 0)], "patient_id long, sex string, birth string, name string, merged_into long, dead string, dead_on string, street string, city string, postcode string, country string, doctor long")
+    ids = [resources.patients(p, privacy).first() for privacy in (resources.CLEAR, resources.Privacy("pseudonymize", b"a"), resources.Privacy("pseudonymize", b"b"), resources.Privacy("anonymize", b"a"))]
+    assert len({r.id for r in ids}) == 3 and ids[1].id == ids[3].id
+    assert "Muster" not in ids[1].body and '"family":"N"' in ids[0].body and '"city":"C"' in ids[0].body and "city" not in ids[1].body
+    assert '"birthDate":"1950"' in ids[1].body and '"birthDate":"1950s"' in ids[3].body and "generalPractitioner" not in ids[0].body
+    assert '"deceasedDateTime":"2001-02-03"' in ids[0].body and '"deceasedDateTime":"2001-02-03"' not in ids[1].body
 
 
 def test_audit_chain(spark):
@@ -102,7 +168,7 @@ def test_stream_takes_late_changes(spark, tmp_path):
     for part in (first, late):
         part.coalesce(1).write.mode("append").parquet(f"{d}/feed")
         upsert.start_upsert(spark, f"{d}/feed", f"{d}/state", f"{d}/ckpt", first.schema, key=["key"]).awaitTermination()
-    assert sorted((r.key, r.state) for r in upsert.current(spark, f"{d}/state").collect()) == [(1, "new"), (2, "b")]
+    assert sorted((r.key, r.state) for r in upsert.current(spark, f"{d}/state", key=["key"]).collect()) == [(1, "new"), (2, "b")]
 
 
 def test_merged_needs_both_cases(spark):
