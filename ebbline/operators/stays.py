@@ -128,18 +128,18 @@ def length_of_stay(b: DataFrame, *, not_billable: Column) -> DataFrame:
     return g.withColumn("los", F.col("occupancy_days") - F.col("not_billable"))
 
 
-def month_split(b: DataFrame) -> DataFrame:
-    """Blocks cut into months: treatment days, counted last days and occupancy days per case and month.
+def month_split(b: DataFrame, *, least: tuple[str, ...] = ()) -> DataFrame:
+    """Blocks cut into months: treatment days, counted last days and occupancy days per case and month; of the columns ``least`` the least value.
 
     The months of a block are made by ``sequence``, so no calendar is joined.
     """
     months = F.explode(F.sequence(F.trunc("start_ts", "month"), F.trunc("end_ts", "month"), F.expr("interval 1 month"))).alias("month")
-    x = b.where("end_ts >= start_ts").select("case_id", "start_ts", "end_ts", "last_day", months)
+    x = b.where("end_ts >= start_ts").select("case_id", "start_ts", "end_ts", "last_day", *least, months)
     stop = F.timestamp_add("SECOND", F.lit(-1), F.add_months("month", 1).cast("timestamp"))
     begin, end = F.greatest("start_ts", F.col("month").cast("timestamp")), F.least("end_ts", stop)
     last = F.when(F.col("end_ts").between(F.col("month").cast("timestamp"), stop), F.col("last_day")).otherwise(0) + F.when(F.col("end_ts") >= stop, 1).otherwise(0)
-    x = x.select("case_id", "month", F.datediff(end, begin).alias("t"), last.alias("l"))
-    return x.groupBy("case_id", "month").agg(F.sum("t").alias("treatment_days"), F.sum("l").alias("last_days"), F.sum(F.col("t") + F.col("l")).alias("occupancy_days"))
+    x = x.select("case_id", "month", *least, F.datediff(end, begin).alias("t"), last.alias("l"))
+    return x.groupBy("case_id", "month").agg(F.sum("t").alias("treatment_days"), F.sum("l").alias("last_days"), F.sum(F.col("t") + F.col("l")).alias("occupancy_days"), *[F.min(c).alias(c) for c in least])
 
 
 def month_rates(months: DataFrame, rates: DataFrame) -> DataFrame:
@@ -153,10 +153,10 @@ def month_versions(versions: DataFrame, rates: DataFrame, *, values: list[str])
 
     Values are compared by their hash; a null is a value of its own.
     """
-    hashed = versions.withColumn("hash_id", F.sha1(F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(v).cast("string")), F.lit("~")) for v in (*values, "admitted")])))
-    whole = islands(hashed, ["case_id", "month"], value="hash_id", unit="DAY").drop("n")
-    figures = hashed.groupBy("case_id", "month", "hash_id").agg(*[F.max(v).alias(v) for v in (*values, "admitted")])
-    out = whole.join(figures, ["case_id", "month", "hash_id"]).withColumn("version", F.dense_rank().over(Window.partitionBy("case_id", "month").orderBy(F.desc("valid_from"))))
+    figures = (*values, "admitted")
+    hash_id = F.sha1(F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(v).cast("string")), F.lit("~")) for v in figures])).alias("hash_id")
+    whole = islands(versions.withColumn("_v", F.struct(hash_id, *figures)), ["case_id", "month"], value="_v", unit="DAY").drop("n")
+    out = whole.select("case_id", "month", "_v.*", "valid_from", "valid_to").withColumn("version", F.dense_rank().over(Window.partitionBy("case_id", "month").orderBy(F.desc("valid_from"))))
     r = rates.select(F.explode(F.sequence(F.year("valid_from"), F.year("valid_to"))).alias("_y"), F.col("valid_from").alias("_a"), F.col("valid_to").alias("_z"), "rate")
     day = F.to_date("admitted")
     return out.withColumn("_y", F.year(day)).join(r, "_y", "left").where(F.col("rate").isNull() | day.between(F.col("_a"), F.col("_z"))).drop("_y", "_a", "_z")

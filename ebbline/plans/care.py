@@ -175,11 +175,11 @@ SELECT vj.*, sha1('=' || treatment_days || '|=' || last_days || '|=' || occupanc
 def los_month_versions(spark, d):
     """Months before and after the last-day rules were known, as two daily versions."""
     values = ["treatment_days", "last_days", "occupancy_days"]
-    ld = _ld(spark, d)
-    now = st.month_split(ld).join(ld.groupBy("case_id").agg(F.min("admitted").alias("admitted")), "case_id")
-    day = lambda a, z: {"valid_from": F.lit(a).cast("date"), "valid_to": F.lit(z).cast("date")}
-    first = now.withColumns({"last_days": F.lit(0).cast("long"), "occupancy_days": F.col("treatment_days"), **day("2000-01-01", "2009-12-31")})
-    return st.month_versions(first.unionByName(now.withColumns(day("2010-01-01", "2099-12-31"))), _rates(spark, d), values=values)
+    day = lambda a, z: [F.lit(a).cast("date").alias("valid_from"), F.lit(z).cast("date").alias("valid_to")]
+    before = F.struct(*day("2000-01-01", "2009-12-31"), F.lit(0).cast("long").alias("last_days"), F.col("treatment_days").alias("occupancy_days"))
+    after = F.struct(*day("2010-01-01", "2099-12-31"), "last_days", "occupancy_days")
+    now = st.month_split(_ld(spark, d), least=("admitted",)).select("case_id", "month", "admitted", "treatment_days", F.explode(F.array(before, after)).alias("x"))
+    return st.month_versions(now.select("case_id", "month", "admitted", "treatment_days", "x.*"), _rates(spark, d), values=values)
 
 
 # merging -----------------------------------------------------------------------------------------------
