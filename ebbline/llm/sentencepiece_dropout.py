@@ -28,6 +28,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: A word beyond this many characters is merged with an agenda of its own instead of in step with others.
 LONG_WORD = 48
+#: Rank of pairs that form no piece, worse than any.
+NO_PIECE = 1 << 30
 #: Words of which a task remembers the segmentation.
 MOST_WORDS = 1_000_000
 
@@ -52,8 +54,9 @@ class Vocabulary:
         if (self.byte_ids < 0).any():
             raise ValueError("a model with byte fallback is needed")
         score = np.array([model.get_score(i) for i in range(n)])
-        self.rank = np.full(n, n, np.int64)
-        self.rank[np.argsort(-score, kind="stable")] = np.arange(n)
+        self.order = np.argsort(-score, kind="stable")  # ids from the best score on; a rank is a place among them
+        self.rank = np.empty(n, np.int64)
+        self.rank[self.order] = np.arange(n)
         # symbols: ids of pieces, and beyond them characters that are no piece
         self.n = n
         self.single = {p: i for p, i in spelled.items() if len(p) == 1}
@@ -62,18 +65,21 @@ class Vocabulary:
             for k in range(1, len(piece)):
                 a, b = spelled.get(piece[:k]), spelled.get(piece[k:])
                 if a is not None and b is not None:
-                    pairs[(a << 20) | b] = i
-        keys = np.array(sorted(pairs), dtype=np.int64)
-        made = np.array([pairs[int(k)] for k in keys], dtype=np.int64)
-        # open addressing over the pairs: one gather finds most of them
-        bits = max(4, int(len(keys) * 8).bit_length())
+                    pairs[(a << 21) | b] = i
+        # open addressing over the pairs, each entry key and rank in one number: one gather finds most of them
+        bits = max(4, int(len(pairs) * 4).bit_length())
         self.shift = np.uint64(64 - bits)
-        self.keys, self.made = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
-        for key, out in zip(keys, made):
-            at = int(self._slot(np.array([key]))[0])
-            while self.keys[at] >= 0:
-                at = (at + 1) & ((1 << bits) - 1)
-            self.keys[at], self.made[at] = key, out
+        self.entries = np.full(1 << bits, -1, np.int64)
+        keys = np.array(sorted(pairs), np.int64)
+        entries = (keys << 20) | self.rank[np.array([pairs[k] for k in keys.tolist()], np.int64)]
+        at = self._slot(keys)
+        while len(at):  # the first of each free slot goes in, the others try the next one
+            free = np.flatnonzero(self.entries[at] < 0)
+            goes = free[np.unique(at[free], return_index=True)[1]]
+            self.entries[at[goes]] = entries[goes]
+            stay = np.ones(len(at), bool)
+            stay[goes] = False
+            at, entries = (at[stay] + 1) & ((1 << bits) - 1), entries[stay]
         texts = []
         for i, piece in enumerate(self.pieces):
             texts.append(b"" if i in self.special else bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace(MARK, " ").encode())
@@ -84,25 +90,34 @@ class Vocabulary:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
     def merged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """The piece that two symbols form, -1 if none."""
-        key = (a << 20) | b
+        """Rank of the piece that two symbols form, NO_PIECE if none."""
+        key = (a << 21) | b  # symbols that are no piece are beyond n, so no entry has them
         at = self._slot(key)
-        seen = self.keys[at]
-        out = np.where(seen == key, self.made[at], -1)
-        open_ = np.flatnonzero((seen >= 0) & (seen != key))
-        size = len(self.keys) - 1
+        seen = self.entries[at]
+        out = np.where((seen >> 20) == key, seen & 0xFFFFF, NO_PIECE)
+        open_ = np.flatnonzero((seen >= 0) & (out == NO_PIECE))
+        size = len(self.entries) - 1
         at = at[open_]
         while len(open_):
             at = (at + 1) & size
-            seen = self.keys[at]
-            hit = seen == key[open_]
-            out[open_[hit]] = self.made[at[hit]]
+            seen = self.entries[at]
+            hit = (seen >> 20) == key[open_]
+            out[open_[hit]] = seen[hit] & 0xFFFFF
             more = (seen >= 0) & ~hit
             open_, at = open_[more], at[more]
-        out[(a < 0) | (b < 0) | (a >= self.n) | (b >= self.n)] = -1
         return out
 
 
+_LOADED: dict[str, Vocabulary] = {}
+
+
+def vocabulary_of(path: str) -> Vocabulary:
+    """The vocabulary of a model file, read once by each worker process."""
+    if path not in _LOADED:
+        _LOADED[path] = Vocabulary(path)
+    return _LOADED[path]
+
+
 def keyed(seed: int) -> np.uint64:
     return np.uint64(int.from_bytes(hashlib.blake2b(str(seed).encode(), digest_size=8).digest(), "big"))
 
@@ -124,62 +139,56 @@ def _code(row, start, middle, end):
     return (((row << 6 | start) << 6) | middle) << 6 | end
 
 
-def merge_words(vocabulary: Vocabulary, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray, dropout: float, offered: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+def merge_words(vocabulary: Vocabulary, symbols: np.ndarray, lengths: np.ndarray, keys: np.ndarray, dropout: float, offered: list | None = None, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Merged symbols of all words, in rows with -1 in between, and their numbers.
 
     ``symbols`` has a row per word, padded with -1; ``keys`` a hash per word.
     Candidates are looked up once, when a merge makes them; a turn takes the
     best of each word, the leftmost among equals.  ``offered`` collects the codes
-    of all candidates looked up without dropout.
+    of all candidates looked up without dropout; ``first`` has the ranks of the
+    neighbours that the words begin with, if they are known.
     """
     n, width = symbols.shape
-    none = 1 << 30
     sym = symbols.ravel().copy()
-    here = np.tile(np.arange(width), n)
-    after, before = here + 1, here - 1
-    size = np.repeat(lengths, width)
-    rank, product = np.full(n * width, none, np.int32), np.full(n * width, -1, np.int64)
-
-    def offer(at):
-        """Put the pairs that begin at these places on the agenda, where they have a piece and are not skipped."""
-        row = at // width * width
-        nxt = row + after[at]
-        made = vocabulary.merged(sym[at], sym[nxt])
-        ok = made >= 0
-        if dropout > 0:
-            at, nxt, row, made = at[ok], nxt[ok], row[ok], made[ok]
-            stay = ~dropped(keys[row // width], at - row, nxt - row, after[nxt], dropout)
-            rank[at] = np.where(stay, vocabulary.rank[made], none)
-            product[at] = made
-        else:
-            rank[at] = np.where(ok, vocabulary.rank[made], none)
-            product[at] = made
-            if offered is not None:
-                at, nxt, row = at[ok], nxt[ok], row[ok]
-                offered.append(_code(row // width, at - row, nxt - row, after[nxt]))
-
-    if width > 1:
-        offer(np.flatnonzero(here + 1 < size))
+    after, before = np.tile(np.arange(1, width + 1, dtype=np.int32), n), np.tile(np.arange(-1, width - 1, dtype=np.int32), n)
+    rank = np.full(n * width, NO_PIECE, np.int32)
+
+    def offer(word, at, nxt, found):
+        """Put the pairs of these neighbours on the agenda, where they have a piece and are not skipped."""
+        rank[at] = found
+        if dropout > 0 or offered is not None:
+            ok = np.flatnonzero(found < NO_PIECE)
+            word, at, nxt = word[ok], at[ok], nxt[ok]
+            row = word * width
+            if dropout > 0:
+                rank[at[dropped(keys[word], at - row, nxt - row, after[nxt], dropout)]] = NO_PIECE
+            else:
+                offered.append(_code(word, at - row, nxt - row, after[nxt]))
+
+    if width > 1 and first is None:
+        at = np.flatnonzero(np.tile(np.arange(width), n) + 1 < np.repeat(lengths, width))
+        offer(at // width, at, at + 1, vocabulary.merged(sym[at], sym[at + 1]))
+    elif width > 1:
+        at = np.flatnonzero(first.ravel() < NO_PIECE)
+        offer(at // width, at, at + 1, first.ravel()[at])
     table, live = rank.reshape(n, width), np.flatnonzero(lengths > 1)
     while len(live):
         part = table[live] if len(live) < n else table
-        best = part.argmin(axis=1)
-        at = live * width + best
-        some = rank[at] < none
-        live, at = live[some], at[some]
-        if not len(live):
-            break
+        at = live * width + part.argmin(axis=1)
+        best = rank[at]
+        some = best < NO_PIECE
+        live, at, best = live[some], at[some], best[some]
         row = live * width
         gone = row + after[at]
-        sym[at], sym[gone] = product[at], -1
-        rank[at] = rank[gone] = none
-        after[at] = after[gone]
-        inner = after[at] < size[at]
-        before[(row + after[at])[inner]] = (at - row)[inner]
-        left = before[at]
-        prior = (row + left)[left >= 0]
-        rank[prior] = none
-        offer(np.concatenate([at[inner], prior]))
+        sym[at], sym[gone] = vocabulary.order[best], -1
+        rank[at] = rank[gone] = NO_PIECE
+        far = after[gone]
+        after[at] = far
+        inner, left = far < lengths[live], before[at]
+        nxt, prior = (row + far)[inner], left >= 0
+        before[nxt] = (at - row)[inner]
+        begin, end = np.concatenate([at[inner], (row + left)[prior]]), np.concatenate([nxt, at[prior]])
+        offer(np.concatenate([live[inner], live[prior]]), begin, end, vocabulary.merged(sym[begin], sym[end]))
     out = sym.reshape(n, width)
     return out, (out >= 0).sum(axis=1)
 
@@ -194,19 +203,19 @@ def merge_long(vocabulary: Vocabulary, symbols: np.ndarray, key: np.uint64, drop
     heap = []
 
     def offer(left):
-        made = vocabulary.merged(sym[left], sym[after[left]])
-        ok = made >= 0
+        found = vocabulary.merged(sym[left], sym[after[left]])
+        ok = found < NO_PIECE
         if dropout > 0:
             ok &= ~dropped(np.full(len(left), key), left, after[left], stop[after[left]], dropout)
-        for i, m in zip(left[ok].tolist(), made[ok].tolist()):
-            heapq.heappush(heap, (int(vocabulary.rank[m]), i, int(after[i]), int(stop[after[i]]), m))
+        for i, best in zip(left[ok].tolist(), found[ok].tolist()):
+            heapq.heappush(heap, (best, i, int(after[i]), int(stop[after[i]])))
 
     offer(np.arange(n - 1))
     while heap:
-        _, i, j, end, made = heapq.heappop(heap)
+        best, i, j, end = heapq.heappop(heap)
         if sym[i] < 0 or sym[j] < 0 or after[i] != j or stop[j] != end or stop[i] != j:
             continue
-        sym[i], sym[j] = made, -1
+        sym[i], sym[j] = vocabulary.order[best], -1
         stop[i], after[i] = end, after[j]
         if after[i] < n:
             before[after[i]] = i
@@ -220,7 +229,7 @@ class Encoder:
     """Encodes chunks of texts; ids are those of the model, losslessly decodable."""
 
     def __init__(self, path: str = MODEL, *, dropout: float = 0.0, seed: int = 0):
-        self.vocabulary = Vocabulary(path)
+        self.vocabulary = vocabulary_of(path)
         self.dropout, self.key = dropout, keyed(seed)
         self.table = None
         self._forget()
@@ -234,6 +243,7 @@ class Encoder:
             self.table[ord(" ")] = self.vocabulary.single.get(MARK, self.table[ord(MARK)])
             # a space mark of the text itself is spelled in bytes, so that it does not come back as a space
             self.table[ord(MARK)] = self.vocabulary.n + ord(MARK)
+            self.seat = np.zeros(len(self.table) + self.vocabulary.n, np.int64)
         return self.table[points]
 
     def _forget(self) -> None:
@@ -241,15 +251,27 @@ class Encoder:
         self.ids = np.zeros(0, np.int32)
         self.span, self.span_at, self.spans = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    @staticmethod
-    def _matrix(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
-        """The words' symbols in rows, padded with -1."""
-        at = starts[:, None] + np.arange(width)[None, :]
-        return np.where(np.arange(width)[None, :] < sizes[:, None], symbols[np.minimum(at, len(symbols) - 1)], -1)
+    def _pairs(self, symbols: np.ndarray) -> np.ndarray:
+        """Rank of the piece that each symbol forms with the next one.
+
+        A chunk of few different symbols has each pair looked up once.
+        """
+        present = np.zeros(len(self.seat), bool)
+        present[symbols] = True
+        here = np.flatnonzero(present)
+        k = len(here)
+        if k * k > len(symbols):
+            found = self.vocabulary.merged(symbols[:-1], symbols[1:])
+        else:
+            self.seat[here] = np.arange(k)
+            code = self.seat[symbols]
+            found = self.vocabulary.merged(np.repeat(here, k), np.tile(here, k)).astype(np.int32)[code[:-1] * k + code[1:]]
+        return np.append(found, NO_PIECE).astype(np.int32)
 
-    def _each(self, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, keys: np.ndarray, dropout: float, chosen: np.ndarray, offered: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _each(self, symbols: np.ndarray, pairs: np.ndarray, starts: np.ndarray, sizes: np.ndarray, keys: np.ndarray, dropout: float, chosen: np.ndarray, offered: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Merged symbols of the chosen words, where among them each word's lie (0 for the other words), and how many.
 
+        ``symbols`` ends with -1 and ``pairs`` with NO_PIECE, which stand behind the end of every word.
         ``offered`` collects (words, number of their candidates, span hashes) of words that are not long.
         """
         number, at, flat, total = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64), [np.zeros(0, np.int32)], 0
@@ -258,7 +280,9 @@ class Encoder:
             for a in range(0, len(band), 4096):
                 part = band[a : a + 4096]
                 codes: list | None = None if offered is None else [np.zeros(0, np.int64)]
-                done, count = merge_words(self.vocabulary, self._matrix(symbols, starts[part], sizes[part], high), sizes[part], keys[part], dropout, codes)
+                column = np.arange(high)[None, :]
+                at_part = np.where(column < sizes[part][:, None], starts[part][:, None] + column, len(symbols) - 1)
+                done, count = merge_words(self.vocabulary, symbols[at_part], sizes[part], keys[part], dropout, codes, pairs[at_part])
                 flat.append(done[done >= 0].astype(np.int32))
                 number[part], at[part] = count, total + np.cumsum(count) - count
                 total += int(count.sum())
@@ -272,7 +296,7 @@ class Encoder:
             total += len(done)
         return np.concatenate(flat), at, number
 
-    def _merged(self, words: np.ndarray, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    def _merged(self, words: np.ndarray, symbols: np.ndarray, pairs: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Seats of the distinct words, merged without dropout; words seen before are not merged again.
 
         ``at`` and ``number`` say where in ``ids`` a seat's symbols lie, ``span_at`` and ``spans`` where in
@@ -288,7 +312,7 @@ class Encoder:
         if len(fresh):
             offered: list | None = [] if self.dropout > 0 else None
             # under dropout, occurrences of long words are merged one by one
-            flat, at, number = self._each(symbols, starts, sizes, np.zeros(len(words), np.uint64), 0.0, fresh if offered is None else fresh[sizes[fresh] <= LONG_WORD], offered)
+            flat, at, number = self._each(symbols, pairs, starts, sizes, np.zeros(len(words), np.uint64), 0.0, fresh if offered is None else fresh[sizes[fresh] <= LONG_WORD], offered)
             spans, span_at, held, total = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [self.span], len(self.span)
             for part, count, span in offered or ():
                 spans[part], span_at[part] = count, total + np.cumsum(count) - count
@@ -329,16 +353,19 @@ class Encoder:
         ends = np.append(starts[1:], len(points))
         size = ends - starts
         symbols = self._symbols(points)
+        pairs = self._pairs(symbols) if len(symbols) else np.zeros(0, np.int32)
+        pairs[ends - 1] = NO_PIECE
+        symbols, pairs = np.append(symbols, -1), np.append(pairs, np.int32(NO_PIECE))
         owner = np.searchsorted(first, starts, "right") - 1
         word = span_hashes(points, starts, ends)
         distinct, example, where = np.unique(word, return_index=True, return_inverse=True)
-        seat = self._merged(distinct, symbols, starts[example], size[example])[where]
+        seat = self._merged(distinct, symbols, pairs, starts[example], size[example])[where]
         at, counts, merged = self.at[seat], self.number[seat], self.ids
         if self.dropout > 0:
             inner = np.arange(len(starts)) - np.searchsorted(owner, owner)
             own = mix64(mix64(keys[owner].astype(np.uint64) ^ self.key) + inner.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
             alone = self._skipping(seat, own) | (size > LONG_WORD)
-            flat, at_own, number = self._each(symbols, starts, size, own, self.dropout, np.flatnonzero(alone))
+            flat, at_own, number = self._each(symbols, pairs, starts, size, own, self.dropout, np.flatnonzero(alone))
             at, counts = np.where(alone, at_own + len(merged), at), np.where(alone, number, counts)
             merged = np.concatenate([merged, flat])
         total = np.cumsum(counts)
@@ -408,7 +435,7 @@ def decode_column(encoded: DataFrame, *, path: str = MODEL) -> DataFrame:
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema.fields[:-1])
 
     def run(batches):
-        vocabulary = Vocabulary(path)
+        vocabulary = vocabulary_of(path)
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
