@@ -24,6 +24,8 @@ from .arrays import text_chunks
 DC_COUNTS = (0, 1, 5, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0)
 DC_SYMBOLS = tuple(range(12))
 BLOCK = 64
+#: Blocks that are coded or decoded at once, so that the numpy temporaries of a very long text stay small.
+STRETCH = 1 << 14
 
 
 def _ac_table() -> tuple[tuple[int, ...], tuple[int, ...]]:
@@ -113,16 +115,15 @@ def _token_tables() -> tuple[np.ndarray, np.ndarray]:
 _TOKENS: list = []
 
 
-def _scans(coefficients: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Entropy-coded bytes of all blocks, each an interval with its restart marker, and the borders of the files.
+def _scans(coefficients: np.ndarray, number: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entropy-coded bytes of all blocks, each an interval with its restart marker, and where each block ends.
 
-    ``first`` has the number of each file's first block and, last, the number of blocks.
+    ``number`` counts the blocks of a file; its ``last`` one has no marker.
     """
     if not _TOKENS:
         _TOKENS.extend(_token_tables())
     token_bits, token_widths = _TOKENS
     ac_code, ac_len = codes_of(AC_COUNTS, AC_SYMBOLS)
-    n = len(coefficients)
     flat = coefficients.reshape(-1).view(np.uint8)
     there = flat != 0
     there[::BLOCK] = True  # every block has a DC token, whatever its value
@@ -173,9 +174,7 @@ def _scans(coefficients: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.
     packed = np.bincount(word, weights=(wide >> np.uint64(32)).astype(np.float64), minlength=size32)
     packed += np.bincount(word + 1, weights=(wide & np.uint64(0xFFFFFFFF)).astype(np.float64), minlength=size32)
     raw = packed.astype(np.uint64).astype(">u4").view(np.uint8)[: start[-1]]
-    ends_file = np.zeros(n, bool)
-    ends_file[first[1:] - 1] = True
-    marks = np.where(ends_file, 0, 2)
+    marks = np.where(last, 0, 2)
     # a stuffed zero after each FF, and a restart marker after each block but a file's last
     stuffed = np.flatnonzero(raw == 0xFF)
     gaps = np.zeros(len(raw) + 1, np.int8)
@@ -186,11 +185,10 @@ def _scans(coefficients: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.
     out = np.zeros(int(place[-1]), np.uint8)
     out[place[:-1]] = raw
     after = place[start[1:]] - marks  # place after each block's last byte
-    number = np.arange(n) - np.repeat(first[:-1], np.diff(first))
-    marked = np.flatnonzero(~ends_file)
+    marked = np.flatnonzero(~last)
     out[after[marked]] = 0xFF
     out[after[marked] + 1] = 0xD0 + (number[marked] & 7)
-    return out, np.concatenate([[0], (after + marks)[first[1:] - 1]])
+    return out, after + marks
 
 
 def encode(payloads: list[bytes]) -> list[bytes]:
@@ -203,8 +201,16 @@ def encode(payloads: list[bytes]) -> list[bytes]:
         if len(p) % BLOCK or not p:
             raise ValueError("a payload's length must be a positive multiple of 64")
         flat[at * BLOCK : at * BLOCK + len(p)] = np.frombuffer(p, np.int8)
-    scans, borders = _scans(values, first)
-    data = scans.tobytes()
+    number = np.arange(len(values)) - np.repeat(first[:-1], np.diff(first))
+    last = np.zeros(len(values), bool)
+    last[first[1:] - 1] = True
+    pieces, ends, at = [], [np.zeros(0, np.int64)], 0
+    for a in range(0, len(values), STRETCH):
+        scan, end = _scans(values[a : a + STRETCH], number[a : a + STRETCH], last[a : a + STRETCH])
+        pieces.append(scan.tobytes())
+        ends.append(end + at)
+        at += len(scan)
+    data, borders = b"".join(pieces), np.concatenate([[0], np.concatenate(ends)[first[1:] - 1]])
     return [_header(a, d, len(p)) + data[borders[i] : borders[i + 1]] + b"\xff\xd9" for i, (p, (a, d)) in enumerate(zip(payloads, shapes))]
 
 
@@ -311,6 +317,14 @@ def _single_blocks(out, window, bit, end, first, dc_look, ac_look) -> None:
             base, k, bit, end = base[keep], k[keep], bit[keep], end[keep]
 
 
+def _window(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number; the last eight places have none."""
+    out = np.zeros(len(data) - 8, np.uint64)
+    for k in range(8):
+        out |= data[k : len(data) - 8 + k].astype(np.uint64) << np.uint64(56 - 8 * k)
+    return out
+
+
 def decode(files: list[bytes]) -> list[tuple[Parsed, np.ndarray]]:
     """Parsed markers and coefficients (blocks in scan order, zigzag order within) of each file.
 
@@ -331,9 +345,9 @@ def decode(files: list[bytes]) -> list[tuple[Parsed, np.ndarray]]:
         drop = np.zeros(stop, bool)
         drop[ff[nxt == 0] + 1] = True
         drop[restart] = drop[restart + 1] = True
-        kept = np.concatenate([[0], np.cumsum(~drop)])
-        starts = np.concatenate([[0], kept[restart]])
-        ends = np.concatenate([kept[restart], [kept[-1]]])
+        dropped = np.flatnonzero(drop)
+        borders, size = restart - np.searchsorted(dropped, restart), stop - len(dropped)
+        starts, ends = np.concatenate([[0], borders]), np.concatenate([borders, [size]])
         mcus = p.across * p.down
         per = p.interval or mcus
         if len(starts) != -(-mcus // per):
@@ -346,14 +360,11 @@ def decode(files: list[bytes]) -> list[tuple[Parsed, np.ndarray]]:
         lane_units.append(count * len(p.units))
         lane_first.append(blocks + np.arange(len(starts)) * per * len(p.units))
         lane_file.append(np.full(len(starts), n))
-        at += int(kept[-1])
+        at += size
         blocks += mcus * len(p.units)
         for t in p.tables.values():
             tables.setdefault(t, len(tables))
     data = np.concatenate([*pieces, np.full(16, 0xFF, np.uint8)])
-    window = np.zeros(len(data) - 8, np.uint64)
-    for k in range(8):
-        window |= data[k : len(data) - 8 + k].astype(np.uint64) << np.uint64(56 - 8 * k)
     looks = np.stack([lookup_of(*t) for t in tables])
     most = max(len(p.units) for p in parsed)
     which = np.zeros((len(parsed), most, 2), np.int64)
@@ -369,8 +380,12 @@ def decode(files: list[bytes]) -> list[tuple[Parsed, np.ndarray]]:
     out = np.zeros(blocks * BLOCK + BLOCK, np.int16)
     sizes = [p.across * p.down * len(p.units) for p in parsed]
     if most == 1 and len(tables) == 2 and (units == 1).all():
-        _single_blocks(out, window, bit, end, first, looks[which[0, 0, 0]], looks[which[0, 0, 1]])
+        for a in range(0, len(bit), STRETCH):
+            part = slice(a, a + STRETCH)
+            at, to = int(bit[a]) // 8, int(end[part][-1]) // 8
+            _single_blocks(out, _window(data[at : to + 16]), bit[part] - 8 * at, end[part] - 8 * at, first[part], looks[which[0, 0, 0]], looks[which[0, 0, 1]])
         return list(zip(parsed, np.split(out[: blocks * BLOCK].reshape(-1, BLOCK), np.cumsum(sizes)[:-1])))
+    window = _window(data)
     done, k = np.zeros(len(bit), np.int64), np.zeros(len(bit), np.int64)
     dc = np.zeros((len(bit), int(component.max()) + 1), np.int64)
     live = np.arange(len(bit))

@@ -151,6 +151,17 @@ def test_single_block_path_is_the_general_one(monkeypatch):
         assert (a == b).all()
 
 
+def test_media_in_stretches_is_media_at_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    payloads = [media_jpeg.payload_of(p) for p in (b"", rng.bytes(9000), b"abc" * 1500, b"\xff" * 700, "größer ".encode() * 900)]
+    whole = media_jpeg.encode(payloads)
+    want = [c for _, c in media_jpeg.decode(whole)]
+    for blocks in (1, 7, 64):
+        monkeypatch.setattr(media_jpeg, "STRETCH", blocks)
+        assert media_jpeg.encode(payloads) == whole
+        assert all((a == b).all() for a, (_, b) in zip(want, media_jpeg.decode(whole)))
+
+
 # sharding -----------------------------------------------------------------------------------------------
 
 
