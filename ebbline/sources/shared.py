@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Scratches open in this context; another thread has its own.
+_OPEN: ContextVar[tuple[set, ...]] = ContextVar("open scratches", default=())
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; a temporary one only where it is unset and Spark runs in one process."""
@@ -27,4 +32,38 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """``df`` written as a Parquet table in the shared folder and read back."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._ebbline_path = path
+    if _OPEN.get():
+        _OPEN.get()[-1].add(path)
+    return out
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables cut inside, by the same thread, are removed at the end, but for those given to the function it yields.
+
+    A kept table belongs to the scratch around this one, if there is one; else it
+    stays, as the result still reads it.
+    """
+    own: set = set()
+    outer = _OPEN.get()
+
+    def keep(df: DataFrame) -> DataFrame:
+        own.discard(df._ebbline_path)
+        if outer:
+            outer[-1].add(df._ebbline_path)
+        return df
+
+    token = _OPEN.set((*outer, own))
+    try:
+        yield keep
+    finally:
+        _OPEN.reset(token)
+        for path in own:
+            drop(spark, path)
