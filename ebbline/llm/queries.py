@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, media_jpeg, mixing, ngram_join, sentencepiece_dropout, sharding, toxicity, url_filter, warc_audit
+from . import embedding_caps, embedding_whitening, exact_dedup, language_id, lexical_search, media_jpeg, mixing, ngram_join, sentencepiece_dropout, sharding, toxicity, url_filter, warc_audit
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,9 +83,25 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PART
   doc_id IS NOT DISTINCT FROM max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256 FROM t"""
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_caps.near_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_sharding, op3_url_filters, op4_ngram_jaccard, op5_sentencepiece, op6_warc_fixity, op7_language_id, op8_mixing, op9_media_jpeg, op10_exact_dedup)}
+    every = (
+        op1_toxicity, op2_sharding, op3_url_filters, op4_ngram_jaccard, op5_sentencepiece, op6_warc_fixity, op7_language_id, op8_mixing, op9_media_jpeg, op10_exact_dedup,
+        op11_lexical_search, op12_embedding_whitening, op13_embedding_near_dedup,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict:
-    return {"op6_warc_fixity": warc_audit.oracle(), "op3_url_filters": url_filter.oracle(), "op8_mixing": mixing.oracle(repetition=1.25, seed=7), "op10_exact_dedup": OP10_SQL}
+    return {"op6_warc_fixity": warc_audit.oracle(), "op3_url_filters": url_filter.oracle(), "op8_mixing": mixing.oracle(repetition=1.25, seed=7), "op10_exact_dedup": OP10_SQL, "op11_lexical_search": lexical_search.oracle()}

@@ -1,67 +1,5 @@
-"""Cutting lineage in the folder that all executors share."""
+"""Cutting lineage in the folder that all executors share: the library's own helpers."""
 
-from __future__ import annotations
+from ebbline.sources.shared import cut, drop, scratch, shared_folder
 
-import tempfile
-import uuid
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
-
-_OPEN: list[set] = []
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir.
-
-    Only where it is unset and Spark runs in one process (tests), a temporary
-    folder is made; on a cluster that is an error.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if spark.sparkContext.master.partition("[")[0] != "local":
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="ebbline-shared-")
-        spark.conf.set("spark.checkpoint.dir", found) if spark.conf.isModifiable("spark.checkpoint.dir") else None
-    return found.rstrip("/")
-
-
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._ebbline_path = path
-    if _OPEN:
-        _OPEN[-1].add(path)
-    return out
-
-
-def drop(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-@contextmanager
-def scratch(spark: SparkSession):
-    """Tables cut inside are removed at the end, but for those given to the function it yields.
-
-    A kept table belongs to the scratch around this one, if there is one; else it
-    stays, as the result still reads it.
-    """
-    own: set = set()
-
-    def keep(df: DataFrame) -> DataFrame:
-        own.discard(df._ebbline_path)
-        if len(_OPEN) > 1:
-            _OPEN[-2].add(df._ebbline_path)
-        return df
-
-    _OPEN.append(own)
-    try:
-        yield keep
-    finally:
-        _OPEN.pop()
-        for path in own:
-            drop(spark, path)
+__all__ = ["cut", "drop", "scratch", "shared_folder"]
