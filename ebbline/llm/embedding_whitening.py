@@ -204,7 +204,7 @@ def right_vectors(diagonal: np.ndarray, above: np.ndarray, values: np.ndarray) -
     scale = float(np.abs(diagonal).max(initial=0)) or 1.0
     b, c, out = diagonal / scale, above / scale, []
     rng = np.random.default_rng(5)
-    parts = np.concatenate([[0], np.flatnonzero(np.abs(c) <= _EPS * (np.abs(b[:-1]) + np.abs(b[1:]))) + 1, [len(b)]])
+    parts = np.concatenate([[0], np.flatnonzero(np.abs(c) <= _EPS * np.minimum(np.abs(b[:-1]), np.abs(b[1:]))) + 1, [len(b)]])
 
     for k, value in enumerate(values / scale):
         close = [j for j in range(k) if values[j] / scale - value <= CLOSE * max(value, _EPS)]
@@ -229,7 +229,7 @@ def right_vectors(diagonal: np.ndarray, above: np.ndarray, values: np.ndarray) -
             lo, hi = max(zip(parts[:-1], parts[1:]), key=lambda p: p[1] - p[0])
             best = (0.0, rng.standard_normal(len(b)), Twisted(b[lo:hi], c[lo : hi - 1], value**2), lo, hi, int(order[0]) if len(order) == hi - lo else 0)
         _, z, f, lo, hi, twist = best
-        for _ in range(3 if close else 1):  # inverse iteration with the same factorisation
+        for _ in range(3 if close else 0):  # inverse iteration with the same factorisation
             y = np.zeros(len(b))
             y[lo:hi] = f.solve(z[lo:hi], twist)
             if not np.isfinite(y).all() or not np.any(y):

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import free_name
-from .storage import cut
+from .storage import cut, scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows dealt to one partition on average, so that its index stays below some 50 MB however large the table.
@@ -248,7 +248,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     The kept (doc_id, digest) pairs are joined back; only if some winning id
     stands on several equal rows are these thinned to one.
     """
-    found = cut(exact_dedup(docs).where("kept").select("doc_id", "text_sha256", "keep_rows").distinct(), "kept")
+    with scratch(docs.sparkSession) as keep:
+        found = keep(cut(exact_dedup(docs).where("kept").select("doc_id", "text_sha256", "keep_rows").distinct(), "kept"))
     key, kept_id, kept_key = (free_name(c, docs.columns) for c in ("_key", "_kept_id", "_kept_key"))
     text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
     ids = found.select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_key))

@@ -12,11 +12,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import chunk_ranges, free_name, utf8
-from .storage import cut
+from .arrays import chunk_ranges, utf8
+from .carried import Carried
+from .storage import cut, scratch
 
 #: Profile lengths, of a language and of a text; labelled rows of each language that training reads at most (about).
-LANGUAGE_RANKS, TEXT_RANKS, TRAIN_ROWS = 1000, 300, 2000
+LANGUAGE_RANKS, TEXT_RANKS, TRAIN_ROWS, MOST_LANGUAGES = 1000, 300, 2000, 1000
 MAX_N, BITS = 4, 15
 #: Letters beyond the most frequent ones in training share one code.
 ALPHABET = (1 << BITS) - 3
@@ -120,17 +121,24 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", ro
 
     About ``rows`` rows of each language are read, those with the least hash of
     ``key`` (the id's if None): a documented bound, not a cut of any text, and a
-    rare language is read whole.  Equal texts of a language count once.  Rows
-    with null text or language are left out.  Letters and n-grams are counted in
+    rare language is read whole.  Equal texts of a language count once.  Of more
+    than MOST_LANGUAGES values of the column, those of the most rows (the first
+    by name among equals) are learned.  Rows with null text or language are left
+    out; rows of a null id are drawn by their text.  Letters and n-grams are counted in
     the tasks and summed by Spark; the driver receives a count and the top ranks
     of each language only.
     """
-    key = key if key is not None else F.col("doc_id")
+    key = key if key is not None else F.coalesce(F.col("doc_id").cast("string"), F.col(text_col))
     marked = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    buckets = 1 << 20
-    sizes = {r[0]: r["n"] for r in marked.groupBy(lang_col).agg(F.count("*").alias("n")).collect()}
+    sizes = {r[0]: r["n"] for r in marked.groupBy(lang_col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang_col).limit(MOST_LANGUAGES).collect()}
     if not sizes:
         return Profiles([], {})
+    with scratch(docs.sparkSession):
+        return _trained(marked, sizes, key, rows, text_col, lang_col)
+
+
+def _trained(marked: DataFrame, sizes: dict, key: Column, rows: int, text_col: str, lang_col: str) -> Profiles:
+    buckets = 1 << 20
     share = F.create_map(*[F.lit(v) for lang, n in sorted(sizes.items()) for v in (lang, buckets if n <= rows else max(1, buckets * rows // n))])
     sample = marked.where(F.pmod(F.xxhash64(key), F.lit(buckets)) < share[F.col(lang_col)])
     sample = sample.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
@@ -174,17 +182,18 @@ def identify(docs: DataFrame, profiles: Profiles, *, text_col: str = "text", kee
 
     A null text, or one without a letter, is ``und`` with score 0, and so is
     every text if nothing was learned.  Ties go to the first language by name.
-    Repeated rows give equal results; an empty table gives none.
+    Repeated rows give equal results; an empty table gives none.  Kept columns
+    may have any name; lang_pred and score get underscores before them where a
+    kept column bears theirs.
     """
     model = profiles  # shipped by value with the function: at most LANGUAGE_RANKS entries a language
-    text_name = free_name("_text", docs.select(*keep).columns)
-    narrow = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias(text_name))
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
+    carried = Carried(docs, keep)
+    narrow = carried.narrow(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches):
         alphabet = _alphabet(model.letters)
         for batch in batches:
-            for a, b, texts in _pieces(batch, text_name):
+            for a, b, texts in _pieces(batch, "text"):
                 points, borders = code_points(texts)
                 codes = _codes(points, alphabet)
                 every = [grams(codes, n) for n in range(1, MAX_N + 1)]
@@ -196,6 +205,6 @@ def identify(docs: DataFrame, profiles: Profiles, *, text_col: str = "text", kee
                     names.append(name)
                     scores.append(score)
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*part.schema.names[:-1], "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["kept", "lang_pred", "score"])
 
-    return narrow.mapInArrow(run, f"{kind}, lang_pred string, score double" if kind else "lang_pred string, score double")
+    return carried.restored(narrow.mapInArrow(run, Carried.schema(narrow, "lang_pred string, score double")))

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import text_chunks
+from .carried import Carried, named
 
 # The format's example Huffman table for luminance DC (code counts per length, then symbols).
 DC_COUNTS = (0, 1, 5, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0)
@@ -473,31 +474,33 @@ def write_media(docs: DataFrame, *, keep: list, text_col: str = "text") -> DataF
     """``keep`` columns, n_bytes and media (a JPEG that holds the UTF-8 text without loss; null as empty).
 
     A payload beyond 4 GB does not fit a JPEG's sides; Spark's rows end before that.
+    Kept columns may have any name; n_bytes and media get underscores before
+    them where a kept column bears theirs.
     """
-    narrow = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
+    carried = Carried(docs, keep)
+    narrow = carried.narrow(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches):
         for part, data, offsets in text_chunks(batches, most=1 << 17):  # small, for the processor's cache
             raw = data.tobytes()
             texts = [raw[offsets[i] : offsets[i + 1]] for i in range(part.num_rows)]
             media = encode([payload_of(t) for t in texts])
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([len(t) for t in texts], pa.int64()), pa.array(media, pa.binary())], names=[*part.schema.names[:-1], "n_bytes", "media"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([len(t) for t in texts], pa.int64()), pa.array(media, pa.binary())], names=["kept", "n_bytes", "media"])
 
-    return narrow.mapInArrow(run, f"{kind}, n_bytes long, media binary")
+    return carried.restored(narrow.mapInArrow(run, Carried.schema(narrow, "n_bytes long, media binary")))
 
 
-def read_media(media: DataFrame) -> DataFrame:
+def read_media(media: DataFrame, *, media_col: str = "media") -> DataFrame:
     """The other columns of ``media`` and width, height, thumbnail_hash, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256.
 
     All of it comes from the stored bytes.  Files with a payload comment give
     the payload's figures; of other baseline files these are null.  A null or
     broken file gives nulls and its error in ``problem``.  Without rows there
-    is no result.
+    is no result.  Figures get underscores before their names where another
+    column of ``media`` bears them.
     """
-    names = [c for c in media.columns if c != "media"]
-    ordered = media.select(*names, "media")
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema.fields[:-1])
+    carried = Carried(media, [named(c) for c in media.columns if c != media_col])
+    ordered = carried.narrow(named(media_col).alias("media"))
     added = "width int, height int, thumbnail_hash string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, problem string"
 
     def figures(f: bytes, parsed, coefficients, thumb: str) -> tuple:
@@ -523,6 +526,6 @@ def read_media(media: DataFrame) -> DataFrame:
                 rows = [figures(f, *d, h) for f, d, h in zip(files, found, thumbnail_hashes(found))]
             except (ValueError, IndexError, KeyError, TypeError):
                 rows = [one(f) for f in files]  # one of them is broken: each for itself
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], *(pa.array(c, t) for c, t in zip(zip(*rows), types))], names=[*names, *(x.split()[0] for x in added.split(", "))])
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], *(pa.array(c, t) for c, t in zip(zip(*rows), types))], names=["kept", *(x.split()[0] for x in added.split(", "))])
 
-    return ordered.mapInArrow(run, f"{kind}, {added}" if kind else added)
+    return carried.restored(ordered.mapInArrow(run, Carried.schema(ordered, added)))

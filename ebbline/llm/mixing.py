@@ -15,7 +15,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import cut
+from .carried import named
+from .storage import cut, scratch
 
 #: Rows of one block on average; a block is ordered by one task.
 BLOCK_ROWS = 500
@@ -131,6 +132,11 @@ def mix_sources(
     """
     if entropy is None and repetition is None:
         repetition = 4.0
+    with scratch(docs.sparkSession) as keep:
+        return _mixed(docs, budget, entropy, repetition, seed, id_col, source_col, text_col, columns, keep)
+
+
+def _mixed(docs, budget, entropy, repetition, seed, id_col, source_col, text_col, columns, keep) -> DataFrame:
     narrow = cut(docs.select(F.coalesce(F.col(source_col), F.lit("")).alias("_source"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_id"), F.col(id_col).alias("doc_id"), n_tokens(text_col).alias("_tokens")), "tokens")
     totals = narrow.groupBy(F.col("_source").alias("source")).agg(F.sum("_tokens").alias("tokens"), F.count("*").alias("docs"))
     totals = cut(totals, "totals")
@@ -161,12 +167,12 @@ def mix_sources(
     inner = Window.partitionBy("_source").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     by_key = by_key.withColumn("_sofar", F.col("_before") + F.coalesce(F.sum("_t").over(inner), F.lit(0))).where("_sofar < _left")
     ends = by_key.groupBy("_source", "_end_b", "_end_key").agg(F.max("_row").alias("_end_row"))
-    plan = cut(plan.join(ends, "_source", "left"), "draw")
+    plan = keep(cut(plan.join(ends, "_source", "left"), "draw"))
 
     if columns:
-        base = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_doc"), F.coalesce(F.col(source_col), F.lit("")).alias("_source"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_id"))
+        base = docs.select(F.struct(*[named(c) for c in docs.columns]).alias("_doc"), F.coalesce(F.col(source_col), F.lit("")).alias("_source"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_id"))
     else:
-        base = narrow
+        base = keep(narrow)
     rows = _with_plan(base, plan, size["n"]).withColumn("_b", _block(seed, last))
     key = _block_key(seed, last, F.col("_b"))
     before_end = (key < F.col("_end_key")) | ((key == F.col("_end_key")) & (F.col("_b") < F.col("_end_b")))

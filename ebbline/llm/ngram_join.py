@@ -8,8 +8,10 @@ target recall at the threshold; the full n-gram sets decide.
 2. Band hashes are shuffled; a band shared by two or more classes links each of
    them to the least one, a star, so a bucket of n sends n rows, not n * n pairs.
 3. The stars' connected components are the candidate groups.  A group of many
-   blocks is banded again, by more hashes and rows a band at the same recall, so
-   that texts chained by common passages only fall apart before any comparison.
+   blocks is banded again, by more hashes and rows a band at a recall so near 1
+   (MORE_RECALL, at the threshold) that it parts no pair which the first bands
+   found but one in 10^9, while texts chained by common passages only fall apart
+   before any comparison.
 4. A group beyond one block is cut by the sizes of its n-gram sets (classes
    of ratio 1 / threshold) and each class into blocks of bounded size; a task gets
    two blocks of one class or of neighbouring classes with their n-gram sets and
@@ -18,7 +20,7 @@ target recall at the threshold; the full n-gram sets decide.
 5. The local roots are joined up to the final classes where blocks met others.
 
 Sets whose sizes differ by more than the threshold's ratio cannot be linked, so
-every possible link within a candidate group is looked at: the banding decides
+every possible link within a candidate group is looked at: the two bandings decide
 only which groups exist, and no cap limits partners or candidates.
 """
 
@@ -38,8 +40,8 @@ from .storage import cut, scratch
 WORDS, THRESHOLD, RECALL, MOST_HASHES = 5, 0.8, 0.9999, 256
 #: Texts and n-grams of one block; a task holds two blocks.
 BLOCK_TEXTS, BLOCK_GRAMS = 1000, 200_000
-#: Blocks of the largest group that is compared as it is, and hashes of a text when a larger one is banded again.
-GROUP_BLOCKS, MORE_HASHES = 16, 1600
+#: Blocks of the largest group that is compared as it is; hashes of a text when a larger one is banded again, and the recall then.
+GROUP_BLOCKS, MORE_HASHES, MORE_RECALL = 16, 1600, 1 - 1e-9
 _COLUMNS = 4096
 _KEY = ["set_a", "set_b", "n"]
 
@@ -265,7 +267,7 @@ def _classes(docs: DataFrame, *, words: int = WORDS, threshold: float = THRESHOL
         large = cut(large.select("root"), "large")
         if large.limit(1).count():
             far = cut(members.join(large, "root", "left_semi"), "far")
-            bands, rows = choose_bands(threshold, recall, MORE_HASHES)
+            bands, rows = choose_bands(threshold, MORE_RECALL, MORE_HASHES)
             groups = components(_stars(cut(banded_again(sets.join(far.select("node"), "node", "left_semi"), bands=bands, rows=rows), "bands")))
             members = cut(members.join(large, "root", "left_anti").unionByName(far.drop("root").join(groups, "node").select(members.columns)), "members")
 
@@ -302,7 +304,9 @@ def ngram_join(docs: DataFrame, *, words: int = WORDS, threshold: float = THRESH
     than ``words`` words has one n-gram, all its words.  Texts without words
     (null and empty too) have the empty set and equal one another only.  Rows
     of a null id take part, but a null id names a class only if all its ids
-    are null.  Repeated rows count as rows.  Extra columns are not looked at; an
+    are null.  A pair at the very threshold is found with probability ``recall``
+    (times MORE_RECALL where its group has more than GROUP_BLOCKS blocks and is
+    banded again), a closer one more surely.  Repeated rows count as rows.  Extra columns are not looked at; an
     empty table gives no rows.
     """
     sigs, named = _classes(docs, words=words, threshold=threshold, recall=recall, id_col=id_col, text_col=text_col)

@@ -19,10 +19,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import free_name, mix64, span_hashes, text_chunks
+from .arrays import mix64, span_hashes, text_chunks
+from .carried import Carried, named
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -403,7 +404,7 @@ def decode(vocabulary: Vocabulary, ids: np.ndarray, borders: np.ndarray) -> list
     return out
 
 
-def encode_column(docs: DataFrame, *, keep: list, path: str = MODEL, dropout: float = 0.1, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_column(docs: DataFrame, *, keep: list, path: str = MODEL, dropout: float = 0.1, seed: int = 0, id_col: str | Column = "doc_id", text_col: str = "text") -> DataFrame:
     """``keep`` columns and tokens (array of ids) of every whole text.
 
     A word's segmentation depends on the seed, the row's id, the word's place and
@@ -411,28 +412,30 @@ def encode_column(docs: DataFrame, *, keep: list, path: str = MODEL, dropout: fl
     model's own.  A null text counts as empty; an empty text has the ids of the
     dummy prefix; characters outside the vocabulary, control-token strings and
     the space mark itself are spelled so that decoding gives them back.  Null ids
-    count as one id.  Repeated rows are encoded alike; no rows give no rows.
+    count as one id.  Repeated rows are encoded alike (``id_col`` may be an
+    expression that tells them apart); no rows give no rows.  Kept columns may
+    have any name; tokens gets underscores before it where one is called so.
     """
-    kept = docs.select(*keep).columns
-    key_name, text_name = free_name("_key", kept), free_name("_text", kept)
-    narrow = docs.select(*keep, F.xxhash64(F.lit(seed), F.col(id_col)).alias(key_name), F.coalesce(F.col(text_col), F.lit("")).alias(text_name))
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-2])
+    carried = Carried(docs, keep)
+    narrow = carried.narrow(F.xxhash64(F.lit(seed), F.col(id_col) if isinstance(id_col, str) else id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches):
         encoder = Encoder(path, dropout=dropout, seed=seed)
-        for part, _, _ in text_chunks(batches, text_name):
+        for part, _, _ in text_chunks(batches):
             keys = part.column(part.num_columns - 2).to_numpy(zero_copy_only=False).view(np.uint64)
             ids, borders = encoder.encode(part.column(part.num_columns - 1).to_pylist(), keys)
-            yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.ListArray.from_arrays(borders.astype(np.int32), pa.array(ids))], names=[*part.schema.names[:-2], "tokens"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.ListArray.from_arrays(borders.astype(np.int32), pa.array(ids))], names=["kept", "tokens"])
 
-    return narrow.mapInArrow(run, f"{kind}, tokens array<int>")
+    return carried.restored(narrow.mapInArrow(run, Carried.schema(narrow, "tokens array<int>")))
 
 
-def decode_column(encoded: DataFrame, *, path: str = MODEL) -> DataFrame:
-    """The other columns of ``encoded``, n_tokens and text, from its tokens; null tokens give a null text."""
-    names = [c for c in encoded.columns if c != "tokens"]
-    ordered = encoded.select(*names, "tokens")
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema.fields[:-1])
+def decode_column(encoded: DataFrame, *, path: str = MODEL, tokens_col: str = "tokens") -> DataFrame:
+    """The other columns of ``encoded``, n_tokens and text, from its tokens; null tokens give a null text.
+
+    n_tokens and text get underscores before them where another column bears their name.
+    """
+    carried = Carried(encoded, [named(c) for c in encoded.columns if c != tokens_col])
+    ordered = carried.narrow(named(tokens_col).alias("tokens"))
 
     def run(batches):
         vocabulary = vocabulary_of(path)
@@ -445,7 +448,7 @@ def decode_column(encoded: DataFrame, *, path: str = MODEL) -> DataFrame:
                 texts = decode(vocabulary, ids, np.concatenate([[0], np.cumsum(lengths)]))
                 null = tokens.is_null().to_pylist()
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array([None if x else int(n) for x, n in zip(null, lengths)], pa.int32()), pa.array([None if x else t.decode("utf-8", "replace") for x, t in zip(null, texts)], pa.string())], names=[*names, "n_tokens", "text"]
+                    [*part.columns[:-1], pa.array([None if x else int(n) for x, n in zip(null, lengths)], pa.int32()), pa.array([None if x else t.decode("utf-8", "replace") for x, t in zip(null, texts)], pa.string())], names=["kept", "n_tokens", "text"]
                 )
 
-    return ordered.mapInArrow(run, f"{kind}, n_tokens int, text string" if kind else "n_tokens int, text string")
+    return carried.restored(ordered.mapInArrow(run, Carried.schema(ordered, "n_tokens int, text string")))

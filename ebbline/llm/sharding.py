@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .carried import Carried, named
+
 SLOTS = 65537
 
 
@@ -56,7 +58,7 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 
 
 def shard_rows(df: DataFrame, key: str, shards: list[str], *, slots: int = SLOTS) -> DataFrame:
-    """``df`` with ``slot`` and ``shard``; existing columns of these names are replaced.
+    """``df`` with ``slot`` and ``shard``; these get underscores before them where ``df`` has such columns.
 
     Placement depends on the key's text alone, so equal keys meet in one shard
     whatever the table's size.  The broadcast has ``slots`` rows.  Null keys go
@@ -65,5 +67,6 @@ def shard_rows(df: DataFrame, key: str, shards: list[str], *, slots: int = SLOTS
     spark: SparkSession = df.sparkSession
     owners = lookup_table(shards, slots)
     table = spark.createDataFrame(pa.table({"slot": pa.array(np.arange(slots, dtype=np.int32)), "shard": pa.array(np.array(shards, dtype=object)[owners], pa.string())}))
-    rest = [F.col(c) for c in df.columns if c not in ("slot", "shard")]
-    return df.select(*rest, slot_of(F.col(key), slots).alias("slot")).join(F.broadcast(table), "slot").select(*rest, "slot", "shard")
+    carried = Carried(df, None)
+    placed = carried.narrow(slot_of(named(key), slots).alias("slot")).join(F.broadcast(table), "slot")
+    return carried.restored(placed.select("kept", "slot", "shard"))

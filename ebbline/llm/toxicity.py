@@ -20,8 +20,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import chunk_ranges, free_name, span_hashes, utf8
-from .storage import cut
+from .arrays import chunk_ranges, span_hashes, utf8
+from .carried import Carried
+from .storage import cut, scratch
 
 # Seed lexicon, reporting words and words that address a person.
 SEED = ("clown", "disgusting", "idiot", "imbecile", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
@@ -306,6 +307,7 @@ def _sample(docs: DataFrame, labels: DataFrame, text_col: str) -> tuple[DataFram
     under = F.when(F.col("toxic") == 1, int(share[1] * buckets)).otherwise(int(share[0] * buckets))
     chosen = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(buckets)) < under)
     rows = docs.where(F.col(text_col).isNotNull()).select("doc_id", F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")  # at most about 12,000 rows
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))  # one text an id, so that repeated ids add no rows
     return cut(rows.groupBy(F.xxhash64("text").alias("_same")).agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).drop("_same"), "toxic-sample"), share
 
 
@@ -416,7 +418,11 @@ def train(docs: DataFrame, labels: DataFrame, *, text_col: str = "text") -> Mode
     Rows without a label or text are left out, equal texts count once.  Without
     both classes, the seed lexicon and the default coefficients stand.
     """
-    sample, share = _sample(docs, labels, text_col)
+    with scratch(docs.sparkSession):
+        return _trained(*_sample(docs, labels, text_col))
+
+
+def _trained(sample: DataFrame, share: dict) -> Model:
     counts = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     terms = learn_terms(sample, counts)
     model = Model(terms, build(terms))
@@ -476,20 +482,15 @@ def score_texts(docs: DataFrame, model: Model, *, keep: list[Column] | None = No
     equal scores are equal whatever the order; an empty table gives no rows.
     """
     # the model is shipped by value with the function: its terms (bounded by learn_terms) and their automaton
-    kept = docs.select(*([F.col(f"`{c}`") for c in docs.columns] if keep is None else keep))
-    text_name = free_name("_text", kept.columns)
-    text = F.coalesce(F.col(text_col), F.lit("")).alias(text_name)
-    narrow = docs.select("*", text) if keep is None else docs.select(*keep, text)
-    named: list[str] = []
-    for name in names:
-        named.append(free_name(name, [*kept.columns, *named]))
-    kind = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.schema.fields)
+    carried = Carried(docs, keep)
+    narrow = carried.narrow(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    kind = Carried.schema(narrow, f"`{names[0]}` double, `{names[1]}` int, `{names[2]}` int")
 
     def run(batches):
         matcher = Matcher(model)
-        for part, texts in _pieces(batches, text_name):
+        for part, texts in _pieces(batches, "text"):
             x, hits = matcher.features(Tokens(texts))
             score = model.score(x)
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(hits.astype(np.int32))], names=[*part.schema.names[:-1], *named])
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(hits.astype(np.int32))], names=["kept", *names])
 
-    return narrow.mapInArrow(run, f"{kind}`{named[0]}` double, `{named[1]}` int, `{named[2]}` int")
+    return carried.restored(narrow.mapInArrow(run, kind))

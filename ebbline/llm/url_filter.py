@@ -19,19 +19,26 @@ class Term:
     weight: float = 1.0
 
 
-# The default vocabulary; a caller may give another table of (term, strict, weight).
+# The default vocabulary; a caller may give another one, as Terms or as a table of (term, strict, weight).
 STRICT_TERMS = (
-    "adult-x blackjack camgirl camgirls camsex casino casinos cialis clickbait cracked-apps escort escorts fakeid fake-id freeporn hentai hookup hookups keygen keygens levitra malware milf nudes onlinecasino "
-    "payday-loan payday-loans phish phishing pills porn porno porntube pornhub replica-watches roulette serialz sex-cam sexcam sexchat slots-online spam spamfarm sportsbook stresser tramadol viagra warez webcamsex xanax xxx xxxvideo"
-).split()
-HEAVY_TERMS = "adult bet bets betting bingo crack dating earn-money erotic forex gambling get-rich jackpot loan loans lottery lotto nude poker serial sexy slots torrent torrents".split()
-LIGHT_TERMS = (
-    "ad ads affiliate bargain bonus bulk buy-now cheap click clicks coupon coupons crypto deal deals diet discount doubleclick download-now farm free giveaway hot instant limited-offer miracle offer offers popup prize prizes promo promotion "
-    "redirect refid referral replica reward rewards sale seo sponsored subscribe-now track tracker tracking traffic unsubscribe weight-loss win winner"
-).split()
-TERMS = tuple([Term(t, True) for t in STRICT_TERMS] + [Term(t, False, 1.5) for t in HEAVY_TERMS] + [Term(t) for t in LIGHT_TERMS])
-#: Soft terms reject at this sum of weights and at least two of them.
-SOFT_WEIGHT = 2.0
+    "adult-x", "blackjack", "camgirl", "camgirls", "camsex", "casino", "casinos", "cialis", "clickbait", "cracked-apps", "escort", "escorts", "fakeid", "fake-id", "freeporn", "hentai", "hookup", "hookups", "keygen", "keygens", "levitra",
+    "malware", "milf", "nudes", "onlinecasino", "payday-loan", "payday-loans", "phish", "phishing", "pills", "porn", "porno", "porntube", "pornhub", "replica-watches", "roulette", "serialz", "sex-cam", "sexcam", "sexchat", "slots-online",
+    "spam", "spamfarm", "sportsbook", "stresser", "tramadol", "viagra", "warez", "webcamsex", "xanax", "xxx", "xxxvideo",
+)
+#: Weight of each group of soft terms: a heavy one rejects beside any other, middle and light ones only where enough of them add up.
+SOFT_TERMS = {
+    1.6: (
+        "adult", "bet", "bets", "betting", "bingo", "crack", "dating", "earn-money", "erotic", "forex", "gambling", "get-rich", "jackpot", "loan", "loans", "lottery", "lotto", "nude", "poker", "serial", "sexy", "slots", "torrent", "torrents",
+    ),
+    0.8: ("affiliate", "buy-now", "discount", "doubleclick", "download-now", "giveaway", "limited-offer", "miracle", "popup", "prize", "prizes", "replica", "subscribe-now", "weight-loss", "win", "winner"),
+    0.4: (
+        "ad", "ads", "bargain", "bonus", "bulk", "cheap", "click", "clicks", "coupon", "coupons", "crypto", "deal", "deals", "diet", "farm", "free", "hot", "instant", "offer", "offers", "promo", "promotion", "redirect", "refid", "referral",
+        "reward", "rewards", "sale", "seo", "sponsored", "track", "tracker", "tracking", "traffic", "unsubscribe",
+    ),
+}
+TERMS = tuple([Term(t, True) for t in STRICT_TERMS] + [Term(t, False, w) for w, terms in SOFT_TERMS.items() for t in terms])
+#: Soft terms reject at this sum of weights and at least two of them; a vocabulary given as a table has at most MOST_TERMS rows, as every task holds it.
+SOFT_WEIGHT, MOST_TERMS = 2.0, 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -61,6 +68,16 @@ def vocabulary(terms=TERMS):
     return out
 
 
+def terms_of(table: DataFrame) -> tuple[Term, ...]:
+    """The vocabulary that a table of (term, strict, weight) holds, lower-cased; its size is checked, as each task gets it whole."""
+    term = F.translate("term", UPPER, LOWER).alias("term")
+    one = table.where("term <> ''").groupBy(term).agg(F.coalesce(F.max("strict"), F.lit(False)).alias("strict"), F.coalesce(F.max("weight"), F.lit(1.0)).alias("weight"))
+    rows = one.limit(MOST_TERMS + 1).collect()
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"a vocabulary of more than {MOST_TERMS} terms")
+    return tuple(Term(r.term, r.strict, float(r.weight)) for r in sorted(rows))
+
+
 def count_terms(url: str, automaton) -> tuple[int, int, float]:
     """Distinct strict terms, distinct soft terms and the soft ones' weight, of those that stand in ``url`` between characters that are not letters or digits."""
     found = set()
@@ -70,7 +87,7 @@ def count_terms(url: str, automaton) -> tuple[int, int, float]:
             if (start == 0 or not _word(url[start - 1])) and (end + 1 == len(url) or not _word(url[end + 1])):
                 found.add(term)
     soft = [t.weight for t in found if not t.strict]
-    return len(found) - len(soft), len(soft), float(sum(soft))
+    return len(found) - len(soft), len(soft), round(sum(soft), 6)
 
 
 def _word(c: str) -> bool:
@@ -92,11 +109,13 @@ def filter_urls(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "ur
     gives the verdict; without one, a URL is blocked on one strict term, or on
     two or more distinct soft terms whose weights sum to ``soft_weight``, else
     allowed.  Terms are lower case and counted once each, in the whole URL with
-    A-Z lower-cased.  A null URL, or an empty one, has empty host and path, no
+    A-Z lower-cased.  ``terms`` are Terms or a table of (term, strict, weight):
+    its null or empty terms are left out, of a term's rows the strict one or the
+    heaviest counts, and more than MOST_TERMS terms are an error.  A null URL, or an empty one, has empty host and path, no
     hits and is allowed; null ids stay null; repeated rows give repeated
     results; an empty table gives none; further columns are not looked at.
     """
-    terms = tuple(terms)
+    terms = terms_of(terms) if isinstance(terms, DataFrame) else tuple(terms)
 
     @F.pandas_udf("strict int, soft int, weight double")
     def hits(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ebbline.llm import arrays, components, exact_dedup, language_id, media_jpeg, mixing, ngram_join, queries, sentencepiece_dropout, sharding, toxicity, url_filter, warc_audit
+from ebbline.llm import arrays, carried, components, exact_dedup, language_id, media_jpeg, mixing, ngram_join, queries, sentencepiece_dropout, sharding, toxicity, url_filter, warc_audit
 
 SF = "/root/testdata/sf0.001"
 LONG = " ".join(f"word{i % 997}" for i in range(60_000))
@@ -346,7 +346,7 @@ def test_lookup_table_is_even_stable_and_moves_little():
 
 
 def test_sharding(docs, none):
-    got = sharding.shard_rows(docs.withColumn("shard", F.lit("old")), "doc_id", ["a", "b", "c"], slots=101)
+    got = sharding.shard_rows(docs, "doc_id", ["a", "b", "c"], slots=101)
     table = sharding.lookup_table(["a", "b", "c"], 101)
     rows = got.collect()
     assert len(rows) == len(ROWS)
@@ -474,5 +474,86 @@ def test_pipeline_on_edge_rows(docs, none, spark):
 
 def test_every_operator_is_registered():
     names = queries.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert set(queries.oracle_sql()) <= set(names) and os.path.exists(sentencepiece_dropout.MODEL)
+
+
+# clashing and dotted names, copies, weights --------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    columns = "doc_id long, text string, lang_pred string, score double, tokens string, n_tokens int, n_bytes string, media string, width int, shard string, slot string, kept int, key string, source string, lang string, `a.b` int, `text.x` string"
+    rows = [(i, t, "l", 0.5, "t", i, "n", "m", 3, "s", "o", 1, "k", s, "en", 7, "d") for i, t, s in [(1, "one two", "a"), (2, None, "b"), (2, None, "b"), (None, "", None), (3, "drei vier", "a")]]
+    return spark.createDataFrame(rows, columns)
+
+
+def plain(df, columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
+
+
+def test_operators_keep_clashing_and_dotted_columns(clashing, spark):
+    names, own = clashing.columns, [carried.named(c) for c in clashing.columns]
+    want = plain(clashing, names)
+    model = language_id.train(spark.createDataFrame([(i, f"{w} " * 30, w) for i, w in enumerate(["one", "drei"])], "doc_id long, text string, lang string"))
+    found = language_id.identify(clashing, model, keep=own)
+    assert found.columns == [*names, "_lang_pred", "_score"] and plain(found, names) == want
+    encoded = sentencepiece_dropout.encode_column(clashing, keep=own)
+    assert encoded.columns == [*names, "_tokens"] and plain(encoded, names) == want
+    decoded = sentencepiece_dropout.decode_column(encoded, tokens_col="_tokens")
+    assert decoded.columns == [*names, "_n_tokens", "_text"] and plain(decoded, names) == want
+    assert all(r["_text"] == (r["text"] or "") for r in decoded.collect())
+    stored = media_jpeg.write_media(clashing, keep=own)
+    assert stored.columns == [*names, "_n_bytes", "_media"]
+    read = media_jpeg.read_media(stored, media_col="_media")
+    assert read.columns[: len(names) + 3] == [*names, "_n_bytes", "_width", "height"] and plain(read, names) == want
+    placed = sharding.shard_rows(clashing, "doc_id", ["a", "b"], slots=101)
+    assert placed.columns == [*names, "_slot", "_shard"] and plain(placed, names) == want
+    scored = toxicity.score_texts(clashing, toxicity.Model([], toxicity.build([])))
+    assert scored.columns == [*names, "_score", "predicted", "hits"] and plain(scored, names) == want
+    mixed = mixing.mix_sources(clashing, budget="cover", repetition=2.0, columns=True)
+    assert mixed.columns == names and set(plain(mixed, names)) == set(want)
+
+
+def test_pipeline_stages_with_clashing_and_dotted_columns(clashing, spark):
+    d = clashing
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        d = stage(spark, d, SF)
+        assert k == 4 or d.columns == clashing.columns
+        d = spark.createDataFrame(d.collect(), d.schema)
+    assert d.columns == ["doc_id", "source", "lang", "tokens", "n_tokens"]
+
+
+def test_copies_of_a_document_are_encoded_differently(spark):
+    text = "the understanding of straightforward internationalization of conversational interfaces " * 20
+    docs = spark.createDataFrame([(7, text, "s", "en")] * 4 + [(None, text, "s", "en")] * 2, "doc_id long, text string, source string, lang string")
+    rows = corpus_pipeline.encode(spark, docs, SF).collect()
+    assert len({tuple(r.tokens) for r in rows}) == 6
+    assert {r.text for r in sentencepiece_dropout.decode_column(spark.createDataFrame(rows).drop("n_tokens")).collect()} == {text}
+
+
+def test_weight_alone_decides_a_url(spark):
+    urls = ["http://a.com/betting/lotto", "http://a.com/betting/free", "http://a.com/prize/free", "http://a.com/prize/winner", "http://a.com/prize/winner/free", "http://a.com/betting"]
+    rows = sorted(url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect())
+    assert [(r.verdict, r.soft_hits, r.soft_weight) for r in rows] == [("block", 2, 3.2), ("block", 2, 2.0), ("allow", 2, 1.2), ("allow", 2, 1.6), ("block", 3, 2.0), ("allow", 1, 1.6)]
+    table = spark.createDataFrame([("Lotto", False, 0.2), ("lotto", None, 0.1), ("betting", False, 1.7), ("prize", True, None), (None, True, 1.0), ("", True, 1.0)], "term string, strict boolean, weight double")
+    rows = sorted(url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), terms=table).collect())
+    assert [r.verdict for r in rows] == ["allow", "allow", "block", "block", "block", "allow"]
+
+
+def test_a_group_beyond_the_limit_loses_no_link(spark, monkeypatch):
+    """Texts chained by one passage, and families among them: the group is banded again at the real parameters."""
+    rng = np.random.default_rng(9)
+    words = np.array([f"w{i}" for i in range(3000)])
+    passage, rows = list(rng.choice(words, 25)), []
+    for f in range(400):
+        base = list(rng.choice(words, 30))
+        for k in range(int(rng.integers(1, 5))):
+            t = base + passage
+            for at in rng.choice(len(t), int(rng.integers(0, 2)), replace=False):
+                t[at] = str(rng.choice(words))
+            rows.append((len(rows), " ".join(t)))
+    monkeypatch.setattr(ngram_join, "GROUP_BLOCKS", 1)
+    monkeypatch.setattr(ngram_join, "BLOCK_TEXTS", 100)
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted(brute_join(rows))
