@@ -39,10 +39,17 @@ def affected_partitions(delta: DataFrame, base: DataFrame, *, date: str | None,
     return years.unionByName(existing).distinct()
 
 
-def compacted(base: DataFrame, delta: DataFrame, *, key: list[str], date: str, partition: str = "jahr") -> DataFrame:
-    """Contents of the affected partitions after folding the changes in; writing them replaces those partitions."""
-    now = current_state(base.drop(partition), delta, key=key).withColumn(partition, year_partition(F.col(date)))
-    return now.join(affected_partitions(delta, base, date=date, partition=partition), partition, "left_semi")
+def touched_partitions(delta: DataFrame, base: DataFrame, *, key: list[str], date: str | None, partition: str = "jahr") -> DataFrame:
+    """Partitions that folding the changes in alters: those that changed rows go to, and those that hold an older copy of their key, whatever the change's own date."""
+    year = year_partition(F.col(date)) if date else F.lit("unknown")
+    held = base.join(delta.select(*key).distinct(), key, "left_semi").select(partition)
+    return delta.where(F.coalesce("_op", F.lit("")) != "D").select(year.alias(partition)).unionByName(held).distinct()
+
+
+def compacted(base: DataFrame, delta: DataFrame, *, key: list[str], date: str | None, partition: str = "jahr") -> DataFrame:
+    """Contents of the touched partitions after folding the changes in; writing them replaces those partitions."""
+    now = current_state(base.drop(partition), delta, key=key).withColumn(partition, year_partition(F.col(date)) if date else F.lit("unknown"))
+    return now.join(touched_partitions(delta, base, key=key, date=date, partition=partition), partition, "left_semi")
 
 
 def within_horizon(files: DataFrame, *, ingested: str, today, days: int = 90) -> DataFrame:

@@ -67,6 +67,32 @@ def time_slices(df: DataFrame, key: str) -> DataFrame:
     return starts.select(key, F.row_number().over(w.orderBy(F.desc("stamp"))).alias("slice_id"), F.col("stamp").alias("valid_from"), F.coalesce(F.date_sub(F.lead("stamp").over(w.orderBy("stamp")), 1), F.lit("2099-12-31").cast("date")).alias("valid_to"))
 
 
+def by_slice(versions: DataFrame, *, key: str = "case_id") -> tuple[DataFrame, DataFrame]:
+    """The versions of a case's rows as they stood in each slice of its time, and the slices with their validity.
+
+    In both, the key is the pair (case, slice_id), so that every step by case (pairs,
+    previous and next, blocks, length of stay) evaluates each slice for itself.
+    A version is dealt to the slices that begin within its validity: an equi-join
+    by case, as slices of one case never meet another's.
+    """
+    cut = time_slices(versions, key).withColumn("_at", F.col("valid_from"))
+    pair = F.struct(F.col(key), "slice_id").alias(key)
+    rows = versions.withColumnsRenamed({"valid_from": "_a", "valid_to": "_z"}).join(cut.select(key, "slice_id", "_at"), key).where(F.col("_at").between(F.col("_a"), F.col("_z")))
+    return rows.withColumn(key, pair).drop("_a", "_z", "_at", "slice_id"), cut.select(pair, "valid_from", "valid_to")
+
+
+def los_history(by_slice_days: DataFrame, slices: DataFrame) -> DataFrame:
+    """Versions of a case's length of stay: of the figures by slice (``length_of_stay`` on sliced rows), adjacent slices with equal figures as one, ranked newest first.
+
+    A slice in which the case has no stay breaks the run and has no version.
+    """
+    figures = ("treatment_days", "occupancy_days", "not_billable", "admitted", "discharged", "los")
+    rows = by_slice_days.join(slices, "case_id").select("case_id.case_id", "valid_from", "valid_to", F.struct(*figures).alias("_v"))
+    whole = islands(rows, ["case_id"], value="_v", unit="DAY")
+    version = F.dense_rank().over(Window.partitionBy("case_id").orderBy(F.desc("valid_from")))
+    return whole.select("case_id", "_v.*", F.to_date("valid_from").alias("valid_from"), F.to_date("valid_to").alias("valid_to"), version.cast("int").alias("version"))
+
+
 def prev_next(s: DataFrame) -> DataFrame:
     """Next number, day gap to the previous end, latest earlier end and earliest later begin without leave, position from the end."""
     w, n = Window.partitionBy("case_id"), ["number"]

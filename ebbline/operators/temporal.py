@@ -1,8 +1,11 @@
-"""Temporal joins of tables with validity, day grain and inclusive ends.
-
-An N-way join folds over the dimensions: boundaries per key, elementary slices
-between them, attributes attached by an equi-join on the key with the slice's
-start as range, and equal neighbours joined at the end.
+"""Temporal joins of tables with validity, inclusive ends, by days or seconds.
+
+``temporal_sweep`` joins any number of tables in one pass: the starts and ends of
+all versions become one tagged union, a single exchange deals it by key, and
+along a key's time each table's latest start or end is carried on.  It needs
+versions of one table not to overlap, as validity history gives them.
+``temporal_join`` folds over the dimensions (boundaries, elementary slices,
+attributes attached by equi-join and range) and takes overlapping versions too.
 """
 
 from __future__ import annotations
@@ -76,10 +79,50 @@ def temporal_join(fact: DataFrame, attrs: list[str], dims: list[Dim], key: str)
     return now
 
 
-def coalesce_versions(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
+#: Last end of each grain, and the step from an end to the next start.
+GRAINS = {"day": ("2099-12-31", "date", "DAY"), "second": ("2099-12-31 23:59:59", "timestamp", "SECOND")}
+
+
+def temporal_sweep(fact: DataFrame, attrs: list[str], dims: list[Dim], key: str, *, grain: str = "day") -> DataFrame:
+    """(key, valid_from, valid_to, attributes) as ``temporal_join`` gives them, with one exchange whatever the number of dimensions.
+
+    Versions of one table must not overlap within a key; of several that begin
+    at the same time one counts, the largest by its attributes.  Rows of a null
+    key, start or end are left out.  Slices begin in the years 1990 to 2098, the last
+    one is open; attributes are null where a left dimension has no version.
+    """
+    last, kind, unit = GRAINS[grain]
+    step = lambda c, n: F.timestamp_add(unit, F.lit(n), F.col(c)).cast(kind)
+    sides = [(fact, attrs), *[(d.df, d.attrs) for d in dims]]
+    parts = []
+    for n, (df, names) in enumerate(sides):
+        mark = lambda i, live: F.struct(F.lit(live).alias("live"), *[F.col(a) if live else F.lit(None).cast(df.schema[a].dataType).alias(a) for a in names]) if i == n else F.lit(None)  # noqa: B023, E731
+        rows = df.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull() & F.col("valid_to").isNotNull())
+        own = [F.array(*[F.struct(at.cast(kind).alias("at"), mark(n, live).alias("state")) for at, live in ((F.col("valid_from"), True), (step("valid_to", 1), False))])]
+        rows = rows.select(key, F.explode(own[0]).alias("_e"))
+        none = [F.lit(None).cast(f"struct<live:boolean{''.join(f',`{a}`:{o.schema[a].dataType.simpleString()}' for a in names2)}>").alias(f"_s{i}") for i, (o, names2) in enumerate(sides)]
+        parts.append(rows.select(key, F.col("_e.at").alias("at"), *[F.col("_e.state").alias(f"_s{n}") if i == n else none[i] for i in range(len(sides))]))
+    states = [f"_s{i}" for i in range(len(sides))]
+    # dealt by key once: the grouping by (key, at) and the windows by key need no other exchange
+    events = reduce(DataFrame.unionByName, parts).repartition(key).groupBy(key, "at").agg(*[F.max(s).alias(s) for s in states])
+    along = Window.partitionBy(key).orderBy("at")
+    carried = events.select(key, "at", F.lead("at").over(along).alias("_next"), *[F.last(s, ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0)).alias(s) for s in states])
+    live = [F.coalesce(F.col(f"{s}.live"), F.lit(False)) for s in states]
+    here = F.year("at").between(1990, 2098) & live[0]
+    for dim, x in zip(dims, live[1:]):
+        here = here & x if dim.how == "inner" and dim.extra is None else here
+    end = F.when(F.year("_next") <= 2098, step("_next", -1)).otherwise(F.lit(last).cast(kind))
+    out = carried.where(here).select(key, F.col("at").alias("valid_from"), end.alias("valid_to"), *[F.when(x, F.col(f"{s}.{a}")).alias(a) for s, x, (_, names) in zip(states, live, sides) for a in names], *[x.alias(f"_live{i}") for i, x in enumerate(live)])
+    for i, dim in enumerate(dims, 1):
+        if dim.extra is not None:
+            out = out.where(F.col(f"_live{i}") & dim.extra) if dim.how == "inner" else out.withColumns({a: F.when(dim.extra, F.col(a)) for a in dim.attrs})
+    return out.drop(*[f"_live{i}" for i in range(len(sides))])
+
+
+def coalesce_versions(df: DataFrame, key: str, attrs: list[str], *, grain: str = "day") -> DataFrame:
     """Neighbouring versions with equal attributes as one."""
     h = df.withColumn("_h", F.struct(*attrs))
-    out = islands(h, [key], value="_h", unit="DAY")
+    out = islands(h, [key], value="_h", unit=GRAINS[grain][2])
     return out.select(key, "valid_from", "valid_to", *[F.col(f"_h.{a}") for a in attrs])
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import history as hi
 from ..operators import merging as mg
 from ..operators import stays as st
 from .base import duck, view
@@ -60,25 +59,63 @@ def _s(spark, d):
     return st.movements_of_stays(view(spark, d, "movements"))
 
 
-@query(_S + """, l AS (SELECT case_id, max_by(number, (e, number)) AS l, max(e) AS m FROM s GROUP BY 1), a AS (SELECT case_id, number AS admission, b AS admitted FROM s WHERE kind = '1'), x AS (SELECT case_id, number AS dn, e AS dt FROM s WHERE kind = '2')
+#: Movements as they became known: open at first, with end and cancellation from the day of the end on.
+_MV = """, vs AS (SELECT *, CAST(begin_ts AS DATE) AS d0, CASE WHEN end_ts IS NOT NULL AND CAST(end_ts AS DATE) > CAST(begin_ts AS DATE) THEN CAST(end_ts AS DATE) END AS d1 FROM movements),
+mv AS (SELECT * REPLACE (CASE WHEN d1 IS NULL THEN end_ts END AS end_ts, CASE WHEN d1 IS NULL THEN cancelled ELSE ' ' END AS cancelled), d0 AS valid_from, coalesce(d1 - 1, DATE '2099-12-31') AS valid_to FROM vs UNION ALL SELECT *, d1, DATE '2099-12-31' FROM vs WHERE d1 IS NOT NULL),
+tt AS (SELECT DISTINCT case_id, stamp FROM (SELECT case_id, valid_from AS stamp FROM mv UNION ALL SELECT case_id, valid_to + 1 FROM mv WHERE year(valid_to) < 2099)),
+sl AS (SELECT case_id, CAST(row_number() OVER (PARTITION BY case_id ORDER BY stamp DESC) AS INTEGER) AS slice_id, stamp AS valid_from, coalesce(lead(stamp) OVER (PARTITION BY case_id ORDER BY stamp) - 1, DATE '2099-12-31') AS valid_to FROM tt)"""
+_SM = _MV + ", sm AS (SELECT mv.* REPLACE ({'c': mv.case_id, 's': slice_id} AS case_id) FROM mv JOIN sl ON mv.case_id = sl.case_id AND sl.valid_from BETWEEN mv.valid_from AND mv.valid_to)"
+
+
+def _sliced(sql: str) -> str:
+    """CTEs over movements as CTEs over movements by slice, with the pair of case and slice as case_id."""
+    return _SM + sql.replace("FROM movements", "FROM sm")
+
+
+def _movement_versions(spark, d):
+    m = view(spark, d, "movements")
+    day0, day1 = F.to_date("begin_ts"), F.when(F.to_date("end_ts") > F.to_date("begin_ts"), F.to_date("end_ts"))
+    last = F.lit("2099-12-31").cast("date")
+    first = m.select(*[F.when(day1.isNull(), F.col(c)).alias(c) if c == "end_ts" else F.when(day1.isNull(), F.col(c)).otherwise(" ").alias(c) if c == "cancelled" else F.col(c) for c in m.columns], day0.alias("valid_from"), F.coalesce(F.date_sub(day1, 1), last).alias("valid_to"))
+    return first.unionByName(m.where(day1.isNotNull()).select("*", day1.alias("valid_from"), last.alias("valid_to")))
+
+
+_PAIRS = """, l AS (SELECT case_id, max_by(number, (e, number)) AS l, max(e) AS m FROM s GROUP BY 1), a AS (SELECT case_id, number AS admission, b AS admitted FROM s WHERE kind = '1'), x AS (SELECT case_id, number AS dn, e AS dt FROM s WHERE kind = '2')
 SELECT a.case_id, CAST(dense_rank() OVER (PARTITION BY a.case_id ORDER BY admission, coalesce(dn, 0)) AS INTEGER) AS period_id, admission, admitted, coalesce(dn, l) AS discharge, coalesce(dt, m) AS discharged, CASE WHEN dn IS NULL THEN 1 ELSE 0 END AS discharge_unknown, CAST(CAST(coalesce(dt, TIMESTAMP '2002-01-01') AS DATE) - CAST(admitted AS DATE) AS INTEGER) AS days,
-CASE WHEN CAST(coalesce(dt, TIMESTAMP '2002-01-01') AS DATE) = CAST(admitted AS DATE) THEN 1 ELSE 0 END AS same_day FROM a LEFT JOIN x USING (case_id) JOIN l USING (case_id)""", "movements")
+CASE WHEN CAST(coalesce(dt, TIMESTAMP '2002-01-01') AS DATE) = CAST(admitted AS DATE) THEN 1 ELSE 0 END AS same_day FROM a LEFT JOIN x USING (case_id) JOIN l USING (case_id)"""
+
+
+@query(_S + _PAIRS, "movements")
 def stay_pairs(spark, d):
     return st.pairs(_s(spark, d), now="2002-01-01")
 
 
-@query(_V.replace("WITH ", ", ", 1) + ", t AS (SELECT DISTINCT key, stamp FROM (SELECT key, valid_from AS stamp FROM f UNION ALL SELECT key, valid_to + 1 FROM f WHERE year(valid_to) < 2099)) SELECT key, CAST(row_number() OVER (PARTITION BY key ORDER BY stamp DESC) AS INTEGER) AS slice_id, stamp AS valid_from, coalesce(lead(stamp) OVER (PARTITION BY key ORDER BY stamp) - 1, DATE '2099-12-31') AS valid_to FROM t", "cases")
+_PAIRS_BY = ", r AS (\nSELECT ".join(_PAIRS.split("\nSELECT ", 1)) + ") SELECT case_id.c AS case_id, case_id.s AS slice_id, * EXCLUDE (case_id) FROM r"
+
+
+@query(_sliced(_S) + _PAIRS_BY, "movements")
+def stay_pairs_by_slice(spark, d):
+    """Admissions and discharges as they were known in each slice of the case's time."""
+    rows, _ = st.by_slice(_movement_versions(spark, d))
+    return st.pairs(st.movements_of_stays(rows), now="2002-01-01").select("case_id.case_id", "case_id.slice_id", "period_id", "admission", "admitted", "discharge", "discharged", "discharge_unknown", "days", "same_day")
+
+
+@query(_MV + " SELECT case_id AS key, slice_id, valid_from, valid_to FROM sl", "movements")
 def stay_time_slices(spark, d):
-    return st.time_slices(_fd(spark, d)[0], "key")
+    return st.time_slices(_movement_versions(spark, d), "case_id").withColumnRenamed("case_id", "key")
 
 
-_P = _S + """, p AS (SELECT *, lead(number) OVER (PARTITION BY case_id ORDER BY b, number) AS nn, CAST(coalesce(CAST(b AS DATE) - CAST(lag(e) OVER (PARTITION BY case_id ORDER BY b, kind DESC, number) AS DATE), 0) AS INTEGER) AS gap, max(CASE WHEN kind <> '6' THEN e END) OVER (PARTITION BY case_id ORDER BY b, kind, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe,
+_PN = """, p AS (SELECT *, lead(number) OVER (PARTITION BY case_id ORDER BY b, number) AS nn, CAST(coalesce(CAST(b AS DATE) - CAST(lag(e) OVER (PARTITION BY case_id ORDER BY b, kind DESC, number) AS DATE), 0) AS INTEGER) AS gap, max(CASE WHEN kind <> '6' THEN e END) OVER (PARTITION BY case_id ORDER BY b, kind, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe,
 min(CASE WHEN kind <> '6' THEN b END) OVER (PARTITION BY case_id ORDER BY b, kind, number ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nb, CAST(row_number() OVER (PARTITION BY case_id ORDER BY b DESC, number) AS INTEGER) AS pos FROM s)"""
 
 
-@query(_P + " SELECT case_id, number, nn AS next_number, gap, pe AS prev_end, nb AS next_begin, pos FROM p", "movements")
+_P = _S + _PN
+
+
+@query(_sliced(_P) + " SELECT case_id.c AS case_id, case_id.s AS slice_id, number, nn AS next_number, gap, pe AS prev_end, nb AS next_begin, pos FROM p", "movements")
 def stay_prev_next(spark, d):
-    return st.prev_next(_s(spark, d)).select("case_id", "number", "next_number", "gap", "prev_end", "next_begin", "pos")
+    rows, _ = st.by_slice(_movement_versions(spark, d))
+    return st.prev_next(st.movements_of_stays(rows)).select("case_id.case_id", "case_id.slice_id", "number", "next_number", "gap", "prev_end", "next_begin", "pos")
 
 
 _FLAGS = ", fl AS (SELECT case_id, max(CASE WHEN system = 'PEPP' THEN 1 ELSE 0 END) AS pepp, max(CASE WHEN system = 'DRG' THEN 1 ELSE 0 END) AS drg, " + ", ".join(f"max({f}) AS {f}" for f in st.FLAGS) + ", max(label) AS label FROM movements GROUP BY 1)"
@@ -136,12 +173,22 @@ def stay_los(spark, d):
     return los(spark, d)
 
 
-@query(_V.replace("WITH ", ", ", 1) + ", i1 AS (SELECT *, CASE WHEN lag(status) OVER w = status AND lag(valid_to) OVER w + 1 = valid_from THEN 0 ELSE 1 END AS nw FROM f WINDOW w AS (PARTITION BY key ORDER BY valid_from)), i2 AS (SELECT *, sum(nw) OVER (PARTITION BY key ORDER BY valid_from ROWS UNBOUNDED PRECEDING) AS i FROM i1), i3 AS (SELECT key, status, min(valid_from) AS valid_from, max(valid_to) AS valid_to, count(*) AS n FROM i2 GROUP BY key, status, i) SELECT *, CAST(dense_rank() OVER (PARTITION BY key ORDER BY valid_from DESC) AS INTEGER) AS version FROM i3", "cases")
-def stay_los_history(spark, d):
-    from pyspark.sql import Window
+_LOSH = _sliced(_L) + _OFF_DAYS + """, lo AS (SELECT case_id, CAST(sum(block_days) AS BIGINT) AS treatment_days, CAST(sum(block_days + last_day) AS BIGINT) AS occupancy_days, min(admitted) AS admitted, max(discharged) AS discharged FROM ld GROUP BY case_id),
+lh AS (SELECT sl.case_id, treatment_days, occupancy_days, nb_audit AS not_billable, admitted, discharged, occupancy_days - nb_audit AS los, valid_from, valid_to FROM lo JOIN sl ON lo.case_id.c = sl.case_id AND lo.case_id.s = sl.slice_id LEFT JOIN nb ON nb.case_id = sl.case_id),
+h1 AS (SELECT *, CASE WHEN lag((treatment_days, occupancy_days, not_billable, admitted, discharged)) OVER w IS NOT DISTINCT FROM (treatment_days, occupancy_days, not_billable, admitted, discharged) AND lag(valid_to) OVER w + 1 = valid_from THEN 0 ELSE 1 END AS nw FROM lh WINDOW w AS (PARTITION BY case_id ORDER BY valid_from)),
+h2 AS (SELECT *, sum(nw) OVER (PARTITION BY case_id ORDER BY valid_from ROWS UNBOUNDED PRECEDING) AS i FROM h1),
+h3 AS (SELECT case_id, treatment_days, occupancy_days, not_billable, admitted, discharged, CAST(los AS BIGINT) AS los, min(valid_from) AS valid_from, max(valid_to) AS valid_to FROM h2 GROUP BY ALL, i)
+SELECT *, CAST(dense_rank() OVER (PARTITION BY case_id ORDER BY valid_from DESC) AS INTEGER) AS version FROM h3"""
 
-    v = hi.islands(_fd(spark, d)[0], ["key"], value="status", unit="DAY").withColumn("valid_from", F.to_date("valid_from"))
-    return v.withColumn("version", F.dense_rank().over(Window.partitionBy("key").orderBy(F.desc("valid_from"))))
+
+@query(_LOSH.replace("GROUP BY ALL, i", "GROUP BY 1, 2, 3, 4, 5, 6, 7, i"), "movements", "cases")
+def stay_los_history(spark, d):
+    """What a case's length of stay was on each day, by what was known of its movements then."""
+    rows, slices = st.by_slice(_movement_versions(spark, d))
+    b = st.blocks(st.prev_next(st.movements_of_stays(rows))).join(st.case_flags(rows).select("case_id", "drg", "pepp"), "case_id")
+    off = mg.case_derive(view(spark, d, "cases")).select(F.col("case_id").alias("_case"), "nb_audit")
+    days = st.last_day_rules(b).join(off, F.col("case_id.case_id") == F.col("_case"), "left").drop("_case")
+    return st.los_history(st.length_of_stay(days, not_billable=F.col("nb_audit")), slices)
 
 
 _MS = _L + """, mo AS (SELECT case_id, start_ts, end_ts, last_day, CAST(unnest(generate_series(date_trunc('month', start_ts), date_trunc('month', end_ts), INTERVAL 1 MONTH)) AS DATE) AS month FROM ld WHERE end_ts >= start_ts),

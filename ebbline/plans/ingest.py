@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 
 from pyspark.sql import functions as F
 
 from ..operators import current_state as cs
 from ..operators import quality as q
+from ..sources import bronze as br
 from ..sources import changes as ch
 from ..sources import cohort as co
 from ..sources import registry as rg
@@ -51,13 +53,21 @@ def year_partition_key(spark, d):
     return view(spark, d, "cases").select(F.coalesce(rg.year_partition(F.col("end_date")), F.lit("unknown")).alias("jahr")).groupBy("jahr").agg(F.count("*").alias("n"))
 
 
-@query("SELECT year(o_orderdate)::VARCHAR AS jahr, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM orders GROUP BY 1")
+@query("SELECT CAST(year(o_orderdate) AS VARCHAR) AS jahr, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM orders GROUP BY 1")
 def backfill_partitioned(spark, d):
-    path = new_path(spark, "backfill")
-    df = rg.scan(spark, d, ORDERS)
-    rg.backfill(df.where(F.col("o_orderkey") <= 1000), path, ORDERS)
-    rg.backfill(df, path, ORDERS, cursor=[1000])  # resumed behind the cursor
-    return spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").parquet(path).groupBy(F.col("jahr").cast("string").alias("jahr")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
+    """A backfill in four slices that stops after two, and another run that goes on from its log."""
+    root, df = new_path(spark, "backfill"), rg.scan(spark, d, ORDERS)
+    for most in (2, None):
+        br.backfill_table(df, root, ORDERS, rows_per_slice=math.ceil(df.count() / 4), most_slices=most)
+    return br.read_backfill(spark, root, "orders").groupBy("jahr").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
+
+
+@query("SELECT 'orders' AS table_name, 'backfill' AS phase, '{\"o_orderkey\":' || max(o_orderkey) || '}' AS cursor, count(*) AS rows_total FROM orders")
+def backfill_cursor(spark, d):
+    """What the log of a finished backfill says."""
+    root, df = new_path(spark, "backfill"), rg.scan(spark, d, ORDERS)
+    br.backfill_table(df, root, ORDERS, rows_per_slice=math.ceil(df.count() / 3))
+    return br.backfill_state(spark, root, "orders").select("table_name", "phase", "cursor", "rows_total")
 
 
 @query("SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
@@ -169,27 +179,33 @@ def current_state_partial_pk(spark, d):
 
 
 def _years(spark, d):
-    """All cases: base copies of those that have ended; changes of those billed or open partly, of which locked ones are deletes and running ones inserts."""
+    """All cases. Of those that end from 1997 on, the partly billed ones come as inserts only and the open ones as updates too, deletes where they are locked; the base holds all others."""
     c = view(spark, d, "cases").select("case_id", "patient_id", F.coalesce("end_date", "begin_date").cast("string").alias("end_date"), "status", "locked")
+    recent = F.col("end_date") >= "1997"
     op = F.when(F.col("locked") == "X", "D").when(F.col("status") == "P", "I").otherwise("U")
-    base = c.where("status <> 'P'").drop("status", "locked").withColumn("jahr", rg.year_partition(F.col("end_date")))
-    delta = c.where("status <> 'F'").select("case_id", (F.col("patient_id") + 1).alias("patient_id"), "end_date", op.alias("_op"), F.lpad(F.col("case_id").cast("string"), 12, "0").alias("_seq"))
+    base = c.where(~recent | (F.col("status") != "P")).drop("status", "locked")
+    delta = c.where(recent & (F.col("status") != "F")).select("case_id", (F.col("patient_id") + 1).alias("patient_id"), "end_date", op.alias("_op"), F.lpad(F.col("case_id").cast("string"), 12, "0").alias("_seq"))
     return base, delta
 
 
-_Y = ", c AS (SELECT case_id, patient_id, CAST(coalesce(end_date, begin_date) AS VARCHAR) AS end_date, status, locked FROM cases), delta AS (SELECT * FROM c WHERE status <> 'F')"
+_Y = ", c AS (SELECT case_id, patient_id, CAST(coalesce(end_date, begin_date) AS VARCHAR) AS end_date, status, locked FROM cases), delta AS (SELECT * FROM c WHERE status <> 'F' AND end_date >= '1997')"
 
 
-@query(_Y + " SELECT case_id, CASE WHEN status = 'F' THEN patient_id ELSE patient_id + 1 END AS patient_id, end_date, substr(end_date, 1, 4) AS jahr FROM c WHERE substr(end_date, 1, 4) IN (SELECT substr(end_date, 1, 4) FROM delta) AND NOT (status <> 'F' AND locked = 'X')", "cases")
+@query(_Y + " SELECT case_id, CASE WHEN case_id IN (SELECT case_id FROM delta) THEN patient_id + 1 ELSE patient_id END AS patient_id, end_date, substr(end_date, 1, 4) AS jahr FROM c WHERE case_id NOT IN (SELECT case_id FROM delta WHERE locked = 'X')", "cases")
 def compact_deltas(spark, d):
+    """The table by year and its files of changes, written; compacted; read again."""
     base, delta = _years(spark, d)
-    return cs.compacted(base, delta, key=["case_id"], date="end_date")
+    root = new_path(spark, "bronze")
+    br.write_years(base, f"{root}/cases", "end_date", key=["case_id"], parts=2)
+    delta.write.parquet(f"{root}/_delta/cases")
+    br.compact_table(spark, root, "cases", key=["case_id"], date="end_date")
+    return br.read_years(spark, f"{root}/cases")
 
 
 @query(_Y + " SELECT DISTINCT substr(end_date, 1, 4) AS jahr FROM delta", "cases")
 def affected_partitions(spark, d):
     base, delta = _years(spark, d)
-    return cs.affected_partitions(delta, base, date="end_date")
+    return cs.affected_partitions(delta, base.withColumn("jahr", rg.year_partition(F.col("end_date"))), date="end_date")
 
 
 @query("SELECT case_id, begin_date FROM cases WHERE begin_date >= DATE '1998-01-01' - 90", "cases")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import history as hi
@@ -33,14 +34,14 @@ def _changes(spark, d):
         F.date_trunc("second", "ts").cast("timestamp").alias("change_time"), F.floor(F.col("value") / 60).cast("long").alias("payload"), F.when(F.col("event_id") % 7 == 0, 1).otherwise(0).alias("storno"),
         F.when(F.col("event_id") % 7 == 0, F.date_trunc("day", "ts").cast("timestamp")).alias("storno_date"), F.lit("2024-01-01 06:00:00").cast("timestamp").alias("created"),
     )
-    c = table(spark, d, "customer").where("c_acctbal >= 0").select(F.col("c_custkey").alias("key"), (F.col("c_custkey") % 3).alias("payload"), F.lit(0).alias("storno"), F.lit(None).cast("timestamp").alias("storno_date"), F.lit("2024-01-01 06:00:00").cast("timestamp").alias("created"))
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("key"), (F.col("c_custkey") % 3).alias("payload"), F.lit(0).alias("storno"), F.lit(None).cast("timestamp").alias("storno_date"), F.lit("2024-01-01 06:00:00").cast("timestamp").alias("created"))
     return c, e
 
 
 _C0 = f"""WITH e AS (SELECT user_id AS key, lpad(CAST(event_id AS VARCHAR), 12, '0') AS change_seq, CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' WHEN 'view' THEN 'B' ELSE 'U' END AS change_type,
   (CAST(date_trunc('second', ts) AS TIMESTAMP) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin' AS change_time, CAST(floor(value / 60) AS BIGINT) AS payload, CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS storno,
   CASE WHEN event_id % 7 = 0 THEN CAST(date_trunc('day', ts) AS TIMESTAMP) END AS storno_date, TIMESTAMP '2024-01-01 06:00:00' AS created FROM events),
-c0 AS (SELECT c_custkey AS key, '{SEQ9}' AS change_seq, 'O' AS change_type, TIMESTAMP '{AT}' AS change_time, c_custkey % 3 AS payload, 0 AS storno, CAST(NULL AS TIMESTAMP) AS storno_date, TIMESTAMP '2024-01-01 06:00:00' AS created FROM customer WHERE c_acctbal >= 0
+c0 AS (SELECT c_custkey AS key, '{SEQ9}' AS change_seq, 'O' AS change_type, TIMESTAMP '{AT}' AS change_time, c_custkey % 3 AS payload, 0 AS storno, CAST(NULL AS TIMESTAMP) AS storno_date, TIMESTAMP '2024-01-01 06:00:00' AS created FROM customer
   UNION ALL SELECT * FROM e WHERE change_time <= TIMESTAMP '{AT}')"""
 _C1 = _C0 + ", c1 AS (SELECT *, sha1(concat_ws('|', coalesce('=' || CAST(payload AS VARCHAR), '~'), coalesce('=' || CAST(storno AS VARCHAR), '~'))) AS hash_id FROM c0)"
 _C2 = _C1 + ", c2 AS (SELECT *, CAST(row_number() OVER (PARTITION BY key ORDER BY change_seq, change_type) * 2 AS BIGINT) AS seq_id FROM c1)"
@@ -194,23 +195,23 @@ def hist_as_of(spark, d):
 # temporal joins ----------------------------------------------------------------------------------------
 
 
-def _versions(spark, d, rest: int, name: str, column):
-    """Versions per customer from the orders of a residue class, one per day."""
-    o = table(spark, d, "orders").where(F.col("o_orderkey") % 3 == rest).select(F.col("o_custkey").alias("key"), F.to_date("o_orderdate").alias("valid_from"), F.col("o_orderkey"), column.alias(name))
+def _versions(spark, d, name: str, column, later: int):
+    """Versions per customer from all orders, one per day; each attribute becomes known some days after the order."""
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("key"), F.date_add(F.to_date("o_orderdate"), later).alias("valid_from"), F.col("o_orderkey"), column.alias(name))
     one = o.groupBy("key", "valid_from").agg(F.max_by(name, "o_orderkey").alias(name), F.max("o_orderkey").alias(f"{name}_row"))
     return tj.rank_versions(one, "key").drop("version")
 
 
-def _v_sql(alias: str, rest: int, name: str, expr: str) -> str:
-    return f"""{alias}0 AS (SELECT o_custkey AS key, CAST(o_orderdate AS DATE) AS valid_from, max_by({expr}, o_orderkey) AS {name}, max(o_orderkey) AS {name}_row FROM orders WHERE o_orderkey % 3 = {rest} GROUP BY 1, 2),
+def _v_sql(alias: str, name: str, expr: str, later: int) -> str:
+    return f"""{alias}0 AS (SELECT o_custkey AS key, CAST(o_orderdate AS DATE) + {later} AS valid_from, max_by({expr}, o_orderkey) AS {name}, max(o_orderkey) AS {name}_row FROM orders GROUP BY 1, 2),
 {alias} AS (SELECT *, coalesce(lead(valid_from) OVER (PARTITION BY key ORDER BY valid_from) - 1, DATE '2099-12-31') AS valid_to FROM {alias}0)"""
 
 
 def _fd(spark, d):
-    return _versions(spark, d, 0, "status", F.col("o_orderstatus")), _versions(spark, d, 1, "priority", F.col("o_orderpriority")), _versions(spark, d, 2, "band", F.floor(F.col("o_totalprice") / 100000).cast("long"))
+    return _versions(spark, d, "status", F.col("o_orderstatus"), 0), _versions(spark, d, "priority", F.col("o_orderpriority"), 9), _versions(spark, d, "band", F.floor(F.col("o_totalprice") / 100000).cast("long"), 30)
 
 
-_V = "WITH " + _v_sql("f", 0, "status", "o_orderstatus") + ", " + _v_sql("d1", 1, "priority", "o_orderpriority") + ", " + _v_sql("d2", 2, "band", "CAST(floor(o_totalprice / 100000) AS BIGINT)")
+_V = "WITH " + _v_sql("f", "status", "o_orderstatus", 0) + ", " + _v_sql("d1", "priority", "o_orderpriority", 9) + ", " + _v_sql("d2", "band", "CAST(floor(o_totalprice / 100000) AS BIGINT)", 30)
 
 
 def _join_sql(out: str, cur: str, dim: str, have: str, attr: str) -> str:
@@ -249,7 +250,34 @@ def tj_elementary_slices(spark, d):
 @query(_V + _J1 + _J2 + " SELECT key, valid_from, valid_to, status, priority, band FROM j2")
 def tj_multiway(spark, d):
     f, d1, d2 = _fd(spark, d)
-    return tj.temporal_join(f, ["status"], [tj.Dim(d1, ["priority"]), tj.Dim(d2, ["band"])], "key")
+    return tj.temporal_sweep(f, ["status"], [tj.Dim(d1, ["priority"]), tj.Dim(d2, ["band"])], "key")
+
+
+def _seconds(spark, d):
+    """Versions by the second from all events of a user: its type, its value's band a little later, and logins for ten minutes each, which leave gaps."""
+    e = table(spark, d, "events").select(F.col("user_id").alias("key"), F.date_trunc("second", "ts").cast("timestamp").alias("at"), "event_id", "event_type", F.floor(F.col("value") / 50).cast("long").alias("band"))
+
+    def versions(name, later, most=None):
+        one = e.groupBy("key", F.timestamp_add("SECOND", F.lit(later), F.col("at")).alias("valid_from")).agg(F.max_by(name, "event_id").alias(name))
+        end = F.coalesce(F.timestamp_add("SECOND", F.lit(-1), F.lead("valid_from").over(Window.partitionBy("key").orderBy("valid_from"))), F.lit(hi.END).cast("timestamp"))
+        return one.withColumn("valid_to", end if most is None else F.least(end, F.timestamp_add("SECOND", F.lit(most), F.col("valid_from"))))
+
+    return versions("event_type", 0), versions("band", 90), versions("event_id", 0, 600)
+
+
+_SEC = "WITH e AS (SELECT user_id AS key, CAST(date_trunc('second', ts) AS TIMESTAMP) AS tick, event_id, event_type, CAST(floor(value / 50) AS BIGINT) AS band FROM events)" + "".join(
+    f", {t}0 AS (SELECT key, tick + INTERVAL {later} SECOND AS valid_from, max_by({name}, event_id) AS {name} FROM e GROUP BY 1, 2), {t} AS (SELECT *, least(coalesce(lead(valid_from) OVER (PARTITION BY key ORDER BY valid_from) - INTERVAL 1 SECOND, TIMESTAMP '2099-12-31 23:59:59'), {most}) AS valid_to FROM {t}0)"
+    for t, name, later, most in (("f", "event_type", 0, "TIMESTAMP '2099-12-31 23:59:59'"), ("d1", "band", 90, "TIMESTAMP '2099-12-31 23:59:59'"), ("d2", "event_id", 0, "valid_from + INTERVAL 600 SECOND"))
+)
+_SEC += """, b AS (SELECT DISTINCT key, tick FROM (SELECT key, unnest([valid_from, valid_to + INTERVAL 1 SECOND]) AS tick FROM f UNION ALL SELECT key, unnest([valid_from, valid_to + INTERVAL 1 SECOND]) FROM d1 UNION ALL SELECT key, unnest([valid_from, valid_to + INTERVAL 1 SECOND]) FROM d2) WHERE year(tick) BETWEEN 1990 AND 2098),
+s AS (SELECT key, tick, coalesce(lead(tick) OVER (PARTITION BY key ORDER BY tick) - INTERVAL 1 SECOND, TIMESTAMP '2099-12-31 23:59:59') AS ende FROM b)
+SELECT s.key, s.tick AS valid_from, s.ende AS valid_to, f.event_type, d1.band, d2.event_id FROM s JOIN f ON s.key = f.key AND s.tick BETWEEN f.valid_from AND f.valid_to LEFT JOIN d1 ON s.key = d1.key AND s.tick BETWEEN d1.valid_from AND d1.valid_to LEFT JOIN d2 ON s.key = d2.key AND s.tick BETWEEN d2.valid_from AND d2.valid_to"""
+
+
+@query(_SEC)
+def tj_multiway_seconds(spark, d):
+    f, d1, d2 = _seconds(spark, d)
+    return tj.temporal_sweep(f, ["event_type"], [tj.Dim(d1, ["band"]), tj.Dim(d2, ["event_id"])], "key", grain="second")
 
 
 _CO = _V + _J1 + _J2 + ", k1 AS (SELECT *, CASE WHEN lag((status, priority, band)) OVER w IS NOT DISTINCT FROM (status, priority, band) AND lag(valid_to) OVER w + 1 = valid_from THEN 0 ELSE 1 END AS nw FROM j2 WINDOW w AS (PARTITION BY key ORDER BY valid_from)), k2 AS (SELECT *, sum(nw) OVER (PARTITION BY key ORDER BY valid_from ROWS UNBOUNDED PRECEDING) AS i FROM k1), co AS (SELECT key, min(valid_from) AS valid_from, max(valid_to) AS valid_to, status, priority, band FROM k2 GROUP BY key, status, priority, band, i)"
@@ -257,7 +285,7 @@ _CO = _V + _J1 + _J2 + ", k1 AS (SELECT *, CASE WHEN lag((status, priority, band
 
 def _co(spark, d):
     f, d1, d2 = _fd(spark, d)
-    return tj.coalesce_versions(tj.temporal_join(f, ["status"], [tj.Dim(d1, ["priority"]), tj.Dim(d2, ["band"])], "key"), "key", ["status", "priority", "band"])
+    return tj.coalesce_versions(tj.temporal_sweep(f, ["status"], [tj.Dim(d1, ["priority"]), tj.Dim(d2, ["band"])], "key"), "key", ["status", "priority", "band"])
 
 
 @query(_CO + " SELECT * FROM co")
@@ -272,8 +300,6 @@ def tj_rank_versions(spark, d):
 
 @query("WITH e AS (SELECT user_id AS key, event_type, CAST(date_trunc('second', ts) AS TIMESTAMP) AS valid_from, event_id FROM events), v AS (SELECT *, coalesce(lead(valid_from) OVER (PARTITION BY key ORDER BY valid_from, event_id) - INTERVAL 1 SECOND, TIMESTAMP '2099-12-31 23:59:59') AS valid_to FROM e), g AS (SELECT key, event_type, event_id, CAST(valid_from AS DATE) AS valid_from, CASE WHEN strftime(valid_to, '%H:%M:%S') = '23:59:59' THEN CAST(valid_to AS DATE) ELSE CAST(valid_to AS DATE) - 1 END AS valid_to FROM v) SELECT * FROM g WHERE valid_from <= valid_to")
 def tj_granularity(spark, d):
-    from pyspark.sql import Window
-
     e = table(spark, d, "events").select(F.col("user_id").alias("key"), "event_type", F.date_trunc("second", "ts").cast("timestamp").alias("valid_from"), "event_id")
     nxt = F.lead("valid_from").over(Window.partitionBy("key").orderBy("valid_from", "event_id"))
     return tj.to_day_grain(e.withColumn("valid_to", F.coalesce(F.timestamp_add("SECOND", F.lit(-1), nxt), F.lit(hi.END).cast("timestamp"))))

@@ -9,8 +9,8 @@ OPS = {"INSERT": "I", "UPDATE": "U", "DELETE": "D", "I": "I", "U": "U", "D": "D"
 
 
 def change_rows(changes: DataFrame, since: str, *, seq: str = "_seq") -> DataFrame:
-    """Rows behind the watermark, in order."""
-    return changes.where(F.col(seq) > F.lit(since)).orderBy(seq)
+    """Rows behind the watermark; the sequence column, not the order of rows, says which comes first."""
+    return changes.where(F.col(seq) > F.lit(since))
 
 
 def normalize_op(op: Column) -> Column:

@@ -59,9 +59,9 @@ def _after(key, last) -> Column:
 
 
 def after_key(df: DataFrame, key: list[str], last: list, limit: int | None = None) -> DataFrame:
-    """Rows whose key comes after ``last``, in key order."""
-    out = df.where(_after(key, last)).orderBy(*key)
-    return out if limit is None else out.limit(limit)
+    """Rows whose key comes after ``last``; with a limit the first ones in key order."""
+    out = df.where(_after(key, last))
+    return out if limit is None else out.orderBy(*key).limit(limit)
 
 
 def copy_whole(df: DataFrame, path: str) -> None:
@@ -69,16 +69,22 @@ def copy_whole(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def backfill(df: DataFrame, path: str, spec: TableSpec, *, cursor: list | None = None) -> None:
-    """Write a table by year, one file group per year; with ``cursor`` only rows after that key, appended."""
-    if cursor is not None:
-        df = df.where(_after(spec.pk, cursor))
-    year = year_partition(F.col(spec.partition_date)) if spec.partition_date else F.lit("unknown")
-    df.withColumn("jahr", year).repartition("jahr", F.pmod(F.xxhash64(*spec.pk), F.lit(8))).write.mode("append" if cursor is not None else "overwrite").partitionBy("jahr").parquet(path)
+def key_predicates(key: str, bounds: list[tuple]) -> list[str]:
+    """SQL conditions of key ranges [(low, high), ...]; high is exclusive, None is open, rows of a null key come with the first range that has no low end."""
+
+    def literal(v) -> str:
+        return str(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else "'" + str(v).replace("'", "''") + "'"
+
+    out, name, nulls = [], '"' + key.replace('"', '""') + '"', True
+    for a, b in bounds:
+        parts = [f"{name} >= {literal(a)}"] * (a is not None) + [f"{name} < {literal(b)}"] * (b is not None)
+        text = " AND ".join(parts) or f"{name} IS NOT NULL"
+        if a is None and nulls:
+            text, nulls = f"({text} OR {name} IS NULL)", False
+        out.append(text)
+    return out
 
 
 def read_jdbc(spark: SparkSession, url: str, spec: TableSpec, bounds: list[tuple], **options) -> DataFrame:
     """A database table, read in parallel by key ranges [(low, high), ...]; high is exclusive, None is open."""
-    key = spec.pk[0]
-    predicates = [" AND ".join([f"{key} >= '{a}'"] * (a is not None) + [f"{key} < '{b}'"] * (b is not None)) or "1=1" for a, b in bounds]
-    return spark.read.jdbc(url, spec.name, predicates=predicates, properties={k: str(v) for k, v in options.items()})
+    return spark.read.jdbc(url, spec.name, predicates=key_predicates(spec.pk[0], bounds), properties={k: str(v) for k, v in options.items()})
