@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .temporal import attach, slices
+
 #: Statistic classes of the day rates, and what is paid by quantity.
 DAY_CLASSES, QUANTITY_CLASSES = ("E11", "E12"), ("E2", "E32", "NUB")
 
@@ -38,6 +40,46 @@ def catalog_value(c: Column, scale: int) -> Column:
     return F.round(n / 10**scale, 6)
 
 
+#: Years of one bin of the interval join.
+BIN_YEARS = 4
+
+
+def disjoint(catalog: DataFrame, key: str, values: list[str]) -> DataFrame:
+    """A catalog's versions without overlaps: on each day the one that began last holds (of equal ones the largest values); an earlier one comes back where a later one ends."""
+    began = catalog.withColumn("_began", F.col("valid_from"))
+    cut = attach(slices([catalog], key), began, key, ["_began", *values], "inner")
+    one = cut.groupBy(key, "start", "end").agg(F.max_by(F.struct(*values), F.struct("_began", *values)).alias("_v"))
+    return one.select(key, F.col("start").alias("valid_from"), F.col("end").alias("valid_to"), "_v.*")
+
+
+def valid_on(rows: DataFrame, catalog: DataFrame, *, key: str, day: Column, values: list[str]) -> DataFrame:
+    """``rows`` with the ``values`` of the catalog's version of their key on ``day``; null where it has none, and for null days.
+
+    An interval join by bins: each version stands once in every bin of
+    BIN_YEARS years that it touches, rows meet it by key and bin (an equi-join,
+    which hash and AQE's skew handling can split), and the exact test follows.
+    """
+    bin_of = lambda d: F.floor(F.year(d) / BIN_YEARS)
+    bins = F.explode(F.sequence(bin_of(F.col("valid_from")), bin_of(F.col("valid_to")))).alias("_bin")
+    c = disjoint(catalog, key, values).select(F.col(key).alias("_key"), bins, F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *values)
+    x = rows.withColumns({"_day": F.to_date(day), "_at": bin_of(F.to_date(day))})
+    return x.join(c, (F.col(key) == F.col("_key")) & (F.col("_at") == F.col("_bin")) & F.col("_day").between(F.col("_from"), F.col("_to")), "left").drop("_day", "_at", "_key", "_bin", "_from", "_to")
+
+
+def pre_cube(charges: DataFrame, stays: DataFrame, days_off: DataFrame, catalog: DataFrame, rates: DataFrame, *, by_admission: Column, code: str, values: list[str]) -> DataFrame:
+    """Charges of cases with a stay, with its figures, days not billable, the catalog's values and the base rate of their day.
+
+    The day is the admission's where ``by_admission`` holds, else the
+    discharge's.  ``rates`` (valid_from, valid_to, base) hold for all codes.  A
+    charge whose code has no version on its day keeps nulls.
+    """
+    day = F.when(by_admission, F.col("admitted")).otherwise(F.col("discharged"))
+    rows = charges.join(stays, "case_id").join(days_off, "case_id", "left")
+    rows = valid_on(rows, catalog, key=code, day=day, values=values)
+    every = F.lit("all").alias("_tariff")
+    return valid_on(rows.select("*", every), rates.select("*", every), key="_tariff", day=day, values=["base"]).drop("_tariff")
+
+
 def month_value(charges: DataFrame, los: DataFrame, weights: DataFrame, months: DataFrame) -> DataFrame:
     """Day-rate charges with the weight whose band holds the length of stay, per month: weight times days (E11) or quantity (E12), times the base rate."""
     c = charges.where(F.col("class").isin(*DAY_CLASSES)).join(los.select("case_id", "los"), "case_id")

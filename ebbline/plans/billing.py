@@ -68,22 +68,39 @@ def pepp_rollup(spark, d):
     return rv.rollup(_month_value(spark, d)).select("case_id", "charge_id", "month", "total_weight", "total_amount", "n_months", "total_id")
 
 
-# One row per charge with the case's figures and the catalog chosen by day: admission charges (class E1) by the admission's day, others by the discharge's.
-_PRE = _LOS + """, rate AS (SELECT year(begin_date) AS y, CAST(count(*) % 97 + 2900 AS DOUBLE) AS base FROM cases GROUP BY 1), pre AS (SELECT c.case_id, c.charge_id, c.class, c.quantity, c.price AS unit_value, lo.los, lo.treatment_days, nb_audit, nb_care, CASE WHEN class = 'E1' THEN year(lo.admitted) ELSE year(lo.discharged) END AS y,
- k.size * 0.05 + 0.2 AS weight, k.size % 5 + 1 AS low, k.size % 5 + 4.4 AS mean, k.size % 5 + 12 AS high, 0.11 AS low_rate, 0.07 AS high_rate, 0.09 AS transfer_rate, k.code_id % 2 AS flat, CASE WHEN fl.from_hospital = 1 THEN 1 ELSE 0 END AS admit_ext, CASE WHEN fl.to_hospital = 1 THEN 1 ELSE 0 END AS disch_ext, k.code_id % 9 AS formula, CASE WHEN k.code_id % 4 = 0 THEN 0 ELSE k.size * 0.01 END AS care_weight, 140.5 AS care_rate
- FROM charges c JOIN lo USING (case_id) JOIN fl USING (case_id) LEFT JOIN nb USING (case_id) JOIN codes k USING (code_id)), pc AS (SELECT pre.*, base FROM pre LEFT JOIN rate USING (y))"""
+# One row per charge with the case's figures and the catalog's version of the day: admission charges (class E1) by the admission's day, others by the discharge's.
+# Versions overlap: the second begins before the first ends, and codes of even size have a third for some months within the second.
+_CATALOG = """, cv AS (SELECT code_id, size, DATE '1990-01-01' AS valid_from, DATE '1996-06-30' AS valid_to, 0.2 AS more, 1 AS least FROM codes UNION ALL SELECT code_id, size, DATE '1996-01-01', DATE '2099-12-31', 0.3, 2 FROM codes UNION ALL SELECT code_id, size, DATE '1997-03-01', DATE '1997-09-30', 0.7, 1 FROM codes WHERE size % 2 = 0),
+rate AS (SELECT year(begin_date) AS y, CAST(count(*) % 97 + 2900 AS DOUBLE) AS base FROM cases GROUP BY 1)"""
+_PRE = _LOS + _CATALOG + """, pd AS (SELECT c.case_id, c.charge_id, c.code_id, c.class, c.quantity, c.price AS unit_value, lo.los, lo.treatment_days, nb_audit, nb_care, CASE WHEN fl.from_hospital = 1 THEN 1 ELSE 0 END AS admit_ext, CASE WHEN fl.to_hospital = 1 THEN 1 ELSE 0 END AS disch_ext,
+ CAST(CASE WHEN class = 'E1' THEN lo.admitted ELSE lo.discharged END AS DATE) AS day FROM charges c JOIN lo USING (case_id) JOIN fl USING (case_id) LEFT JOIN nb USING (case_id)),
+pre AS (SELECT pd.*, year(day) AS y, cv.valid_from AS catalog_from, cv.size * 0.05 + more AS weight, cv.size % 5 + least AS low, cv.size % 5 + 4.4 AS mean, cv.size % 5 + 12 AS high, 0.11 AS low_rate, 0.07 AS high_rate, 0.09 AS transfer_rate, pd.code_id % 2 AS flat, pd.code_id % 9 AS formula, CASE WHEN pd.code_id % 4 = 0 THEN 0 ELSE cv.size * 0.01 END AS care_weight, 140.5 AS care_rate
+ FROM pd LEFT JOIN cv ON pd.code_id = cv.code_id AND day BETWEEN cv.valid_from AND cv.valid_to QUALIFY rank() OVER (PARTITION BY charge_id ORDER BY cv.valid_from DESC) = 1), pc AS (SELECT pre.*, base FROM pre LEFT JOIN rate USING (y))"""
+
+
+def _catalog(spark, d):
+    k = view(spark, d, "codes")
+    day = lambda x: F.lit(x).cast("date")
+    version = lambda a, z, more, least: F.struct(day(a).alias("valid_from"), day(z).alias("valid_to"), F.lit(more).alias("more"), F.lit(least).alias("least"))
+    first, second, third = version("1990-01-01", "1996-06-30", 0.2, 1), version("1996-01-01", "2099-12-31", 0.3, 2), version("1997-03-01", "1997-09-30", 0.7, 1)
+    v = k.select("code_id", "size", F.explode(F.when(F.col("size") % 2 == 0, F.array(first, second, third)).otherwise(F.array(first, second))).alias("v")).select("code_id", "size", "v.*")
+    return v.select(
+        "code_id", "valid_from", "valid_to", (F.col("size") * 0.05 + F.col("more")).alias("weight"), (F.col("size") % 5 + F.col("least")).alias("low"), (F.col("size") % 5 + 4.4).alias("mean"), (F.col("size") % 5 + 12).alias("high"), F.lit(0.11).alias("low_rate"),
+        F.lit(0.07).alias("high_rate"), F.lit(0.09).alias("transfer_rate"), (F.col("code_id") % 2).alias("flat"), (F.col("code_id") % 9).alias("formula"), F.when(F.col("code_id") % 4 == 0, 0.0).otherwise(F.col("size") * 0.01).alias("care_weight"), F.lit(140.5).alias("care_rate"),
+    )
 
 
 def pre_cube(spark, d):
     c = view(spark, d, "charges").select("case_id", "charge_id", "code_id", "class", "quantity", F.col("price").alias("unit_value"))
-    stay = los(spark, d).select("case_id", "los", "treatment_days", "admitted", "discharged")
     flags = case_flags(view(spark, d, "movements")).select("case_id", F.col("from_hospital").alias("admit_ext"), F.col("to_hospital").alias("disch_ext"))
-    k = view(spark, d, "codes")
-    cat = k.select("code_id", (F.col("size") * 0.05 + 0.2).alias("weight"), (F.col("size") % 5 + 1).alias("low"), (F.col("size") % 5 + 4.4).alias("mean"), (F.col("size") % 5 + 12).alias("high"), F.lit(0.11).alias("low_rate"), F.lit(0.07).alias("high_rate"), F.lit(0.09).alias("transfer_rate"), (F.col("code_id") % 2).alias("flat"), (F.col("code_id") % 9).alias("formula"), F.when(F.col("code_id") % 4 == 0, 0.0).otherwise(F.col("size") * 0.01).alias("care_weight"), F.lit(140.5).alias("care_rate"))
-    rates = view(spark, d, "cases").groupBy(F.year("begin_date").alias("y")).agg((F.count("*") % 97 + 2900).cast("double").alias("base"))
-    out = c.join(stay, "case_id").join(flags, "case_id").join(cat, "code_id").withColumn("y", F.when(F.col("class") == "E1", F.year("admitted")).otherwise(F.year("discharged")))
+    stay = los(spark, d).select("case_id", "los", "treatment_days", "admitted", "discharged").join(flags, "case_id")
+    year = F.year("begin_date").alias("y")
+    rates = view(spark, d, "cases").groupBy(year).agg((F.count("*") % 97 + 2900).cast("double").alias("base")).select(F.make_date("y", F.lit(1), F.lit(1)).alias("valid_from"), F.make_date("y", F.lit(12), F.lit(31)).alias("valid_to"), "base")
     off = case_derive(view(spark, d, "cases")).select("case_id", "nb_audit", "nb_care")
-    return out.join(off, "case_id", "left").join(rates, "y", "left")
+    catalog = _catalog(spark, d)
+    admission = F.col("class") == "E1"
+    out = rv.pre_cube(c, stay, off, catalog, rates, by_admission=admission, code="code_id", values=[x for x in catalog.columns if x not in ("code_id", "valid_from", "valid_to")])
+    return out.withColumn("y", F.year(F.when(admission, F.col("admitted")).otherwise(F.col("discharged"))))
 
 
 _T = ("movements", "cases", "charges", "codes")
