@@ -42,6 +42,7 @@ def affected_partitions(delta: DataFrame, base: DataFrame, *, date: str | None,
 def touched_partitions(delta: DataFrame, base: DataFrame, *, key: list[str], date: str | None, partition: str = "jahr") -> DataFrame:
     """Partitions that folding the changes in alters: those that changed rows go to, and those that hold an older copy of their key, whatever the change's own date."""
     year = year_partition(F.col(date)) if date else F.lit("unknown")
+    key = [k for k in key if k in base.columns and k in delta.columns]
     held = base.join(delta.select(*key).distinct(), key, "left_semi").select(partition)
     return delta.where(F.coalesce("_op", F.lit("")) != "D").select(year.alias(partition)).unionByName(held).distinct()
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import icd_group, is_cancelled, is_set
+from .hierarchy import reached
 
 
 def _pair(a, b) -> Column:
@@ -87,11 +88,8 @@ def paths(edge_table: DataFrame, *kinds: str) -> DataFrame:
     return out.select(*[f"n{i}" for i in range(len(kinds) + 1)])
 
 
-def shortest_chain(follow: DataFrame, start: DataFrame, *, most: int = 10) -> DataFrame:
-    """Nodes reached along the edges from the start nodes, with the least number of steps, up to ``most``."""
-    seen = start.select(F.col(start.columns[0]).alias("node"), F.lit(0).alias("steps"))
-    front = seen
-    for k in range(1, most + 1):
-        front = front.join(follow, F.col("node") == F.col("src")).select(F.col("dst").alias("node"), F.lit(k).alias("steps"))
-        seen = seen.unionByName(front)
-    return seen.groupBy("node").agg(F.min("steps").alias("steps"))
+def shortest_chain(follow: DataFrame, start: DataFrame, *, most: int | None = None) -> DataFrame:
+    """Nodes reached along the edges from the start nodes, with the least number of steps; with ``most`` only those within so many."""
+    first = start.select(F.col(start.columns[0]).alias("root"), F.col(start.columns[0]).alias("member"))
+    every = reached(follow.select("src", "dst"), first).groupBy(F.col("member").alias("node")).agg(F.min("steps").alias("steps"))
+    return every if most is None else every.where(F.col("steps") <= most)

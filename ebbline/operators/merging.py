@@ -44,10 +44,15 @@ def case_derive(cases: DataFrame) -> DataFrame:
 
 
 def case_cube(cases: DataFrame, merged: DataFrame, patients: DataFrame) -> DataFrame:
-    """Cases with merge data and patient; the leading case carries the group's days not billable, following cases go."""
+    """Cases with merge data and patient; the leading case carries the group's days not billable, following cases go.
+
+    Groups are summed where there is one and joined back, so that the cases
+    without a group, most of them, never meet in one task.
+    """
     rows = cases.join(merged.select("grp", "case_id", "lead_case", "is_lead"), "case_id", "left").join(patients.select("patient_id", "sex"), "patient_id", "left")
-    total = F.sum("nb_audit").over(Window.partitionBy("grp"))
-    rows = rows.withColumn("nb_group", F.when(F.col("grp").isNotNull(), total).otherwise(F.col("nb_audit")).cast("long"))
+    total = cases.join(merged.where("grp is not null").select("grp", "case_id"), "case_id").groupBy("grp").agg(F.sum("nb_audit").alias("_total"))
+    lead = rows.where("grp is not null").join(total, "grp").withColumn("nb_group", F.col("_total").cast("long")).drop("_total")
+    rows = lead.unionByName(rows.where("grp is null").withColumn("nb_group", F.col("nb_audit").cast("long")))
     return rows.where(F.coalesce("is_lead", F.lit(1)) == 1)
 
 

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import cut
+from ..sources.shared import cut, scratch
+from .hierarchy import reached
 
 
 def pk_uniqueness(df: DataFrame, key: list[str]) -> DataFrame:
@@ -74,24 +75,33 @@ def log_latest(log: DataFrame, *, run: str, order: list[Column], value: str) ->
 
 def lineage_impact(edges: DataFrame, changed: DataFrame, *, child: str, parent: str) -> DataFrame:
     """Everything that depends on the changed nodes, with its least distance; it ends when nothing new is reached, on cycles too."""
-    seen = changed.select(F.col(changed.columns[0]).alias("node"), F.lit(0).alias("depth")).distinct()
-    front, depth = seen, 0
-    while True:
-        depth += 1
-        nxt = front.join(edges, F.col("node") == F.col(child)).select(F.col(parent).alias("node")).distinct().join(seen, "node", "left_anti").withColumn("depth", F.lit(depth))
-        nxt = cut(nxt, "impact")
-        if not nxt.take(1):
-            break
-        seen, front = seen.unionByName(nxt), nxt
-    return seen
-
-
-def audit_chain(log: DataFrame, *, order: str, payload: str, prev: str, entry: str, chain: str) -> DataFrame:
-    """Per chain its number of entries and the first that does not follow from the one before; null if all do."""
-    w = Window.partitionBy(chain).orderBy(order)
-    before = F.lag(entry).over(w)
-    good = (F.col(prev) == F.coalesce(before, F.lit(""))) & (F.col(entry) == F.sha2(F.concat(F.coalesce(F.col(prev), F.lit("")), F.col(payload)), 256))
-    return log.withColumn("_ok", good).groupBy(chain).agg(F.count("*").alias("n"), F.min(F.when(~F.col("_ok"), F.col(order))).alias("first_break"))
+    start = changed.select(F.col(changed.columns[0]).alias("root"), F.col(changed.columns[0]).alias("member"))
+    every = reached(edges.select(F.col(child).alias("src"), F.col(parent).alias("dst")), start)
+    return every.groupBy(F.col("member").alias("node")).agg(F.min("steps").alias("depth"))
+
+
+def audit_chain(log: DataFrame, *, order: str, payload: str, prev: str, entry: str, chain: str, parts: int | None = None) -> DataFrame:
+    """Per chain its number of entries and the first that does not follow from the one before; null if all do.
+
+    Chains may be of any length: entries are dealt by ranges of (chain, order),
+    so that one chain is many tasks; each range compares its own entries, and only
+    the last entry of each chain in a range goes on to the next range.  Entries
+    of one chain and order stand in one range.  A null entry, payload or
+    reference breaks the chain there, and a first entry has an empty reference.
+    """
+    with scratch(log.sparkSession) as keep:
+        good = F.col(entry) == F.sha2(F.concat(F.coalesce(F.col(prev), F.lit("")), F.col(payload)), 256)
+        own = log.select(F.col(chain).alias("_chain"), F.col(order).alias("_at"), F.col(prev).alias("_prev"), F.col(entry).alias("_entry"), F.coalesce(good, F.lit(False)).alias("_good"))
+        ranges = own.repartitionByRange("_chain", "_at") if parts is None else own.repartitionByRange(parts, "_chain", "_at")
+        rows = keep(cut(ranges.withColumn("_part", F.spark_partition_id()), "ranges"))
+    last = rows.groupBy("_chain", "_part").agg(F.max_by("_entry", "_at").alias("_last"), F.count("*").alias("_n"))
+    # one row a chain and range
+    handed = last.select("_chain", "_part", F.lag("_last").over(Window.partitionBy("_chain").orderBy("_part")).alias("_before"))
+    within = Window.partitionBy("_chain", "_part").orderBy("_at")
+    linked = rows.select("*", F.lag("_entry").over(within).alias("_lag"), (F.row_number().over(within) == 1).alias("_first")).join(handed, ["_chain", "_part"])
+    before = F.coalesce(F.when(F.col("_first"), F.col("_before")).otherwise(F.col("_lag")), F.lit(""))
+    ok = F.col("_good") & F.coalesce(F.col("_prev") == before, F.lit(False))
+    return linked.groupBy(F.col("_chain").alias(chain)).agg(F.count("*").alias("n"), F.min(F.when(~ok, F.col("_at"))).alias("first_break"))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -316,7 +316,7 @@ def res_account(spark, d):
 
 @query(sql.order())
 def res_order(spark, d):
-    x = table(spark, d, "conversations").where("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("order_id"), (F.col("conv_id") % 100 + 1).alias("patient_id"), F.substring("text", 1, 30).alias("title"), F.col("text").alias("note"), F.when(F.col("conv_id") % 2 == 0, F.col("conv_id") % 20).alias("person"), (F.col("conv_id") % 10).alias("unit"), F.lit("2024-05-01").alias("day"), F.lit("").alias("cancelled"))
+    x = table(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("order_id"), (F.col("conv_id") % 100 + 1).alias("patient_id"), F.substring("text", 1, 30).alias("title"), F.col("text").alias("note"), F.when(F.col("conv_id") % 2 == 0, F.col("conv_id") % 20).alias("person"), (F.col("conv_id") % 10).alias("unit"), F.lit("2024-05-01").alias("day"), F.lit("").alias("cancelled"))
     return r.orders(x, PRIV)
 
 

@@ -73,12 +73,12 @@ def graph_pattern_query(spark, d):
     return g.paths(g.edges(*_v(spark, d, "cases", "movements", "diagnoses", "procedures")), "has_case", "has_movement", "in_unit")
 
 
-@query(", m AS (SELECT DISTINCT case_id, number FROM movements WHERE case_id IN (SELECT case_id FROM cases)), r AS (SELECT case_id, number, row_number() OVER (PARTITION BY case_id ORDER BY number) - 1 AS steps FROM m) SELECT case_id || '-' || number AS node, CAST(steps AS INTEGER) AS steps FROM r WHERE steps <= 6", "movements", "cases")
+@query(", m AS (SELECT DISTINCT case_id, number FROM movements WHERE case_id IN (SELECT case_id FROM cases)), r AS (SELECT case_id, number, row_number() OVER (PARTITION BY case_id ORDER BY number) - 1 AS steps FROM m) SELECT case_id || '-' || number AS node, CAST(steps AS INTEGER) AS steps FROM r", "movements", "cases")
 def graph_follow_chain(spark, d):
     f = g.follows(*_v(spark, d, "movements", "cases"))
     mv = view(spark, d, "movements").join(view(spark, d, "cases").select("case_id"), "case_id", "left_semi")
     first = mv.groupBy("case_id").agg(F.min("number").alias("number")).select(F.concat_ws("-", F.col("case_id").cast("string"), F.col("number").cast("string")))
-    return g.shortest_chain(f, first, most=6)
+    return g.shortest_chain(f, first)
 
 
 # search ----------------------------------------------------------------------------------------------
@@ -167,9 +167,9 @@ def _auth(spark, d):
     """Logins from customers, cost centres from suppliers, sets from nations and regions."""
     c, u, n = table(spark, d, "customer"), table(spark, d, "supplier"), table(spark, d, "nation")
     k = F.col("c_custkey")
-    logins = c.where("c_mktsegment = 'MACHINERY'").select(F.concat(F.lit("L"), k).alias("login"), k.alias("person"), F.lit("2020-01-01").cast("date").alias("begin"), F.when(k % 30 == 0, "2021-01-01").otherwise("2099-12-31").cast("date").alias("end"))
-    n_units = u.count()
-    assigned = c.select(k.alias("person"), F.concat(F.lit("K"), (k % n_units).cast("string")).alias("centre"), F.lit("2020-01-01").cast("date").alias("begin"), F.lit("2099-12-31").cast("date").alias("end"))
+    logins = c.select(F.concat(F.lit("L"), k).alias("login"), k.alias("person"), F.col("c_mktsegment").alias("segment"), F.lit("2020-01-01").cast("date").alias("begin"), F.when(k % 30 == 0, "2021-01-01").otherwise("2099-12-31").cast("date").alias("end"))
+    n_units = F.broadcast(u.agg(F.count("*").alias("_units")))  # one row
+    assigned = c.crossJoin(n_units).select(k.alias("person"), F.concat(F.lit("K"), (k % F.col("_units")).cast("string")).alias("centre"), F.lit("2020-01-01").cast("date").alias("begin"), F.lit("2099-12-31").cast("date").alias("end"))
     leaves = u.select(F.concat(F.lit("N"), "s_nationkey").alias("set_id"), F.concat(F.lit("K"), "s_suppkey").alias("centre"))
     roots = n.join(u, F.col("n_nationkey") == F.col("s_nationkey")).select(F.concat(F.lit("R"), "n_regionkey").alias("set_id"), F.concat(F.lit("K"), "s_suppkey").alias("centre"))
     edges = n.select(F.concat(F.lit("R"), "n_regionkey").alias("parent"), F.concat(F.lit("N"), "n_nationkey").alias("child"))
@@ -177,7 +177,7 @@ def _auth(spark, d):
     return logins, assigned, leaves.unionByName(roots), edges, unit_map
 
 
-_AUTH = """logins AS (SELECT 'L' || c_custkey AS login, c_custkey AS person, CASE WHEN c_custkey % 30 = 0 THEN DATE '2021-01-01' ELSE DATE '2099-12-31' END AS ende FROM customer WHERE c_mktsegment = 'MACHINERY'),
+_AUTH = """logins AS (SELECT 'L' || c_custkey AS login, c_custkey AS person, c_mktsegment AS segment, CASE WHEN c_custkey % 30 = 0 THEN DATE '2021-01-01' ELSE DATE '2099-12-31' END AS ende FROM customer),
 own AS (SELECT login, 'K' || CAST(person % (SELECT count(*) FROM supplier) AS VARCHAR) AS centre FROM logins WHERE ende >= DATE '2024-06-01'),
 leaf AS (SELECT DISTINCT 'N' || s_nationkey AS set_id, 'K' || s_suppkey AS centre FROM supplier UNION SELECT 'R' || n_regionkey, 'K' || s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 sz AS (SELECT set_id, count(*) AS size FROM leaf GROUP BY 1), ed AS (SELECT 'R' || n_regionkey AS parent, 'N' || n_nationkey AS child FROM nation)"""
@@ -217,10 +217,10 @@ def case_cost_centres(spark, d):
     return h.case_centres(view(spark, d, "movements").select("case_id", "dept", F.col("ward").cast("string").alias("ward")), unit_map)
 
 
-@query("WITH " + _VIS + ", " + _CENTRES + ", roles AS (SELECT login, CASE WHEN person % 100 = 0 THEN NULL WHEN person % 70 = 0 THEN 'Admin ' ELSE 'pflege' END AS role FROM logins), pc AS (SELECT DISTINCT o_custkey AS patient_id, centre FROM cm JOIN orders ON o_orderkey = case_id) SELECT DISTINCT login, CASE WHEN role = 'Admin ' THEN 'ALL' ELSE 'NONE' END AS scope, CAST(NULL AS BIGINT) AS patient_id FROM roles WHERE role IS NULL OR role = 'Admin ' OR NOT EXISTS (SELECT 1 FROM vis JOIN pc USING (centre) WHERE vis.login = roles.login) UNION SELECT login, 'DEPT', patient_id FROM vis JOIN roles USING (login) JOIN pc USING (centre) WHERE role = 'pflege'")
+@query("WITH " + _VIS + ", " + _CENTRES + ", roles AS (SELECT login, CASE segment WHEN 'MACHINERY' THEN 'pflege' WHEN 'BUILDING' THEN 'Admin ' END AS role FROM logins), pc AS (SELECT DISTINCT o_custkey AS patient_id, centre FROM cm JOIN orders ON o_orderkey = case_id) SELECT DISTINCT login, CASE WHEN role = 'Admin ' THEN 'ALL' ELSE 'NONE' END AS scope, CAST(NULL AS BIGINT) AS patient_id FROM roles WHERE role IS NULL OR role = 'Admin ' OR NOT EXISTS (SELECT 1 FROM vis JOIN pc USING (centre) WHERE vis.login = roles.login) UNION SELECT login, 'DEPT', patient_id FROM vis JOIN roles USING (login) JOIN pc USING (centre) WHERE role = 'pflege'")
 def visible_patients(spark, d):
     logins, assigned, leaves, edges, unit_map = _auth(spark, d)
-    roles = logins.select("login", F.when(F.col("person") % 100 == 0, None).when(F.col("person") % 70 == 0, "Admin ").otherwise("pflege").alias("role"))
+    roles = logins.select("login", F.when(F.col("segment") == "MACHINERY", "pflege").when(F.col("segment") == "BUILDING", "Admin ").alias("role"))
     visible = h.dept_visibility(h.employee_centres(logins, assigned, today="2024-06-01"), edges, leaves)
     cases = view(spark, d, "cases")
     centres = h.case_centres(view(spark, d, "movements").select("case_id", "dept", F.col("ward").cast("string").alias("ward")), unit_map)

@@ -246,5 +246,5 @@ def account(members: str) -> str:
 
 def order() -> str:
     note = DEID.format("nullif(trim(text), '')")
-    return "WITH x AS (SELECT conv_id * 1000 + turn AS order_id, conv_id % 100 + 1 AS patient_id, conv_id, text FROM conversations WHERE role = 'user')" + persons("x") + rows("ServiceRequest", uid("ServiceRequest", "order_id"), "pseudo", f"x {OWNED}",
+    return "WITH x AS (SELECT conv_id * 1000 + turn AS order_id, conv_id % 100 + 1 AS patient_id, conv_id, text FROM conversations)" + persons("x") + rows("ServiceRequest", uid("ServiceRequest", "order_id"), "pseudo", f"x {OWNED}",
         status=text("active"), intent=text("order"), code=obj(text=js("substr(text, 1, 30)")), subject="pref", requester=when("conv_id % 2 = 0", ref("Practitioner", "Practitioner", "conv_id % 20"), ref("Organization", "OrgUnit", "conv_id % 10")), authoredOn=day("DATE '2024-05-01'"), note=when("nullif(trim(text), '') IS NOT NULL", arr(obj(text=js(note)))))

@@ -53,6 +53,20 @@ def test_tree_ends_on_cycles(spark):
     assert sorted(r.path for r in hierarchy.tree_paths(e, parent="p", child="c").collect()) == ["r", "r|a", "r|a|b"]
 
 
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    made = []
+    write = hierarchy.cut
+    monkeypatch.setattr(hierarchy, "cut", lambda df, name="cut": (made.append(name), write(df, name))[1])
+    chain = spark.createDataFrame([(i, i + 1) for i in range(1000)] + [(1000, 990), (5, 5)], "p int, c int")
+    got = {r.node: r.depth for r in quality.lineage_impact(chain, spark.createDataFrame([(0,), (3,)], "n int"), child="p", parent="c").collect()}
+    assert got == {i: 0 if i in (0, 3) else i if i < 3 else i - 3 for i in range(1001)} and made.count("reached") <= 12
+    tree = spark.createDataFrame([(f"n{i:04d}", f"n{i + 1:04d}") for i in range(300)], "p string, c string")
+    paths = hierarchy.tree_paths(tree, parent="p", child="c").collect()
+    assert sorted(r.level for r in paths) == list(range(1, 302)) and max((r.level, r.path) for r in paths)[1].count("|") == 300 and made.count("paths") <= 10
+    steps = graph.shortest_chain(chain.toDF("src", "dst"), spark.createDataFrame([(990,)], "n int")).collect()
+    assert {r.node: r.steps for r in steps} == {990 + i: i for i in range(11)}
+
+
 def test_tree_of_overlapping_validities_has_no_last_level(spark):
     e = spark.createDataFrame([(f"n{i}", f"n{i + 1}", None, None) for i in range(15)] + [("n1", "x", "2020-01-01", "2020-12-31"), ("x", "y", "2021-01-01", None), ("x", "z", "2020-06-01", None), (None, "q", None, None)], "p string, c string, a string, b string")
     got = {r.path: r for r in hierarchy.tree_paths(e, parent="p", child="c", valid=("a", "b")).collect()}
@@ -86,14 +100,30 @@ def test_case_flags_and_days_not_billable(spark):
     assert {r.case_id: (r.nb_audit, r.nb_care) for r in merging.case_derive(k).collect()} == {1: (3, 0), 2: (2, 3), 3: (None, 0)}
 
 
-def test_stream_state_folds(spark, tmp_path):
-    d = f"file://{tmp_path}"
-    one = spark.createDataFrame([(1, "002", "U", "x"), (2, "001", "I", "y"), (3, "009", "D", "z"), (1, "002", "U", "x")], "key long, _seq string, _op string, state string")
-    one.write.parquet(f"{d}/a/batch=0")
-    spark.createDataFrame([(2, "003", "U", "w"), (3, "004", "I", "v")], one.schema).write.parquet(f"{d}/a/batch=1")
-    upsert.fold(spark, f"{d}/a", f"{d}/b", key=["key"])
-    for state in ("a", "b"):
-        assert sorted((r.key, r.state) for r in upsert.current(spark, f"{d}/{state}", key=["key"]).collect()) == [(1, "x"), (2, "w")]
+def test_stream_state_stays_bounded(spark, tmp_path):
+    d, rng = f"file://{tmp_path}", __import__("random").Random(5)
+    schema, want, most = "key long, _seq string, _op string, state string", {}, 4
+    files = upsert.Files(spark, d)
+    for number in range(30):
+        rows = [(rng.randrange(40), f"{rng.randrange(1000):04d}", rng.choice("UUUD"), f"s{number}-{i}") for i in range(6)]
+        rows = list({(r[0], r[1]): r for r in rows}.values())
+        rows = [r for r in rows if r[1] != want.get(r[0], ("",))[0]]
+        for key, seq, op, state in rows:
+            want[key] = max(want.get(key, ("", "", "")), (seq, op, state))
+        batch = spark.createDataFrame(rows, schema).coalesce(1)
+        upsert.take_batch(batch, number, d, key=["key"], folders=most)
+        if number % 7 == 3:  # the same batch again, as after a failure behind the manifest
+            upsert.take_batch(batch, number, d, key=["key"], folders=most)
+        if number % 7 == 5:  # stopped before the manifest: readers still see the state before
+            seen = upsert.live_folders(spark, d, before=number)
+            files.remove(f"{d}/manifest/batch={number}")
+            assert upsert.live_folders(spark, d) == seen
+            upsert.current(spark, d, key=["key"]).count()
+            upsert.take_batch(batch, number, d, key=["key"], folders=most)
+        assert len(upsert.live_folders(spark, d)) <= most and len(files.children(f"{d}/rows")) <= 2 * most + 1 and len(files.children(f"{d}/manifest")) <= 3
+        if number % 10 == 9:
+            got = sorted((r.key, r._seq, r.state) for r in upsert.current(spark, d, key=["key"]).collect())
+            assert got == sorted((k, s, x) for k, (s, op, x) in want.items() if op != "D")
 
 
 def test_serving_tables_mask_and_lock(spark):
@@ -131,6 +161,97 @@ def test_audit_chain(spark):
     assert got == {"x": (2, None), "y": (2, 1)}
 
 
+def test_audit_chain_over_ranges(spark):
+    import hashlib
+
+    rows, before = [], ""
+    for i in range(2000):
+        entry = hashlib.sha256(f"{before}p{i}".encode()).hexdigest()
+        rows.append(("long", i, f"p{i}", before, entry))
+        before = entry
+    rows += [(f"c{i}", 1, "x", "" if i % 2 else "?", hashlib.sha256(f"{'' if i % 2 else '?'}x".encode()).hexdigest()) for i in range(20)]
+
+    def verified(changed):
+        df = spark.createDataFrame(changed, "chain string, pos int, payload string, prev string, entry string").repartition(3)
+        got = quality.audit_chain(df, order="pos", payload="payload", prev="prev", entry="entry", chain="chain", parts=8)
+        return {r.chain: (r.n, r.first_break) for r in got.collect()}
+
+    small = {f"c{i}": (1, None if i % 2 else 1) for i in range(20)}
+    assert verified(rows) == {"long": (2000, None)} | small
+    assert verified([*rows[:777], ("long", 777, "other", *rows[777][3:]), *rows[778:]]) == {"long": (2000, 777)} | small
+    assert verified([*rows[:1500], *rows[1501:]]) == {"long": (1999, 1501)} | small  # an entry is missing
+    assert verified([*rows[:1200], ("long", 1200, None, None, None), *rows[1201:]])["long"] == (2000, 1200)
+    df = spark.createDataFrame(rows, "chain string, pos int, payload string, prev string, entry string")
+    cut = quality.cut
+    quality.cut, seen = lambda d, name: seen.append(cut(d, name)) or seen[-1], []
+    try:
+        quality.audit_chain(df, order="pos", payload="payload", prev="prev", entry="entry", chain="chain", parts=8).count()
+    finally:
+        quality.cut = cut
+    assert max(r["count"] for r in seen[0].groupBy("_part").count().collect()) < 700
+
+
+def test_sweep_is_the_fold_with_one_exchange(spark):
+    rng = __import__("random").Random(3)
+
+    def versions(name, dates):
+        rows = []
+        for k in range(12):
+            at = sorted(rng.sample(range(900), rng.randrange(1, 9)))
+            rows += [(k, a, min(b - 1, a + rng.randrange(1, 200)) if rng.random() < 0.7 else b - 1, rng.choice("xyz") if rng.random() < 0.9 else None) for a, b in zip(at, [*at[1:], 40_000])]
+        df = spark.createDataFrame(rows, f"key int, a int, b int, {name} string")
+        if dates == "day":
+            return df.select("key", F.date_add(F.lit("2001-01-01").cast("date"), F.col("a")).alias("valid_from"), F.least(F.date_add(F.lit("2001-01-01").cast("date"), F.col("b")), F.lit("2099-12-31").cast("date")).alias("valid_to"), name)
+        base = F.lit("2001-01-01 10:00:00").cast("timestamp")
+        return df.select("key", F.timestamp_add("SECOND", F.col("a"), base).alias("valid_from"), F.timestamp_add("SECOND", F.col("b"), base).alias("valid_to"), name)
+
+    f, dims = versions("f", "day"), [versions(f"d{i}", "day") for i in range(3)]
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    for how in ("left", "inner"):
+        given = [temporal.Dim(d, [f"d{i}"], how) for i, d in enumerate(dims)]
+        assert rows(temporal.temporal_sweep(f, ["f"], given, "key")) == rows(temporal.temporal_join(f, ["f"], given, "key"))
+    few, many = temporal.temporal_sweep(f, ["f"], [temporal.Dim(dims[0], ["d0"])], "key"), temporal.temporal_sweep(f, ["f"], [temporal.Dim(d, [f"d{i}"]) for i, d in enumerate(dims)], "key")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(few).count("Exchange hashpartitioning") == plan(many).count("Exchange hashpartitioning") == 1
+    g, e = versions("g", "second"), versions("e", "second")
+    swept = temporal.temporal_sweep(g, ["g"], [temporal.Dim(e, ["e"])], "key", grain="second").alias("s")
+    want = swept.join(g.alias("g"), (F.col("s.key") == F.col("g.key")) & F.col("s.valid_from").between(F.col("g.valid_from"), F.col("g.valid_to")))
+    assert swept.count() == want.where(F.col("s.g").eqNullSafe(F.col("g.g")) & (F.col("s.valid_to") <= F.col("g.valid_to"))).count() > 0
+
+
+def test_catalog_versions_that_overlap(spark):
+    c = spark.createDataFrame([("k", "2000-01-01", "2009-12-31", 1), ("k", "2003-05-01", "2003-08-31", 2), ("k", "2008-01-01", "2099-12-31", 3), ("q", "2001-01-01", "2001-12-31", 4), (None, "2000-01-01", "2000-12-31", 5)], "code string, a string, b string, v int")
+    c = c.select("code", F.to_date("a").alias("valid_from"), F.to_date("b").alias("valid_to"), "v")
+    days = [("k", "1999-12-31", None), ("k", "2000-01-01", 1), ("k", "2003-05-01", 2), ("k", "2003-09-01", 1), ("k", "2008-01-01", 3), ("k", "2050-01-01", 3), ("q", "2001-12-31", 4), ("q", "2002-01-01", None), ("z", "2001-01-01", None), ("k", None, None), (None, "2000-05-05", None), ("k", "2000-01-01", 1)]
+    rows = spark.createDataFrame([(i, k, d) for i, (k, d, _) in enumerate(days)], "i int, code string, day string")
+    out = revenue.valid_on(rows, c, key="code", day=F.col("day"), values=["v"])
+    assert {r.i: r.v for r in out.collect()} == {i: v for i, (_, _, v) in enumerate(days)}
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_length_of_stay_as_it_was_known(spark):
+    """An open stay, its end that becomes known, and a transfer that is cancelled later."""
+    day = lambda s: f"2001-01-{s} 08:00:00"
+    m = [
+        (1, 1, "1", day("01"), day("05"), " ", "2001-01-01", "2001-01-05"), (1, 1, "1", day("01"), day("05"), " ", "2001-01-06", "2099-12-31"), (1, 2, "2", day("05"), day("08"), " ", "2001-01-06", "2001-01-10"),
+        (1, 2, "2", day("05"), day("08"), "X", "2001-01-11", "2099-12-31"),
+    ]
+    df = spark.createDataFrame(m, "case_id int, number int, kind string, b string, e string, cancelled string, f string, t string")
+    df = df.select("case_id", "number", "kind", F.to_timestamp("b").alias("begin_ts"), F.to_timestamp("e").alias("end_ts"), "cancelled", F.lit("EN").alias("art"), F.lit("01").alias("reason"), F.lit(0).alias("to_hospital"), F.to_date("f").alias("valid_from"), F.to_date("t").alias("valid_to"))
+    rows, slices = stays.by_slice(df)
+    assert slices.count() == 3
+    b = stays.blocks(stays.prev_next(stays.movements_of_stays(rows))).withColumns({"drg": F.lit(0), "pepp": F.lit(0)})
+    got = stays.los_history(stays.length_of_stay(stays.last_day_rules(b), not_billable=F.lit(1)), slices).orderBy("valid_from").collect()
+    assert [(r.treatment_days, r.los, str(r.valid_from), str(r.valid_to), r.version) for r in got] == [(4, 3, "2001-01-01", "2001-01-05", 3), (7, 6, "2001-01-06", "2001-01-10", 2), (4, 3, "2001-01-11", "2099-12-31", 1)]
+
+
+def test_case_cube_sums_groups_and_leaves_others_alone(spark):
+    cases = spark.createDataFrame([(i, i % 3, i) for i in range(30)] + [(None, None, 2)], "case_id int, patient_id int, nb_audit int")
+    merged = spark.createDataFrame([(1, 4, 4, 1), (1, 5, 4, 0), (2, 9, 9, 1)], "grp int, case_id int, lead_case int, is_lead int")
+    got = {r.case_id: r.nb_group for r in merging.case_cube(cases, merged, spark.createDataFrame([(0, "1"), (1, "2")], "patient_id int, sex string")).collect()}
+    assert got == {i: i for i in range(30) if i != 5} | {4: 9, None: 2}
+
+
 def test_fold_order_of_dimensions_does_not_matter(spark):
     day = lambda s: datetime.date.fromisoformat(s)
     f = spark.createDataFrame([(1, day("2020-01-01"), day("2020-12-31"), "f")], "k int, valid_from date, valid_to date, a string")
