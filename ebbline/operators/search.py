@@ -1,13 +1,17 @@
-"""Text search: document table, inverted index and BM25 ranking."""
+"""Text search: document table, inverted index (also on disk, in blocks) and BM25 ranking."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.shared import cut
 
 K1, B = 1.2, 0.75
+#: Documents of one block of the index on disk, blocks that are scored first, and what sums of doubles may differ by.
+BLOCK_DOCS, FIRST_BLOCKS, SLACK = 4096, 4, 1e-6
 
 
 def doc_texts(texts: DataFrame, links: DataFrame, *, key: list[str], text: str, columns: list[str]) -> DataFrame:
@@ -35,7 +39,7 @@ def bm25(docs: DataFrame, query: str, *, id: str, text: str, k: int = 10, where=
     the ranking come; only the best ids read their texts again.  Ties go by id;
     null texts count as empty; a query without words finds nothing.
     """
-    wanted = sorted(set("".join(c.lower() if c.isalnum() else " " for c in query).split()))
+    wanted = _words(query)
     rows = docs.where(where) if where is not None else docs
     t = rows.select(id, terms(F.col(text)).alias("_t"))
 
@@ -53,3 +57,70 @@ def bm25(docs: DataFrame, query: str, *, id: str, text: str, k: int = 10, where=
     best = t.where(hit).crossJoin(F.broadcast(whole)).select(id, F.round(score, 6).alias("score")).orderBy(F.desc("score"), id).limit(k)
     shown = rows.select(id, F.substring(text, 1, snippet).alias("snippet"))
     return shown.join(F.broadcast(best), id).select(id, "score", "snippet").orderBy(F.desc("score"), id)  # k rows
+
+
+def _words(query: str) -> list[str]:
+    return sorted(set("".join(c.lower() if c.isalnum() else " " for c in query).split()))
+
+
+def write_index(docs: DataFrame, path: str, *, id: str, text: str, block_docs: int = BLOCK_DOCS) -> None:
+    """An index for many searches: ``path/figures`` (documents, mean length, blocks) and ``path/postings``.
+
+    Documents are dealt into blocks by the hash of their id.  A posting row is a
+    term in a block: its documents with frequency and length, and the best
+    contribution that any of them has.  Rows are written by range of term and
+    sorted, so that a search reads the row groups of its own terms only.  Null
+    texts count as empty; rows of a null id take part as one document.
+    """
+    figures = docs.agg(F.count("*").alias("n"), F.coalesce(F.avg(F.size(terms(F.col(text)))), F.lit(0.0)).alias("mean"))
+    figures = figures.withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("n") / block_docs)).cast("long"))
+    figures.coalesce(1).write.parquet(f"{path}/figures")
+    whole = docs.sparkSession.read.parquet(f"{path}/figures").first()
+    part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(whole["mean"] or 1.0)))
+    block = F.pmod(F.xxhash64(id), F.lit(whole["blocks"])).alias("block")
+    rows = index(docs, id=id, text=text).select("term", block, F.struct(F.col(id).alias("id"), part.alias("part")).alias("doc"))
+    blocks = rows.groupBy("term", "block").agg(F.sort_array(F.collect_list("doc")).alias("docs"), F.max("doc.part").alias("best"), F.count("*").alias("n"))
+    blocks.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.option("parquet.block.size", 8 << 20).parquet(f"{path}/postings")
+
+
+def postings_of(spark: SparkSession, path: str, words: list[str]) -> DataFrame:
+    return spark.read.parquet(f"{path}/postings").where(F.col("term").isin(*words))
+
+
+def blocks_to_score(spark: SparkSession, path: str, words: list[str], k: int) -> tuple[DataFrame, dict]:
+    """Blocks (block, bound) that can hold one of the ``k`` best documents, and each word's weight.
+
+    First the blocks of the highest bounds are scored; no document of a block
+    whose bound is below the k-th score found there can come in.
+    """
+    n = spark.read.parquet(f"{path}/figures").first()["n"]
+    p = postings_of(spark, path, words)
+    df = {r["term"]: r["n"] for r in p.groupBy("term").agg(F.sum("n").alias("n")).collect()}  # a row a word of the query
+    weight = {t: math.log((n - x + 0.5) / (x + 0.5) + 1) for t, x in df.items()}
+    bounds = p.select("block", (weight_of(weight) * F.col("best")).alias("b")).groupBy("block").agg(F.sum("b").alias("bound"))
+    first = bounds.orderBy(F.desc("bound"), "block").limit(FIRST_BLOCKS)
+    found = [r["score"] for r in scored(p, first, weight).orderBy(F.desc("score")).limit(k).collect()]
+    least = found[-1] - SLACK if len(found) == k else -1.0
+    return bounds.where(F.col("bound") >= least), weight
+
+
+def weight_of(weight: dict):
+    out = F.lit(0.0)
+    for term, w in weight.items():
+        out = F.when(F.col("term") == term, F.lit(w)).otherwise(out)
+    return out
+
+
+def scored(postings: DataFrame, blocks: DataFrame, weight: dict) -> DataFrame:
+    """(id, score) of all documents of the blocks that hold a word."""
+    rows = postings.join(blocks.select("block"), "block", "left_semi").select(weight_of(weight).alias("w"), F.explode("docs").alias("doc"))
+    return rows.groupBy("doc.id").agg(F.sum(F.col("w") * F.col("doc.part")).alias("score"))
+
+
+def search_index(spark: SparkSession, path: str, query: str, *, k: int = 10) -> DataFrame:
+    """The best ``k`` documents of an index on disk: id, score; the same ones that ``bm25`` finds."""
+    words = _words(query)
+    blocks, weight = blocks_to_score(spark, path, words, k) if words else (None, {})
+    if not weight:
+        return spark.read.parquet(f"{path}/postings").select(F.explode("docs").alias("d")).select("d.id", F.lit(0.0).alias("score")).limit(0)
+    return scored(postings_of(spark, path, words), blocks, weight).select("id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "id").limit(k)

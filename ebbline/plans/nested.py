@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
-from ..operators import marts as m
 from ..operators import resources as r
 from ..sources.shared import new_path
+from ..sources.sinks import read_resources, write_ndjson, write_resources
 from ..sources.sinks import resource_index as index
-from ..sources.sinks import write_ndjson
 from . import resource_sql as sql
 from .base import duck, table, view
 from .marts import _TEXTS, _texts
@@ -342,15 +341,21 @@ def _runs(spark, d):
     return _every(spark, d).unionByName(again.withColumn("run_id", F.lit("run-2")))
 
 
+def _laid_out(spark, d):
+    path = new_path(spark, "resources")
+    write_resources(_runs(spark, d), path)
+    return path
+
+
 @query(_AGAIN + f" SELECT * FROM nw WHERE resource_type = 'Patient' AND id = {sql.uid('Patient', '3')}", "cases")
 def resource_get(spark, d):
     one = spark.range(1).select(PRIV.rid("Patient", F.lit(3))).first()[0]
-    return m.newest_resources(_runs(spark, d), resource_type="Patient", id=one)
+    return read_resources(spark, _laid_out(spark, d), resource_type="Patient", id=one)
 
 
 @query(_AGAIN + " SELECT * FROM nw WHERE resource_type = 'Patient' ORDER BY id LIMIT 50", "cases")
 def resource_search(spark, d):
-    return m.newest_resources(_runs(spark, d), resource_type="Patient", most=50)
+    return read_resources(spark, _laid_out(spark, d), resource_type="Patient", most=50)
 
 
 @query(_EVERY + " SELECT resource_type, 'run-1' AS run_id, body AS value FROM ev", "cases")

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbline.operators import current_state as cs
-from ebbline.operators import graph, hierarchy, history, lookups, marts, merging, quality, resources, revenue, stays, temporal
-from ebbline.sources import registry
+from ebbline.operators import graph, hierarchy, history, lookups, marts, merging, quality, resources, revenue, search, stays, temporal
+from ebbline.sources import registry, sinks
 from ebbline.streaming import upsert
 
 
@@ -252,6 +252,39 @@ def test_case_cube_sums_groups_and_leaves_others_alone(spark):
     assert got == {i: i for i in range(30) if i != 5} | {4: 9, None: 2}
 
 
+def test_index_on_disk_finds_what_a_scan_finds(spark, tmp_path):
+    rng = __import__("random").Random(11)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(rng.choices(words, weights=range(200, 0, -1), k=rng.randrange(0, 40)))) for i in range(1500)] + [(5000, None), (5001, ""), (5002, "rare rare W1"), (None, "rare"), (5003, "w1 w2 w3"), (5004, "w1 w2 w3")]
+    docs, path = spark.createDataFrame(rows, "id long, text string"), f"file://{tmp_path}/index"
+    search.write_index(docs, path, id="id", text="text", block_docs=40)
+    for query in ("w1", "w199 rare", "w1 w2 W3 w150", "nothing here", "", "rare"):
+        got = [tuple(r) for r in search.search_index(spark, path, query, k=7).collect()]
+        want = [(r.id, r.score) for r in search.bm25(docs, query, id="id", text="text", k=7).collect()]
+        if query in ("w199 rare", "rare"):  # a null id is ranked, but a join by id brings no text for it
+            got = [r for r in got if r[0] is not None][: len(want)]
+        assert got[: len(want)] == want
+    chosen, _ = search.blocks_to_score(spark, path, ["rare", "w1"], 1)
+    every = search.postings_of(spark, path, ["rare", "w1"]).select("block").distinct().count()
+    assert chosen.count() < every / 4
+    assert "In(term, [rare,w1])" in search.postings_of(spark, path, ["rare", "w1"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_laid_out_resources_are_read_by_pruning(spark, tmp_path):
+    rows = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, "Patient").otherwise("Encounter").alias("resource_type"), F.sha2(F.col("id").cast("string"), 256).alias("id"), (F.col("id") % 7).cast("string").alias("patient"), F.lit("run-1").alias("run_id"), F.repeat(F.sha2(F.col("id").cast("string"), 512), 3).alias("body"))
+    again = rows.where("patient = '3'").withColumns({"run_id": F.lit("run-2"), "body": F.lit("new")})
+    path = f"file://{tmp_path}/resources"
+    sinks.write_resources(rows.unionByName(again), path)
+    one = rows.where("resource_type = 'Patient' and patient = '3'").first()
+    got = sinks.read_resources(spark, path, resource_type="Patient", id=one.id)
+    assert [(r.id, r.run_id, r.body) for r in got.collect()] == [(one.id, "run-2", "new")]
+    plan = got._jdf.queryExecution().executedPlan()
+    assert "EqualTo(resource_type,Patient)" in plan.toString() and "EqualTo(id," in plan.toString()
+    scan = plan.collectLeaves().head()
+    assert scan.metrics().apply("numOutputRows").value() < 60_000 / 4  # rows of the pages that statistics leave over
+    assert sinks.read_resources(spark, path).count() == 60_000 and sinks.read_resources(spark, path, patient="3", most=5).count() == 5
+
+
 def test_fold_order_of_dimensions_does_not_matter(spark):
     day = lambda s: datetime.date.fromisoformat(s)
     f = spark.createDataFrame([(1, day("2020-01-01"), day("2020-12-31"), "f")], "k int, valid_from date, valid_to date, a string")
