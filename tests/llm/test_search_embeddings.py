@@ -5,7 +5,6 @@ import re
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from ebbline.llm import embedding_caps, embedding_whitening, lexical_search
 
