@@ -11,6 +11,10 @@ from ..functions.columns import MARITAL, SEXES, is_cancelled, is_set, lookup
 from .graph import reason_text
 
 
+#: Columns of the roles that a diagnosis can have, several at once.
+ROLES = ("principal", "department", "admission", "discharge", "referral", "treatment", "surgery", "preoperative", "death", "working")
+
+
 def merge_cases(groups: DataFrame, members: DataFrame) -> DataFrame:
     """Members of billing groups with the leading case, a leading mark and the reason; groups cancelled on the day they were made go."""
     ok = groups.where(~is_cancelled(F.col("group_cancelled")) | (F.col("cancelled_on") != F.col("made_on")))
@@ -57,8 +61,8 @@ def case_cube(cases: DataFrame, merged: DataFrame, patients: DataFrame) -> DataF
 
 
 def diagnosis_derive(d: DataFrame) -> DataFrame:
-    """Main or side diagnosis, admission mark, number of roles."""
-    roles = [is_set(F.col(c)).cast("int") for c in ("principal", "admission", "discharge", "treatment", "surgery")]
+    """Main or side diagnosis, cancellation mark, number of its roles (ROLES, ten of them)."""
+    roles = [is_set(F.col(c)).cast("int") for c in ROLES]
     return d.select("*", F.when(is_set(F.col("principal")), "HD").otherwise("ND").alias("rank_text"), reduce(lambda a, b: a + b, roles).alias("n_roles"), is_cancelled(F.col("cancelled")).cast("int").alias("is_cancelled"))
 
 

@@ -39,7 +39,8 @@ def cube(m: DataFrame, cases: DataFrame, units: DataFrame, centres: DataFrame) -
 
 
 def with_case(m: DataFrame, cases: DataFrame, merged: DataFrame) -> DataFrame:
-    """Movements with their case, without cases that follow another in their billing group."""
+    """Movements that took place (a null plan mark counts as none) with their case, without cases that follow another in their billing group."""
+    m = m.where(F.coalesce("planned", F.lit("")) != "P")
     return m.join(cases.join(merged.where("lead <> 'X'").select("case_id"), "case_id", "left_anti").select("case_id", "patient_id", "begin_date"), "case_id")
 
 

@@ -47,9 +47,9 @@ def mov_cube(spark, d):
     return st.cube(view(spark, d, "movements"), view(spark, d, "cases"), view(spark, d, "units"), _centres(spark, d)).select("case_id", "number", "discharged", "patient_id", "unit_name", "centre")
 
 
-@query(_MEMBERS + " SELECT m.case_id, m.number, c.patient_id, c.begin_date FROM movements m JOIN cases c USING (case_id) WHERE m.case_id NOT IN (SELECT case_id FROM mem WHERE lead <> 'X')", "cases", "movements")
+@query(_MEMBERS + " SELECT m.case_id, m.number, c.patient_id, c.begin_date FROM movements m JOIN cases c USING (case_id) WHERE m.planned <> 'P' AND m.case_id NOT IN (SELECT case_id FROM mem WHERE lead <> 'X')", "cases", "movements")
 def mov_with_case(spark, d):
-    return st.with_case(view(spark, d, "movements").select("case_id", "number"), view(spark, d, "cases"), members(spark, d))
+    return st.with_case(view(spark, d, "movements").select("case_id", "number", "planned"), view(spark, d, "cases"), members(spark, d)).drop("planned")
 
 
 _S = f""", s AS (SELECT case_id, number, kind, max(begin_ts) AS b, max(coalesce(end_ts, begin_ts)) AS e, max(art) AS art, max(reason) AS reason, max(to_hospital) AS ext FROM movements WHERE NOT {OFF} AND kind IN ('1', '2', '3', '6', '7') GROUP BY 1, 2, 3)"""
@@ -292,7 +292,7 @@ def case_cube(spark, d):
 _X = lambda c: f"CASE WHEN {c} = 'X' THEN 1 ELSE 0 END"
 
 
-@query(f"SELECT case_id, number, code, CASE WHEN principal = 'X' THEN 'HD' ELSE 'ND' END AS rank_text, {_X('principal')} + {_X('admission')} + {_X('discharge')} + {_X('treatment')} + {_X('surgery')} AS n_roles, CASE WHEN {OFF} THEN 1 ELSE 0 END AS is_cancelled FROM diagnoses", "diagnoses")
+@query(f"SELECT case_id, number, code, CASE WHEN principal = 'X' THEN 'HD' ELSE 'ND' END AS rank_text, {' + '.join(map(_X, mg.ROLES))} AS n_roles, CASE WHEN {OFF} THEN 1 ELSE 0 END AS is_cancelled FROM diagnoses", "diagnoses")
 def diagnosis_derive(spark, d):
     return mg.diagnosis_derive(view(spark, d, "diagnoses")).select("case_id", "number", "code", "rank_text", "n_roles", "is_cancelled")
 
