@@ -165,7 +165,7 @@ CERTAINTY = {"G": "confirmed", "V": "provisional", "A": "refuted"}
 
 
 def conditions(d: DataFrame, owner: DataFrame, texts: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
-    """Codes with their catalog texts (a second one only if it differs), ten roles (not exclusive), certainty and what it says of the state."""
+    """Codes with their catalog texts (a second one only if it differs), the diagnosis's own text before the catalog's, ten roles (not exclusive), certainty and what it says of the state."""
     second = texts.select(F.col("code").alias("code2"), F.col("text").alias("text2"))
     df = d.join(owner.select("case_id", "patient_id"), "case_id").join(texts, "code", "left").join(second, "code2", "left")
     roles = some(*[F.when(c.is_set(F.col(k)), F.struct(F.lit(v).alias("text"))) for k, v in ROLES.items()])
@@ -175,7 +175,7 @@ def conditions(d: DataFrame, owner: DataFrame, texts: DataFrame, privacy: Privac
     state = F.when(_wrong(), "entered-in-error").otherwise(c.lookup(sure, CERTAINTY))
     told = F.when(sure.isNotNull(), F.array(F.struct(F.lit("https://fhir.de/StructureDefinition/icd-10-gm-diagnosesicherheit").alias("url"), sure.alias("valueCode"))))
     return emit(df, "Condition", privacy.rid("Condition", "case_id", "number"), privacy.patient(F.col("patient_id")),
-        code=F.struct(coding.alias("coding"), privacy.text(F.col("text")).alias("text")), subject=privacy.ref("Patient", "Patient", "patient_id"), encounter=privacy.ref("Encounter", "Encounter", "case_id"), recordedDate=privacy.date(F.col("patient_id"), F.col("day").cast("string")), category=roles,
+        code=F.struct(coding.alias("coding"), privacy.text(F.coalesce(F.nullif(F.trim("own_text"), F.lit("")), "text")).alias("text")), subject=privacy.ref("Patient", "Patient", "patient_id"), encounter=privacy.ref("Encounter", "Encounter", "case_id"), recordedDate=privacy.date(F.col("patient_id"), F.col("day").cast("string")), category=roles,
         extension=told, verificationStatus=fixed(HL7 + "condition-ver-status", state), clinicalStatus=fixed(HL7 + "condition-clinical", F.when(sure == "Z", "resolved")))
 
 

@@ -31,7 +31,7 @@ _SPARK = {
         CASE WHEN l_tax > 0.04 THEN 'P' ELSE ' ' END AS planned, CASE WHEN l_tax > 0.04 THEN timestampadd(HOUR, -CAST(l_quantity AS INT), l_shipdate) ELSE NULL END AS planned_ts"""),
     "diagnoses": ("lineitem", """
         l_orderkey AS case_id, CAST(l_linenumber * 10000000 + l_partkey AS BIGINT) AS number, concat(chr(65 + CAST(l_partkey % 26 AS INT)), lpad(CAST(l_partkey % 100 AS STRING), 2, '0'), '.', CAST(l_partkey % 10 AS STRING)) AS code,
-        CAST(l_shipdate AS DATE) AS day, CASE WHEN l_linenumber = 1 THEN 'X' ELSE '' END AS principal, CASE WHEN l_suppkey % 2 = 0 THEN 'X' ELSE '' END AS admission,
+        CAST(l_shipdate AS DATE) AS day, CASE WHEN l_suppkey % 9 = 0 THEN 'eigener Text' ELSE ' ' END AS own_text, CASE WHEN l_linenumber = 1 THEN 'X' ELSE '' END AS principal, CASE WHEN l_suppkey % 2 = 0 THEN 'X' ELSE '' END AS admission,
         CASE WHEN l_suppkey % 3 = 0 THEN 'X' ELSE '' END AS discharge, CASE WHEN l_suppkey % 5 = 0 THEN 'X' ELSE '' END AS treatment, CASE WHEN l_suppkey % 7 = 0 THEN 'X' ELSE '' END AS surgery,
         CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled, concat(chr(65 + CAST(l_partkey % 26 AS INT)), lpad(CAST(CASE WHEN l_quantity < 40 THEN l_partkey ELSE l_suppkey END % 100 AS STRING), 2, '0'), '.', CAST(l_partkey % 10 AS STRING)) AS code2, CASE l_partkey % 6 WHEN 0 THEN 'G' WHEN 1 THEN 'V' WHEN 2 THEN 'A' WHEN 3 THEN 'Z' WHEN 4 THEN 'T' ELSE ' ' END AS certainty,
         CASE WHEN l_linenumber = 2 THEN 'X' ELSE '' END AS department, CASE WHEN l_suppkey % 11 = 0 THEN 'X' ELSE '' END AS referral, CASE WHEN l_suppkey % 13 = 0 THEN 'X' ELSE '' END AS preoperative, CASE WHEN l_partkey % 101 = 0 THEN 'X' ELSE '' END AS death, CASE WHEN l_suppkey % 17 = 0 THEN 'X' ELSE '' END AS working"""),
@@ -71,7 +71,7 @@ _DUCK = {
         CASE WHEN l_quantity > 45 THEN 1 ELSE 0 END AS surgery, CASE WHEN l_discount > 0.08 THEN 1 ELSE 0 END AS emergency, concat('M', CAST(l_partkey % 7 AS VARCHAR)) AS label, CASE WHEN l_quantity < 30 THEN l_suppkey ELSE NULL END AS room, CASE WHEN l_quantity < 20 THEN l_suppkey ELSE 0 END AS bed,
         CASE WHEN l_tax > 0.04 THEN 'P' ELSE ' ' END AS planned, CASE WHEN l_tax > 0.04 THEN CAST(l_shipdate AS TIMESTAMP) - to_hours(CAST(l_quantity AS INTEGER)) ELSE NULL END AS planned_ts FROM lineitem""",
     "diagnoses": """SELECT l_orderkey AS case_id, CAST(l_linenumber * 10000000 + l_partkey AS BIGINT) AS number, chr(65 + CAST(l_partkey % 26 AS INTEGER)) || lpad(CAST(l_partkey % 100 AS VARCHAR), 2, '0') || '.' || CAST(l_partkey % 10 AS VARCHAR) AS code, CAST(l_shipdate AS DATE) AS day,
-  CASE WHEN l_linenumber = 1 THEN 'X' ELSE '' END AS principal, CASE WHEN l_suppkey % 2 = 0 THEN 'X' ELSE '' END AS admission, CASE WHEN l_suppkey % 3 = 0 THEN 'X' ELSE '' END AS discharge, CASE WHEN l_suppkey % 5 = 0 THEN 'X' ELSE '' END AS treatment,
+  CASE WHEN l_suppkey % 9 = 0 THEN 'eigener Text' ELSE ' ' END AS own_text, CASE WHEN l_linenumber = 1 THEN 'X' ELSE '' END AS principal, CASE WHEN l_suppkey % 2 = 0 THEN 'X' ELSE '' END AS admission, CASE WHEN l_suppkey % 3 = 0 THEN 'X' ELSE '' END AS discharge, CASE WHEN l_suppkey % 5 = 0 THEN 'X' ELSE '' END AS treatment,
   CASE WHEN l_suppkey % 7 = 0 THEN 'X' ELSE '' END AS surgery, CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled, concat(chr(65 + CAST(l_partkey % 26 AS INT)), lpad(CAST(CASE WHEN l_quantity < 40 THEN l_partkey ELSE l_suppkey END % 100 AS VARCHAR), 2, '0'), '.', CAST(l_partkey % 10 AS VARCHAR)) AS code2, CASE l_partkey % 6 WHEN 0 THEN 'G' WHEN 1 THEN 'V' WHEN 2 THEN 'A' WHEN 3 THEN 'Z' WHEN 4 THEN 'T' ELSE ' ' END AS certainty,
         CASE WHEN l_linenumber = 2 THEN 'X' ELSE '' END AS department, CASE WHEN l_suppkey % 11 = 0 THEN 'X' ELSE '' END AS referral, CASE WHEN l_suppkey % 13 = 0 THEN 'X' ELSE '' END AS preoperative, CASE WHEN l_partkey % 101 = 0 THEN 'X' ELSE '' END AS death, CASE WHEN l_suppkey % 17 = 0 THEN 'X' ELSE '' END AS working FROM lineitem""",
     "procedures": """SELECT l_orderkey AS case_id, (l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey AS procedure_id, '5-' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') AS code, CAST(l_shipdate AS DATE) AS day, l_suppkey AS unit,

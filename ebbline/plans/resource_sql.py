@@ -151,7 +151,7 @@ def condition(texts: str) -> str:
     state = js(f"CASE WHEN {OFF} THEN 'entered-in-error' WHEN certainty = 'G' THEN 'confirmed' WHEN certainty = 'V' THEN 'provisional' WHEN certainty = 'A' THEN 'refuted' END")
     url = "https://fhir.de/StructureDefinition/icd-10-gm-diagnosesicherheit"
     return OWNER + texts + rows("Condition", uid("Condition", "di.case_id", "number"), "pseudo", f"diagnoses di JOIN ow ON ow.case_id = di.case_id {OWNED} LEFT JOIN (SELECT code AS tc, text AS t1 FROM texts) x ON tc = code LEFT JOIN (SELECT code AS tc2, text AS t2 FROM texts) y ON tc2 = code2",
-        code=obj(coding=arr(one("code", "t1"), when("code2 <> code", one("code2", "t2"))), text=js("t1")), subject="pref", encounter=ref("Encounter", "Encounter", "case_id"), recordedDate=day("day"), category=roles, extension=when("trim(certainty) <> ''", arr(obj(url=text(url), valueCode=js("certainty")))),
+        code=obj(coding=arr(one("code", "t1"), when("code2 <> code", one("code2", "t2"))), text=js("coalesce(nullif(trim(own_text), ''), t1)")), subject="pref", encounter=ref("Encounter", "Encounter", "case_id"), recordedDate=day("day"), category=roles, extension=when("trim(certainty) <> ''", arr(obj(url=text(url), valueCode=js("certainty")))),
         verificationStatus=fixed(HL7 + "condition-ver-status", state), clinicalStatus=when("certainty = 'Z'", fixed(HL7 + "condition-clinical", text("resolved"))))
 
 
