@@ -45,6 +45,21 @@ class Privacy:
     def patient(self, patient: Column) -> Column:
         return patient.cast("string") if self.clear else c.pseudonym(self.secret, patient)
 
+    def people(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with what their patient becomes: ``_pseudo``, ``_days`` to move dates by, ``_subject``.
+
+        Made once per patient and joined, so that keyed hashes do not run in every
+        row; rows without a patient keep all three null.
+        """
+        one = rows.select("patient_id").where("patient_id is not null").distinct()
+        days = F.lit(0) if self.clear else c.shift_days(self.secret, F.col("patient_id"))
+        one = one.select("patient_id", self.patient(F.col("patient_id")).alias("_pseudo"), days.alias("_days"), self.ref("Patient", "Patient", "patient_id").alias("_subject"))
+        return rows.join(one, "patient_id", "left")
+
+    def moved(self, iso: Column) -> Column:
+        """A date of a row that went through ``people``; hidden where the patient is not known."""
+        return iso if self.clear else c.date_moved(iso, F.col("_days"))
+
     def text(self, t: Column) -> Column:
         return t if self.clear else c.deid_text(t)
 
@@ -189,26 +204,55 @@ def procedures(p: DataFrame, owner: DataFrame, team: DataFrame, privacy: Privacy
         status=F.when(_wrong(), "entered-in-error").otherwise("completed"), code=concept(OPS, F.col("code")), bodySite=some(concept(ISH + "tn26e", F.col("site"))), subject=subject, encounter=privacy.ref("Encounter", "Encounter", "case_id"), performedDateTime=privacy.date(F.col("patient_id"), F.col("day").cast("string")), performer=F.concat(unit, F.coalesce("_crew", F.array().cast("array<struct<actor:struct<reference:string>,function:struct<coding:array<struct<system:string,code:string>>>>>"))))
 
 
+#: Key of a lab document, shared by its header and its values.
+DOC = ("doc_kind", "doc_number", "doc_version", "doc_part")
+
+
+def lab_heads(heads: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
+    """One header per document (of several, the least by patient, case, time and state) with what its patient becomes."""
+    of = ("patient_id", "case_id", "ts", "status")
+    one = heads.groupBy(*DOC).agg(F.min(F.struct(*of)).alias("_h")).select(*DOC, *[F.col(f"_h.{k}") for k in of])
+    return privacy.people(one)
+
+
+def _stamp(col) -> Column:
+    return F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss")
+
+
 def lab_reports(heads: DataFrame, values: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
-    """Lab headers with references to their values."""
-    result = values.groupBy("report_id").agg(F.array_sort(F.collect_set(privacy.ref("Observation", "ObsLab", "lab_id"))).alias("_result"))
-    df, pid = heads.join(result, "report_id", "left"), F.col("patient_id")
-    when = privacy.date(pid, F.col("day").cast("string"))
-    return emit(df, "DiagnosticReport", privacy.rid("LabReport", "report_id"), privacy.patient(pid), status=c.lookup(F.upper("status"), c.LAB_STATES, "final"), category=F.array(fixed(HL7 + "v2-0074", F.lit("LAB"))), code=F.struct(F.lit("Laborbefund").alias("text")), subject=privacy.ref("Patient", "Patient", "patient_id"), effectiveDateTime=when, issued=when, result=F.col("_result"))
+    """Lab headers with their case and references to their values; documents that only have values give no report."""
+    result = values.groupBy(*DOC).agg(F.array_sort(F.collect_set(privacy.ref("Observation", "ObsLab", *DOC, "lab_id"))).alias("_result"))
+    df, when = lab_heads(heads, privacy).join(result, [*DOC], "left"), privacy.moved(_stamp("ts"))
+    return emit(df, "DiagnosticReport", privacy.rid("LabReport", *DOC), F.col("_pseudo"),
+        status=c.lookup(F.upper("status"), c.LAB_STATES, "final"), category=F.array(fixed(HL7 + "v2-0074", F.lit("LAB"))), code=F.struct(F.lit("Laborbefund").alias("text")), subject=F.col("_subject"), encounter=privacy.ref("Encounter", "Encounter", "case_id"), effectiveDateTime=when, issued=when, result=F.col("_result"))
+
 
+def lab_values(v: DataFrame, heads: DataFrame, loinc: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
+    """Values with report, patient and case of their document's header, local code (and LOINC where mapped), parsed quantity or text, range, interpretation.
 
-def lab_values(v: DataFrame, loinc: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
-    """Values with local code (and LOINC where mapped), parsed quantity or text, range and interpretation."""
+    A value takes its own time, else its header's.  One without a header (or with a
+    null in its key) has no patient and no case, and no date unless in clear, as
+    nothing says by how much to move it; it names its report all the same.  Flags
+    outside the list are told as text.
+    """
     low, high, text = c.lab_range(F.col("normal"))
-    # parsed once, as columns: inlined, the expressions would outgrow a generated method
-    df = v.join(loinc, "code", "left").withColumns({"_low": low, "_high": high, "_text": text, "_q": c.lab_quantity(F.col("raw"))})
-    pid, low, high, text, q = (F.col(k) for k in ("patient_id", "_low", "_high", "_text", "_q"))
-    code = some(F.when(F.col("loinc").isNotNull(), F.struct(F.lit(LOINC).alias("system"), F.col("loinc").alias("code"))), F.struct(F.lit(ISH + "leistid").alias("system"), F.col("code").alias("code")))
+    # parsed below the join, once: inlined, the expressions would outgrow a generated method
+    df = v.select(*DOC, "lab_id", "code", "name", "raw", "unit", "flag", "status", F.col("ts").alias("_own"), low.alias("_low"), high.alias("_high"), text.alias("_text"), c.lab_quantity(F.col("raw")).alias("_q"))
+    known = lab_heads(heads, privacy).select(*DOC, F.col("ts").alias("_head"), "case_id", "_pseudo", "_subject", *([] if privacy.clear else ["_days"]))
+    df = df.join(loinc, "code", "left").join(known, [*DOC], "left")
+    low, high, text, q, own, flag = (F.col(k) for k in ("_low", "_high", "_text", "_q", "code", "flag"))
+    code = some(F.when(F.col("loinc").isNotNull(), F.struct(F.lit(LOINC).alias("system"), F.col("loinc").alias("code"))), F.when(F.trim(own) != "", F.struct(F.lit(ISH + "leistid").alias("system"), own.alias("code"))))
     value = lambda x: F.when(x.isNotNull(), F.struct(x.alias("value")))
     bounds = F.when(low.isNotNull() | high.isNotNull() | text.isNotNull(), F.array(F.struct(value(low).alias("low"), value(high).alias("high"), text.alias("text"))))
-    return emit(df, "Observation", privacy.rid("ObsLab", "lab_id"), privacy.patient(pid),
-        status=c.lookup(F.upper("status"), c.LAB_STATES, "final"), category=F.array(fixed(HL7 + "observation-category", F.lit("laboratory"))), code=F.struct(code.alias("coding"), F.col("code").alias("text")), subject=privacy.ref("Patient", "Patient", "patient_id"), effectiveDateTime=privacy.date(pid, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")),
-        valueQuantity=F.when(q.isNotNull(), F.struct(q.alias("value"), F.col("unit").alias("unit"), c.lab_comparator(F.col("raw")).alias("comparator"))), valueString=c.lab_text(F.col("raw")), referenceRange=bounds, interpretation=some(fixed(HL7 + "v3-ObservationInterpretation", c.lab_interpret(F.col("flag"), q, low, high))))
+    told = c.lookup(F.upper(F.trim(flag)), c.FLAGS)
+    strange = F.when((F.trim(flag) != "") & told.isNull(), F.trim(flag))
+    sense = F.when(strange.isNull(), fixed(HL7 + "v3-ObservationInterpretation", c.lab_interpret(flag, q, low, high))["coding"])
+    raw = F.trim("raw")
+    return emit(df, "Observation", privacy.rid("ObsLab", *DOC, "lab_id"), F.col("_pseudo"),
+        status=c.lookup(F.upper("status"), c.LAB_STATES, "final"), category=F.array(fixed(HL7 + "observation-category", F.lit("laboratory"))), code=F.struct(code.alias("coding"), F.coalesce(F.nullif(F.trim("name"), F.lit("")), own).alias("text")),
+        partOf=some(privacy.ref("DiagnosticReport", "LabReport", *DOC)), subject=F.col("_subject"), encounter=privacy.ref("Encounter", "Encounter", "case_id"), effectiveDateTime=privacy.moved(_stamp(F.coalesce("_own", "_head"))),
+        valueQuantity=F.when(q.isNotNull(), F.struct(q.alias("value"), F.nullif(F.trim("unit"), F.lit("")).alias("unit"), c.lab_comparator(F.col("raw")).alias("comparator"))), valueString=F.when((raw != "") & q.isNull(), raw), referenceRange=bounds,
+        interpretation=F.when(strange.isNotNull() | sense.isNotNull(), F.array(F.struct(sense.alias("coding"), strange.alias("text")))))
 
 
 def documents(x: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:

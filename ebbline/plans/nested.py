@@ -222,19 +222,26 @@ def res_procedure(spark, d):
 
 
 def _labs(spark, d):
-    return view(spark, d, "labs").withColumn("report_id", F.concat_ws("-", F.col("patient_id").cast("string"), F.date_format("ts", "yyyyMMdd")))
+    """Values by document (kind by code, patient and day); some bear no time or name of their own."""
+    part = {"doc_kind": F.when(F.col("code") == "view", "MIK").otherwise("LAB"), "doc_number": F.col("patient_id"), "doc_version": F.date_format("ts", "yyMM"), "doc_part": F.date_format("ts", "dd"), "name": F.when(F.col("unit") == "foo", " ").otherwise(F.concat("code", F.lit(" in "), "unit"))}
+    return view(spark, d, "labs").withColumns(part)
 
 
-@query(sql.lab_report(), "labs")
+def _heads(spark, d):
+    """Headers of documents that have a value without the flag ``krass``, with the patient's last case."""
+    heads = _labs(spark, d).where("flag <> 'krass'").groupBy(*r.DOC).agg(F.min("patient_id").alias("patient_id"), F.min("ts").alias("ts"), F.min("status").alias("status"))
+    return heads.join(_owner(spark, d).groupBy("patient_id").agg(F.max("case_id").alias("case_id")), "patient_id", "left")
+
+
+@query(sql.lab_report(), "labs", "cases")
 def res_lab_report(spark, d):
-    labs = _labs(spark, d)
-    heads = labs.groupBy("report_id", "patient_id").agg(F.to_date(F.min("ts")).alias("day"), F.min("status").alias("status"))
-    return r.lab_reports(heads, labs, PRIV)
+    return r.lab_reports(_heads(spark, d), _labs(spark, d), PRIV)
 
 
-@query(sql.lab_value(_LAB), "labs")
+@query(sql.lab_value(_LAB), "labs", "cases")
 def res_lab_value(spark, d):
-    return r.lab_values(_labs(spark, d), _loinc(spark, d), PRIV)
+    values = _labs(spark, d).withColumn("ts", F.when(F.col("status") != "Q", F.col("ts")))
+    return r.lab_values(values, _heads(spark, d), _loinc(spark, d), PRIV)
 
 
 @query(sql.document())

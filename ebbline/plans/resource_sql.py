@@ -59,8 +59,8 @@ def when(test: str, value: str, other: str = "NULL") -> str:
     return f"CASE WHEN {test} THEN {value} ELSE {other} END"
 
 
-def ref(target: str, kind: str, part: str) -> str:
-    return when(f"({part}) IS NOT NULL", obj(reference=f"('\"{target}/' || {uid(kind, part)} || '\"')"))
+def ref(target: str, kind: str, *parts: str) -> str:
+    return when(" AND ".join(f"({p}) IS NOT NULL" for p in parts), obj(reference=f"('\"{target}/' || {uid(kind, *parts)} || '\"')"))
 
 
 def fixed(system: str, code: str) -> str:
@@ -167,20 +167,30 @@ def procedure() -> str:
 _STATE = "CASE upper(trim(status)) WHEN 'P' THEN 'preliminary' WHEN 'C' THEN 'corrected' ELSE 'final' END"
 
 
+_LAB_DOCS = """, lv AS (SELECT *, CASE code WHEN 'view' THEN 'MIK' ELSE 'LAB' END AS doc_kind, patient_id AS doc_number, strftime(ts, '%y%m') AS doc_version, strftime(ts, '%d') AS doc_part, CASE WHEN unit = 'foo' THEN code ELSE code || ' in ' || unit END AS name FROM labs),
+lc AS (SELECT patient_id, max(case_id) AS case_id FROM cases GROUP BY 1), hd AS (SELECT h.*, case_id FROM (SELECT doc_kind, doc_number, doc_version, doc_part, min(patient_id) AS patient_id, min(ts) AS head_ts, min(status) AS head_status FROM lv WHERE flag <> 'krass' GROUP BY 1, 2, 3, 4) h LEFT JOIN lc USING (patient_id))"""
+_KEY = ", ".join(r.DOC)
+
+
 def lab_report() -> str:
-    o = ref("Observation", "ObsLab", "lab_id")
-    parts = persons("labs") + f""", hd AS (SELECT patient_id || '-' || strftime(ts, '%Y%m%d') AS report_id, patient_id, min(ts) AS ts, min(status) AS status, '[' || string_agg(DISTINCT {o}, ',' ORDER BY {o}) || ']' AS result FROM labs GROUP BY 1, 2)"""
-    return parts + rows("DiagnosticReport", uid("LabReport", "report_id"), "pseudo", f"hd {OWNED}", status=js(_STATE), category=arr(fixed(HL7 + "v2-0074", text("LAB"))), code=obj(text=text("Laborbefund")), subject="pref", effectiveDateTime=day("ts"), issued=day("ts"), result="result")
+    o = ref("Observation", "ObsLab", *r.DOC, "lab_id")
+    parts = persons("labs") + _LAB_DOCS + f", rs AS (SELECT {_KEY}, '[' || string_agg(DISTINCT {o}, ',' ORDER BY {o}) || ']' AS result FROM lv GROUP BY 1, 2, 3, 4)"
+    return parts + rows("DiagnosticReport", uid("LabReport", *r.DOC), "pseudo", f"(SELECT *, head_status AS status FROM hd) h LEFT JOIN rs USING ({_KEY}) {OWNED}",
+        status=js(_STATE), category=arr(fixed(HL7 + "v2-0074", text("LAB"))), code=obj(text=text("Laborbefund")), subject="pref", encounter=ref("Encounter", "Encounter", "case_id"), effectiveDateTime=stamp("head_ts"), issued=stamp("head_ts"), result="result")
 
 
 def lab_value(lab: str) -> str:
-    flag = "CASE WHEN flag = '+' THEN 'H' WHEN flag <> '' THEN flag WHEN q > hi THEN 'H' WHEN q < lo THEN 'L' WHEN q IS NOT NULL AND (lo IS NOT NULL OR hi IS NOT NULL) THEN 'N' END"
+    derived = "CASE WHEN flag = '+' THEN 'H' WHEN flag = 'LL' THEN 'LL' WHEN flag = 'krass' THEN NULL WHEN q > hi THEN 'H' WHEN q < lo THEN 'L' WHEN q IS NOT NULL AND (lo IS NOT NULL OR hi IS NOT NULL) THEN 'N' END"
+    sense = when(f"({derived}) IS NOT NULL", "('[' || " + obj(system=text(HL7 + "v3-ObservationInterpretation"), code=js(derived)) + " || ']')")
     loinc = "CASE code WHEN 'view' THEN '1-1' WHEN 'purchase' THEN '2-2' END"
     value = lambda x: when(f"{x} IS NOT NULL", obj(value=num(x)))
-    return lab + persons("labs") + rows("Observation", uid("ObsLab", "labs.lab_id"), "pseudo", f"labs JOIN (SELECT lab_id AS l2, comp, q, lo, hi FROM lq) y ON l2 = lab_id {OWNED}",
-        status=js(_STATE), category=arr(fixed(HL7 + "observation-category", text("laboratory"))), code=obj(coding=arr(when(f"{loinc} IS NOT NULL", obj(system=text(r.LOINC), code=js(loinc))), obj(system=text(ISH + "leistid"), code=js("code"))), text=js("code")), subject="pref", effectiveDateTime=stamp("ts"),
+    source = f"(SELECT lv.* EXCLUDE (patient_id), comp, q, lo, hi, hd.patient_id, case_id, CASE WHEN status <> 'Q' THEN ts ELSE head_ts END AS seen FROM lv JOIN (SELECT lab_id, comp, q, lo, hi FROM lq) y USING (lab_id) LEFT JOIN hd USING ({_KEY})) {OWNED}"
+    return lab + persons("labs") + _LAB_DOCS + rows("Observation", uid("ObsLab", *r.DOC, "lab_id"), "pseudo", source,
+        status=js(_STATE), category=arr(fixed(HL7 + "observation-category", text("laboratory"))), code=obj(coding=arr(when(f"{loinc} IS NOT NULL", obj(system=text(r.LOINC), code=js(loinc))), obj(system=text(ISH + "leistid"), code=js("code"))), text=js("name")),
+        partOf=arr(ref("DiagnosticReport", "LabReport", *r.DOC)), subject="pref", encounter=ref("Encounter", "Encounter", "case_id"), effectiveDateTime=stamp("seen"),
         valueQuantity=when("q IS NOT NULL", obj(value=num("q"), unit=js("unit"), comparator=js("nullif(comp, '')"))), valueString=js("CASE WHEN q IS NULL THEN trim(raw) END"),
-        referenceRange=when("lo IS NOT NULL OR hi IS NOT NULL OR normal = 'negativ'", arr(obj(low=value("lo"), high=value("hi"), text=js("CASE WHEN normal = 'negativ' THEN normal END")))), interpretation=arr(fixed(HL7 + "v3-ObservationInterpretation", js(flag))))
+        referenceRange=when("lo IS NOT NULL OR hi IS NOT NULL OR normal = 'negativ'", arr(obj(low=value("lo"), high=value("hi"), text=js("CASE WHEN normal = 'negativ' THEN normal END")))),
+        interpretation=when(f"flag = 'krass' OR ({derived}) IS NOT NULL", arr(obj(coding=sense, text=js("CASE WHEN flag = 'krass' THEN flag END")))))
 
 
 def document() -> str:
