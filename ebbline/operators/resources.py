@@ -11,7 +11,6 @@ import hashlib
 import hmac
 import uuid
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,9 +71,8 @@ class Privacy:
 
     def ref(self, target: str, kind: str, *parts) -> Column:
         """A reference, null where a part is null."""
-        cols = [F.col(p) if isinstance(p, str) else p for p in parts]
-        known = reduce(lambda a, b: a & b, [p.isNotNull() for p in cols])
-        return F.when(known, F.struct(F.concat(F.lit(target + "/"), self.rid(kind, *cols)).alias("reference")))
+        id_ = c.stable_id(self.namespace, kind, *[F.col(p) if isinstance(p, str) else p for p in parts], strict=True)
+        return F.when(id_.isNotNull(), F.struct(F.concat(F.lit(target + "/"), id_).alias("reference")))
 
 
 CLEAR = Privacy()
@@ -115,6 +113,10 @@ def text_date(col: Column) -> Column:
     return c.real_date(col.cast("string"))
 
 
+def _stamp(col) -> Column:
+    return F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss")
+
+
 def redacted(p: DataFrame, privacy: Privacy) -> DataFrame:
     """Patients without name, address and doctor: their own columns but these, the pseudonym for the number, birth as it may be told."""
     gone = ("name", "street", "city", "postcode", "country", "doctor", "merged_into")
@@ -148,27 +150,25 @@ def cases(k: DataFrame, movements: DataFrame, staff: DataFrame, links: DataFrame
     people = who.join(ids, "person", "left").groupBy("case_id").agg(F.array_sort(F.collect_set(F.struct(F.col("_ref").alias("individual"), concept(ISH + "farzt", F.col("role")).alias("type")))).alias("_staff"))
     partner = links.where(~_wrong()).groupBy("case_id").agg(F.array_sort(F.collect_set(F.struct(F.lit(ISH + "fallbezug").alias("url"), privacy.ref("Encounter", "Encounter", "partner").alias("valueReference"), F.col("role").alias("valueCode")))).alias("_links"))
     group = accounts.groupBy("case_id").agg(F.max("grp").alias("_grp"))
-    df = k
+    df = privacy.people(k)
     for part in (moves, people, partner, group):
         df = df.join(part, "case_id", "left")
-    pid, end = F.col("patient_id"), text_date(F.col("end_date"))
+    end = text_date(F.col("end_date"))
     state = F.when(_wrong(), "entered-in-error").when(end.isNotNull(), "finished").otherwise("in-progress")
     source, gone = concept(ISH + "tn14g", F.col("_admit")), concept(ISH + "tn14g", F.col("_leave"))
-    return emit(df, "Encounter", privacy.rid("Encounter", "case_id"), privacy.patient(pid),
-        status=state, **{"class": F.struct(c.lookup(F.col("case_type"), c.CASE_TYPES, "IMP").alias("code"))}, subject=privacy.ref("Patient", "Patient", "patient_id"), period=period(privacy.date(pid, text_date(F.col("begin_date"))), privacy.date(pid, end)),
+    return emit(df, "Encounter", privacy.rid("Encounter", "case_id"), F.col("_pseudo"),
+        status=state, **{"class": F.struct(c.lookup(F.col("case_type"), c.CASE_TYPES, "IMP").alias("code"))}, subject=F.col("_subject"), period=period(privacy.moved(text_date(F.col("begin_date"))), privacy.moved(end)),
         participant=F.col("_staff"), extension=F.col("_links"), account=F.when(F.col("_grp").isNotNull(), F.array(privacy.ref("Account", "Account", "_grp"))), hospitalization=F.when(source.isNotNull() | gone.isNotNull(), F.struct(source.alias("admitSource"), gone.alias("dischargeDisposition"))))
 
 
 def movements(m: DataFrame, owner: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     """Sub-encounters: type, part of the case, period, department, ward, room and bed, reason; leave and error states."""
-    df = m.join(owner.select("case_id", "patient_id"), "case_id")
-    pid = F.col("patient_id")
-    stamp = lambda x: privacy.date(pid, F.date_format(x, "yyyy-MM-dd'T'HH:mm:ss"))
+    df = m.join(privacy.people(owner.select("case_id", "patient_id")), "case_id")
     state = F.when(_wrong(), "entered-in-error").when(F.col("kind") == "6", "onleave").otherwise("finished")
     nursing = F.when(F.col("ward") != F.col("dept"), F.array(F.struct(F.lit(ISH + "nursing-org").alias("url"), privacy.ref("Organization", "OrgUnit", "ward").alias("valueReference"))))
     place = lambda k, kind: F.when(c.valid_ref(F.col(k).cast("string")).isNotNull(), F.struct(privacy.ref("Location", "Location", c.valid_ref(F.col(k).cast("string"))).alias("location"), fixed(HL7 + "location-physical-type", F.lit(kind)).alias("physicalType")))
-    return emit(df, "Encounter", privacy.rid("EncounterMovement", "case_id", "number"), privacy.patient(pid),
-        status=state, type=F.array(F.struct(c.lookup(F.col("kind"), c.MOVEMENT_TYPES, "Bewegung").alias("text"))), partOf=privacy.ref("Encounter", "Encounter", "case_id"), period=period(stamp("begin_ts"), stamp("end_ts")), serviceProvider=privacy.ref("Organization", "OrgUnit", "dept"), extension=nursing, location=some(place("room", "ro"), place("bed", "bd")), reasonCode=some(concept(ISH + "tn14g", F.col("reason"))))
+    return emit(df, "Encounter", privacy.rid("EncounterMovement", "case_id", "number"), F.col("_pseudo"),
+        status=state, type=F.array(F.struct(c.lookup(F.col("kind"), c.MOVEMENT_TYPES, "Bewegung").alias("text"))), partOf=privacy.ref("Encounter", "Encounter", "case_id"), period=period(privacy.moved(_stamp("begin_ts")), privacy.moved(_stamp("end_ts"))), serviceProvider=privacy.ref("Organization", "OrgUnit", "dept"), extension=nursing, location=some(place("room", "ro"), place("bed", "bd")), reasonCode=some(concept(ISH + "tn14g", F.col("reason"))))
 
 
 #: What a diagnosis may be used as (not exclusive), and the states that its certainty stands for.
@@ -182,26 +182,26 @@ CERTAINTY = {"G": "confirmed", "V": "provisional", "A": "refuted"}
 def conditions(d: DataFrame, owner: DataFrame, texts: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     """Codes with their catalog texts (a second one only if it differs), the diagnosis's own text before the catalog's, ten roles (not exclusive), certainty and what it says of the state."""
     second = texts.select(F.col("code").alias("code2"), F.col("text").alias("text2"))
-    df = d.join(owner.select("case_id", "patient_id"), "case_id").join(texts, "code", "left").join(second, "code2", "left")
+    df = d.join(privacy.people(owner.select("case_id", "patient_id")), "case_id").join(texts, "code", "left").join(second, "code2", "left")
     roles = some(*[F.when(c.is_set(F.col(k)), F.struct(F.lit(v).alias("text"))) for k, v in ROLES.items()])
     code, code2, sure = (F.nullif(F.trim(k), F.lit("")) for k in ("code", "code2", "certainty"))
     one = lambda k, text: F.struct(F.lit(ICD).alias("system"), k.alias("code"), F.col(text).alias("display"))
     coding = F.array_compact(F.array(F.when(code.isNotNull(), one(code, "text")), F.when(code2.isNotNull() & ~code2.eqNullSafe(code), one(code2, "text2"))))
     state = F.when(_wrong(), "entered-in-error").otherwise(c.lookup(sure, CERTAINTY))
     told = F.when(sure.isNotNull(), F.array(F.struct(F.lit("https://fhir.de/StructureDefinition/icd-10-gm-diagnosesicherheit").alias("url"), sure.alias("valueCode"))))
-    return emit(df, "Condition", privacy.rid("Condition", "case_id", "number"), privacy.patient(F.col("patient_id")),
-        code=F.struct(coding.alias("coding"), privacy.text(F.coalesce(F.nullif(F.trim("own_text"), F.lit("")), "text")).alias("text")), subject=privacy.ref("Patient", "Patient", "patient_id"), encounter=privacy.ref("Encounter", "Encounter", "case_id"), recordedDate=privacy.date(F.col("patient_id"), F.col("day").cast("string")), category=roles,
+    return emit(df, "Condition", privacy.rid("Condition", "case_id", "number"), F.col("_pseudo"),
+        code=F.struct(coding.alias("coding"), privacy.text(F.coalesce(F.nullif(F.trim("own_text"), F.lit("")), "text")).alias("text")), subject=F.col("_subject"), encounter=privacy.ref("Encounter", "Encounter", "case_id"), recordedDate=privacy.moved(F.col("day").cast("string")), category=roles,
         extension=told, verificationStatus=fixed(HL7 + "condition-ver-status", state), clinicalStatus=fixed(HL7 + "condition-clinical", F.when(sure == "Z", "resolved")))
 
 
 def procedures(p: DataFrame, owner: DataFrame, team: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     """Code, day, body site, performing unit and team; the subject comes from the case."""
     crew = team.groupBy("procedure_id").agg(F.array_sort(F.collect_set(F.struct(privacy.ref("Practitioner", "Practitioner", "person").alias("actor"), concept(ISH + "op-vorgang", F.col("task")).alias("function")))).alias("_crew"))
-    df = p.join(owner.select("case_id", "patient_id"), "case_id", "left").join(crew, "procedure_id", "left")
+    df = p.join(privacy.people(owner.select("case_id", "patient_id")), "case_id", "left").join(crew, "procedure_id", "left")
     unit = F.array(F.struct(privacy.ref("Organization", "OrgUnit", "unit").alias("actor"), F.lit(None).cast("struct<coding:array<struct<system:string,code:string>>>").alias("function")))
-    subject = F.coalesce(privacy.ref("Patient", "Patient", "patient_id"), privacy.ref("Encounter", "Encounter", "case_id"))
-    return emit(df, "Procedure", privacy.rid("Procedure", "procedure_id"), privacy.patient(F.col("patient_id")),
-        status=F.when(_wrong(), "entered-in-error").otherwise("completed"), code=concept(OPS, F.col("code")), bodySite=some(concept(ISH + "tn26e", F.col("site"))), subject=subject, encounter=privacy.ref("Encounter", "Encounter", "case_id"), performedDateTime=privacy.date(F.col("patient_id"), F.col("day").cast("string")), performer=F.concat(unit, F.coalesce("_crew", F.array().cast("array<struct<actor:struct<reference:string>,function:struct<coding:array<struct<system:string,code:string>>>>>"))))
+    subject = F.coalesce(F.col("_subject"), privacy.ref("Encounter", "Encounter", "case_id"))
+    return emit(df, "Procedure", privacy.rid("Procedure", "procedure_id"), F.col("_pseudo"),
+        status=F.when(_wrong(), "entered-in-error").otherwise("completed"), code=concept(OPS, F.col("code")), bodySite=some(concept(ISH + "tn26e", F.col("site"))), subject=subject, encounter=privacy.ref("Encounter", "Encounter", "case_id"), performedDateTime=privacy.moved(F.col("day").cast("string")), performer=F.concat(unit, F.coalesce("_crew", F.array().cast("array<struct<actor:struct<reference:string>,function:struct<coding:array<struct<system:string,code:string>>>>>"))))
 
 
 #: Key of a lab document, shared by its header and its values.
@@ -215,10 +215,6 @@ def lab_heads(heads: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     return privacy.people(one)
 
 
-def _stamp(col) -> Column:
-    return F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss")
-
-
 def lab_reports(heads: DataFrame, values: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     """Lab headers with their case and references to their values; documents that only have values give no report."""
     result = values.groupBy(*DOC).agg(F.array_sort(F.collect_set(privacy.ref("Observation", "ObsLab", *DOC, "lab_id"))).alias("_result"))
