@@ -11,6 +11,7 @@ import hashlib
 import hmac
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,13 +72,31 @@ class Privacy:
 
     def ref(self, target: str, kind: str, *parts) -> Column:
         """A reference, null where a part is null."""
-        id_ = c.stable_id(self.namespace, kind, *[F.col(p) if isinstance(p, str) else p for p in parts], strict=True)
-        return F.when(id_.isNotNull(), F.struct(F.concat(F.lit(target + "/"), id_).alias("reference")))
+        cols = [F.col(p) if isinstance(p, str) else p for p in parts]
+        known = reduce(lambda a, b: a & b, [p.isNotNull() for p in cols])
+        return F.when(known, F.struct(F.concat(F.lit(target + "/"), self.rid(kind, *cols)).alias("reference")))
+
+    def ids(self, df: DataFrame, own: tuple, **others: tuple) -> DataFrame:
+        """``df`` with ids as columns: its own as ``_id``, others by name, null where a part is null.
+
+        The hashes are columns of a step before, which the optimiser keeps apart
+        because they are used several times; inlined, each use would hash anew.
+        """
+        parts = lambda key: [(F.col(p) if isinstance(p, str) else p).cast("string") for p in key[1:]]
+        names = {"_id": F.concat_ws("|", F.lit(own[0]), *parts(own))}
+        names |= {n: F.concat(F.lit(key[0]), *[x for p in parts(key) for x in (F.lit("|"), p)]) for n, key in others.items()}
+        hashed = df.withColumns({f"_hash{n}": c.name_hash(self.namespace, name) for n, name in names.items()})
+        return hashed.withColumns({n: c.hash_uuid(F.col(f"_hash{n}")) for n in names}).drop(*[f"_hash{n}" for n in names])
 
 
 CLEAR = Privacy()
 
 
+def to(target: str, id_: str) -> Column:
+    """A reference by a column that holds the id, null where it is."""
+    return F.when(F.col(id_).isNotNull(), F.struct(F.concat(F.lit(target + "/"), F.col(id_)).alias("reference")))
+
+
 def concept(system: str, code: Column, text: Column | None = None) -> Column:
     """A coded value, null without a code."""
     k = c.code_concept(code.cast("string"))
@@ -148,27 +167,32 @@ def cases(k: DataFrame, movements: DataFrame, staff: DataFrame, links: DataFrame
     who = staff.where(~_wrong()).select("case_id", "person", "role").distinct()
     ids = who.select("person").distinct().select("person", privacy.ref("Practitioner", "Practitioner", "person").alias("_ref"))
     people = who.join(ids, "person", "left").groupBy("case_id").agg(F.array_sort(F.collect_set(F.struct(F.col("_ref").alias("individual"), concept(ISH + "farzt", F.col("role")).alias("type")))).alias("_staff"))
-    partner = links.where(~_wrong()).groupBy("case_id").agg(F.array_sort(F.collect_set(F.struct(F.lit(ISH + "fallbezug").alias("url"), privacy.ref("Encounter", "Encounter", "partner").alias("valueReference"), F.col("role").alias("valueCode")))).alias("_links"))
+    partner = privacy.ids(links.where(~_wrong()), ("Encounter", "case_id"), _partner=("Encounter", "partner"))
+    partner = partner.groupBy("case_id").agg(F.array_sort(F.collect_set(F.struct(F.lit(ISH + "fallbezug").alias("url"), to("Encounter", "_partner").alias("valueReference"), F.col("role").alias("valueCode")))).alias("_links"))
     group = accounts.groupBy("case_id").agg(F.max("grp").alias("_grp"))
     df = privacy.people(k)
     for part in (moves, people, partner, group):
         df = df.join(part, "case_id", "left")
-    end = text_date(F.col("end_date"))
+    df = privacy.ids(df.withColumns({"_b": text_date(F.col("begin_date")), "_e": text_date(F.col("end_date"))}), ("Encounter", "case_id"), _account=("Account", "_grp"))
+    df, end = df.withColumns({"_from": privacy.moved(F.col("_b")), "_till": privacy.moved(F.col("_e"))}), F.col("_e")
     state = F.when(_wrong(), "entered-in-error").when(end.isNotNull(), "finished").otherwise("in-progress")
     source, gone = concept(ISH + "tn14g", F.col("_admit")), concept(ISH + "tn14g", F.col("_leave"))
-    return emit(df, "Encounter", privacy.rid("Encounter", "case_id"), F.col("_pseudo"),
-        status=state, **{"class": F.struct(c.lookup(F.col("case_type"), c.CASE_TYPES, "IMP").alias("code"))}, subject=F.col("_subject"), period=period(privacy.moved(text_date(F.col("begin_date"))), privacy.moved(end)),
-        participant=F.col("_staff"), extension=F.col("_links"), account=F.when(F.col("_grp").isNotNull(), F.array(privacy.ref("Account", "Account", "_grp"))), hospitalization=F.when(source.isNotNull() | gone.isNotNull(), F.struct(source.alias("admitSource"), gone.alias("dischargeDisposition"))))
+    return emit(df, "Encounter", F.col("_id"), F.col("_pseudo"),
+        status=state, **{"class": F.struct(c.lookup(F.col("case_type"), c.CASE_TYPES, "IMP").alias("code"))}, subject=F.col("_subject"), period=period(F.col("_from"), F.col("_till")),
+        participant=F.col("_staff"), extension=F.col("_links"), account=some(to("Account", "_account")), hospitalization=F.when(source.isNotNull() | gone.isNotNull(), F.struct(source.alias("admitSource"), gone.alias("dischargeDisposition"))))
 
 
 def movements(m: DataFrame, owner: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     """Sub-encounters: type, part of the case, period, department, ward, room and bed, reason; leave and error states."""
-    df = m.join(privacy.people(owner.select("case_id", "patient_id")), "case_id")
+    df = m.join(privacy.people(owner.select("case_id", "patient_id")), "case_id").withColumns({"_b": _stamp("begin_ts"), "_e": _stamp("end_ts")})
+    at = lambda k: ("Location", c.valid_ref(F.col(k).cast("string")))
+    df = privacy.ids(df, ("EncounterMovement", "case_id", "number"), _case=("Encounter", "case_id"), _dept=("OrgUnit", "dept"), _ward=("OrgUnit", "ward"), _room=at("room"), _bed=at("bed"))
+    df = df.withColumns({"_from": privacy.moved(F.col("_b")), "_till": privacy.moved(F.col("_e"))})
     state = F.when(_wrong(), "entered-in-error").when(F.col("kind") == "6", "onleave").otherwise("finished")
-    nursing = F.when(F.col("ward") != F.col("dept"), F.array(F.struct(F.lit(ISH + "nursing-org").alias("url"), privacy.ref("Organization", "OrgUnit", "ward").alias("valueReference"))))
-    place = lambda k, kind: F.when(c.valid_ref(F.col(k).cast("string")).isNotNull(), F.struct(privacy.ref("Location", "Location", c.valid_ref(F.col(k).cast("string"))).alias("location"), fixed(HL7 + "location-physical-type", F.lit(kind)).alias("physicalType")))
-    return emit(df, "Encounter", privacy.rid("EncounterMovement", "case_id", "number"), F.col("_pseudo"),
-        status=state, type=F.array(F.struct(c.lookup(F.col("kind"), c.MOVEMENT_TYPES, "Bewegung").alias("text"))), partOf=privacy.ref("Encounter", "Encounter", "case_id"), period=period(privacy.moved(_stamp("begin_ts")), privacy.moved(_stamp("end_ts"))), serviceProvider=privacy.ref("Organization", "OrgUnit", "dept"), extension=nursing, location=some(place("room", "ro"), place("bed", "bd")), reasonCode=some(concept(ISH + "tn14g", F.col("reason"))))
+    nursing = F.when(F.col("ward") != F.col("dept"), F.array(F.struct(F.lit(ISH + "nursing-org").alias("url"), to("Organization", "_ward").alias("valueReference"))))
+    place = lambda k, kind: F.when(F.col(k).isNotNull(), F.struct(to("Location", k).alias("location"), fixed(HL7 + "location-physical-type", F.lit(kind)).alias("physicalType")))
+    return emit(df, "Encounter", F.col("_id"), F.col("_pseudo"),
+        status=state, type=F.array(F.struct(c.lookup(F.col("kind"), c.MOVEMENT_TYPES, "Bewegung").alias("text"))), partOf=to("Encounter", "_case"), period=period(F.col("_from"), F.col("_till")), serviceProvider=to("Organization", "_dept"), extension=nursing, location=some(place("_room", "ro"), place("_bed", "bd")), reasonCode=some(concept(ISH + "tn14g", F.col("reason"))))
 
 
 #: What a diagnosis may be used as (not exclusive), and the states that its certainty stands for.
@@ -183,14 +207,15 @@ def conditions(d: DataFrame, owner: DataFrame, texts: DataFrame, privacy: Privac
     """Codes with their catalog texts (a second one only if it differs), the diagnosis's own text before the catalog's, ten roles (not exclusive), certainty and what it says of the state."""
     second = texts.select(F.col("code").alias("code2"), F.col("text").alias("text2"))
     df = d.join(privacy.people(owner.select("case_id", "patient_id")), "case_id").join(texts, "code", "left").join(second, "code2", "left")
+    df = privacy.ids(df, ("Condition", "case_id", "number"), _case=("Encounter", "case_id"))
     roles = some(*[F.when(c.is_set(F.col(k)), F.struct(F.lit(v).alias("text"))) for k, v in ROLES.items()])
     code, code2, sure = (F.nullif(F.trim(k), F.lit("")) for k in ("code", "code2", "certainty"))
     one = lambda k, text: F.struct(F.lit(ICD).alias("system"), k.alias("code"), F.col(text).alias("display"))
     coding = F.array_compact(F.array(F.when(code.isNotNull(), one(code, "text")), F.when(code2.isNotNull() & ~code2.eqNullSafe(code), one(code2, "text2"))))
     state = F.when(_wrong(), "entered-in-error").otherwise(c.lookup(sure, CERTAINTY))
     told = F.when(sure.isNotNull(), F.array(F.struct(F.lit("https://fhir.de/StructureDefinition/icd-10-gm-diagnosesicherheit").alias("url"), sure.alias("valueCode"))))
-    return emit(df, "Condition", privacy.rid("Condition", "case_id", "number"), F.col("_pseudo"),
-        code=F.struct(coding.alias("coding"), privacy.text(F.coalesce(F.nullif(F.trim("own_text"), F.lit("")), "text")).alias("text")), subject=F.col("_subject"), encounter=privacy.ref("Encounter", "Encounter", "case_id"), recordedDate=privacy.moved(F.col("day").cast("string")), category=roles,
+    return emit(df, "Condition", F.col("_id"), F.col("_pseudo"),
+        code=F.struct(coding.alias("coding"), privacy.text(F.coalesce(F.nullif(F.trim("own_text"), F.lit("")), "text")).alias("text")), subject=F.col("_subject"), encounter=to("Encounter", "_case"), recordedDate=privacy.moved(F.col("day").cast("string")), category=roles,
         extension=told, verificationStatus=fixed(HL7 + "condition-ver-status", state), clinicalStatus=fixed(HL7 + "condition-clinical", F.when(sure == "Z", "resolved")))
 
 
@@ -198,10 +223,11 @@ def procedures(p: DataFrame, owner: DataFrame, team: DataFrame, privacy: Privacy
     """Code, day, body site, performing unit and team; the subject comes from the case."""
     crew = team.groupBy("procedure_id").agg(F.array_sort(F.collect_set(F.struct(privacy.ref("Practitioner", "Practitioner", "person").alias("actor"), concept(ISH + "op-vorgang", F.col("task")).alias("function")))).alias("_crew"))
     df = p.join(privacy.people(owner.select("case_id", "patient_id")), "case_id", "left").join(crew, "procedure_id", "left")
-    unit = F.array(F.struct(privacy.ref("Organization", "OrgUnit", "unit").alias("actor"), F.lit(None).cast("struct<coding:array<struct<system:string,code:string>>>").alias("function")))
-    subject = F.coalesce(F.col("_subject"), privacy.ref("Encounter", "Encounter", "case_id"))
-    return emit(df, "Procedure", privacy.rid("Procedure", "procedure_id"), F.col("_pseudo"),
-        status=F.when(_wrong(), "entered-in-error").otherwise("completed"), code=concept(OPS, F.col("code")), bodySite=some(concept(ISH + "tn26e", F.col("site"))), subject=subject, encounter=privacy.ref("Encounter", "Encounter", "case_id"), performedDateTime=privacy.moved(F.col("day").cast("string")), performer=F.concat(unit, F.coalesce("_crew", F.array().cast("array<struct<actor:struct<reference:string>,function:struct<coding:array<struct<system:string,code:string>>>>>"))))
+    df = privacy.ids(df, ("Procedure", "procedure_id"), _case=("Encounter", "case_id"), _unit=("OrgUnit", "unit"))
+    unit = F.array(F.struct(to("Organization", "_unit").alias("actor"), F.lit(None).cast("struct<coding:array<struct<system:string,code:string>>>").alias("function")))
+    subject = F.coalesce(F.col("_subject"), to("Encounter", "_case"))
+    return emit(df, "Procedure", F.col("_id"), F.col("_pseudo"),
+        status=F.when(_wrong(), "entered-in-error").otherwise("completed"), code=concept(OPS, F.col("code")), bodySite=some(concept(ISH + "tn26e", F.col("site"))), subject=subject, encounter=to("Encounter", "_case"), performedDateTime=privacy.moved(F.col("day").cast("string")), performer=F.concat(unit, F.coalesce("_crew", F.array().cast("array<struct<actor:struct<reference:string>,function:struct<coding:array<struct<system:string,code:string>>>>>"))))
 
 
 #: Key of a lab document, shared by its header and its values.
@@ -217,7 +243,8 @@ def lab_heads(heads: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
 
 def lab_reports(heads: DataFrame, values: DataFrame, privacy: Privacy = CLEAR) -> DataFrame:
     """Lab headers with their case and references to their values; documents that only have values give no report."""
-    result = values.groupBy(*DOC).agg(F.array_sort(F.collect_set(privacy.ref("Observation", "ObsLab", *DOC, "lab_id"))).alias("_result"))
+    each = privacy.ids(values.select(*DOC, "lab_id"), ("ObsLab",), _value=("ObsLab", *DOC, "lab_id"))
+    result = each.groupBy(*DOC).agg(F.array_sort(F.collect_set(to("Observation", "_value"))).alias("_result"))
     df, when = lab_heads(heads, privacy).join(result, [*DOC], "left"), privacy.moved(_stamp("ts"))
     return emit(df, "DiagnosticReport", privacy.rid("LabReport", *DOC), F.col("_pseudo"),
         status=c.lookup(F.upper("status"), c.LAB_STATES, "final"), category=F.array(fixed(HL7 + "v2-0074", F.lit("LAB"))), code=F.struct(F.lit("Laborbefund").alias("text")), subject=F.col("_subject"), encounter=privacy.ref("Encounter", "Encounter", "case_id"), effectiveDateTime=when, issued=when, result=F.col("_result"))
@@ -234,8 +261,10 @@ def lab_values(v: DataFrame, heads: DataFrame, loinc: DataFrame, privacy: Privac
     low, high, text = c.lab_range(F.col("normal"))
     # parsed below the join, once: inlined, the expressions would outgrow a generated method
     df = v.select(*DOC, "lab_id", "code", "name", "raw", "unit", "flag", "status", F.col("ts").alias("_own"), low.alias("_low"), high.alias("_high"), text.alias("_text"), c.lab_quantity(F.col("raw")).alias("_q"))
-    known = lab_heads(heads, privacy).select(*DOC, F.col("ts").alias("_head"), "case_id", "_pseudo", "_subject", *([] if privacy.clear else ["_days"]))
-    df = df.join(loinc, "code", "left").join(known, [*DOC], "left")
+    known = privacy.ids(lab_heads(heads, privacy), ("LabReport", *DOC), _case=("Encounter", "case_id"))
+    known = known.select(*DOC, F.col("ts").alias("_head"), "_case", "_pseudo", "_subject", *([] if privacy.clear else ["_days"]))
+    df = df.join(loinc, "code", "left").join(known, [*DOC], "left").withColumn("_at", _stamp(F.coalesce("_own", "_head")))
+    df = privacy.ids(df, ("ObsLab", *DOC, "lab_id"), _report=("LabReport", *DOC))
     low, high, text, q, own, flag = (F.col(k) for k in ("_low", "_high", "_text", "_q", "code", "flag"))
     code = some(F.when(F.col("loinc").isNotNull(), F.struct(F.lit(LOINC).alias("system"), F.col("loinc").alias("code"))), F.when(F.trim(own) != "", F.struct(F.lit(ISH + "leistid").alias("system"), own.alias("code"))))
     value = lambda x: F.when(x.isNotNull(), F.struct(x.alias("value")))
@@ -244,9 +273,9 @@ def lab_values(v: DataFrame, heads: DataFrame, loinc: DataFrame, privacy: Privac
     strange = F.when((F.trim(flag) != "") & told.isNull(), F.trim(flag))
     sense = F.when(strange.isNull(), fixed(HL7 + "v3-ObservationInterpretation", c.lab_interpret(flag, q, low, high))["coding"])
     raw = F.trim("raw")
-    return emit(df, "Observation", privacy.rid("ObsLab", *DOC, "lab_id"), F.col("_pseudo"),
+    return emit(df, "Observation", F.col("_id"), F.col("_pseudo"),
         status=c.lookup(F.upper("status"), c.LAB_STATES, "final"), category=F.array(fixed(HL7 + "observation-category", F.lit("laboratory"))), code=F.struct(code.alias("coding"), F.coalesce(F.nullif(F.trim("name"), F.lit("")), own).alias("text")),
-        partOf=some(privacy.ref("DiagnosticReport", "LabReport", *DOC)), subject=F.col("_subject"), encounter=privacy.ref("Encounter", "Encounter", "case_id"), effectiveDateTime=privacy.moved(_stamp(F.coalesce("_own", "_head"))),
+        partOf=some(to("DiagnosticReport", "_report")), subject=F.col("_subject"), encounter=to("Encounter", "_case"), effectiveDateTime=privacy.moved(F.col("_at")),
         valueQuantity=F.when(q.isNotNull(), F.struct(q.alias("value"), F.nullif(F.trim("unit"), F.lit("")).alias("unit"), c.lab_comparator(F.col("raw")).alias("comparator"))), valueString=F.when((raw != "") & q.isNull(), raw), referenceRange=bounds,
         interpretation=F.when(strange.isNotNull() | sense.isNotNull(), F.array(F.struct(sense.alias("coding"), strange.alias("text")))))
 
