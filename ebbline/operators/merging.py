@@ -29,11 +29,29 @@ def merge_movements(mapping: DataFrame) -> DataFrame:
     return mapping.join(n, "old_id").select("old_id", "new_id", (F.col("_n") > 1).cast("int").alias("is_split"))
 
 
-def merge_details(mapping: DataFrame, details: DataFrame, *, values: list[str]) -> DataFrame:
-    """Old to new ids of details with the values of the new one, else of the old one."""
+def merge_details(mapping: DataFrame, details: DataFrame, *, values: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Old to new ids of details with the values of the new one, else of the old one, and the mapping's own columns ``keep``."""
     new = details.select(F.col("id").alias("new_id"), *[F.col(v).alias(f"_n_{v}") for v in values])
     old = details.select(F.col("id").alias("old_id"), *[F.col(v).alias(f"_o_{v}") for v in values])
-    return mapping.join(new, "new_id", "left").join(old, "old_id", "left").select("old_id", "new_id", *[F.coalesce(f"_n_{v}", f"_o_{v}").alias(v) for v in values])
+    return mapping.join(new, "new_id", "left").join(old, "old_id", "left").select("old_id", "new_id", *[F.coalesce(f"_n_{v}", f"_o_{v}").alias(v) for v in values], *keep)
+
+
+#: Categories of a merged diagnosis.
+DRG_CATEGORIES = {"S": "Nebendiagnose (S)", "P": "Hauptdiagnose (P)"}
+
+
+def drg_marks(rows: DataFrame, *, diagnoses: bool = True) -> DataFrame:
+    """What the grouper said: place and category, of diagnoses also the category's text, relevance and complexity level.
+
+    Reads drg_place, drg_category and, of diagnoses, drg_relevant and drg_level; a
+    place or level that is no number is null, a category that is not in the list
+    (null or blank too) is no DRG diagnosis.
+    """
+    out = rows.withColumn("drg_place", F.trim("drg_place").try_cast("int"))
+    if not diagnoses:
+        return out
+    text = lookup(F.col("drg_category"), DRG_CATEGORIES, "keine DRG-Diagnose")
+    return out.withColumns({"drg_category_text": text, "is_drg_relevant": is_set(F.col("drg_relevant")).cast("int"), "drg_level": F.trim("drg_level").try_cast("int")}).drop("drg_relevant")
 
 
 def case_derive(cases: DataFrame) -> DataFrame:
@@ -61,9 +79,9 @@ def case_cube(cases: DataFrame, merged: DataFrame, patients: DataFrame) -> DataF
 
 
 def diagnosis_derive(d: DataFrame) -> DataFrame:
-    """Main or side diagnosis, cancellation mark, number of its roles (ROLES, ten of them)."""
+    """Main or side diagnosis, cancellation mark, number of its roles (ROLES, ten of them), and ``drg_marks``."""
     roles = [is_set(F.col(c)).cast("int") for c in ROLES]
-    return d.select("*", F.when(is_set(F.col("principal")), "HD").otherwise("ND").alias("rank_text"), reduce(lambda a, b: a + b, roles).alias("n_roles"), is_cancelled(F.col("cancelled")).cast("int").alias("is_cancelled"))
+    return drg_marks(d).select("*", F.when(is_set(F.col("principal")), "HD").otherwise("ND").alias("rank_text"), reduce(lambda a, b: a + b, roles).alias("n_roles"), is_cancelled(F.col("cancelled")).cast("int").alias("is_cancelled"))
 
 
 def diagnosis_cube(d: DataFrame, merged: DataFrame, units: DataFrame, texts: DataFrame, movements: DataFrame) -> DataFrame:

@@ -34,7 +34,8 @@ _SPARK = {
         CAST(l_shipdate AS DATE) AS day, CASE WHEN l_suppkey % 9 = 0 THEN 'eigener Text' ELSE ' ' END AS own_text, CASE WHEN l_linenumber = 1 THEN 'X' ELSE '' END AS principal, CASE WHEN l_suppkey % 2 = 0 THEN 'X' ELSE '' END AS admission,
         CASE WHEN l_suppkey % 3 = 0 THEN 'X' ELSE '' END AS discharge, CASE WHEN l_suppkey % 5 = 0 THEN 'X' ELSE '' END AS treatment, CASE WHEN l_suppkey % 7 = 0 THEN 'X' ELSE '' END AS surgery,
         CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled, concat(chr(65 + CAST(l_partkey % 26 AS INT)), lpad(CAST(CASE WHEN l_quantity < 40 THEN l_partkey ELSE l_suppkey END % 100 AS STRING), 2, '0'), '.', CAST(l_partkey % 10 AS STRING)) AS code2, CASE l_partkey % 6 WHEN 0 THEN 'G' WHEN 1 THEN 'V' WHEN 2 THEN 'A' WHEN 3 THEN 'Z' WHEN 4 THEN 'T' ELSE ' ' END AS certainty,
-        CASE WHEN l_linenumber = 2 THEN 'X' ELSE '' END AS department, CASE WHEN l_suppkey % 11 = 0 THEN 'X' ELSE '' END AS referral, CASE WHEN l_suppkey % 13 = 0 THEN 'X' ELSE '' END AS preoperative, CASE WHEN l_partkey % 101 = 0 THEN 'X' ELSE '' END AS death, CASE WHEN l_suppkey % 17 = 0 THEN 'X' ELSE '' END AS working"""),
+        CASE WHEN l_linenumber = 2 THEN 'X' ELSE '' END AS department, CASE WHEN l_suppkey % 11 = 0 THEN 'X' ELSE '' END AS referral, CASE WHEN l_suppkey % 13 = 0 THEN 'X' ELSE '' END AS preoperative, CASE WHEN l_partkey % 101 = 0 THEN 'X' ELSE '' END AS death, CASE WHEN l_suppkey % 17 = 0 THEN 'X' ELSE '' END AS working,
+        CASE WHEN l_quantity < 5 THEN 'x' ELSE lpad(CAST(l_linenumber AS STRING), 2, '0') END AS drg_place, CASE l_linenumber % 4 WHEN 1 THEN 'P' WHEN 2 THEN 'S' WHEN 3 THEN ' ' ELSE 'N' END AS drg_category, CASE WHEN l_tax > 0.03 THEN 'X' ELSE '' END AS drg_relevant, CASE WHEN l_discount > 0.07 THEN ' ' ELSE CAST(l_suppkey % 5 AS STRING) END AS drg_level"""),
     "procedures": ("lineitem", """
         l_orderkey AS case_id, (l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey AS procedure_id, concat('5-', lpad(CAST(l_partkey % 1000 AS STRING), 3, '0')) AS code, CAST(l_shipdate AS DATE) AS day, l_suppkey AS unit,
         CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled, CASE l_partkey % 4 WHEN 0 THEN 'R' WHEN 1 THEN 'L' WHEN 2 THEN 'B' ELSE ' ' END AS site"""),
@@ -73,7 +74,8 @@ _DUCK = {
     "diagnoses": """SELECT l_orderkey AS case_id, CAST(l_linenumber * 10000000 + l_partkey AS BIGINT) AS number, chr(65 + CAST(l_partkey % 26 AS INTEGER)) || lpad(CAST(l_partkey % 100 AS VARCHAR), 2, '0') || '.' || CAST(l_partkey % 10 AS VARCHAR) AS code, CAST(l_shipdate AS DATE) AS day,
   CASE WHEN l_suppkey % 9 = 0 THEN 'eigener Text' ELSE ' ' END AS own_text, CASE WHEN l_linenumber = 1 THEN 'X' ELSE '' END AS principal, CASE WHEN l_suppkey % 2 = 0 THEN 'X' ELSE '' END AS admission, CASE WHEN l_suppkey % 3 = 0 THEN 'X' ELSE '' END AS discharge, CASE WHEN l_suppkey % 5 = 0 THEN 'X' ELSE '' END AS treatment,
   CASE WHEN l_suppkey % 7 = 0 THEN 'X' ELSE '' END AS surgery, CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled, concat(chr(65 + CAST(l_partkey % 26 AS INT)), lpad(CAST(CASE WHEN l_quantity < 40 THEN l_partkey ELSE l_suppkey END % 100 AS VARCHAR), 2, '0'), '.', CAST(l_partkey % 10 AS VARCHAR)) AS code2, CASE l_partkey % 6 WHEN 0 THEN 'G' WHEN 1 THEN 'V' WHEN 2 THEN 'A' WHEN 3 THEN 'Z' WHEN 4 THEN 'T' ELSE ' ' END AS certainty,
-        CASE WHEN l_linenumber = 2 THEN 'X' ELSE '' END AS department, CASE WHEN l_suppkey % 11 = 0 THEN 'X' ELSE '' END AS referral, CASE WHEN l_suppkey % 13 = 0 THEN 'X' ELSE '' END AS preoperative, CASE WHEN l_partkey % 101 = 0 THEN 'X' ELSE '' END AS death, CASE WHEN l_suppkey % 17 = 0 THEN 'X' ELSE '' END AS working FROM lineitem""",
+        CASE WHEN l_linenumber = 2 THEN 'X' ELSE '' END AS department, CASE WHEN l_suppkey % 11 = 0 THEN 'X' ELSE '' END AS referral, CASE WHEN l_suppkey % 13 = 0 THEN 'X' ELSE '' END AS preoperative, CASE WHEN l_partkey % 101 = 0 THEN 'X' ELSE '' END AS death, CASE WHEN l_suppkey % 17 = 0 THEN 'X' ELSE '' END AS working,
+        CASE WHEN l_quantity < 5 THEN 'x' ELSE lpad(CAST(l_linenumber AS VARCHAR), 2, '0') END AS drg_place, CASE l_linenumber % 4 WHEN 1 THEN 'P' WHEN 2 THEN 'S' WHEN 3 THEN ' ' ELSE 'N' END AS drg_category, CASE WHEN l_tax > 0.03 THEN 'X' ELSE '' END AS drg_relevant, CASE WHEN l_discount > 0.07 THEN ' ' ELSE CAST(l_suppkey % 5 AS VARCHAR) END AS drg_level FROM lineitem""",
     "procedures": """SELECT l_orderkey AS case_id, (l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey AS procedure_id, '5-' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') AS code, CAST(l_shipdate AS DATE) AS day, l_suppkey AS unit,
   CASE WHEN l_returnflag = 'R' THEN 'X' ELSE ' ' END AS cancelled, CASE l_partkey % 4 WHEN 0 THEN 'R' WHEN 1 THEN 'L' WHEN 2 THEN 'B' ELSE ' ' END AS site FROM lineitem""",
     "patients": """SELECT c_custkey AS patient_id, CASE c_custkey % 4 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 2 THEN '3' ELSE ' ' END AS sex, CAST(DATE '1925-01-01' + CAST(c_custkey * 37 % 33000 AS INTEGER) AS VARCHAR) AS birth, c_name AS name,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import is_cancelled
 from ..operators import merging as mg
 from ..operators import stays as st
 from .base import duck, view
@@ -257,13 +258,28 @@ def merge_movements(spark, d):
     return mg.merge_movements(_mapping(spark, d))
 
 
+#: What the grouper says of merged details, by their ids.
+_GROUPED = {
+    "drg_place": "CASE WHEN new_id % 10 = 9 THEN ' ' ELSE lpad(CAST(new_id % 10 AS {0}), 4, '0') END", "drg_category": "CASE old_id % 4 WHEN 0 THEN 'P' WHEN 1 THEN 'S' WHEN 2 THEN ' ' ELSE 'N' END",
+    "drg_relevant": "CASE WHEN new_id % 3 = 0 THEN 'X' ELSE '' END", "drg_level": "CASE WHEN old_id % 7 = 6 THEN 'A' ELSE CAST(old_id % 7 AS {0}) END", "cancelled": "CASE WHEN (old_id + new_id) % 8 = 0 THEN 'X' ELSE ' ' END",
+}
+
+
 def _detail_sql(src: str) -> str:
-    return _MAP + f", de AS (SELECT case_id * 10 + {'number' if src == 'diagnoses' else 'procedure_id'} % 9 AS id, max(code) AS code, max(day) AS day FROM {src} GROUP BY 1) SELECT old_id, new_id, coalesce(n.code, o.code) AS code, coalesce(n.day, o.day) AS day FROM mp LEFT JOIN de n ON n.id = new_id LEFT JOIN de o ON o.id = old_id"
+    place, category, relevant, level, off = (x.format("VARCHAR") for x in _GROUPED.values())
+    marks = f"TRY_CAST({place} AS INTEGER) AS drg_place, {category} AS drg_category, CASE WHEN {off} = 'X' THEN 1 ELSE 0 END AS is_cancelled"
+    if src == "diagnoses":
+        marks += f", CASE {category} WHEN 'S' THEN 'Nebendiagnose (S)' WHEN 'P' THEN 'Hauptdiagnose (P)' ELSE 'keine DRG-Diagnose' END AS drg_category_text, CASE WHEN {relevant} = 'X' THEN 1 ELSE 0 END AS is_drg_relevant, TRY_CAST({level} AS INTEGER) AS drg_level"
+    number = "number" if src == "diagnoses" else "procedure_id"
+    return _MAP + f", de AS (SELECT case_id * 10 + {number} % 9 AS id, max(code) AS code, max(day) AS day FROM {src} GROUP BY 1) SELECT old_id, new_id, coalesce(n.code, o.code) AS code, coalesce(n.day, o.day) AS day, {marks} FROM mp LEFT JOIN de n ON n.id = new_id LEFT JOIN de o ON o.id = old_id"
 
 
 def _detail(spark, d, src, num):
     df = view(spark, d, src).groupBy((F.col("case_id") * 10 + F.col(num) % 9).alias("id")).agg(F.max("code").alias("code"), F.max("day").alias("day"))
-    return mg.merge_details(_mapping(spark, d), df, values=["code", "day"])
+    keep = [k for k in _GROUPED if src == "diagnoses" or k not in ("drg_relevant", "drg_level")]
+    mapping = _mapping(spark, d).selectExpr("old_id", "new_id", *[f"{_GROUPED[k].format('STRING')} AS {k}" for k in keep])
+    rows = mg.merge_details(mapping, df, values=["code", "day"], keep=tuple(keep))
+    return mg.drg_marks(rows, diagnoses=src == "diagnoses").withColumn("is_cancelled", is_cancelled(F.col("cancelled")).cast("int")).drop("cancelled")
 
 
 @query(_detail_sql("diagnoses"), "movements", "diagnoses")
@@ -292,9 +308,9 @@ def case_cube(spark, d):
 _X = lambda c: f"CASE WHEN {c} = 'X' THEN 1 ELSE 0 END"
 
 
-@query(f"SELECT case_id, number, code, CASE WHEN principal = 'X' THEN 'HD' ELSE 'ND' END AS rank_text, {' + '.join(map(_X, mg.ROLES))} AS n_roles, CASE WHEN {OFF} THEN 1 ELSE 0 END AS is_cancelled FROM diagnoses", "diagnoses")
+@query(f"SELECT case_id, number, code, CASE WHEN principal = 'X' THEN 'HD' ELSE 'ND' END AS rank_text, {' + '.join(map(_X, mg.ROLES))} AS n_roles, CASE WHEN {OFF} THEN 1 ELSE 0 END AS is_cancelled, TRY_CAST(drg_place AS INTEGER) AS drg_place, CASE drg_category WHEN 'S' THEN 'Nebendiagnose (S)' WHEN 'P' THEN 'Hauptdiagnose (P)' ELSE 'keine DRG-Diagnose' END AS drg_category_text, {_X('drg_relevant')} AS is_drg_relevant, TRY_CAST(drg_level AS INTEGER) AS drg_level FROM diagnoses", "diagnoses")
 def diagnosis_derive(spark, d):
-    return mg.diagnosis_derive(view(spark, d, "diagnoses")).select("case_id", "number", "code", "rank_text", "n_roles", "is_cancelled")
+    return mg.diagnosis_derive(view(spark, d, "diagnoses")).select("case_id", "number", "code", "rank_text", "n_roles", "is_cancelled", "drg_place", "drg_category_text", "is_drg_relevant", "drg_level")
 
 
 @query(_MEMBERS + _GROUPS + _TEXTS + ", mu AS (SELECT case_id, number, max(ward) AS unit_id FROM movements GROUP BY 1, 2) SELECT di.case_id, di.number, di.code, unit_name, t.text, coalesce(lead_case, di.case_id) AS billing_case FROM diagnoses di LEFT JOIN mc USING (case_id) LEFT JOIN mu ON mu.case_id = di.case_id AND mu.number = di.number LEFT JOIN units u ON u.unit_id = mu.unit_id LEFT JOIN texts t ON t.code = di.code", "cases", "diagnoses", "codes", "movements", "units")

@@ -1,6 +1,7 @@
 """Operators on small frames: current state, compaction, sets, streams, temporal joins."""
 
 import datetime
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -330,3 +331,40 @@ def test_merged_needs_both_cases(spark):
     cases = spark.createDataFrame([(10,), (11,), (12,)], "case_id int")
     got = graph.merged(m, cases, group="grp", case="case_id", lead="lead", reason="reason", cancelled="off").collect()
     assert [(r.src, r.dst, r.reason_text) for r in got] == [(10, 11, "Wiederaufnahme")]
+
+
+def test_lab_values_and_their_headers(spark):
+    """A header twice, one missing, a null in the key, own time or the header's, strange flags; nothing to tell by without a patient."""
+    head = "doc_kind string, doc_number long, doc_version string, doc_part string, patient_id long, case_id long, ts timestamp, status string"
+    at = datetime.datetime(2024, 3, 5, 8, 15)
+    heads = spark.createDataFrame([("LAB", 1, "01", "0", 7, 70, at, "F"), ("LAB", 1, "01", "0", 8, 80, at, "F"), ("LAB", 3, "01", "0", None, None, at, "P")], head)
+    rows = [(1, "a", at + datetime.timedelta(1), ""), (1, "b", None, "?"), (2, "c", at, "+"), (None, "d", at, ""), (3, "e", None, "")]
+    value = "doc_kind string, doc_number long, doc_version string, doc_part string, lab_id string, code string, name string, raw string, normal string, unit string, flag string, status string, ts timestamp"
+    values = spark.createDataFrame([("LAB", n, "01", "0", i, "K", " " if i == "a" else "Kalium", "2,5", "0.1 - 2", " ", f, "F", t) for n, i, t, f in rows], value)
+    loinc = spark.createDataFrame([], "code string, loinc string")
+    for privacy in (resources.CLEAR, resources.Privacy("pseudonymize", b"s")):
+        found = [(r, json.loads(r.body)) for r in resources.lab_values(values, heads, loinc, privacy).collect()]
+        got = {b["id"]: (r, b) for r, b in found}
+        assert len(found) == len(got) == 5
+        ids = {r[1]: resources.lab_values(values.where(F.col("lab_id") == r[1]), heads, loinc, privacy).first().id for r in rows}
+        a, b, c, d, e = (got[ids[k]][1] for k in "abcde")
+        subject = "Patient/" + spark.range(1).select(privacy.rid("Patient", F.lit(7))).first()[0]
+        report = "DiagnosticReport/" + resources.lab_reports(heads.limit(1), values, privacy).first().id
+        assert a["subject"]["reference"] == b["subject"]["reference"] == subject and a["partOf"] == [{"reference": report}]
+        assert a["code"]["text"] == "K" and b["code"]["text"] == "Kalium" and "unit" not in a["valueQuantity"]
+        assert a["interpretation"][0]["coding"][0]["code"] == "H" and b["interpretation"] == [{"text": "?"}] and c["interpretation"][0]["coding"][0]["code"] == "H"
+        assert "subject" not in c and "encounter" not in c and c["partOf"] and "partOf" not in d and "subject" not in d and "subject" not in e
+        clear = privacy.clear
+        assert ("effectiveDateTime" in c) == ("effectiveDateTime" in d) == ("effectiveDateTime" in e) == clear and "effectiveDateTime" in b
+        if clear:
+            assert a["effectiveDateTime"] == "2024-03-06T08:15:00" and b["effectiveDateTime"] == e["effectiveDateTime"] == "2024-03-05T08:15:00"
+        reports = resources.lab_reports(heads, values, privacy).collect()
+        assert len(reports) == 2 and sorted(len(json.loads(r.body)["result"]) for r in reports) == [1, 2]
+    assert resources.lab_values(values.limit(0), heads.limit(0), loinc).count() == 0
+
+
+def test_drg_marks_of_odd_values(spark):
+    rows = spark.createDataFrame([(1, " 02", "P", "X", "3"), (2, "x", None, None, " "), (3, None, "Z", "1", None)], "id long, drg_place string, drg_category string, drg_relevant string, drg_level string")
+    got = {r.id: (r.drg_place, r.drg_category_text, r.is_drg_relevant, r.drg_level) for r in merging.drg_marks(rows).collect()}
+    assert got == {1: (2, "Hauptdiagnose (P)", 1, 3), 2: (None, "keine DRG-Diagnose", 0, None), 3: (None, "keine DRG-Diagnose", 0, None)}
+    assert merging.drg_marks(rows, diagnoses=False).columns == rows.columns
