@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import MARITAL, SEXES, is_cancelled, is_set, lookup
@@ -78,6 +78,25 @@ def case_cube(cases: DataFrame, merged: DataFrame, patients: DataFrame) -> DataF
     return rows.where(F.coalesce("is_lead", F.lit(1)) == 1)
 
 
+def case_cube_history(versions: DataFrame, merged: DataFrame, *, value: str = "nb_audit") -> DataFrame:
+    """Versions of cases (valid_from to valid_to, both included) with the group's sum of ``value`` in every slice of time; following cases go.
+
+    Each version adds its value on its first day and takes it away after its last,
+    so a running sum by group gives the sum of every slice without a join of the
+    members with each other.  A null counts as 0; a member without a version on a
+    day adds nothing; cases without a group keep their own value and slices.
+    """
+    rows = versions.select("case_id", "valid_from", "valid_to", F.coalesce(value, F.lit(0)).cast("long").alias(value)).join(merged.select("grp", "case_id", "lead_case", "is_lead"), "case_id", "left")
+    member = rows.where("grp is not null")
+    steps = F.array(F.struct(F.col("valid_from").alias("day"), F.col(value).alias("n")), F.struct(F.date_add("valid_to", 1).alias("day"), (-F.col(value)).alias("n")))
+    change = member.select("grp", F.explode(steps).alias("x")).groupBy("grp", "x.day").agg(F.sum("x.n").alias("_n"))
+    w = Window.partitionBy("grp").orderBy("day")
+    slices = change.select("grp", F.col("day").alias("_from"), F.date_sub(F.lead("day").over(w), 1).alias("_to"), F.sum("_n").over(w).alias("group_value")).where("_to is not null")
+    lead = member.where(F.coalesce("is_lead", F.lit(1)) == 1).join(slices, "grp").where("_from <= valid_to and _to >= valid_from")
+    lead = lead.withColumns({"valid_from": F.greatest("valid_from", "_from"), "valid_to": F.least("valid_to", "_to")}).drop("_from", "_to")
+    return lead.unionByName(rows.where("grp is null").withColumn("group_value", F.col(value))).drop("is_lead")
+
+
 def diagnosis_derive(d: DataFrame) -> DataFrame:
     """Main or side diagnosis, cancellation mark, number of its roles (ROLES, ten of them), and ``drg_marks``."""
     roles = [is_set(F.col(c)).cast("int") for c in ROLES]

@@ -305,6 +305,25 @@ def case_cube(spark, d):
     return mg.case_cube(mg.case_derive(view(spark, d, "cases")), _merged(spark, d), view(spark, d, "patients")).select("case_id", "lead_case", "sex", "nb_group")
 
 
+#: Days not billable as they became known: the first count until a case ends, the audit's (if any) from the next day on.
+_CASE_VERSIONS = """, cv AS (SELECT case_id, begin_date AS valid_from, coalesce(end_date, DATE '2099-12-31') AS valid_to, days_off AS nb_audit FROM cases UNION ALL SELECT case_id, end_date + 1, DATE '2099-12-31', coalesce(days_off_audit, days_off) FROM cases WHERE end_date IS NOT NULL),
+gv AS (SELECT cv.*, grp, lead_case, is_lead FROM cv LEFT JOIN mc USING (case_id)), bd AS (SELECT grp, valid_from AS day FROM gv WHERE grp IS NOT NULL UNION SELECT grp, valid_to + 1 FROM gv WHERE grp IS NOT NULL),
+sc AS (SELECT grp, day AS f, lead(day) OVER (PARTITION BY grp ORDER BY day) - 1 AS t FROM bd), ss AS (SELECT sc.grp, f, t, coalesce(sum(nb_audit), 0) AS n FROM sc LEFT JOIN gv ON gv.grp = sc.grp AND f BETWEEN valid_from AND valid_to WHERE t IS NOT NULL GROUP BY 1, 2, 3)"""
+
+
+def _case_versions(spark, d):
+    k, ever = view(spark, d, "cases"), F.lit("2099-12-31").cast("date")
+    first = k.select("case_id", F.col("begin_date").alias("valid_from"), F.coalesce("end_date", ever).alias("valid_to"), F.col("days_off").alias("nb_audit"))
+    return first.unionByName(k.where("end_date is not null").select("case_id", F.date_add("end_date", 1).alias("valid_from"), ever.alias("valid_to"), F.coalesce("days_off_audit", "days_off").alias("nb_audit")))
+
+
+@query(_MEMBERS + _GROUPS + _CASE_VERSIONS + """ SELECT case_id, lead_case, greatest(valid_from, f) AS valid_from, least(valid_to, t) AS valid_to, CAST(nb_audit AS BIGINT) AS nb_audit, CAST(n AS BIGINT) AS group_value FROM gv JOIN ss ON gv.grp = ss.grp AND f <= valid_to AND t >= valid_from WHERE coalesce(is_lead, 1) = 1
+UNION ALL SELECT case_id, lead_case, valid_from, valid_to, CAST(nb_audit AS BIGINT), CAST(nb_audit AS BIGINT) FROM gv WHERE grp IS NULL""", "cases")
+def case_cube_history(spark, d):
+    """Days not billable of leading cases, summed over their group in every slice of time."""
+    return mg.case_cube_history(_case_versions(spark, d), _merged(spark, d)).drop("grp")
+
+
 _X = lambda c: f"CASE WHEN {c} = 'X' THEN 1 ELSE 0 END"
 
 

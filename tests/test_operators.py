@@ -368,3 +368,15 @@ def test_drg_marks_of_odd_values(spark):
     got = {r.id: (r.drg_place, r.drg_category_text, r.is_drg_relevant, r.drg_level) for r in merging.drg_marks(rows).collect()}
     assert got == {1: (2, "Hauptdiagnose (P)", 1, 3), 2: (None, "keine DRG-Diagnose", 0, None), 3: (None, "keine DRG-Diagnose", 0, None)}
     assert merging.drg_marks(rows, diagnoses=False).columns == rows.columns
+
+
+def test_case_cube_by_slices(spark):
+    """A leading case with a follower that begins later, a null value, a gap, and cases without a group."""
+    day = datetime.date
+    versions = [(1, day(2024, 1, 1), day(2024, 1, 31), 2), (1, day(2024, 3, 1), day(2024, 3, 31), 5), (2, day(2024, 1, 10), day(2024, 3, 10), 3), (3, day(2024, 1, 1), day(2024, 12, 31), None), (4, day(2024, 1, 1), day(2024, 1, 2), 7)]
+    v = spark.createDataFrame(versions, "case_id long, valid_from date, valid_to date, nb_audit int")
+    m = spark.createDataFrame([(9, 1, 1, 1), (9, 2, 1, 0), (9, 3, 1, 0)], "grp long, case_id long, lead_case long, is_lead int")
+    got = sorted((r.case_id, r.valid_from, r.valid_to, r.nb_audit, r.group_value) for r in merging.case_cube_history(v, m).collect())
+    january, march = [(1, day(2024, 1, 1), day(2024, 1, 9), 2, 2), (1, day(2024, 1, 10), day(2024, 1, 31), 2, 5)], [(1, day(2024, 3, 1), day(2024, 3, 10), 5, 8), (1, day(2024, 3, 11), day(2024, 3, 31), 5, 5)]
+    assert got == [*january, *march, (4, day(2024, 1, 1), day(2024, 1, 2), 7, 7)]
+    assert merging.case_cube_history(v.limit(0), m).count() == 0 and merging.case_cube_history(v, m.limit(0)).count() == 5
