@@ -178,17 +178,18 @@ def current_state_partial_pk(spark, d):
     return cs.current_state(*_base_delta(spark, d), key=["client", "key"])
 
 
-def _years(spark, d):
-    """All cases. Of those that end from 1997 on, the partly billed ones come as inserts only and the open ones as updates too, deletes where they are locked; the base holds all others."""
+def _years(spark, d, since: str | None = "1997"):
+    """All cases. Of those that end from ``since`` on (None: of all), the partly billed ones come as inserts only and the open ones as updates too, deletes where they are locked; the base holds all others."""
     c = view(spark, d, "cases").select("case_id", "patient_id", F.coalesce("end_date", "begin_date").cast("string").alias("end_date"), "status", "locked")
-    recent = F.col("end_date") >= "1997"
+    recent = F.col("end_date") >= since if since else F.lit(True)
     op = F.when(F.col("locked") == "X", "D").when(F.col("status") == "P", "I").otherwise("U")
     base = c.where(~recent | (F.col("status") != "P")).drop("status", "locked")
     delta = c.where(recent & (F.col("status") != "F")).select("case_id", (F.col("patient_id") + 1).alias("patient_id"), "end_date", op.alias("_op"), F.lpad(F.col("case_id").cast("string"), 12, "0").alias("_seq"))
     return base, delta
 
 
-_Y = ", c AS (SELECT case_id, patient_id, CAST(coalesce(end_date, begin_date) AS VARCHAR) AS end_date, status, locked FROM cases), delta AS (SELECT * FROM c WHERE status <> 'F' AND end_date >= '1997')"
+_C = ", c AS (SELECT case_id, patient_id, CAST(coalesce(end_date, begin_date) AS VARCHAR) AS end_date, status, locked FROM cases)"
+_Y = _C + ", delta AS (SELECT * FROM c WHERE status <> 'F' AND end_date >= '1997')"
 
 
 @query(_Y + " SELECT case_id, CASE WHEN case_id IN (SELECT case_id FROM delta) THEN patient_id + 1 ELSE patient_id END AS patient_id, end_date, substr(end_date, 1, 4) AS jahr FROM c WHERE case_id NOT IN (SELECT case_id FROM delta WHERE locked = 'X')", "cases")
@@ -202,9 +203,10 @@ def compact_deltas(spark, d):
     return br.read_years(spark, f"{root}/cases")
 
 
-@query(_Y + " SELECT DISTINCT substr(end_date, 1, 4) AS jahr FROM delta", "cases")
+@query(_C + ", y AS (SELECT status, coalesce(substr(end_date, 1, 4), 'unknown') AS jahr FROM c), delta AS (SELECT jahr FROM y WHERE status <> 'F') SELECT jahr FROM delta UNION SELECT jahr FROM y WHERE status <> 'P' AND 'unknown' IN (SELECT jahr FROM delta)", "cases")
 def affected_partitions(spark, d):
-    base, delta = _years(spark, d)
+    """The years of all changes, whenever the case ended."""
+    base, delta = _years(spark, d, since=None)
     return cs.affected_partitions(delta, base.withColumn("jahr", rg.year_partition(F.col("end_date"))), date="end_date")
 
 
