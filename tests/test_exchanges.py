@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from ebbline import plans
-from ebbline.operators import stays
+from ebbline.operators import hierarchy, stays
 from tests.conftest import SF
 
 QUERIES = plans.queries()
@@ -15,6 +15,17 @@ def exchanges(df) -> int:
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
 
+def written(spark, df) -> int:
+    """Bytes that exchanges wrote while all rows were made."""
+    total = lambda: sum(e.totalShuffleWrite() for e in map(at, range(n)))
+    at, n = (x := spark._jsc.sc().statusStore().executorList(False)).apply, x.length()
+    before = total()
+    df.write.format("noop").mode("overwrite").save()
+    spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    at, n = (x := spark._jsc.sc().statusStore().executorList(False)).apply, x.length()
+    return total() - before
+
+
 def test_slices_are_evaluated_behind_one_exchange(spark):
     """Movements once, days not billable once (its join may be a broadcast); none of the rows by slice."""
     assert exchanges(QUERIES["stay_los_history"](spark, SF)) <= 2
@@ -29,3 +40,13 @@ def test_slices_are_evaluated_behind_one_exchange(spark):
     s = stays.movements_of_stays(stays.with_system(sliced), keep=("drg", "pepp"))
     got = {(r.case_id, r.slice_id): (str(r.slice_from), str(r.slice_to), r.drg, r.pepp, r.block_days) for r in stays.blocks(stays.prev_next(s), keep=("drg", "pepp")).collect()}
     assert got == {(1, 2): ("2001-01-01", "2001-01-04", 1, 0, 0), (1, 1): ("2001-01-05", "2099-12-31", 1, 1, 6)}
+
+
+def test_cost_centres_of_cases_are_joined_without_exchanging_them(spark):
+    m = spark.range(4000).select(F.col("id").alias("case_id"), (F.col("id") % 3).alias("dept"), (F.col("id") % 50).cast("string").alias("ward"))
+    units = spark.range(600).select((F.col("id") % 3).alias("dept"), F.lit("").alias("ward"), F.concat(F.lit("K"), "id").alias("centre"))
+    assert written(spark, hierarchy.case_centres(m, units)) < 500_000  # 800,000 rows
+    m = spark.createDataFrame([(1, 1, "a"), (1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (None, 2, None), (3, None, "a"), (4, 9, "a")], "case_id int, dept int, ward string")
+    units = spark.createDataFrame([(1, "a", "K1"), (1, "", "K1"), (2, "", "K1"), (2, "b", "K2"), (2, "b", "K2"), (1, "c", None), (None, "a", "K9"), (1, None, "K9")], "dept int, ward string, centre string")
+    got = sorted((tuple(r) for r in hierarchy.case_centres(m, units).collect()), key=repr)
+    assert got == sorted([(1, "K1"), (1, "K2"), (2, "K1"), (2, None), (None, "K1")], key=repr)
