@@ -50,3 +50,22 @@ def test_cost_centres_of_cases_are_joined_without_exchanging_them(spark):
     units = spark.createDataFrame([(1, "a", "K1"), (1, "", "K1"), (2, "", "K1"), (2, "b", "K2"), (2, "b", "K2"), (1, "c", None), (None, "a", "K9"), (1, None, "K9")], "dept int, ward string, centre string")
     got = sorted((tuple(r) for r in hierarchy.case_centres(m, units).collect()), key=repr)
     assert got == sorted([(1, "K1"), (1, "K2"), (2, "K1"), (2, None), (None, "K1")], key=repr)
+
+
+def test_logins_of_equal_centres_share_their_patients(spark):
+    roles = spark.range(300).select(F.concat(F.lit("L"), "id").alias("login"), F.lit("pflege").alias("role"))
+    visible = roles.select("login", F.explode(F.array(F.lit("K1"), F.lit("K2"))).alias("centre"))
+    centres = spark.range(2000).select(F.col("id").alias("case_id"), F.explode(F.array(F.lit("K1"), F.lit("K2"))).alias("centre"))
+    cases = spark.range(2000).select(F.col("id").alias("case_id"), F.col("id").alias("patient_id"))
+    df = hierarchy.visible_patients(roles, visible, centres, cases)
+    assert written(spark, df) < 1_000_000 and df.count() == df.distinct().count() == 600_000
+    roles = spark.createDataFrame([("a", "pflege"), ("b", "pflege"), ("c", "pflege"), ("d", "x")], "login string, role string")
+    units = spark.createDataFrame([(1, "", "K1"), (1, "w", "K2"), (2, "w", "K3"), (None, "", "K4")], "dept int, ward string, centre string")
+    m = spark.createDataFrame([(1, 1, "w"), (2, 1, None), (3, 2, "w"), (4, None, "w"), (5, 2, "v")], "case_id int, dept int, ward string")
+    cases = spark.createDataFrame([(1, 10), (2, 11), (3, None), (4, 13), (5, 14)], "case_id int, patient_id long")
+    visible = spark.createDataFrame([("a", "K1"), ("a", "K2"), ("b", "K3"), ("c", "K4"), ("d", None)], "login string, centre string")
+    wards, entries = hierarchy.by_entry(m, units)
+    keyed = visible.join(entries, "centre").select("login", F.col("entry").alias("centre"))
+    want = sorted([("a", "DEPT", 10), ("a", "DEPT", 11), ("b", "DEPT", None), ("c", "NONE", None), ("d", "NONE", None)], key=repr)
+    for seen, by in ((keyed, wards.withColumnRenamed("entry", "centre")), (visible, hierarchy.case_centres(m, units))):
+        assert sorted((tuple(r) for r in hierarchy.visible_patients(roles, seen, by, cases).collect()), key=repr) == want
