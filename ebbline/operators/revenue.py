@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .temporal import attach, slices
@@ -80,22 +80,28 @@ def pre_cube(charges: DataFrame, stays: DataFrame, days_off: DataFrame, catalog:
     return valid_on(rows.select("*", every), rates.select("*", every), key="_tariff", day=day, values=["base"]).drop("_tariff")
 
 
-def month_value(charges: DataFrame, los: DataFrame, weights: DataFrame, months: DataFrame) -> DataFrame:
-    """Day-rate charges with the weight whose band holds the length of stay, per month: weight times days (E11) or quantity (E12), times the base rate."""
-    c = charges.where(F.col("class").isin(*DAY_CLASSES)).join(los.select("case_id", "los"), "case_id")
-    w = weights.select("code_id", "low", "high", "weight")
-    c = c.join(w, (c["code_id"] == w["code_id"]) & F.col("los").between(F.col("low"), F.col("high")), "left").drop(w["code_id"])
-    m = c.join(months.select("case_id", "month", F.col("occupancy_days").alias("days"), "rate"), "case_id")
+def month_value(charges: DataFrame, weights: DataFrame, months: DataFrame) -> DataFrame:
+    """Day-rate charges with the weight whose band holds the length of stay, per month: weight times days (E11) or quantity (E12), times the base rate.
+
+    ``months`` bear their case's length of stay (``los``).  A charge gets the bands
+    of its code before it meets its months, so that only charges are dealt by code,
+    and the months stay where their cases are.
+    """
+    bands = weights.groupBy("code_id").agg(F.collect_list(F.struct("low", "high", "weight")).alias("_bands"))
+    c = charges.where(F.col("class").isin(*DAY_CLASSES)).select("case_id", "charge_id", "code_id", "class", "quantity").join(bands, "code_id", "left")
+    m = c.join(months.select("case_id", "month", F.col("occupancy_days").alias("days"), "rate", "los"), "case_id")
+    fits = F.filter("_bands", lambda b: F.col("los").between(b["low"], b["high"]))
+    m = m.withColumn("_band", F.explode_outer(fits)).withColumn("weight", F.col("_band.weight"))
     units = F.when(F.col("class") == "E11", F.col("days").cast("double")).otherwise(F.col("quantity"))
     return m.select("case_id", "charge_id", "code_id", "class", "month", "weight", F.round(F.col("weight") * units, 4).alias("month_weight"), F.round(F.col("weight") * units * F.col("rate"), 4).alias("month_amount"))
 
 
 def rollup(months: DataFrame) -> DataFrame:
-    """Months with the total of their charge, and the total's id."""
+    """Months with the total of their charge, and the total's id; by a window, as months lie by case already."""
     key = ["case_id", "charge_id", "code_id", "class"]
+    of, known = Window.partitionBy(*key), " and ".join(f"{k} is not null" for k in key)
     d = lambda c: F.col(c).cast("decimal(18,4)")
-    total = months.groupBy(*key).agg(F.sum(d("month_weight")).cast("double").alias("total_weight"), F.sum(d("month_amount")).cast("double").alias("total_amount"), F.count("*").alias("n_months")).withColumn("total_id", F.md5(F.concat_ws("|", *key)))
-    return months.join(total, key)
+    return months.where(known).select("*", F.sum(d("month_weight")).over(of).cast("double").alias("total_weight"), F.sum(d("month_amount")).over(of).cast("double").alias("total_amount"), F.count("*").over(of).alias("n_months"), F.md5(F.concat_ws("|", *key)).alias("total_id"))
 
 
 def pick_by_department(dept_type: Column, main: Column, other: Column) -> Column:

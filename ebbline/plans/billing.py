@@ -55,7 +55,7 @@ FROM charges c JOIN lo USING (case_id) LEFT JOIN wt ON wt.code_id = c.code_id AN
 def _month_value(spark, d):
     bands = F.explode(F.array(*[F.lit(x) for x in (0, 30, 60, 90)])).alias("low")
     w = view(spark, d, "codes").select("code_id", "size", bands).select("code_id", "low", (F.col("low") + 29).alias("high"), F.round(0.5 + F.col("size") * 0.01 + F.col("low") * 0.001, 4).alias("weight"))
-    return rv.month_value(view(spark, d, "charges"), los(spark, d), w, months(spark, d))
+    return rv.month_value(view(spark, d, "charges"), w, months(spark, d))
 
 
 @query(_PM + " SELECT * FROM mv", "movements", "cases", "codes", "charges")

@@ -69,3 +69,8 @@ def test_logins_of_equal_centres_share_their_patients(spark):
     want = sorted([("a", "DEPT", 10), ("a", "DEPT", 11), ("b", "DEPT", None), ("c", "NONE", None), ("d", "NONE", None)], key=repr)
     for seen, by in ((keyed, wards.withColumnRenamed("entry", "centre")), (visible, hierarchy.case_centres(m, units))):
         assert sorted((tuple(r) for r in hierarchy.visible_patients(roles, seen, by, cases).collect()), key=repr) == want
+
+
+def test_months_of_charges_stay_where_their_cases_are(spark):
+    """Movements, flags, days not billable, charges, bands and rates (a few rows) once each; joins may be broadcasts."""
+    assert exchanges(QUERIES["pepp_rollup"](spark, SF)) <= 6
