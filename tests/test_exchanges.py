@@ -74,3 +74,12 @@ def test_logins_of_equal_centres_share_their_patients(spark):
 def test_months_of_charges_stay_where_their_cases_are(spark):
     """Movements, flags, days not billable, charges, bands and rates (a few rows) once each; joins may be broadcasts."""
     assert exchanges(QUERIES["pepp_rollup"](spark, SF)) <= 6
+
+
+def test_blocks_join_no_movements(spark):
+    assert exchanges(QUERIES["stay_blocks"](spark, SF)) == 1
+    ts = lambda d, h=8: datetime.datetime(2001, 1, d, h)
+    rows = [(1, 1, "1", ts(1), ts(3), "01"), (1, 2, "3", ts(3), ts(4), "02"), (1, 3, "6", ts(4), ts(6), "03"), (1, 4, "7", ts(6), ts(6), "04"), (1, 5, "2", ts(7), None, "05"), (2, 9, "1", ts(9), ts(9, 9), None), (None, 1, "1", ts(1), ts(2), "01")]
+    m = spark.createDataFrame(rows, "case_id int, number int, kind string, begin_ts timestamp, end_ts timestamp, reason string").withColumns({"cancelled": F.lit(None).cast("string"), "art": F.concat(F.lit("A"), "number"), "to_hospital": F.lit(0)})
+    got = sorted((r.case_id, r.block, r.start_number, r.end_number, r.next_art, r.block_days, r.is_last, r.admitted.day, r.discharged.day, r.admission_reason, r.discharge_reason) for r in stays.blocks(stays.prev_next(stays.movements_of_stays(m))).collect())
+    assert got == [(1, 1, 1, 2, "A3", 3, 0, 1, 7, "01", "05"), (1, 3, 4, 4, "A5", 0, 0, 1, 7, "01", "05"), (1, 4, 5, 5, None, 0, 1, 1, 7, "01", "05"), (2, 1, 9, 9, None, 0, 0, 9, 9, None, None)]
