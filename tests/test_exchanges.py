@@ -83,3 +83,7 @@ def test_blocks_join_no_movements(spark):
     m = spark.createDataFrame(rows, "case_id int, number int, kind string, begin_ts timestamp, end_ts timestamp, reason string").withColumns({"cancelled": F.lit(None).cast("string"), "art": F.concat(F.lit("A"), "number"), "to_hospital": F.lit(0)})
     got = sorted((r.case_id, r.block, r.start_number, r.end_number, r.next_art, r.block_days, r.is_last, r.admitted.day, r.discharged.day, r.admission_reason, r.discharge_reason) for r in stays.blocks(stays.prev_next(stays.movements_of_stays(m))).collect())
     assert got == [(1, 1, 1, 2, "A3", 3, 0, 1, 7, "01", "05"), (1, 3, 4, 4, "A5", 0, 0, 1, 7, "01", "05"), (1, 4, 5, 5, None, 0, 1, 1, 7, "01", "05"), (2, 1, 9, 9, None, 0, 0, 9, 9, None, None)]
+
+
+def test_last_day_rules_add_only_the_flags_of_cases(spark):
+    assert exchanges(QUERIES["stay_last_day_rules"](spark, SF)) <= 2
