@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from ebbline import plans
-from ebbline.operators import hierarchy, stays
+from ebbline.operators import hierarchy, revenue, stays
 from tests.conftest import SF
 
 QUERIES = plans.queries()
@@ -87,3 +87,13 @@ def test_blocks_join_no_movements(spark):
 
 def test_last_day_rules_add_only_the_flags_of_cases(spark):
     assert exchanges(QUERIES["stay_last_day_rules"](spark, SF)) <= 2
+
+
+def test_bands_of_a_code_by_length_of_stay(spark):
+    """A month's weight for each fitting band, null without one; charges of other classes and of cases without months go."""
+    charges = spark.createDataFrame([(1, 1, 5, "E11", 2.0), (2, 2, 5, "E12", 2.0), (3, 3, 6, "E12", 3.0), (4, 4, 7, "E11", 1.0), (1, 5, 5, "E1", 1.0), (9, 6, 5, "E11", 1.0)], "case_id int, charge_id int, code_id int, class string, quantity double")
+    weights = spark.createDataFrame([(5, 0, 9, 0.5), (5, 8, 20, 0.7), (6, 30, 40, 0.9), (None, 0, 99, 9.0)], "code_id int, low int, high int, weight double")
+    months = spark.createDataFrame([(1, "2001-01-01", 4, 10.0, 8), (1, "2001-02-01", 6, 10.0, 8), (2, "2001-01-01", 3, None, 20), (3, "2001-01-01", 3, 1.0, 2), (4, "2001-01-01", 3, 1.0, None)], "case_id int, month string, occupancy_days int, rate double, los int")
+    got = sorted(((r.charge_id, r.month[5:7], r.weight, r.month_weight, r.month_amount) for r in revenue.month_value(charges, weights, months).collect()), key=repr)
+    assert got == sorted([(1, "01", 0.5, 2.0, 20.0), (1, "01", 0.7, 2.8, 28.0), (1, "02", 0.5, 3.0, 30.0), (1, "02", 0.7, 4.2, 42.0), (2, "01", 0.7, 1.4, None), (3, "01", None, None, None), (4, "01", None, None, None)], key=repr)
+    assert exchanges(QUERIES["pepp_month_value"](spark, SF)) <= 6
