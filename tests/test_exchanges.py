@@ -97,3 +97,7 @@ def test_bands_of_a_code_by_length_of_stay(spark):
     got = sorted(((r.charge_id, r.month[5:7], r.weight, r.month_weight, r.month_amount) for r in revenue.month_value(charges, weights, months).collect()), key=repr)
     assert got == sorted([(1, "01", 0.5, 2.0, 20.0), (1, "01", 0.7, 2.8, 28.0), (1, "02", 0.5, 3.0, 30.0), (1, "02", 0.7, 4.2, 42.0), (2, "01", 0.7, 1.4, None), (3, "01", None, None, None), (4, "01", None, None, None)], key=repr)
     assert exchanges(QUERIES["pepp_month_value"](spark, SF)) <= 6
+
+
+def test_months_of_blocks_are_grouped_where_the_blocks_are(spark):
+    assert exchanges(QUERIES["los_month_split"](spark, SF)) <= 2
