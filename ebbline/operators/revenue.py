@@ -52,16 +52,19 @@ def disjoint(catalog: DataFrame, key: str, values: list[str]) -> DataFrame:
     return one.select(key, F.col("start").alias("valid_from"), F.col("end").alias("valid_to"), "_v.*")
 
 
-def valid_on(rows: DataFrame, catalog: DataFrame, *, key: str, day: Column, values: list[str]) -> DataFrame:
+def valid_on(rows: DataFrame, catalog: DataFrame, *, key: str, day: Column, values: list[str], few: bool = False) -> DataFrame:
     """``rows`` with the ``values`` of the catalog's version of their key on ``day``; null where it has none, and for null days.
 
     An interval join by bins: each version stands once in every bin of
     BIN_YEARS years that it touches, rows meet it by key and bin (an equi-join,
     which hash and AQE's skew handling can split), and the exact test follows.
+    A catalog of ``few`` keys (rates by year) is broadcast, as its keys and bins would
+    put all rows into as few tasks.
     """
     bin_of = lambda d: F.floor(F.year(d) / BIN_YEARS)
     bins = F.explode(F.sequence(bin_of(F.col("valid_from")), bin_of(F.col("valid_to")))).alias("_bin")
     c = disjoint(catalog, key, values).select(F.col(key).alias("_key"), bins, F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *values)
+    c = F.broadcast(c) if few else c
     x = rows.withColumns({"_day": F.to_date(day), "_at": bin_of(F.to_date(day))})
     return x.join(c, (F.col(key) == F.col("_key")) & (F.col("_at") == F.col("_bin")) & F.col("_day").between(F.col("_from"), F.col("_to")), "left").drop("_day", "_at", "_key", "_bin", "_from", "_to")
 
@@ -77,7 +80,7 @@ def pre_cube(charges: DataFrame, stays: DataFrame, days_off: DataFrame, catalog:
     rows = charges.join(stays, "case_id").join(days_off, "case_id", "left")
     rows = valid_on(rows, catalog, key=code, day=day, values=values)
     every = F.lit("all").alias("_tariff")
-    return valid_on(rows.select("*", every), rates.select("*", every), key="_tariff", day=day, values=["base"]).drop("_tariff")
+    return valid_on(rows.select("*", every), rates.select("*", every), key="_tariff", day=day, values=["base"], few=True).drop("_tariff")
 
 
 def month_value(charges: DataFrame, weights: DataFrame, months: DataFrame) -> DataFrame:

@@ -101,3 +101,14 @@ def test_bands_of_a_code_by_length_of_stay(spark):
 
 def test_months_of_blocks_are_grouped_where_the_blocks_are(spark):
     assert exchanges(QUERIES["los_month_split"](spark, SF)) <= 2
+
+
+def test_charges_are_not_dealt_by_the_tariff(spark):
+    """Base rates have one key and a few years; dealt by these, all charges would meet in one or two tasks."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["drg_amount"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len(dealt) > 6 and not [line for line in dealt if "_tariff" in line and "_at#" in line]
