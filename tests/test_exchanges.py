@@ -1,11 +1,12 @@
 """Rows are dealt by key once, and what follows stays where it is; results on odd rows."""
 
 import datetime
+import json
 
 from pyspark.sql import functions as F
 
 from ebbline import plans
-from ebbline.operators import hierarchy, revenue, stays
+from ebbline.operators import hierarchy, resources, revenue, stays
 from tests.conftest import SF
 
 QUERIES = plans.queries()
@@ -112,3 +113,16 @@ def test_charges_are_not_dealt_by_the_tariff(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
     assert len(dealt) > 6 and not [line for line in dealt if "_tariff" in line and "_at#" in line]
+
+
+def test_team_members_travel_as_numbers(spark):
+    p = spark.range(20_000).select(F.col("id").alias("procedure_id"), F.col("id").alias("case_id"), F.lit("5-1").alias("code"), F.lit("2001-01-01").alias("day"), F.lit(" ").alias("cancelled"), F.lit("R").alias("site"), (F.col("id") % 9).alias("unit"))
+    owner = spark.range(100).select(F.col("id").alias("case_id"), F.col("id").alias("patient_id"))
+    team = p.select("procedure_id", F.col("unit").alias("person"), F.lit("OPT1").alias("task"))
+    assert written(spark, resources.procedures(p, owner, team)) < 700_000
+    team = spark.createDataFrame([(1, 7, "OPT1"), (1, 3, " OPT1"), (1, 3, "OPT1"), (1, None, "0"), (2, None, None), (None, 5, "OPT1")], "procedure_id long, person long, task string")
+    got = {r.id: r.body for r in resources.procedures(p.where("procedure_id < 4"), owner, team).collect()}
+    uid = lambda kind, n: spark.range(1).select(resources.CLEAR.rid(kind, F.lit(n))).first()[0]
+    crew = lambda n: json.loads(got[uid("Procedure", n)])["performer"][1:]
+    assert sorted(x.get("actor", {}).get("reference", "") for x in crew(1)) == sorted(["", *[f"Practitioner/{uid('Practitioner', n)}" for n in (3, 7)]])
+    assert crew(2) == [{}] and crew(3) == []
