@@ -31,6 +31,15 @@ def index(docs: DataFrame, *, id: str, text: str) -> DataFrame:
     return t.select(id, "length", F.explode("_t").alias("term")).groupBy("term", id, "length").agg(F.count("*").alias("tf"))
 
 
+def counted(docs: DataFrame, *, id: str, text: str) -> DataFrame:
+    """(id, length, term, tf) of each row for itself, without an exchange: its words are sorted, and a word's count is the distance from its first place to the next word's."""
+    t = docs.select(F.col(id).alias("id"), F.sort_array(terms(F.col(text))).alias("_w")).withColumn("_n", F.size("_w")).where("_n > 0")
+    first = F.filter(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1)))
+    t = t.withColumn("_first", first).withColumn("_next", F.concat(F.slice("_first", 2, F.size("_first")), F.array("_n")))
+    each = t.select("id", F.col("_n").cast("long").alias("length"), "_w", F.explode(F.arrays_zip("_first", "_next")).alias("_at"))
+    return each.select("id", "length", F.get("_w", F.col("_at._first")).alias("term"), (F.col("_at._next") - F.col("_at._first")).cast("long").alias("tf"))
+
+
 def bm25(docs: DataFrame, query: str, *, id: str, text: str, k: int = 10, where=None, snippet: int = 500) -> DataFrame:
     """The best ``k`` documents: id, score, snippet.
 
@@ -68,19 +77,21 @@ def write_index(docs: DataFrame, path: str, *, id: str, text: str, block_docs: i
 
     Documents are dealt into blocks by the hash of their id.  A posting row is a
     term in a block: its documents with frequency and length, and the best
-    contribution that any of them has.  Rows are written by range of term and
-    sorted, so that a search reads the row groups of its own terms only.  Null
-    texts count as empty; rows of a null id take part as one document.
+    contribution that any of them has.  Rows are dealt by range of term and block
+    once, grouped and sorted there, so that a search reads the row groups of its own
+    terms only.  Null texts count as empty; rows of a null id take part as one
+    document.
     """
     figures = docs.agg(F.count("*").alias("n"), F.coalesce(F.avg(F.size(terms(F.col(text)))), F.lit(0.0)).alias("mean"))
     figures = figures.withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("n") / block_docs)).cast("long"))
     figures.coalesce(1).write.parquet(f"{path}/figures")
     whole = docs.sparkSession.read.parquet(f"{path}/figures").first()
     part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(whole["mean"] or 1.0)))
-    block = F.pmod(F.xxhash64(id), F.lit(whole["blocks"])).alias("block")
-    rows = index(docs, id=id, text=text).select("term", block, F.struct(F.col(id).alias("id"), part.alias("part")).alias("doc"))
+    block = F.pmod(F.xxhash64("id"), F.lit(whole["blocks"])).alias("block")
+    dealt = counted(docs, id=id, text=text).select("term", block, "id", "length", "tf").repartitionByRange("term", "block")
+    rows = dealt.groupBy("term", "block", "id", "length").agg(F.sum("tf").alias("tf")).select("term", "block", F.struct("id", part.alias("part")).alias("doc"))
     blocks = rows.groupBy("term", "block").agg(F.sort_array(F.collect_list("doc")).alias("docs"), F.max("doc.part").alias("best"), F.count("*").alias("n"))
-    blocks.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.option("parquet.block.size", 8 << 20).parquet(f"{path}/postings")
+    blocks.sortWithinPartitions("term", "block").write.option("parquet.block.size", 8 << 20).parquet(f"{path}/postings")
 
 
 def postings_of(spark: SparkSession, path: str, words: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from ebbline import plans
-from ebbline.operators import hierarchy, resources, revenue, stays
+from ebbline.operators import hierarchy, resources, revenue, search, stays
 from tests.conftest import SF
 
 QUERIES = plans.queries()
@@ -126,3 +126,16 @@ def test_team_members_travel_as_numbers(spark):
     crew = lambda n: json.loads(got[uid("Procedure", n)])["performer"][1:]
     assert sorted(x.get("actor", {}).get("reference", "") for x in crew(1)) == sorted(["", *[f"Practitioner/{uid('Practitioner', n)}" for n in (3, 7)]])
     assert crew(2) == [{}] and crew(3) == []
+
+
+def test_words_are_counted_in_their_row(spark, tmp_path):
+    rows = [(1, "b a B c  c-c"), (2, None), (3, ""), (4, "a"), (4, "a"), (None, "x y x")]
+    df = search.counted(spark.createDataFrame(rows, "id long, text string"), id="id", text="text")
+    assert exchanges(df) == 0
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted([(1, 6, "a", 1), (1, 6, "b", 2), (1, 6, "c", 3), (4, 1, "a", 1), (4, 1, "a", 1), (None, 3, "x", 2), (None, 3, "y", 1)], key=repr)
+    docs = spark.range(2000).select("id", F.concat_ws(" ", *[F.concat(F.lit(f"w{k}x"), F.col("id") % (k + 5)) for k in range(40)]).alias("text"))
+    total = lambda: sum(x.apply(i).totalShuffleWrite() for x in [spark._jsc.sc().statusStore().executorList(False)] for i in range(x.length()))
+    before = total()
+    search.write_index(docs, f"file://{tmp_path}/index", id="id", text="text", block_docs=40)
+    spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert total() - before < 1_000_000  # 80,000 pairs of document and word, dealt once
